@@ -139,10 +139,139 @@ SELECT month, shopid, revenue,
 FROM additional"""
 
 
+# --- C01 subscription timeline ----------------------------------------------
+from ..fixtures import RELATIONSHIP_TYPE_MAP, SUBSCRIPTION_TYPE_MAP  # noqa: E402
+
+SUB_EVENTS_CTE = billing_events_cte("sub_events", SUBSCRIPTION_TYPE_MAP)
+REL_EVENTS_CTE = billing_events_cte("rel_events", RELATIONSHIP_TYPE_MAP)
+
+TIMELINE_CTES = f"""{SUB_EVENTS_CTE}
+, base_events AS (
+    SELECT eventtype, occurredat, shopdomain, shopid, chargeamount, chargeid, chargename, cursor
+    FROM sub_events WHERE eventtype LIKE '%SUBSCRIPTION_CHARGE%')
+, event_ranks AS (
+    SELECT eventtype, occurredat, shopid, shopdomain, chargename, chargeid, chargeamount, cursor,
+        FIRST_VALUE(occurredat) OVER (PARTITION BY shopid, chargeid ORDER BY occurredat NULLS LAST, cursor
+            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS activated_date,
+        LEAD(occurredat) OVER (PARTITION BY shopid, chargeid ORDER BY occurredat NULLS LAST, cursor)
+            AS deactivated_date
+    FROM base_events WHERE shopid IS NOT NULL)
+, filtered AS (
+    SELECT *, LEAD(activated_date) OVER (PARTITION BY shopid
+            ORDER BY activated_date NULLS LAST, occurredat NULLS LAST, cursor) AS next_activation
+    FROM event_ranks
+    WHERE eventtype IN ('SUBSCRIPTION_CHARGE_ACTIVATED', 'SUBSCRIPTION_CHARGE_UNFROZEN'))
+, subscriptions AS (
+    SELECT shopid, shopdomain, chargeid, activated_date, chargeamount,
+        CASE WHEN chargename LIKE '%Free%' THEN 'Unlimited Blog posts' ELSE chargename END AS pricing_plan,
+        CASE WHEN next_activation < deactivated_date THEN next_activation
+             WHEN deactivated_date IS NULL AND next_activation IS NOT NULL THEN next_activation
+             WHEN deactivated_date IS NULL AND next_activation IS NULL
+                 THEN CAST({EV_AS_OF} + INTERVAL 1 DAY AS TIMESTAMP)
+             ELSE deactivated_date END AS actual_end_date,
+        cursor
+    FROM filtered)"""
+
+TIMELINE_EVENTS = f"""WITH {TIMELINE_CTES}
+SELECT eventtype, occurredat, shopid, shopdomain, chargename, chargeid, chargeamount, cursor,
+       activated_date, deactivated_date FROM event_ranks"""
+
+TIMELINE_INTERVALS = f"""WITH {TIMELINE_CTES}
+SELECT * FROM subscriptions"""
+
+
+# --- C04 / C05 daily active merchants ----------------------------------------
+def _digits(alias: str) -> str:
+    vals = " UNION ALL ".join(f"SELECT {i} AS n" for i in range(10))
+    return f"({vals}) AS {alias}"
+
+
+NUMBERS_CTE = f"""numbers AS (
+    SELECT ones.n + tens.n * 10 + hundreds.n * 100 + thousands.n * 1000 AS n
+    FROM {_digits('ones')}, {_digits('tens')}, {_digits('hundreds')}, {_digits('thousands')})"""
+
+
+def _expanded(src: str, as_of: str) -> str:
+    return f"""expanded_date AS (
+    SELECT s.shopid,
+        CAST(date_trunc('day', s.activated_date) AS DATE) AS activated_date,
+        CAST(date_trunc('day', s.actual_end_date) AS DATE) AS actual_end_date,
+        CAST(date_trunc('day', s.activated_date) AS DATE) + n.n AS active_date
+    FROM {src} s JOIN numbers n
+      ON CAST(date_trunc('day', s.activated_date) AS DATE) + n.n <=
+         CASE WHEN s.actual_end_date IS NULL THEN {as_of} + 1
+              ELSE CAST(date_trunc('day', s.actual_end_date) AS DATE) - 1 END)"""
+
+
+def _daily(as_of: str) -> str:
+    return f"""counting AS (
+    SELECT active_date, COUNT(DISTINCT shopid) AS merchants FROM expanded_date GROUP BY active_date)
+, extracting AS (
+    SELECT *, LAG(merchants) OVER (ORDER BY active_date) AS prev_day_merchants,
+        CAST(date_trunc('month', active_date) AS DATE) AS month,
+        LAST_VALUE(merchants) OVER (PARTITION BY date_trunc('month', active_date) ORDER BY active_date
+            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS end_of_month_merchants
+    FROM counting WHERE active_date <= {as_of})
+, dis AS (SELECT DISTINCT month, end_of_month_merchants FROM extracting)
+, lagging AS (SELECT *, LAG(end_of_month_merchants) OVER (ORDER BY month) AS last_month_merchants FROM dis)
+, final AS (
+    SELECT e.*, l.last_month_merchants FROM extracting e LEFT JOIN lagging l ON e.month = l.month)"""
+
+
+DAILY_SELECT = """SELECT active_date, merchants, prev_day_merchants, month, end_of_month_merchants,
+       last_month_merchants FROM final"""
+
+INTERVAL_DAYS = f"""WITH {ORDER_INTERVALS_CTE}, {NUMBERS_CTE}, {_expanded('order_intervals', ORD_AS_OF)}
+SELECT shopid, activated_date, actual_end_date, active_date FROM expanded_date"""
+
+DAILY_ACTIVE = f"""WITH {ORDER_INTERVALS_CTE}, {NUMBERS_CTE}, {_expanded('order_intervals', ORD_AS_OF)},
+{_daily(ORD_AS_OF)}
+{DAILY_SELECT}"""
+
+MONTH_END = f"""WITH {ORDER_INTERVALS_CTE}, {NUMBERS_CTE}, {_expanded('order_intervals', ORD_AS_OF)},
+{_daily(ORD_AS_OF)}
+SELECT month, end_of_month_merchants, last_month_merchants FROM lagging"""
+
+DAILY_ACTIVE_TIMELINE = f"""WITH {TIMELINE_CTES}, {NUMBERS_CTE}, {_expanded('subscriptions', EV_AS_OF)},
+{_daily(EV_AS_OF)}
+{DAILY_SELECT}"""
+
+STORE_CTES = f"""{REL_EVENTS_CTE}
+, all_events AS (
+    SELECT *, MIN(occurredat) OVER (PARTITION BY shopid) AS first_install,
+        CASE WHEN eventtype IN ('RELATIONSHIP_INSTALLED', 'RELATIONSHIP_REACTIVATED') THEN 'Active'
+             WHEN eventtype IN ('RELATIONSHIP_UNINSTALLED', 'RELATIONSHIP_DEACTIVATED') THEN 'Inactive'
+        END AS status
+    FROM rel_events WHERE shopid IS NOT NULL)
+, st AS (
+    SELECT *, LEAD(occurredat) OVER (PARTITION BY shopid ORDER BY occurredat NULLS LAST, cursor) AS next_status_at
+    FROM all_events WHERE status IS NOT NULL)
+, store_spans AS (
+    SELECT shopid, shopdomain, occurredat AS activated_date,
+        COALESCE(next_status_at, CAST({EV_AS_OF} + INTERVAL 1 DAY AS TIMESTAMP)) AS actual_end_date,
+        cursor, first_install
+    FROM st WHERE status = 'Active')"""
+
+STORE_STATUS = f"""WITH {STORE_CTES}
+SELECT * FROM store_spans"""
+
+STORE_DAILY_ACTIVE = f"""WITH {STORE_CTES}, {NUMBERS_CTE}, {_expanded('store_spans', EV_AS_OF)},
+{_daily(EV_AS_OF)}
+{DAILY_SELECT}"""
+
 ORACLES: dict[str, str] = {
     "mrr_shop_month": MRR_SHOP_MONTH,
     "mrr_monthly": MRR_MONTHLY,
     "mrr_monthly_events": MRR_EVENTS_MONTHLY,
     "shop_last_month": SHOP_LAST_MONTH,
     "mrr_cumulative": MRR_CUMULATIVE,
+    "timeline_events": TIMELINE_EVENTS,
+    "timeline_intervals": TIMELINE_INTERVALS,
+    "interval_days": INTERVAL_DAYS,
+    "daily_active": DAILY_ACTIVE,
+    "daily_active_sweep": DAILY_ACTIVE,
+    "month_end": MONTH_END,
+    "daily_active_timeline": DAILY_ACTIVE_TIMELINE,
+    "store_status": STORE_STATUS,
+    "store_daily_active": STORE_DAILY_ACTIVE,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixtures as fx
-from ..operators import mrr
+from ..operators import active, mrr, timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,12 +49,62 @@ def q_mrr_cumulative(spark, sf_dir):
     return mrr.cumulative_revenue(fx.order_payments(spark, sf_dir))
 
 
+# --- C01 ------------------------------------------------------------------
+def q_timeline_events(spark, sf_dir):
+    return timeline.timeline_events(fx.subscription_events(spark, sf_dir))
+
+
+def q_timeline_intervals(spark, sf_dir):
+    return timeline.timeline_intervals(fx.subscription_events(spark, sf_dir), fx.EVENTS_AS_OF)
+
+
+# --- C04 / C05 / C06 -------------------------------------------------------
+def q_interval_days(spark, sf_dir):
+    return active.interval_days(fx.order_intervals(spark, sf_dir), fx.ORDERS_AS_OF)
+
+
+def q_daily_active(spark, sf_dir):
+    return active.daily_active(fx.order_intervals(spark, sf_dir), fx.ORDERS_AS_OF, method="explode")
+
+
+def q_daily_active_sweep(spark, sf_dir):
+    return active.daily_active(fx.order_intervals(spark, sf_dir), fx.ORDERS_AS_OF, method="sweep")
+
+
+def q_month_end(spark, sf_dir):
+    counts = active.merchants_by_day(fx.order_intervals(spark, sf_dir), fx.ORDERS_AS_OF)
+    return active.month_end(counts, fx.ORDERS_AS_OF)
+
+
+def q_daily_active_timeline(spark, sf_dir):
+    subs = timeline.timeline_intervals(fx.subscription_events(spark, sf_dir), fx.EVENTS_AS_OF)
+    return active.daily_active(subs, fx.EVENTS_AS_OF)
+
+
+def q_store_status(spark, sf_dir):
+    return active.store_intervals(fx.relationship_events(spark, sf_dir), fx.EVENTS_AS_OF)
+
+
+def q_store_daily_active(spark, sf_dir):
+    spans = active.store_intervals(fx.relationship_events(spark, sf_dir), fx.EVENTS_AS_OF)
+    return active.daily_active(spans, fx.EVENTS_AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     "mrr_shop_month": q_mrr_shop_month,
     "mrr_monthly": q_mrr_monthly,
     "mrr_monthly_events": q_mrr_monthly_events,
     "shop_last_month": q_shop_last_month,
     "mrr_cumulative": q_mrr_cumulative,
+    "timeline_events": q_timeline_events,
+    "timeline_intervals": q_timeline_intervals,
+    "interval_days": q_interval_days,
+    "daily_active": q_daily_active,
+    "daily_active_sweep": q_daily_active_sweep,
+    "month_end": q_month_end,
+    "daily_active_timeline": q_daily_active_timeline,
+    "store_status": q_store_status,
+    "store_daily_active": q_store_daily_active,
 }
 
 
