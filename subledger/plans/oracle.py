@@ -259,6 +259,129 @@ STORE_DAILY_ACTIVE = f"""WITH {STORE_CTES}, {NUMBERS_CTE}, {_expanded('store_spa
 {_daily(EV_AS_OF)}
 {DAILY_SELECT}"""
 
+# --- C02 payment -> plan attribution ------------------------------------------
+_PAY_ORDER = "createdat NULLS LAST, id, netamount NULLS LAST, prev_netamount NULLS LAST"
+_ID_ORDER = "_id NULLS LAST, createdat NULLS LAST, id, netamount NULLS LAST, prev_netamount NULLS LAST"
+
+
+def _first(col: str) -> str:
+    return f"(list({col} ORDER BY rn) FILTER (WHERE {col} IS NOT NULL))[1] AS {col}"
+
+
+def _choice(col: str) -> str:
+    prev = f"prev_{col}"
+    return f"""CASE WHEN {prev} IS NOT NULL AND transactions_per_day > 1 AND e1 AND netamount = prev_day_amount
+                 THEN {prev}
+             WHEN {prev} IS NOT NULL AND transactions_per_day > 1 AND e2 AND netamount <> next_day_amount
+                 THEN {prev}
+             ELSE {col} END AS {col}"""
+
+
+def _carry(col: str) -> str:
+    return f"CASE WHEN netamount = prev_netamount THEN LAG({col}) OVER w ELSE {col} END AS {col}"
+
+
+ATTRIBUTION_CTES = f"""{PAYMENTS_CTE}, {TIMELINE_CTES}
+, transactions AS (
+    SELECT createdat, id, _id, chargeid, netamount, shopid,
+        LAG(netamount) OVER (PARTITION BY shopid
+            ORDER BY _id NULLS LAST, id, createdat NULLS LAST, netamount NULLS LAST) AS prev_netamount
+    FROM (SELECT createdat, id,
+                 TRY_CAST(NULLIF(regexp_extract(id, '([0-9]+)$', 1), '') AS BIGINT) AS _id,
+                 chargeid, netamount, shopid
+          FROM payments))
+, s AS (
+    SELECT DISTINCT *,
+        LAG(pricing_plan) OVER ws AS prev_pricing_plan,
+        LAG(chargeamount) OVER ws AS prev_chargeamount,
+        LAG(activated_date) OVER ws AS prev_activated_date,
+        LAG(actual_end_date) OVER ws AS prev_actual_end_date
+    FROM subscriptions
+    WINDOW ws AS (PARTITION BY shopid ORDER BY activated_date NULLS LAST, cursor))
+, joined2 AS (
+    SELECT f.createdat, f.id, f._id, f.netamount, f.prev_netamount, f.shopid,
+        s.pricing_plan, s.chargeamount, s.activated_date, s.actual_end_date,
+        s.prev_pricing_plan, s.prev_chargeamount, s.prev_activated_date, s.prev_actual_end_date,
+        ROW_NUMBER() OVER (PARTITION BY f.id ORDER BY
+            CASE WHEN f.createdat BETWEEN s.activated_date AND s.actual_end_date THEN 0
+                 WHEN f.createdat > s.actual_end_date THEN date_diff('day', s.actual_end_date, f.createdat)
+                 ELSE 999999 END,
+            s.activated_date NULLS LAST, s.actual_end_date NULLS LAST, s.cursor) AS rn
+    FROM transactions AS f LEFT JOIN s ON f.shopid = s.shopid)
+, matching AS (
+    SELECT createdat, id, _id, netamount, prev_netamount, shopid,
+        {_first('pricing_plan')}, {_first('prev_pricing_plan')},
+        {_first('chargeamount')}, {_first('prev_chargeamount')},
+        {_first('activated_date')}, {_first('actual_end_date')},
+        {_first('prev_activated_date')}, {_first('prev_actual_end_date')},
+        list(prev_actual_end_date) FILTER (WHERE prev_actual_end_date IS NOT NULL) AS prev_end_list,
+        LAG(netamount) OVER (PARTITION BY shopid ORDER BY {_PAY_ORDER}) AS prev_day_amount,
+        COALESCE(
+            FIRST_VALUE(netamount) OVER (PARTITION BY shopid
+                ORDER BY CAST(floor(epoch(createdat)) AS BIGINT) NULLS LAST, id, netamount NULLS LAST,
+                         prev_netamount NULLS LAST
+                ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
+            LEAD(netamount) OVER (PARTITION BY shopid
+                ORDER BY CAST(floor(epoch(createdat)) AS BIGINT) NULLS LAST, id, netamount NULLS LAST,
+                         prev_netamount NULLS LAST)) AS next_day_amount,
+        COUNT(id) OVER (PARTITION BY shopid, CAST(createdat AS DATE)) AS transactions_per_day
+    FROM joined2
+    GROUP BY createdat, id, _id, netamount, prev_netamount, shopid)
+, flagged AS (
+    SELECT *,
+        COALESCE(len(list_filter(prev_end_list,
+            lambda mp: date_trunc('month', mp) = date_trunc('month', createdat))) > 0, false) AS e1,
+        COALESCE(len(list_filter(prev_end_list,
+            lambda mp: date_diff('month', date_trunc('month', mp), date_trunc('month', createdat)) = 1)) > 0,
+            false) AS e2
+    FROM matching)
+, extracting AS (
+    SELECT createdat, id, _id, netamount, prev_netamount, next_day_amount, shopid, transactions_per_day,
+        {_choice('pricing_plan')}, {_choice('chargeamount')},
+        {_choice('activated_date')}, {_choice('actual_end_date')}
+    FROM flagged)
+, type_pricing AS (
+    SELECT createdat, CAST(date_trunc('month', createdat) AS DATE) AS month,
+        id, _id, netamount, prev_netamount, next_day_amount, shopid, transactions_per_day,
+        CAST(CASE WHEN id LIKE '%AppOneTimeSale%' THEN 'App One Time Sale'
+                  WHEN id LIKE '%Adjustment%' AND pricing_plan IS NULL THEN 'Undefined refund'
+                  WHEN id LIKE '%AppSubscriptionSale%' AND pricing_plan IS NULL THEN 'Undefined transactions'
+                  WHEN id LIKE '%AppSaleCredit%' THEN 'App Sale Credit'
+                  ELSE pricing_plan END AS VARCHAR) AS pricing_plan,
+        CAST(chargeamount AS DOUBLE) AS chargeamount,
+        CAST(activated_date AS DATE) AS activated_date,
+        CAST(actual_end_date AS DATE) AS actual_end_date
+    FROM extracting)
+, modified AS (
+    SELECT createdat, month, id, _id, netamount, prev_netamount, next_day_amount, shopid, transactions_per_day,
+        {_carry('pricing_plan')}, {_carry('chargeamount')},
+        {_carry('activated_date')}, {_carry('actual_end_date')}
+    FROM type_pricing
+    WINDOW w AS (PARTITION BY shopid ORDER BY {_ID_ORDER}))
+, lagging AS (
+    SELECT *, LAG(pricing_plan) OVER w AS prev_pricing_plan, LAG(chargeamount) OVER w AS prev_chargeamount
+    FROM modified
+    WINDOW w AS (PARTITION BY shopid ORDER BY {_ID_ORDER}))"""
+
+TX_NUMERIC_ID = f"""WITH {ATTRIBUTION_CTES}
+SELECT createdat, id, _id, chargeid, netamount, shopid, prev_netamount FROM transactions"""
+
+TX_SUBS_PREV = f"""WITH {ATTRIBUTION_CTES}
+SELECT shopid, activated_date, actual_end_date, pricing_plan, chargeamount, cursor,
+       prev_pricing_plan, prev_chargeamount, prev_activated_date, prev_actual_end_date FROM s"""
+
+TX_MATCHED = f"""WITH {ATTRIBUTION_CTES}
+SELECT * EXCLUDE (prev_end_list) FROM matching"""
+
+TX_CHOICE = f"""WITH {ATTRIBUTION_CTES}
+SELECT * FROM extracting"""
+
+TX_LABELLED = f"""WITH {ATTRIBUTION_CTES}
+SELECT * FROM type_pricing"""
+
+TX_ATTRIBUTED = f"""WITH {ATTRIBUTION_CTES}
+SELECT * FROM lagging"""
+
 ORACLES: dict[str, str] = {
     "mrr_shop_month": MRR_SHOP_MONTH,
     "mrr_monthly": MRR_MONTHLY,
@@ -274,4 +397,10 @@ ORACLES: dict[str, str] = {
     "daily_active_timeline": DAILY_ACTIVE_TIMELINE,
     "store_status": STORE_STATUS,
     "store_daily_active": STORE_DAILY_ACTIVE,
+    "tx_numeric_id": TX_NUMERIC_ID,
+    "tx_subs_prev": TX_SUBS_PREV,
+    "tx_matched": TX_MATCHED,
+    "tx_choice": TX_CHOICE,
+    "tx_labelled": TX_LABELLED,
+    "tx_attributed": TX_ATTRIBUTED,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixtures as fx
-from ..operators import active, mrr, timeline
+from ..operators import active, attribution, mrr, timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -90,6 +90,41 @@ def q_store_daily_active(spark, sf_dir):
     return active.daily_active(spans, fx.EVENTS_AS_OF)
 
 
+# --- C02 ------------------------------------------------------------------
+def _attr_inputs(spark, sf_dir):
+    tx = attribution.numbered_transactions(fx.payments(spark, sf_dir))
+    subs = timeline.timeline_intervals(fx.subscription_events(spark, sf_dir), fx.EVENTS_AS_OF)
+    return tx, attribution.with_previous(subs)
+
+
+def q_tx_numeric_id(spark, sf_dir):
+    return attribution.numbered_transactions(fx.payments(spark, sf_dir))
+
+
+def q_tx_subs_prev(spark, sf_dir):
+    return _attr_inputs(spark, sf_dir)[1]
+
+
+def q_tx_matched(spark, sf_dir):
+    tx, s = _attr_inputs(spark, sf_dir)
+    return attribution.matched_payments(tx, s)
+
+
+def q_tx_choice(spark, sf_dir):
+    tx, s = _attr_inputs(spark, sf_dir)
+    return attribution.choose_attribution(attribution.matched_payments(tx, s), s)
+
+
+def q_tx_labelled(spark, sf_dir):
+    tx, s = _attr_inputs(spark, sf_dir)
+    return attribution.label_sales(attribution.choose_attribution(attribution.matched_payments(tx, s), s))
+
+
+def q_tx_attributed(spark, sf_dir):
+    subs = timeline.timeline_intervals(fx.subscription_events(spark, sf_dir), fx.EVENTS_AS_OF)
+    return attribution.attribute_transactions(fx.payments(spark, sf_dir), subs)
+
+
 QUERIES: dict[str, Query] = {
     "mrr_shop_month": q_mrr_shop_month,
     "mrr_monthly": q_mrr_monthly,
@@ -105,6 +140,12 @@ QUERIES: dict[str, Query] = {
     "daily_active_timeline": q_daily_active_timeline,
     "store_status": q_store_status,
     "store_daily_active": q_store_daily_active,
+    "tx_numeric_id": q_tx_numeric_id,
+    "tx_subs_prev": q_tx_subs_prev,
+    "tx_matched": q_tx_matched,
+    "tx_choice": q_tx_choice,
+    "tx_labelled": q_tx_labelled,
+    "tx_attributed": q_tx_attributed,
 }
 
 
