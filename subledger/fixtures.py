@@ -131,3 +131,168 @@ def order_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
         start.alias("activated_date"),
         (start + F.make_dt_interval(days=(F.col("o_orderkey") % 60).cast("int"))).alias("actual_end_date"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Landing-side fixtures: bronze rows and the API pages that carry them.
+# Some rows leave fields out (shop/fee every 7th id, charge id every 11th for
+# transactions; reason+charge every 7th, shop every 11th for events) so the
+# flatten defaults are exercised. The bronze frames are the expected result.
+# ---------------------------------------------------------------------------
+def _iso(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
+def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+
+
+def _tx_parts() -> dict[str, Column]:
+    eid, uid, v = F.col("event_id"), F.col("user_id"), F.col("value")
+    sub = eid % 10
+    subtype = (F.when(sub == 0, F.lit(SALE_SUBTYPES[0])).when(sub == 1, F.lit(SALE_SUBTYPES[1]))
+               .when(sub == 2, F.lit(SALE_SUBTYPES[2])).otherwise(F.lit(DEFAULT_SALE_SUBTYPE)))
+    return {
+        "createdAt": _shifted_ts("ts"),
+        "id": F.concat(F.lit("gid://partners/"), subtype, F.lit("/"), eid.cast("string")),
+        "chargeId": F.when(eid % 11 != 0, (uid * 100 + _k() % 50).cast("string")),
+        "gross": v,
+        "net": F.floor(v / 10) * 10,
+        "shopID": F.when(eid % 7 != 0, F.concat(F.lit("gid://partners/Shop/"), uid.cast("string"))),
+        "shopDomain": F.when(eid % 7 != 0, F.concat(F.lit("shop-"), uid.cast("string"), F.lit(".example"))),
+        "fee": F.when(eid % 7 != 0, F.floor(v) / 100),
+        "cursor": _cursor("event_id"),
+    }
+
+
+def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _tx_parts()
+    return _purchases(spark, sf_dir).select(
+        p["createdAt"].alias("createdAt"), p["id"].alias("id"),
+        F.coalesce(p["chargeId"], F.lit("null")).alias("chargeId"),
+        p["gross"].cast("double").alias("grossAmount"), F.lit("USD").alias("currencyCode"),
+        p["net"].cast("double").alias("netAmount"),
+        F.coalesce(p["shopID"], F.lit("")).alias("shopID"),
+        F.coalesce(p["shopDomain"], F.lit("")).alias("shopDomain"),
+        F.coalesce(p["fee"], F.lit(0.0)).cast("double").alias("shopifyFee"),
+        p["cursor"].alias("cursor"),
+    )
+
+
+def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    """API pages (JSON text) of the purchases, ``page_size`` consecutive ids per page."""
+    p = _tx_parts()
+    node = F.struct(
+        _iso(p["createdAt"]).alias("createdAt"), p["id"].alias("id"), p["chargeId"].alias("chargeId"),
+        F.struct(p["gross"].cast("string").alias("amount"), F.lit("USD").alias("currencyCode")).alias("grossAmount"),
+        F.struct(p["net"].cast("double").cast("string").alias("amount")).alias("netAmount"),
+        F.when(p["shopID"].isNotNull(), F.struct(p["shopID"].alias("id"),
+                                                  p["shopDomain"].alias("myshopifyDomain"))).alias("shop"),
+        F.when(p["fee"].isNotNull(), F.struct(p["fee"].cast("string").alias("amount"))).alias("shopifyFee"),
+    )
+    edges = _purchases(spark, sf_dir).select(
+        F.floor(F.col("event_id") / page_size).alias("page_id"),
+        F.struct(p["cursor"].alias("cursor"), node.alias("node")).alias("edge"))
+    pages = edges.groupBy("page_id").agg(F.collect_list("edge").alias("edges"))
+    doc = F.struct(F.struct(F.struct(
+        F.col("edges"), F.struct(F.lit(True).alias("hasNextPage")).alias("pageInfo")
+    ).alias("transactions")).alias("data"))
+    return pages.select("page_id", F.to_json(doc).alias("json"))
+
+
+def _ev_parts() -> dict[str, Column]:
+    eid, uid = F.col("event_id"), F.col("user_id")
+    k = _k()
+    plan = (F.when(k % 3 == 0, F.lit(PLAN_NAMES[0])).when(k % 3 == 1, F.lit(PLAN_NAMES[1]))
+            .otherwise(F.lit(PLAN_NAMES[2])))
+    has_charge, has_shop = eid % 7 != 0, eid % 11 != 0
+    return {
+        "type": _map(F.col("event_type"), SUBSCRIPTION_TYPE_MAP),
+        "occurredAt": _shifted_ts("ts"),
+        "reason": F.when(has_charge, F.concat(F.lit("changed\r\nby "), F.col("event_type"))),
+        "shop_id": F.when(has_shop, F.concat(F.lit("gid://partners/Shop/"), uid.cast("string"))),
+        "shop_name": F.when(has_shop, F.concat(F.lit("Shop\n"), uid.cast("string"))),
+        "shop_domain": F.when(has_shop, F.concat(F.lit("shop-"), uid.cast("string"), F.lit(".example"))),
+        "app": F.lit("billing app"),
+        "charge_id": F.when(has_charge, (uid * 100 + k % 50).cast("string")),
+        "charge_name": F.when(has_charge, plan),
+        "billing_on": F.when(has_charge, F.date_format(_shifted_ts("ts"), "yyyy-MM-dd")),
+        "amount": F.when(has_charge, F.col("value")),
+        "currency": F.when(has_charge, F.lit("USD")),
+        "cursor": _cursor("event_id"),
+    }
+
+
+def bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _ev_parts()
+    blank = F.lit("")
+
+    def clean(c):
+        return F.translate(F.coalesce(c, blank), "\n\r", "  ")
+    return table(spark, sf_dir, "events").select(
+        p["type"].alias("eventType"), p["occurredAt"].alias("occurredAt"),
+        clean(p["shop_domain"]).alias("shopDomain"), clean(p["shop_name"]).alias("shopName"),
+        F.coalesce(p["shop_id"], blank).alias("shopId"), clean(p["app"]).alias("appName"),
+        clean(p["reason"]).alias("reason"),
+        F.coalesce(p["amount"], F.lit(0.0)).cast("double").alias("chargeAmount"),
+        F.coalesce(p["currency"], blank).alias("currencyCode"),
+        F.coalesce(p["billing_on"], blank).alias("billingOn"),
+        F.coalesce(p["charge_id"], blank).alias("chargeId"),
+        clean(p["charge_name"]).alias("chargeName"),
+        p["cursor"].alias("cursor"),
+    )
+
+
+def event_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    p = _ev_parts()
+    node = F.struct(
+        _iso(p["occurredAt"]).alias("occurredAt"), p["type"].alias("type"), p["reason"].alias("reason"),
+        F.when(p["shop_id"].isNotNull(), F.struct(p["shop_id"].alias("id"), p["shop_name"].alias("name"),
+                                                   p["shop_domain"].alias("myshopifyDomain"))).alias("shop"),
+        F.struct(p["app"].alias("name")).alias("app"),
+        F.when(p["charge_id"].isNotNull(), F.struct(
+            p["charge_id"].alias("id"), p["charge_name"].alias("name"), p["billing_on"].alias("billingOn"),
+            F.struct(p["amount"].cast("string").alias("amount"), p["currency"].alias("currencyCode")).alias("amount"),
+        )).alias("charge"),
+    )
+    edges = table(spark, sf_dir, "events").select(
+        F.floor(F.col("event_id") / page_size).alias("page_id"),
+        F.struct(p["cursor"].alias("cursor"), node.alias("node")).alias("edge"))
+    pages = edges.groupBy("page_id").agg(F.collect_list("edge").alias("edges"))
+    doc = F.struct(F.struct(F.struct(F.struct(
+        F.col("edges"), F.struct(F.lit(True).alias("hasNextPage")).alias("pageInfo")
+    ).alias("events")).alias("app")).alias("data"))
+    return pages.select("page_id", F.to_json(doc).alias("json"))
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze events as a raw source lands them: event time as ISO text."""
+    return bronze_events(spark, sf_dir).withColumn("occurredAt", _iso(F.col("occurredAt")))
+
+
+def notifications(spark: SparkSession, sf_dir: str, per_doc: int = 4) -> DataFrame:
+    """Object-arrival notification documents, one object per event, ``per_doc`` records each.
+
+    Keys vary on purpose: ``%3D`` for ``=`` (every 3rd), ``+`` in the file name
+    (every 5th), no day folder (every 11th), another source (every 13th), and a
+    folder without ``database-collection`` (every 17th).
+    """
+    ev = table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    day = F.date_format(_shifted_ts("ts"), "yyyy-MM-dd")
+    src = F.when(eid % 13 == 0, F.lit("postgres")).otherwise(F.lit("mongodb"))
+    folder = F.when(eid % 17 == 0, F.lit("billing")).otherwise(F.concat(F.lit("billing-"), F.col("event_type")))
+    eq = F.when(eid % 3 == 0, F.lit("%3D")).otherwise(F.lit("="))
+    fname = F.concat(F.lit("part"), F.when(eid % 5 == 0, F.lit("+")).otherwise(F.lit("-")),
+                     eid.cast("string"), F.lit(".json"))
+    key = F.when(eid % 11 == 0, F.concat_ws("/", src, folder, fname)) \
+           .otherwise(F.concat_ws("/", src, folder, F.concat(F.lit("dt"), eq, day), fname))
+    rec = F.struct(
+        F.lit("aws:s3").alias("eventSource"), F.lit("region-1").alias("awsRegion"),
+        F.lit("ObjectCreated:Put").alias("eventName"),
+        F.struct(F.struct(F.lit("landing").alias("name")).alias("bucket"),
+                 F.struct(key.alias("key"), (F.col("user_id") * 1000 + eid % 1000).alias("size")).alias("object"),
+                 ).alias("s3"))
+    docs = (ev.select(F.floor(eid / per_doc).alias("doc_id"), rec.alias("r"))
+            .groupBy("doc_id").agg(F.collect_list("r").alias("Records")))
+    return docs.select("doc_id", F.to_json(F.struct("Records")).alias("json"))

@@ -149,6 +149,11 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def all_queries() -> dict[str, Query]:
+    from . import ingest
+    return {**QUERIES, **ingest.QUERIES}
+
+
 def registered() -> dict[str, Query]:
     return {name: (lambda fn: (lambda spark, sf_dir: plain_times(fn(spark, sf_dir))))(fn)
-            for name, fn in QUERIES.items()}
+            for name, fn in all_queries().items()}
