@@ -24,12 +24,14 @@ over the union of payments and subscription breakpoints per shop:
   wins exactly on ``[max(start_j, max E of earlier ones), E_j)``, so these
   disjoint segments come from one running max, and a payment takes the last
   segment starting at or before it.
-* distance d >= 1 - ended on an earlier day: latest ``E <= t`` wins, ties by
-  key; a grouped min per ``(shop, E)`` plus a backward fill.
-* 999999 - not started: earliest start after ``t``; a grouped min per
-  ``(shop, start)`` plus a forward fill. Intervals without an end stay in this
-  tier for good and are handled by one grouped min per shop.
-
+* distance d >= 1 - ended on an earlier day: the latest ``E <= t`` wins,
+  ties by key: a backward fill over end marks.
+* 999999 - not started: the earliest start after ``t``: a forward fill over
+  start marks. Intervals without an end stay in this tier for good: a
+  backward ``first`` over their marks.
+
+All tiers come out of one window over payments + marks per shop (see
+``nearest_interval``); no payment is ever paired with a subscription.
 Each column keeps its own candidates (rows where it is non-NULL), so the
 result equals the ordered-list form exactly, ties broken by ``tiebreak``.
 Subscriptions whose end precedes their start (only possible when ``as_of``
@@ -96,76 +98,75 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     ``points`` needs ``shopid`` and ``at``; ``subs`` needs ``shopid``,
     ``activated_date``, ``actual_end_date``, ``tiebreak`` and ``cols``.
     Returns ``points`` plus one column per entry of ``cols``.
+
+    Plan: one window over the intervals (running max of E in key order), one
+    generator turning each interval into its marks, and one window over
+    points + marks per shop. Marks sort by (time, kind, key) so that every
+    tier is a plain first/last-non-NULL fill:
+
+    * kind 0 end marks at E, key descending: ``last`` = latest E <= t, lowest key;
+    * kind 1 start marks at start, key ascending: ``first`` after t = next start;
+    * kind 2 segment marks: ``last`` = the distance-0 segment holding t, if it
+      has not ended;
+    * kind 3 open-interval marks, key ascending: ``first`` up to t = lowest key.
     """
     a, e, tb = F.col("activated_date"), F.col("actual_end_date"), F.col(tiebreak)
     closed = a.isNotNull() & e.isNotNull() & (a <= e)
     open_ = a.isNotNull() & e.isNull()
-    s = subs.where(closed | open_).withColumn(
-        "_E", F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp")))
-    key = F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb"))
-    s = s.withColumn("_key", key)
+    n = len(cols)
+    s = (subs.where(closed | open_)
+         .withColumn("_E", F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp")))
+         .withColumn("_key", F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb"))))
 
-    # Running max of E over earlier intervals (in key order) that have the column.
+    # Running max of E over earlier intervals (key order) that have the column.
     before = (Window.partitionBy("shopid").orderBy(a, e.asc_nulls_last(), tb)
               .rowsBetween(Window.unboundedPreceding, -1))
-    for i, c in enumerate(cols):
-        s = s.withColumn(f"_m{i}", F.max(F.when(F.col(c).isNotNull(), F.col("_E"))).over(before))
-
-    n = len(cols)
-    payload = [f"_seg{i}" for i in range(n)] + [f"_end{i}" for i in range(n)] + \
-              [f"_beg{i}" for i in range(n)] + [f"_opn{i}" for i in range(n)]
-
-    # distance-0 segments: one row per (interval, column) whose segment is non-empty
-    seg_spec = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.greatest(a, F.col(f"_m{i}")).alias("t"),
-                 (F.col(c).isNotNull() & closed & (F.greatest(a, F.col(f"_m{i}")) < F.col("_E"))).alias("ok"))
-        for i, c in enumerate(cols)]))
-    segs = (s.select("shopid", "_E", *cols, seg_spec.alias("g")).where("g.ok")
-            .select("shopid", F.col("g.t").alias("_t"),
-                    *[F.when(F.col("g.i") == i, F.struct(F.col(c).alias("v"), F.col("_E").alias("end")))
-                      .alias(f"_seg{i}") for i, c in enumerate(cols)]))
-
-    def first_by_key(c: str, cond: Column | None = None) -> Column:
-        ok = F.col(c).isNotNull() if cond is None else (F.col(c).isNotNull() & cond)
-        return F.min_by(F.col(c), F.when(ok, F.col("_key")))
-
-    # ended on an earlier day: best interval per (shop, end day)
-    ends = (s.where(closed).groupBy("shopid", F.col("_E").alias("_t"))
-            .agg(*[first_by_key(c).alias(f"_end{i}") for i, c in enumerate(cols)]))
-    # not started yet: best interval per (shop, start)
-    begins = (s.groupBy("shopid", F.col("activated_date").alias("_t"))
-              .agg(*[first_by_key(c).alias(f"_beg{i}") for i, c in enumerate(cols)]))
-    # open-ended intervals never leave the not-started tier: best one per shop
-    opens = (s.where(open_).groupBy("shopid")
-             .agg(*[F.min_by(F.struct(a.alias("t"), F.col(c).alias("v")),
-                             F.when(F.col(c).isNotNull(), F.col("_key"))).alias(f"_o{i}")
-                    for i, c in enumerate(cols)]))
-    opens = (opens.select("shopid", *[f"_o{i}" for i in range(n)], F.explode(F.array(*[
-                F.struct(F.lit(i).alias("i"), F.col(f"_o{i}.t").alias("t")) for i in range(n)])).alias("g"))
-             .where(F.col("g.t").isNotNull())
-             .select("shopid", F.col("g.t").alias("_t"),
-                     *[F.when(F.col("g.i") == i, F.col(f"_o{i}.v")).alias(f"_opn{i}") for i in range(n)]))
-
-    pts = points.withColumn("_t", F.col(at)).withColumn("_k", F.lit(1))
-    marks = (segs.unionByName(ends, allowMissingColumns=True)
-             .unionByName(begins, allowMissingColumns=True)
-             .unionByName(opens, allowMissingColumns=True)
-             .withColumn("_k", F.lit(0)))
+    starts = [F.greatest(a, F.max(F.when(F.col(c).isNotNull(), F.col("_E"))).over(before)) for c in cols]
+    s = s.select("shopid", "_E", "_key", *cols, "activated_date", F.array(*starts).alias("_starts"))
+
+    def seg_ok(i: int, c: str, t) -> Column:
+        return F.col(c).isNotNull() & F.col("_E").isNotNull() & (F.col("_starts")[i] == t) & (t < F.col("_E"))
+
+    # kind, time, payload builders per kind
+    mark = F.explode(F.array_union(
+        F.array(F.struct(F.lit(0).alias("k"), F.col("_E").alias("t")),
+                F.struct(F.lit(1).alias("k"), F.col("activated_date").alias("t")),
+                F.struct(F.lit(3).alias("k"), F.when(F.col("_E").isNull(), F.col("activated_date")).alias("t"))),
+        F.transform(F.array_distinct("_starts"), lambda x: F.struct(F.lit(2).alias("k"), x.alias("t"))),
+    )).alias("m")
+    m = s.select("shopid", "_E", "_key", "_starts", *cols, mark).where(F.col("m.t").isNotNull())
+    kind, t = F.col("m.k"), F.col("m.t")
+    marks = m.select(
+        "shopid", t.alias("_t"), kind.alias("_kind"),
+        F.when(kind == 0, F.col("_key")).alias("_dk"),
+        F.when(kind != 0, F.col("_key")).alias("_ak"),
+        *[F.when(kind == 0, F.col(c)).alias(f"_end{i}") for i, c in enumerate(cols)],
+        *[F.when(kind == 1, F.col(c)).alias(f"_beg{i}") for i, c in enumerate(cols)],
+        *[F.when((kind == 2) & seg_ok(i, c, t), F.struct(F.col(c).alias("v"), F.col("_E").alias("end")))
+          .alias(f"_seg{i}") for i, c in enumerate(cols)],
+        *[F.when(kind == 3, F.col(c)).alias(f"_opn{i}") for i, c in enumerate(cols)],
+    )
+    pts = points.withColumn("_t", F.col(at)).withColumn("_kind", F.lit(4))
     u = pts.unionByName(marks, allowMissingColumns=True)
 
-    w = Window.partitionBy("shopid").orderBy("_t", "_k")
+    w = Window.partitionBy("shopid").orderBy(
+        F.col("_t").asc_nulls_last(), "_kind", F.col("_dk").desc_nulls_last(), F.col("_ak").asc_nulls_last())
     back = w.rowsBetween(Window.unboundedPreceding, 0)
-    fwd = w.rowsBetween(0, Window.unboundedFollowing)
+    # A fill towards later rows is a backward fill over the reversed order:
+    # growing frames are evaluated incrementally, while a frame that ends at
+    # UNBOUNDED FOLLOWING is re-aggregated for every row (quadratic per shop).
+    fwd = (Window.partitionBy("shopid").orderBy(
+        F.col("_t").desc_nulls_first(), F.col("_kind").desc(), F.col("_dk").asc_nulls_first(),
+        F.col("_ak").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
     out = []
     for i, c in enumerate(cols):
         seg = F.last(f"_seg{i}", ignorenulls=True).over(back)
         inside = F.when(F.col("_t") < seg["end"], seg["v"])
         ended = F.last(f"_end{i}", ignorenulls=True).over(back)
-        opened = F.last(f"_opn{i}", ignorenulls=True).over(back)
-        upcoming = F.first(f"_beg{i}", ignorenulls=True).over(fwd)
+        opened = F.first(f"_opn{i}", ignorenulls=True).over(back)
+        upcoming = F.last(f"_beg{i}", ignorenulls=True).over(fwd)
         out.append(F.coalesce(inside, ended, opened, upcoming).alias(c))
-    res = u.select(*points.columns, "_k", *out).where(F.col("_k") == 1).drop("_k")
-    return res.drop(*[p for p in payload if p in res.columns])
+    return u.select(*points.columns, "_kind", *out).where(F.col("_kind") == 4).drop("_kind")
 
 
 def end_month_flags(subs_prev: DataFrame) -> DataFrame:
