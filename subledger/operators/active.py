@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.scalar import as_of_date, relationship_status
+from ..functions.scan import asc, day_bucket, ordered_scan, resolve_bucketing
 
 
 def day_ranges(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS) -> DataFrame:
@@ -61,10 +62,12 @@ def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INT
 
 def _merchants_sweep(intervals: DataFrame, as_of, max_days: int) -> DataFrame:
     r = day_ranges(intervals, as_of, max_days).select("shopid", "first_day", "last_day")
-    w = Window.partitionBy("shopid").orderBy("first_day", "last_day")
-    reach = F.max("last_day").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    r = r.withColumn("starts_island", F.when(reach.isNull() | (F.col("first_day") > reach), 1).otherwise(0))
-    r = r.withColumn("island", F.sum("starts_island").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    order = [asc("first_day"), asc("last_day")]
+    month = F.trunc("first_day", "month") if resolve_bucketing(None, (r, ["shopid"])) else None
+    r = ordered_scan(r, ["shopid"], order, month, reach=("cummax_before", "last_day"))
+    r = r.withColumn("starts_island",
+                     F.when(F.col("reach").isNull() | (F.col("first_day") > F.col("reach")), 1).otherwise(0))
+    r = ordered_scan(r, ["shopid"], order, month, island=("cumsum", "starts_island"))
     islands = r.groupBy("shopid", "island").agg(F.min("first_day").alias("s"), F.max("last_day").alias("e"))
     deltas = (islands
               .select(F.explode(F.array(
@@ -114,11 +117,13 @@ def store_intervals(events: DataFrame, as_of=None, tiebreak: str = "cursor") ->
     """
     ev = events.where(F.col("shopid").isNotNull())
     first = ev.groupBy("shopid").agg(F.min("occurredat").alias("first_install"))
-    st = ev.withColumn("status", relationship_status("eventtype")).where(F.col("status").isNotNull())
-    w = Window.partitionBy("shopid").orderBy(F.col("occurredat").asc_nulls_last(), F.col(tiebreak))
+    st = (ev.withColumn("status", relationship_status("eventtype")).where(F.col("status").isNotNull())
+          .select("shopid", "shopdomain", "occurredat", "status", tiebreak))
+    day = day_bucket("occurredat") if resolve_bucketing(None, (st, ["shopid"])) else None
+    st = ordered_scan(st, ["shopid"], [asc("occurredat"), asc(tiebreak)], day,
+                      next_status_at=("lead", "occurredat"))
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")
-    spans = (st.withColumn("next_status_at", F.lead("occurredat").over(w))
-             .where(F.col("status") == S.STATUS_ACTIVE)
+    spans = (st.where(F.col("status") == S.STATUS_ACTIVE)
              .select("shopid", "shopdomain", F.col("occurredat").alias("activated_date"),
                      F.coalesce("next_status_at", open_end).alias("actual_end_date"), tiebreak))
     return spans.join(first, "shopid", "left")

@@ -47,7 +47,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.lineage import cut
 from ..functions.scalar import month_start, numeric_id, sale_label
+from ..functions.scan import Ord, asc, day_bucket, desc, ordered_scan, range_bucket, resolve_bucketing
 
 ATTR_COLS = (
     "pricing_plan", "prev_pricing_plan", "chargeamount", "prev_chargeamount",
@@ -56,43 +58,46 @@ ATTR_COLS = (
 PAYMENT_KEYS = ("createdat", "id", "_id", "netamount", "prev_netamount", "shopid")
 CHOSEN = (("pricing_plan", "prev_pricing_plan"), ("chargeamount", "prev_chargeamount"),
           ("activated_date", "prev_activated_date"), ("actual_end_date", "prev_actual_end_date"))
+# Width of the id ranges that bucket scans in id order (at most this many ids per bucket).
+ID_BUCKET_WIDTH = 1 << 20
 
 
-def _id_order() -> list[Column]:
+def _id_order() -> list[Ord]:
     """Total payment order by numeric id (NULL ids last), then time, id, amounts."""
-    return [F.col("_id").asc_nulls_last(), F.col("createdat").asc_nulls_last(), F.col("id"),
-            F.col("netamount").asc_nulls_last(), F.col("prev_netamount").asc_nulls_last()]
+    return [asc("_id"), asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")]
 
 
-def numbered_transactions(tx: DataFrame, shop=None) -> DataFrame:
+def _id_bucket(bucketed: bool):
+    return range_bucket("_id", ID_BUCKET_WIDTH) if bucketed else None
+
+
+def numbered_transactions(tx: DataFrame, shop=None, bucketed: bool | None = None) -> DataFrame:
     """Payments with ``_id`` (trailing digits) and the previous payment's net amount."""
     t = tx.select("createdat", "id", numeric_id("id").alias("_id"), "chargeid", "netamount", "shopid")
     if shop is not None:
         t = t.where(F.col("shopid") == F.lit(shop))
-    w = Window.partitionBy("shopid").orderBy(
-        F.col("_id").asc_nulls_last(), F.col("id"), F.col("createdat").asc_nulls_last(),
-        F.col("netamount").asc_nulls_last())
-    return t.withColumn("prev_netamount", F.lag("netamount").over(w))
+    bucketed = resolve_bucketing(bucketed, (t, ["shopid"]))
+    return ordered_scan(t, ["shopid"], [asc("_id"), asc("id"), asc("createdat"), asc("netamount")],
+                        _id_bucket(bucketed), prev_netamount=("lag", "netamount"))
 
 
-def with_previous(subs: DataFrame, tiebreak: str = "cursor") -> DataFrame:
+def with_previous(subs: DataFrame, tiebreak: str = "cursor", bucketed: bool | None = None) -> DataFrame:
     """Each interval with the previous interval (by start) of its shop.
 
     The source applies DISTINCT here; identical rows cannot change a first
     value or an EXISTS test downstream, so no dedup step is needed.
     """
-    w = Window.partitionBy("shopid").orderBy(F.col("activated_date").asc_nulls_last(), F.col(tiebreak))
-    return subs.select(
-        "shopid", "activated_date", "actual_end_date", "pricing_plan", "chargeamount", tiebreak,
-        F.lag("pricing_plan").over(w).alias("prev_pricing_plan"),
-        F.lag("chargeamount").over(w).alias("prev_chargeamount"),
-        F.lag("activated_date").over(w).alias("prev_activated_date"),
-        F.lag("actual_end_date").over(w).alias("prev_actual_end_date"),
-    )
+    base = subs.select("shopid", "activated_date", "actual_end_date", "pricing_plan", "chargeamount", tiebreak)
+    bucketed = resolve_bucketing(bucketed, (base, ["shopid"]))
+    return ordered_scan(
+        base, ["shopid"], [asc("activated_date"), asc(tiebreak)],
+        day_bucket("activated_date") if bucketed else None,
+        prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"),
+        prev_activated_date=("lag", "activated_date"), prev_actual_end_date=("lag", "actual_end_date"))
 
 
 def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str = "createdat",
-                     tiebreak: str = "cursor") -> DataFrame:
+                     tiebreak: str = "cursor", bucketed: bool | None = None) -> DataFrame:
     """For each point row, per column, the first non-NULL value in rank order (see module doc).
 
     ``points`` needs ``shopid`` and ``at``; ``subs`` needs ``shopid``,
@@ -110,6 +115,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
       has not ended;
     * kind 3 open-interval marks, key ascending: ``first`` up to t = lowest key.
     """
+    bucketed = resolve_bucketing(bucketed, (points, ["shopid"]), (subs, ["shopid"]))
     a, e, tb = F.col("activated_date"), F.col("actual_end_date"), F.col(tiebreak)
     closed = a.isNotNull() & e.isNotNull() & (a <= e)
     open_ = a.isNotNull() & e.isNull()
@@ -119,9 +125,11 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
          .withColumn("_key", F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb"))))
 
     # Running max of E over earlier intervals (key order) that have the column.
-    before = (Window.partitionBy("shopid").orderBy(a, e.asc_nulls_last(), tb)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    starts = [F.greatest(a, F.max(F.when(F.col(c).isNotNull(), F.col("_E"))).over(before)) for c in cols]
+    s = s.select("*", *[F.when(F.col(c).isNotNull(), F.col("_E")).alias(f"_ce{i}") for i, c in enumerate(cols)])
+    s = ordered_scan(s, ["shopid"], [asc("activated_date"), asc("actual_end_date"), asc(tiebreak)],
+                     day_bucket("activated_date") if bucketed else None,
+                     **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)})
+    starts = [F.greatest(a, F.col(f"_mx{i}")) for i in range(n)]
     s = s.select("shopid", "_E", "_key", *cols, "activated_date", F.array(*starts).alias("_starts"))
 
     def seg_ok(i: int, c: str, t) -> Column:
@@ -149,24 +157,20 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     pts = points.withColumn("_t", F.col(at)).withColumn("_kind", F.lit(4))
     u = pts.unionByName(marks, allowMissingColumns=True)
 
-    w = Window.partitionBy("shopid").orderBy(
-        F.col("_t").asc_nulls_last(), "_kind", F.col("_dk").desc_nulls_last(), F.col("_ak").asc_nulls_last())
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    # A fill towards later rows is a backward fill over the reversed order:
-    # growing frames are evaluated incrementally, while a frame that ends at
-    # UNBOUNDED FOLLOWING is re-aggregated for every row (quadratic per shop).
-    fwd = (Window.partitionBy("shopid").orderBy(
-        F.col("_t").desc_nulls_first(), F.col("_kind").desc(), F.col("_dk").asc_nulls_first(),
-        F.col("_ak").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    fills = {}
+    for i in range(n):
+        fills[f"_fs{i}"] = ("ffill", f"_seg{i}")
+        fills[f"_fe{i}"] = ("ffill", f"_end{i}")
+        fills[f"_fo{i}"] = ("first_nonnull", f"_opn{i}")
+        fills[f"_fb{i}"] = ("bfill", f"_beg{i}")
+    order = [asc("_t"), asc("_kind"), desc("_dk"), asc("_ak")]
+    f = ordered_scan(u, ["shopid"], order, day_bucket("_t") if bucketed else None, **fills)
     out = []
     for i, c in enumerate(cols):
-        seg = F.last(f"_seg{i}", ignorenulls=True).over(back)
+        seg = F.col(f"_fs{i}")
         inside = F.when(F.col("_t") < seg["end"], seg["v"])
-        ended = F.last(f"_end{i}", ignorenulls=True).over(back)
-        opened = F.first(f"_opn{i}", ignorenulls=True).over(back)
-        upcoming = F.last(f"_beg{i}", ignorenulls=True).over(fwd)
-        out.append(F.coalesce(inside, ended, opened, upcoming).alias(c))
-    return u.select(*points.columns, "_kind", *out).where(F.col("_kind") == 4).drop("_kind")
+        out.append(F.coalesce(inside, F.col(f"_fe{i}"), F.col(f"_fo{i}"), F.col(f"_fb{i}")).alias(c))
+    return f.where(F.col("_kind") == 4).select(*points.columns, *out)
 
 
 def end_month_flags(subs_prev: DataFrame) -> DataFrame:
@@ -181,23 +185,28 @@ def end_month_flags(subs_prev: DataFrame) -> DataFrame:
             .agg(F.max("x.same").alias("ended_same_month"), F.max("x.next").alias("ended_month_before")))
 
 
-def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str = "cursor") -> DataFrame:
+def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str = "cursor",
+                     bucketed: bool | None = None) -> DataFrame:
     """One row per distinct payment with its ranked subscription values and neighbours."""
     pays = tx_numbered.select(*PAYMENT_KEYS).distinct()
-    near = nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak)
-    by_time = Window.partitionBy("shopid").orderBy(
-        F.col("createdat").asc_nulls_last(), "id", F.col("netamount").asc_nulls_last(),
-        F.col("prev_netamount").asc_nulls_last())
-    by_second = Window.partitionBy("shopid").orderBy(
-        F.unix_timestamp("createdat").asc_nulls_last(), "id", F.col("netamount").asc_nulls_last(),
-        F.col("prev_netamount").asc_nulls_last())
-    per_day = Window.partitionBy("shopid", F.to_date("createdat"))
-    return near.select(
-        *near.columns,
-        F.lag("netamount").over(by_time).alias("prev_day_amount"),
-        F.lead("netamount").over(by_second).alias("next_day_amount"),
-        F.count("id").over(per_day).alias("transactions_per_day"),
-    )
+    bucketed = resolve_bucketing(bucketed, (tx_numbered, ["shopid"]), (subs_prev, ["shopid"]))
+    near = cut(nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed), bucketed)
+    day = day_bucket("createdat") if bucketed else None
+    near = ordered_scan(near, ["shopid"], [asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")],
+                        day, prev_day_amount=("lag", "netamount"))
+    near = ordered_scan(near.withColumn("_sec", F.unix_timestamp("createdat")), ["shopid"],
+                        [asc("_sec"), asc("id"), asc("netamount"), asc("prev_netamount")],
+                        day, next_day_amount=("lead", "netamount")).drop("_sec")
+    if not bucketed:
+        # rows are already clustered by shop, so a (shop, day) window adds no shuffle
+        per_day = Window.partitionBy("shopid", F.to_date("createdat"))
+        return near.withColumn("transactions_per_day", F.count("id").over(per_day))
+    # hot shop: a grouped count per shop-day joined back (partial counts, no per-key task)
+    near = near.withColumn("_day", F.to_date("createdat"))
+    counts = (near.groupBy(F.col("shopid").alias("_s"), F.col("_day").alias("_d"))
+              .agg(F.count("id").alias("transactions_per_day")))
+    j = near.join(counts, near["shopid"].eqNullSafe(counts["_s"]) & near["_day"].eqNullSafe(counts["_d"]))
+    return j.drop("_s", "_d", "_day")
 
 
 def choose_attribution(matched: DataFrame, subs_prev: DataFrame) -> DataFrame:
@@ -226,22 +235,32 @@ def label_sales(chosen: DataFrame) -> DataFrame:
     )
 
 
-def carry_forward(labelled: DataFrame) -> DataFrame:
+def carry_forward(labelled: DataFrame, bucketed: bool | None = None) -> DataFrame:
     """Same net amount as the previous payment -> previous row's plan, amount and dates (one step)."""
-    w = Window.partitionBy("shopid").orderBy(*_id_order())
+    bucketed = resolve_bucketing(bucketed, (labelled, ["shopid"]))
+    keep = ("pricing_plan", "chargeamount", "activated_date", "actual_end_date")
+    lagged = ordered_scan(labelled, ["shopid"], _id_order(), _id_bucket(bucketed),
+                          **{f"_p_{c}": ("lag", c) for c in keep})
     same = F.col("netamount") == F.col("prev_netamount")
-    cf = labelled.select(
+    cf = lagged.select(
         "createdat", "month", "id", "_id", "netamount", "prev_netamount", "next_day_amount", "shopid",
         "transactions_per_day",
-        *[F.when(same, F.lag(c).over(w)).otherwise(F.col(c)).alias(c)
-          for c in ("pricing_plan", "chargeamount", "activated_date", "actual_end_date")])
-    return cf.select("*",
-                     F.lag("pricing_plan").over(w).alias("prev_pricing_plan"),
-                     F.lag("chargeamount").over(w).alias("prev_chargeamount"))
-
-
-def attribute_transactions(tx: DataFrame, subs: DataFrame, shop=None, tiebreak: str = "cursor") -> DataFrame:
-    """Full job: every payment with its plan, amount, interval and previous plan/amount."""
-    t = numbered_transactions(tx, shop)
-    s = with_previous(subs if shop is None else subs.where(F.col("shopid") == F.lit(shop)), tiebreak)
-    return carry_forward(label_sales(choose_attribution(matched_payments(t, s, tiebreak), s)))
+        *[F.when(same, F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c) for c in keep])
+    return ordered_scan(cf, ["shopid"], _id_order(), _id_bucket(bucketed),
+                        prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"))
+
+
+def attribute_transactions(tx: DataFrame, subs: DataFrame, shop=None, tiebreak: str = "cursor",
+                           bucketed: bool | None = None) -> DataFrame:
+    """Full job: every payment with its plan, amount, interval and previous plan/amount.
+
+    ``bucketed=None`` decides once from the inputs: when a shop holds more than
+    the hot-key threshold of payments or intervals, every scan is split into
+    buckets and the stages are checkpointed; otherwise plain windows run.
+    """
+    bucketed = resolve_bucketing(bucketed, (tx, ["shopid"]), (subs, ["shopid"]))
+    t = cut(numbered_transactions(tx, shop, bucketed), bucketed)
+    s = with_previous(subs if shop is None else subs.where(F.col("shopid") == F.lit(shop)), tiebreak, bucketed)
+    s = cut(s, bucketed)
+    matched = cut(matched_payments(t, s, tiebreak, bucketed), bucketed)
+    return carry_forward(label_sales(choose_attribution(matched, s)), bucketed)

@@ -11,40 +11,47 @@ event), so tied timestamps give the same result on every run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.scalar import as_of_date, interval_end, pricing_plan, subscription_event
+from ..functions.scan import asc, day_bucket, ordered_scan, resolve_bucketing
 
 
-def _order(*cols: str):
-    return [F.col(c).asc_nulls_last() for c in cols]
+def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
+                    bucketed: bool | None = None) -> DataFrame:
+    """Subscription-charge events with the charge's first time and the next event's time.
 
-
-def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor") -> DataFrame:
-    """Subscription-charge events with the charge's first time and the next event's time."""
+    Both come from one ordered scan per (shop, charge) in event-time order. With
+    a hot shop (``bucketed=None`` checks) the scan is split into day buckets so
+    that no shop or charge is ever scanned by a single task.
+    """
     ev = events.where(subscription_event("eventtype"))
     if shop is not None:
         ev = ev.where(F.col("shopid") == F.lit(shop))
-    ev = ev.where(F.col("shopid").isNotNull())
-    w = Window.partitionBy("shopid", "chargeid").orderBy(*_order("occurredat", tiebreak))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return ev.select(
-        "eventtype", "occurredat", "shopid", "shopdomain", "chargename", "chargeid", "chargeamount", tiebreak,
-        F.min("occurredat").over(whole).alias("activated_date"),
-        F.lead("occurredat").over(w).alias("deactivated_date"),
-    )
-
-
-def timeline_intervals(events: DataFrame, as_of=None, shop=None,
-                       free_label: str = S.FREE_PLAN_LABEL, tiebreak: str = "cursor") -> DataFrame:
+    ev = ev.where(F.col("shopid").isNotNull()).select(
+        "eventtype", "occurredat", "shopid", "shopdomain", "chargename", "chargeid", "chargeamount", tiebreak)
+    bucketed = resolve_bucketing(bucketed, (ev, ["shopid"]))
+    return ordered_scan(
+        ev, ["shopid", "chargeid"], [asc("occurredat"), asc(tiebreak)],
+        day_bucket("occurredat") if bucketed else None,
+        activated_date=("first_nonnull", "occurredat"),
+        deactivated_date=("lead", "occurredat"))
+
+
+def timeline_intervals(events: DataFrame, as_of=None, shop=None, free_label: str = S.FREE_PLAN_LABEL,
+                       tiebreak: str = "cursor", bucketed: bool | None = None) -> DataFrame:
     """One interval per ACTIVATED / UNFROZEN event: [activated_date, actual_end_date]."""
-    ranked = timeline_events(events, shop, tiebreak)
+    if bucketed is None:
+        bucketed = resolve_bucketing(None, (events.where(subscription_event("eventtype")), ["shopid"]))
+    ranked = timeline_events(events, shop, tiebreak, bucketed)
     starts = ranked.where(F.col("eventtype").isin(*S.INTERVAL_START_EVENTS))
-    w = Window.partitionBy("shopid").orderBy(*_order("activated_date", "occurredat", tiebreak))
+    nxt = ordered_scan(
+        starts, ["shopid"], [asc("activated_date"), asc("occurredat"), asc(tiebreak)],
+        day_bucket("activated_date") if bucketed else None,
+        next_activation=("lead", "activated_date"))
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")
-    nxt = starts.withColumn("next_activation", F.lead("activated_date").over(w))
     return nxt.select(
         "shopid", "shopdomain", "chargeid", "activated_date", "chargeamount",
         pricing_plan("chargename", free_label).alias("pricing_plan"),

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixtures as fx
+from ..functions.lineage import cut
+from ..functions.scalar import subscription_event
+from ..functions.scan import resolve_bucketing
 from ..operators import active, attribution, mrr, timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,10 +94,21 @@ def q_store_daily_active(spark, sf_dir):
 
 
 # --- C02 ------------------------------------------------------------------
+def _attr_split(spark, sf_dir):
+    """One skew decision per job, from the raw inputs: intervals per shop never
+    exceed subscription events per shop, so the timeline need not run for it."""
+    pay = fx.payments(spark, sf_dir)
+    ev = fx.subscription_events(spark, sf_dir)
+    split = resolve_bucketing(None, (pay, ["shopid"]),
+                              (ev.where(subscription_event("eventtype")), ["shopid"]))
+    subs = timeline.timeline_intervals(ev, fx.EVENTS_AS_OF, bucketed=split)
+    return pay, subs, split
+
+
 def _attr_inputs(spark, sf_dir):
-    tx = attribution.numbered_transactions(fx.payments(spark, sf_dir))
-    subs = timeline.timeline_intervals(fx.subscription_events(spark, sf_dir), fx.EVENTS_AS_OF)
-    return tx, attribution.with_previous(subs)
+    pay, subs, split = _attr_split(spark, sf_dir)
+    tx = cut(attribution.numbered_transactions(pay, bucketed=split), split)
+    return tx, cut(attribution.with_previous(subs, bucketed=split), split), split
 
 
 def q_tx_numeric_id(spark, sf_dir):
@@ -106,23 +120,24 @@ def q_tx_subs_prev(spark, sf_dir):
 
 
 def q_tx_matched(spark, sf_dir):
-    tx, s = _attr_inputs(spark, sf_dir)
-    return attribution.matched_payments(tx, s)
+    tx, s, split = _attr_inputs(spark, sf_dir)
+    return attribution.matched_payments(tx, s, bucketed=split)
 
 
 def q_tx_choice(spark, sf_dir):
-    tx, s = _attr_inputs(spark, sf_dir)
-    return attribution.choose_attribution(attribution.matched_payments(tx, s), s)
+    tx, s, split = _attr_inputs(spark, sf_dir)
+    return attribution.choose_attribution(cut(attribution.matched_payments(tx, s, bucketed=split), split), s)
 
 
 def q_tx_labelled(spark, sf_dir):
-    tx, s = _attr_inputs(spark, sf_dir)
-    return attribution.label_sales(attribution.choose_attribution(attribution.matched_payments(tx, s), s))
+    tx, s, split = _attr_inputs(spark, sf_dir)
+    return attribution.label_sales(
+        attribution.choose_attribution(cut(attribution.matched_payments(tx, s, bucketed=split), split), s))
 
 
 def q_tx_attributed(spark, sf_dir):
-    subs = timeline.timeline_intervals(fx.subscription_events(spark, sf_dir), fx.EVENTS_AS_OF)
-    return attribution.attribute_transactions(fx.payments(spark, sf_dir), subs)
+    pay, subs, split = _attr_split(spark, sf_dir)
+    return attribution.attribute_transactions(pay, subs, bucketed=split)
 
 
 QUERIES: dict[str, Query] = {

@@ -63,3 +63,20 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.schema == E.entry(spark).schema
+
+
+SPLIT_PATH = ["timeline_intervals", "daily_active_sweep", "store_daily_active", "tx_attributed", "tx_matched"]
+
+
+@pytest.mark.parametrize("name", SPLIT_PATH)
+def test_hot_key_path_matches_oracle(spark, con, name):
+    """With the hot-key threshold at 0 every scan takes the bucketed two-level path."""
+    spark.conf.set("subledger.scan.hotKeyRows", "0")
+    try:
+        df = E.queries()[name](spark, SMALL)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.unset("subledger.scan.hotKeyRows")
+    res = con.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert _rows(df.columns, srows) == _rows(ocols, res.fetchall())
