@@ -191,17 +191,25 @@ def hot_key_rows(spark) -> int:
     return int(spark.conf.get(HOT_KEY_CONF, str(DEFAULT_HOT_KEY_ROWS)))
 
 
+_DECISIONS: dict[tuple, bool] = {}
+
+
 def has_hot_key(df: DataFrame, keys: list[str], threshold: int | None = None) -> bool:
     """True when some key holds more than ``threshold`` rows (one small grouped count).
 
     The count reads only the key columns and aggregates map-side, so the check
     costs a fraction of the scan it guards; only a boolean reaches the driver.
+    Both strategies give identical results, so the answer is remembered per
+    input plan for the life of the process (a stale answer costs speed only).
     """
     t = hot_key_rows(df.sparkSession) if threshold is None else threshold
     if t <= 0:
         return True
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > t).limit(1).count() > 0
+    memo = (df.semanticHash(), tuple(keys), t)
+    if memo not in _DECISIONS:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        _DECISIONS[memo] = counts.where(F.col("_n") > t).limit(1).count() > 0
+    return _DECISIONS[memo]
 
 
 def resolve_bucketing(bucketed: bool | None, *checks: tuple[DataFrame, list[str]]) -> bool:

@@ -38,9 +38,19 @@ def day_ranges(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_
             .where(F.col("last_day") >= F.col("first_day")))
 
 
+def _balanced(df: DataFrame) -> DataFrame:
+    """Spread an input with fewer partitions than cores before a row-multiplying generator.
+
+    On a cluster the interval table already spans many splits and this is a
+    no-op; a single small file would otherwise explode in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def interval_days(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS) -> DataFrame:
     """Each interval expanded to one row per active day."""
-    r = day_ranges(intervals, as_of, max_days)
+    r = _balanced(day_ranges(intervals, as_of, max_days))
     return r.select(
         "shopid",
         F.to_date("activated_date").alias("activated_date"),
