@@ -38,6 +38,11 @@ def day_ranges(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_
             .where(F.col("last_day") >= F.col("first_day")))
 
 
+def numbers(spark, n: int = S.MAX_INTERVAL_DAYS) -> DataFrame:
+    """0 .. n-1 as column ``n`` (the day-offset table; the jobs use ``sequence`` instead)."""
+    return spark.range(n).select(F.col("id").alias("n"))
+
+
 def _balanced(df: DataFrame) -> DataFrame:
     """Spread an input with fewer partitions than cores before a row-multiplying generator.
 

@@ -64,6 +64,11 @@ def q_list_partitions(spark, sf_dir):
     return raw.list_partitions(raw.read_raw(spark, _landed_transactions(spark, sf_dir)))
 
 
+def q_files_by_day(spark, sf_dir):
+    # the file count depends on how the write split the days; compare the day and rows
+    return raw.files_by_day(raw.read_raw(spark, _landed_transactions(spark, sf_dir))).select("dt", "rows")
+
+
 def q_latest_partition(spark, sf_dir):
     return raw.latest_partition(raw.read_raw(spark, _landed_transactions(spark, sf_dir)), LANDING_AS_OF)
 
@@ -109,7 +114,7 @@ def q_curate_datetimes(spark, sf_dir):
     out = work_path(spark, "curated-events")
     db = f"curated_{uuid.uuid4().hex[:8]}"
     curate.curate(spark, base, out, table="events_curated", database=db)
-    return spark.table(f"{db}.events_curated")
+    return raw.curated(spark, f"{db}.events_curated")
 
 
 def q_policy_audit(spark, sf_dir):
@@ -156,6 +161,7 @@ QUERIES = {
     "sanitize_text": q_sanitize_text,
     "daily_overwrite": q_daily_overwrite,
     "list_partitions": q_list_partitions,
+    "files_by_day": q_files_by_day,
     "latest_partition": q_latest_partition,
     "read_latest": q_read_latest,
     "incremental_window": q_incremental_window,

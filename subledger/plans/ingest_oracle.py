@@ -118,6 +118,8 @@ ORACLES = {
     "sanitize_text": "SELECT doc_id, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM documents",
     "daily_overwrite": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
     "list_partitions": f"WITH {TX_TYPED}, {TX_DAYS} SELECT dt, count(*) AS rows FROM txd GROUP BY dt",
+    "files_by_day": f"""WITH {TX_TYPED}, {TX_DAYS}
+        SELECT dt, count(*) AS rows FROM txd GROUP BY dt""",
     "latest_partition": f"WITH {TX_TYPED}, {TX_DAYS}, {LATEST} SELECT * FROM latest",
     "read_latest": f"WITH {TX_TYPED}, {TX_DAYS}, {LATEST} SELECT txd.* FROM txd, latest WHERE dt = latest_dt",
     "incremental_window": f"""WITH {TX_TYPED}, {TX_DAYS}, {LATEST}

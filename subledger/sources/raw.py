@@ -32,6 +32,19 @@ def day_of_file(path_col="_metadata.file_path"):
     return F.when(d != "", d.cast("date"))
 
 
+def curated(spark: SparkSession, name: str, columns=None) -> DataFrame:
+    """A catalog table with an explicit column list (pruned at the scan)."""
+    df = spark.table(name)
+    return df.select(*columns) if columns else df
+
+
+def files_by_day(df: DataFrame) -> DataFrame:
+    """(dt, files, rows) from the file paths themselves (``dt=`` folder of each file)."""
+    day = day_of_file("_metadata.file_path")
+    return (df.select(day.alias("dt"), F.col("_metadata.file_path").alias("_f"))
+            .groupBy("dt").agg(F.countDistinct("_f").alias("files"), F.count(F.lit(1)).alias("rows")))
+
+
 def latest_partition(df: DataFrame, as_of=None) -> DataFrame:
     """One row: the latest day present excluding ``as_of`` itself (today may be partial); NULL if none."""
     return df.where(F.col("dt") != as_of_date(as_of)).agg(F.max("dt").alias("latest_dt"))
