@@ -1,9 +1,10 @@
 """DuckDB oracle SQL for every registered query.
 
-Written independently of the Spark code and in the literal form of the
-original jobs where DuckDB allows it (ranked join + ordered lists, numbers
-range join, FIRST_VALUE/LAST_VALUE windows). Tables ``events``, ``orders`` …
-are views over the same parquet files the Spark side reads.
+Written independently of the Spark code, as plain brute-force SQL: the
+attribution ranks every (payment, subscription) pair of a shop, the day counts
+use a range join against 0..9999, last values use ``arg_max``. Tables
+``events``, ``orders`` … are views over the same parquet files the Spark side
+reads.
 """
 
 from __future__ import annotations
@@ -64,79 +65,69 @@ ORDER_INTERVALS_CTE = """order_intervals AS (
 
 
 # --- C03 monthly recurring revenue ------------------------------------------
+def _money(expr: str) -> str:
+    return f"CAST({expr} AS DECIMAL(38,2))"
+
+
 def _mrr_ctes(tx: str, as_of: str) -> str:
-    return f"""additional AS (
-    SELECT CAST(date_trunc('month', createdat) AS DATE) AS month, shopid,
-           CAST(SUM(netamount) AS DECIMAL(38,2)) AS revenue
-    FROM {tx} GROUP BY 1, 2)
-, rev_lag AS (
-    SELECT *, LAG(revenue) OVER (PARTITION BY shopid ORDER BY month) AS prev_month_revenue FROM additional)
-, shop_rev AS (
+    this_month = f"CAST(date_trunc('month', {as_of}) AS DATE)"
+    return f"""rev AS (
+    SELECT shopid, CAST(date_trunc('month', createdat) AS DATE) AS month, {_money('sum(netamount)')} AS revenue
+    FROM {tx} GROUP BY shopid, month)
+, moves AS (
+    SELECT month, shopid, revenue,
+           lag(revenue) OVER (PARTITION BY shopid ORDER BY month) AS prev_month_revenue
+    FROM rev)
+, comp AS (
     SELECT month, shopid, revenue, prev_month_revenue,
-        CAST(CASE WHEN prev_month_revenue IS NULL THEN revenue ELSE 0 END AS DECIMAL(38,2)) AS new_mrr,
-        CAST(CASE WHEN revenue = prev_month_revenue THEN revenue
-                  WHEN revenue > prev_month_revenue THEN prev_month_revenue
-                  WHEN revenue < prev_month_revenue THEN revenue ELSE 0 END AS DECIMAL(38,2)) AS mrr,
-        CAST(CASE WHEN revenue > prev_month_revenue THEN revenue - prev_month_revenue ELSE 0 END
-             AS DECIMAL(38,2)) AS expansion_mrr,
-        CAST(CASE WHEN revenue < prev_month_revenue THEN revenue - prev_month_revenue ELSE 0 END
-             AS DECIMAL(38,2)) AS contraction_mrr,
-        CAST(0 AS DECIMAL(38,2)) AS churn_mrr
-    FROM rev_lag)
-, last_month AS (
-    SELECT DISTINCT shopid,
-        FIRST_VALUE(month) OVER (PARTITION BY shopid ORDER BY month DESC
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS final_month,
-        FIRST_VALUE(mrr) OVER (PARTITION BY shopid ORDER BY month DESC
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS final_mrr
-    FROM shop_rev)
-, onion AS (
-    SELECT month, shopid, revenue, prev_month_revenue, new_mrr, mrr, expansion_mrr, contraction_mrr, churn_mrr
-    FROM shop_rev
-    UNION ALL
-    SELECT CAST(final_month + INTERVAL 1 MONTH AS DATE), shopid, 0, NULL, 0, 0, 0, 0,
-        CASE WHEN CAST(final_month + INTERVAL 1 MONTH AS DATE) = CAST(date_trunc('month', {as_of}) AS DATE)
-               OR CAST(final_month + INTERVAL 1 MONTH AS DATE)
-                  = CAST(date_trunc('month', {as_of}) + INTERVAL 1 MONTH AS DATE)
-             THEN 0 ELSE -final_mrr END
-    FROM last_month)"""
+        {_money('CASE WHEN prev_month_revenue IS NULL THEN revenue ELSE 0 END')} AS new_mrr,
+        {_money('CASE WHEN prev_month_revenue IS NULL THEN 0 ELSE least(revenue, prev_month_revenue) END')} AS mrr,
+        {_money('CASE WHEN prev_month_revenue IS NULL THEN 0 ELSE greatest(revenue - prev_month_revenue, 0) END')}
+            AS expansion_mrr,
+        {_money('CASE WHEN prev_month_revenue IS NULL THEN 0 ELSE least(revenue - prev_month_revenue, 0) END')}
+            AS contraction_mrr,
+        {_money('0')} AS churn_mrr
+    FROM moves)
+, last_seen AS (
+    SELECT shopid, max(month) AS final_month, arg_max(mrr, month) AS final_mrr FROM comp GROUP BY shopid)
+, churned AS (
+    SELECT CAST(final_month + INTERVAL 1 MONTH AS DATE) AS month, shopid,
+        {_money('0')} AS revenue, CAST(NULL AS DECIMAL(38,2)) AS prev_month_revenue,
+        {_money('0')} AS new_mrr, {_money('0')} AS mrr, {_money('0')} AS expansion_mrr,
+        {_money('0')} AS contraction_mrr,
+        {_money(f"""CASE WHEN CAST(final_month + INTERVAL 1 MONTH AS DATE)
+                       IN ({this_month}, CAST({this_month} + INTERVAL 1 MONTH AS DATE))
+                  THEN 0 ELSE -final_mrr END""")} AS churn_mrr
+    FROM last_seen)
+, shop_months AS (SELECT * FROM comp UNION ALL BY NAME SELECT * FROM churned)"""
+
+
+def _mrr_totals(tx_cte: str, tx: str, as_of: str) -> str:
+    return f"""WITH {tx_cte}, {_mrr_ctes(tx, as_of)}
+SELECT month,
+    {_money('sum(mrr)')} AS mrr, {_money('sum(new_mrr)')} AS new_mrr,
+    {_money('sum(expansion_mrr)')} AS expansion_mrr, {_money('sum(contraction_mrr)')} AS contraction_mrr,
+    {_money(f"""CASE WHEN month = CAST(date_trunc('month', {as_of}) AS DATE)
+                       OR month = CAST({as_of} + INTERVAL 1 MONTH AS DATE) THEN 0
+                  ELSE sum(churn_mrr) END""")} AS churn_mrr
+FROM shop_months GROUP BY month ORDER BY month"""
 
 
 MRR_SHOP_MONTH = f"""WITH {ORDER_PAYMENTS_CTE}, {_mrr_ctes('order_payments', ORD_AS_OF)}
-SELECT month, shopid, revenue, prev_month_revenue, new_mrr, mrr, expansion_mrr, contraction_mrr,
-       CAST(churn_mrr AS DECIMAL(38,2)) AS churn_mrr
-FROM onion"""
+SELECT month, shopid, revenue, prev_month_revenue, new_mrr, mrr, expansion_mrr, contraction_mrr, churn_mrr
+FROM shop_months"""
 
-MRR_MONTHLY = f"""WITH {ORDER_PAYMENTS_CTE}, {_mrr_ctes('order_payments', ORD_AS_OF)}
-SELECT month,
-    CAST(SUM(mrr) AS DECIMAL(38,2)) AS mrr,
-    CAST(SUM(new_mrr) AS DECIMAL(38,2)) AS new_mrr,
-    CAST(SUM(expansion_mrr) AS DECIMAL(38,2)) AS expansion_mrr,
-    CAST(SUM(contraction_mrr) AS DECIMAL(38,2)) AS contraction_mrr,
-    CAST(CASE WHEN month = CAST(date_trunc('month', {ORD_AS_OF}) AS DATE)
-                OR month = CAST({ORD_AS_OF} + INTERVAL 1 MONTH AS DATE) THEN 0
-              ELSE SUM(churn_mrr) END AS DECIMAL(38,2)) AS churn_mrr
-FROM onion GROUP BY month ORDER BY month"""
-
-MRR_EVENTS_MONTHLY = f"""WITH {PAYMENTS_CTE}, {_mrr_ctes('payments', EV_AS_OF)}
-SELECT month,
-    CAST(SUM(mrr) AS DECIMAL(38,2)) AS mrr,
-    CAST(SUM(new_mrr) AS DECIMAL(38,2)) AS new_mrr,
-    CAST(SUM(expansion_mrr) AS DECIMAL(38,2)) AS expansion_mrr,
-    CAST(SUM(contraction_mrr) AS DECIMAL(38,2)) AS contraction_mrr,
-    CAST(CASE WHEN month = CAST(date_trunc('month', {EV_AS_OF}) AS DATE)
-                OR month = CAST({EV_AS_OF} + INTERVAL 1 MONTH AS DATE) THEN 0
-              ELSE SUM(churn_mrr) END AS DECIMAL(38,2)) AS churn_mrr
-FROM onion GROUP BY month ORDER BY month"""
+MRR_MONTHLY = _mrr_totals(ORDER_PAYMENTS_CTE, "order_payments", ORD_AS_OF)
+MRR_EVENTS_MONTHLY = _mrr_totals(PAYMENTS_CTE, "payments", EV_AS_OF)
 
 SHOP_LAST_MONTH = f"""WITH {ORDER_PAYMENTS_CTE}, {_mrr_ctes('order_payments', ORD_AS_OF)}
-SELECT shopid, final_month, final_mrr FROM last_month"""
+SELECT shopid, final_month, final_mrr FROM last_seen"""
 
 MRR_CUMULATIVE = f"""WITH {ORDER_PAYMENTS_CTE}, {_mrr_ctes('order_payments', ORD_AS_OF)}
 SELECT month, shopid, revenue,
-    CAST(SUM(revenue) OVER (PARTITION BY shopid ORDER BY month
-         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS total_revenue_overtime
-FROM additional"""
+    {_money('sum(revenue) OVER (PARTITION BY shopid ORDER BY month ROWS UNBOUNDED PRECEDING)')}
+        AS total_revenue_overtime
+FROM rev"""
 
 
 # --- C01 subscription timeline ----------------------------------------------
@@ -146,201 +137,166 @@ SUB_EVENTS_CTE = billing_events_cte("sub_events", SUBSCRIPTION_TYPE_MAP)
 REL_EVENTS_CTE = billing_events_cte("rel_events", RELATIONSHIP_TYPE_MAP)
 
 TIMELINE_CTES = f"""{SUB_EVENTS_CTE}
-, base_events AS (
-    SELECT eventtype, occurredat, shopdomain, shopid, chargeamount, chargeid, chargename, cursor
-    FROM sub_events WHERE eventtype LIKE '%SUBSCRIPTION_CHARGE%')
-, event_ranks AS (
+, charge_rows AS (
     SELECT eventtype, occurredat, shopid, shopdomain, chargename, chargeid, chargeamount, cursor,
-        FIRST_VALUE(occurredat) OVER (PARTITION BY shopid, chargeid ORDER BY occurredat NULLS LAST, cursor
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS activated_date,
-        LEAD(occurredat) OVER (PARTITION BY shopid, chargeid ORDER BY occurredat NULLS LAST, cursor)
+        min(occurredat) OVER (PARTITION BY shopid, chargeid) AS activated_date,
+        lead(occurredat) OVER (PARTITION BY shopid, chargeid ORDER BY occurredat NULLS LAST, cursor)
             AS deactivated_date
-    FROM base_events WHERE shopid IS NOT NULL)
-, filtered AS (
-    SELECT *, LEAD(activated_date) OVER (PARTITION BY shopid
+    FROM sub_events
+    WHERE eventtype LIKE '%SUBSCRIPTION_CHARGE%' AND shopid IS NOT NULL)
+, start_rows AS (
+    SELECT *, lead(activated_date) OVER (PARTITION BY shopid
             ORDER BY activated_date NULLS LAST, occurredat NULLS LAST, cursor) AS next_activation
-    FROM event_ranks
+    FROM charge_rows
     WHERE eventtype IN ('SUBSCRIPTION_CHARGE_ACTIVATED', 'SUBSCRIPTION_CHARGE_UNFROZEN'))
-, subscriptions AS (
+, intervals AS (
     SELECT shopid, shopdomain, chargeid, activated_date, chargeamount,
         CASE WHEN chargename LIKE '%Free%' THEN 'Unlimited Blog posts' ELSE chargename END AS pricing_plan,
-        CASE WHEN next_activation < deactivated_date THEN next_activation
-             WHEN deactivated_date IS NULL AND next_activation IS NOT NULL THEN next_activation
-             WHEN deactivated_date IS NULL AND next_activation IS NULL
-                 THEN CAST({EV_AS_OF} + INTERVAL 1 DAY AS TIMESTAMP)
+        CASE WHEN deactivated_date IS NULL
+                 THEN coalesce(next_activation, CAST({EV_AS_OF} + 1 AS TIMESTAMP))
+             WHEN next_activation < deactivated_date THEN next_activation
              ELSE deactivated_date END AS actual_end_date,
         cursor
-    FROM filtered)"""
+    FROM start_rows)"""
 
 TIMELINE_EVENTS = f"""WITH {TIMELINE_CTES}
-SELECT eventtype, occurredat, shopid, shopdomain, chargename, chargeid, chargeamount, cursor,
-       activated_date, deactivated_date FROM event_ranks"""
+SELECT * FROM charge_rows"""
 
 TIMELINE_INTERVALS = f"""WITH {TIMELINE_CTES}
-SELECT * FROM subscriptions"""
+SELECT * FROM intervals"""
 
 
 # --- C04 / C05 daily active merchants ----------------------------------------
-def _digits(alias: str) -> str:
-    vals = " UNION ALL ".join(f"SELECT {i} AS n" for i in range(10))
-    return f"({vals}) AS {alias}"
-
-
-NUMBERS_CTE = f"""numbers AS (
-    SELECT ones.n + tens.n * 10 + hundreds.n * 100 + thousands.n * 1000 AS n
-    FROM {_digits('ones')}, {_digits('tens')}, {_digits('hundreds')}, {_digits('thousands')})"""
-
-
-def _expanded(src: str, as_of: str) -> str:
-    return f"""expanded_date AS (
-    SELECT s.shopid,
-        CAST(date_trunc('day', s.activated_date) AS DATE) AS activated_date,
-        CAST(date_trunc('day', s.actual_end_date) AS DATE) AS actual_end_date,
-        CAST(date_trunc('day', s.activated_date) AS DATE) + n.n AS active_date
-    FROM {src} s JOIN numbers n
-      ON CAST(date_trunc('day', s.activated_date) AS DATE) + n.n <=
-         CASE WHEN s.actual_end_date IS NULL THEN {as_of} + 1
-              ELSE CAST(date_trunc('day', s.actual_end_date) AS DATE) - 1 END)"""
-
-
-def _daily(as_of: str) -> str:
-    return f"""counting AS (
-    SELECT active_date, COUNT(DISTINCT shopid) AS merchants FROM expanded_date GROUP BY active_date)
-, extracting AS (
-    SELECT *, LAG(merchants) OVER (ORDER BY active_date) AS prev_day_merchants,
-        CAST(date_trunc('month', active_date) AS DATE) AS month,
-        LAST_VALUE(merchants) OVER (PARTITION BY date_trunc('month', active_date) ORDER BY active_date
-            ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS end_of_month_merchants
-    FROM counting WHERE active_date <= {as_of})
-, dis AS (SELECT DISTINCT month, end_of_month_merchants FROM extracting)
-, lagging AS (SELECT *, LAG(end_of_month_merchants) OVER (ORDER BY month) AS last_month_merchants FROM dis)
-, final AS (
-    SELECT e.*, l.last_month_merchants FROM extracting e LEFT JOIN lagging l ON e.month = l.month)"""
-
-
-DAILY_SELECT = """SELECT active_date, merchants, prev_day_merchants, month, end_of_month_merchants,
-       last_month_merchants FROM final"""
-
-INTERVAL_DAYS = f"""WITH {ORDER_INTERVALS_CTE}, {NUMBERS_CTE}, {_expanded('order_intervals', ORD_AS_OF)}
-SELECT shopid, activated_date, actual_end_date, active_date FROM expanded_date"""
-
-DAILY_ACTIVE = f"""WITH {ORDER_INTERVALS_CTE}, {NUMBERS_CTE}, {_expanded('order_intervals', ORD_AS_OF)},
-{_daily(ORD_AS_OF)}
-{DAILY_SELECT}"""
-
-MONTH_END = f"""WITH {ORDER_INTERVALS_CTE}, {NUMBERS_CTE}, {_expanded('order_intervals', ORD_AS_OF)},
-{_daily(ORD_AS_OF)}
-SELECT month, end_of_month_merchants, last_month_merchants FROM lagging"""
-
-DAILY_ACTIVE_TIMELINE = f"""WITH {TIMELINE_CTES}, {NUMBERS_CTE}, {_expanded('subscriptions', EV_AS_OF)},
-{_daily(EV_AS_OF)}
-{DAILY_SELECT}"""
+def _days(src: str, as_of: str) -> str:
+    start = "CAST(s.activated_date AS DATE)"
+    return f"""days AS (
+    SELECT s.shopid, {start} AS activated_date, CAST(s.actual_end_date AS DATE) AS actual_end_date,
+        {start} + CAST(r.range AS INTEGER) AS active_date
+    FROM {src} s
+    JOIN range(0, 10000) r
+      ON {start} + CAST(r.range AS INTEGER) <= coalesce(CAST(s.actual_end_date AS DATE) - 1, {as_of} + 1))"""
+
+
+def _roll(as_of: str) -> str:
+    return f"""per_day AS (
+    SELECT active_date, count(DISTINCT shopid) AS merchants FROM days GROUP BY active_date)
+, upto AS (SELECT * FROM per_day WHERE active_date <= {as_of})
+, month_last AS (
+    SELECT CAST(date_trunc('month', active_date) AS DATE) AS month,
+           arg_max(merchants, active_date) AS end_of_month_merchants
+    FROM upto GROUP BY 1)
+, month_roll AS (
+    SELECT month, end_of_month_merchants,
+           lag(end_of_month_merchants) OVER (ORDER BY month) AS last_month_merchants
+    FROM month_last)
+, daily AS (
+    SELECT u.active_date, u.merchants, lag(u.merchants) OVER (ORDER BY u.active_date) AS prev_day_merchants,
+           m.month, m.end_of_month_merchants, m.last_month_merchants
+    FROM upto u JOIN month_roll m ON m.month = CAST(date_trunc('month', u.active_date) AS DATE))"""
+
+
+INTERVAL_DAYS = f"""WITH {ORDER_INTERVALS_CTE}, {_days('order_intervals', ORD_AS_OF)}
+SELECT * FROM days"""
+
+DAILY_ACTIVE = f"""WITH {ORDER_INTERVALS_CTE}, {_days('order_intervals', ORD_AS_OF)}, {_roll(ORD_AS_OF)}
+SELECT * FROM daily"""
+
+MONTH_END = f"""WITH {ORDER_INTERVALS_CTE}, {_days('order_intervals', ORD_AS_OF)}, {_roll(ORD_AS_OF)}
+SELECT * FROM month_roll"""
+
+DAILY_ACTIVE_TIMELINE = f"""WITH {TIMELINE_CTES}, {_days('intervals', EV_AS_OF)}, {_roll(EV_AS_OF)}
+SELECT * FROM daily"""
 
 STORE_CTES = f"""{REL_EVENTS_CTE}
-, all_events AS (
-    SELECT *, MIN(occurredat) OVER (PARTITION BY shopid) AS first_install,
+, status_rows AS (
+    SELECT shopid, shopdomain, occurredat, cursor,
         CASE WHEN eventtype IN ('RELATIONSHIP_INSTALLED', 'RELATIONSHIP_REACTIVATED') THEN 'Active'
              WHEN eventtype IN ('RELATIONSHIP_UNINSTALLED', 'RELATIONSHIP_DEACTIVATED') THEN 'Inactive'
         END AS status
     FROM rel_events WHERE shopid IS NOT NULL)
-, st AS (
-    SELECT *, LEAD(occurredat) OVER (PARTITION BY shopid ORDER BY occurredat NULLS LAST, cursor) AS next_status_at
-    FROM all_events WHERE status IS NOT NULL)
+, status_spans AS (
+    SELECT shopid, shopdomain, status, cursor, occurredat AS activated_date,
+        coalesce(lead(occurredat) OVER (PARTITION BY shopid ORDER BY occurredat NULLS LAST, cursor),
+                 CAST({EV_AS_OF} + 1 AS TIMESTAMP)) AS actual_end_date
+    FROM status_rows WHERE status IS NOT NULL)
+, installs AS (
+    SELECT shopid, min(occurredat) AS first_install FROM rel_events WHERE shopid IS NOT NULL GROUP BY shopid)
 , store_spans AS (
-    SELECT shopid, shopdomain, occurredat AS activated_date,
-        COALESCE(next_status_at, CAST({EV_AS_OF} + INTERVAL 1 DAY AS TIMESTAMP)) AS actual_end_date,
-        cursor, first_install
-    FROM st WHERE status = 'Active')"""
+    SELECT p.shopid, p.shopdomain, p.activated_date, p.actual_end_date, p.cursor, i.first_install
+    FROM status_spans p JOIN installs i ON i.shopid = p.shopid
+    WHERE p.status = 'Active')"""
 
 STORE_STATUS = f"""WITH {STORE_CTES}
 SELECT * FROM store_spans"""
 
-STORE_DAILY_ACTIVE = f"""WITH {STORE_CTES}, {NUMBERS_CTE}, {_expanded('store_spans', EV_AS_OF)},
-{_daily(EV_AS_OF)}
-{DAILY_SELECT}"""
+STORE_DAILY_ACTIVE = f"""WITH {STORE_CTES}, {_days('store_spans', EV_AS_OF)}, {_roll(EV_AS_OF)}
+SELECT * FROM daily"""
+
 
 # --- C02 payment -> plan attribution ------------------------------------------
+_PAYMENT = "createdat, id, _id, netamount, prev_netamount, shopid"
 _PAY_ORDER = "createdat NULLS LAST, id, netamount NULLS LAST, prev_netamount NULLS LAST"
 _ID_ORDER = "_id NULLS LAST, createdat NULLS LAST, id, netamount NULLS LAST, prev_netamount NULLS LAST"
+_VALUES = ("pricing_plan", "prev_pricing_plan", "chargeamount", "prev_chargeamount",
+           "activated_date", "actual_end_date", "prev_activated_date", "prev_actual_end_date")
+_CHOICE = (("pricing_plan", "prev_pricing_plan"), ("chargeamount", "prev_chargeamount"),
+           ("activated_date", "prev_activated_date"), ("actual_end_date", "prev_actual_end_date"))
+_KEEP = ("pricing_plan", "chargeamount", "activated_date", "actual_end_date")
 
-
-def _first(col: str) -> str:
-    return f"(list({col} ORDER BY rn) FILTER (WHERE {col} IS NOT NULL))[1] AS {col}"
-
-
-def _choice(col: str) -> str:
-    prev = f"prev_{col}"
-    return f"""CASE WHEN {prev} IS NOT NULL AND transactions_per_day > 1 AND e1 AND netamount = prev_day_amount
-                 THEN {prev}
-             WHEN {prev} IS NOT NULL AND transactions_per_day > 1 AND e2 AND netamount <> next_day_amount
-                 THEN {prev}
-             ELSE {col} END AS {col}"""
-
-
-def _carry(col: str) -> str:
-    return f"CASE WHEN netamount = prev_netamount THEN LAG({col}) OVER w ELSE {col} END AS {col}"
-
+_firsts = ",\n        ".join(f"arg_min({c}, rn) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _VALUES)
+_chosen = ",\n        ".join(f"CASE WHEN hit AND {p} IS NOT NULL THEN {p} ELSE {c} END AS {c}" for c, p in _CHOICE)
+_carried = ",\n        ".join(
+    f"CASE WHEN netamount = prev_netamount THEN lag({c}) OVER w ELSE {c} END AS {c}" for c in _KEEP)
 
 ATTRIBUTION_CTES = f"""{PAYMENTS_CTE}, {TIMELINE_CTES}
-, transactions AS (
+, tx AS (
     SELECT createdat, id, _id, chargeid, netamount, shopid,
-        LAG(netamount) OVER (PARTITION BY shopid
+        lag(netamount) OVER (PARTITION BY shopid
             ORDER BY _id NULLS LAST, id, createdat NULLS LAST, netamount NULLS LAST) AS prev_netamount
-    FROM (SELECT createdat, id,
-                 TRY_CAST(NULLIF(regexp_extract(id, '([0-9]+)$', 1), '') AS BIGINT) AS _id,
-                 chargeid, netamount, shopid
-          FROM payments))
-, s AS (
-    SELECT DISTINCT *,
-        LAG(pricing_plan) OVER ws AS prev_pricing_plan,
-        LAG(chargeamount) OVER ws AS prev_chargeamount,
-        LAG(activated_date) OVER ws AS prev_activated_date,
-        LAG(actual_end_date) OVER ws AS prev_actual_end_date
-    FROM subscriptions
+    FROM (SELECT *, TRY_CAST(NULLIF(regexp_extract(id, '([0-9]+)$', 1), '') AS BIGINT) AS _id FROM payments))
+, subs_prev AS (
+    SELECT shopid, activated_date, actual_end_date, pricing_plan, chargeamount, cursor,
+        lag(pricing_plan) OVER ws AS prev_pricing_plan,
+        lag(chargeamount) OVER ws AS prev_chargeamount,
+        lag(activated_date) OVER ws AS prev_activated_date,
+        lag(actual_end_date) OVER ws AS prev_actual_end_date
+    FROM intervals
     WINDOW ws AS (PARTITION BY shopid ORDER BY activated_date NULLS LAST, cursor))
-, joined2 AS (
-    SELECT f.createdat, f.id, f._id, f.netamount, f.prev_netamount, f.shopid,
-        s.pricing_plan, s.chargeamount, s.activated_date, s.actual_end_date,
-        s.prev_pricing_plan, s.prev_chargeamount, s.prev_activated_date, s.prev_actual_end_date,
-        ROW_NUMBER() OVER (PARTITION BY f.id ORDER BY
-            CASE WHEN f.createdat BETWEEN s.activated_date AND s.actual_end_date THEN 0
-                 WHEN f.createdat > s.actual_end_date THEN date_diff('day', s.actual_end_date, f.createdat)
-                 ELSE 999999 END,
-            s.activated_date NULLS LAST, s.actual_end_date NULLS LAST, s.cursor) AS rn
-    FROM transactions AS f LEFT JOIN s ON f.shopid = s.shopid)
-, matching AS (
-    SELECT createdat, id, _id, netamount, prev_netamount, shopid,
-        {_first('pricing_plan')}, {_first('prev_pricing_plan')},
-        {_first('chargeamount')}, {_first('prev_chargeamount')},
-        {_first('activated_date')}, {_first('actual_end_date')},
-        {_first('prev_activated_date')}, {_first('prev_actual_end_date')},
-        list(prev_actual_end_date) FILTER (WHERE prev_actual_end_date IS NOT NULL) AS prev_end_list,
-        LAG(netamount) OVER (PARTITION BY shopid ORDER BY {_PAY_ORDER}) AS prev_day_amount,
-        COALESCE(
-            FIRST_VALUE(netamount) OVER (PARTITION BY shopid
-                ORDER BY CAST(floor(epoch(createdat)) AS BIGINT) NULLS LAST, id, netamount NULLS LAST,
-                         prev_netamount NULLS LAST
-                ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
-            LEAD(netamount) OVER (PARTITION BY shopid
-                ORDER BY CAST(floor(epoch(createdat)) AS BIGINT) NULLS LAST, id, netamount NULLS LAST,
-                         prev_netamount NULLS LAST)) AS next_day_amount,
-        COUNT(id) OVER (PARTITION BY shopid, CAST(createdat AS DATE)) AS transactions_per_day
-    FROM joined2
-    GROUP BY createdat, id, _id, netamount, prev_netamount, shopid)
-, flagged AS (
+, pays AS (SELECT DISTINCT {_PAYMENT} FROM tx)
+, pairs AS (
+    SELECT p.createdat, p.id, p._id, p.netamount, p.prev_netamount, p.shopid,
+        {", ".join(f"s.{c}" for c in _VALUES)},
+        row_number() OVER (PARTITION BY p.createdat, p.id, p._id, p.netamount, p.prev_netamount, p.shopid
+            ORDER BY CASE WHEN p.createdat BETWEEN s.activated_date AND s.actual_end_date THEN 0
+                          WHEN p.createdat > s.actual_end_date
+                              THEN date_diff('day', s.actual_end_date, p.createdat)
+                          ELSE 999999 END,
+                     s.activated_date NULLS LAST, s.actual_end_date NULLS LAST, s.cursor NULLS LAST) AS rn
+    FROM pays p LEFT JOIN subs_prev s ON p.shopid = s.shopid)
+, firsts AS (
+    SELECT {_PAYMENT},
+        {_firsts},
+        coalesce(bool_or(date_trunc('month', prev_actual_end_date) = date_trunc('month', createdat)), false)
+            AS ended_same_month,
+        coalesce(bool_or(date_trunc('month', prev_actual_end_date) + INTERVAL 1 MONTH
+                         = date_trunc('month', createdat)), false) AS ended_month_before
+    FROM pairs GROUP BY {_PAYMENT})
+, neighbours AS (
     SELECT *,
-        COALESCE(len(list_filter(prev_end_list,
-            lambda mp: date_trunc('month', mp) = date_trunc('month', createdat))) > 0, false) AS e1,
-        COALESCE(len(list_filter(prev_end_list,
-            lambda mp: date_diff('month', date_trunc('month', mp), date_trunc('month', createdat)) = 1)) > 0,
-            false) AS e2
-    FROM matching)
-, extracting AS (
+        lag(netamount) OVER (PARTITION BY shopid ORDER BY {_PAY_ORDER}) AS prev_day_amount,
+        lead(netamount) OVER (PARTITION BY shopid
+            ORDER BY CAST(floor(epoch(createdat)) AS BIGINT) NULLS LAST, id, netamount NULLS LAST,
+                     prev_netamount NULLS LAST) AS next_day_amount,
+        count(id) OVER (PARTITION BY shopid, CAST(createdat AS DATE)) AS transactions_per_day
+    FROM firsts)
+, chosen AS (
     SELECT createdat, id, _id, netamount, prev_netamount, next_day_amount, shopid, transactions_per_day,
-        {_choice('pricing_plan')}, {_choice('chargeamount')},
-        {_choice('activated_date')}, {_choice('actual_end_date')}
-    FROM flagged)
-, type_pricing AS (
+        {_chosen}
+    FROM (SELECT *, coalesce(transactions_per_day > 1
+                     AND ((ended_same_month AND netamount = prev_day_amount)
+                          OR (ended_month_before AND netamount <> next_day_amount)), false) AS hit
+          FROM neighbours))
+, labelled AS (
     SELECT createdat, CAST(date_trunc('month', createdat) AS DATE) AS month,
         id, _id, netamount, prev_netamount, next_day_amount, shopid, transactions_per_day,
         CAST(CASE WHEN id LIKE '%AppOneTimeSale%' THEN 'App One Time Sale'
@@ -351,36 +307,35 @@ ATTRIBUTION_CTES = f"""{PAYMENTS_CTE}, {TIMELINE_CTES}
         CAST(chargeamount AS DOUBLE) AS chargeamount,
         CAST(activated_date AS DATE) AS activated_date,
         CAST(actual_end_date AS DATE) AS actual_end_date
-    FROM extracting)
-, modified AS (
+    FROM chosen)
+, carried AS (
     SELECT createdat, month, id, _id, netamount, prev_netamount, next_day_amount, shopid, transactions_per_day,
-        {_carry('pricing_plan')}, {_carry('chargeamount')},
-        {_carry('activated_date')}, {_carry('actual_end_date')}
-    FROM type_pricing
+        {_carried}
+    FROM labelled
     WINDOW w AS (PARTITION BY shopid ORDER BY {_ID_ORDER}))
-, lagging AS (
-    SELECT *, LAG(pricing_plan) OVER w AS prev_pricing_plan, LAG(chargeamount) OVER w AS prev_chargeamount
-    FROM modified
+, attributed AS (
+    SELECT *, lag(pricing_plan) OVER w AS prev_pricing_plan, lag(chargeamount) OVER w AS prev_chargeamount
+    FROM carried
     WINDOW w AS (PARTITION BY shopid ORDER BY {_ID_ORDER}))"""
 
 TX_NUMERIC_ID = f"""WITH {ATTRIBUTION_CTES}
-SELECT createdat, id, _id, chargeid, netamount, shopid, prev_netamount FROM transactions"""
+SELECT * FROM tx"""
 
 TX_SUBS_PREV = f"""WITH {ATTRIBUTION_CTES}
-SELECT shopid, activated_date, actual_end_date, pricing_plan, chargeamount, cursor,
-       prev_pricing_plan, prev_chargeamount, prev_activated_date, prev_actual_end_date FROM s"""
+SELECT * FROM subs_prev"""
 
 TX_MATCHED = f"""WITH {ATTRIBUTION_CTES}
-SELECT * EXCLUDE (prev_end_list) FROM matching"""
+SELECT * EXCLUDE (ended_same_month, ended_month_before) FROM neighbours"""
 
 TX_CHOICE = f"""WITH {ATTRIBUTION_CTES}
-SELECT * FROM extracting"""
+SELECT * FROM chosen"""
 
 TX_LABELLED = f"""WITH {ATTRIBUTION_CTES}
-SELECT * FROM type_pricing"""
+SELECT * FROM labelled"""
 
 TX_ATTRIBUTED = f"""WITH {ATTRIBUTION_CTES}
-SELECT * FROM lagging"""
+SELECT * FROM attributed"""
+
 
 ORACLES: dict[str, str] = {
     "mrr_shop_month": MRR_SHOP_MONTH,
