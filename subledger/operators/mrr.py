@@ -25,14 +25,22 @@ def revenue_by_month(tx: DataFrame) -> DataFrame:
             .agg(F.sum("netamount").cast(S.MONEY_SUM).alias("revenue")))
 
 
-def mrr_components(rev: DataFrame) -> DataFrame:
-    """Lag to the previous *present* month of the shop, then classify the movement."""
+_COLUMNS = ("month", "shopid", "revenue", "prev_month_revenue", "new_mrr", "mrr",
+            "expansion_mrr", "contraction_mrr", "churn_mrr")
+
+
+def mrr_components(rev: DataFrame, keep=()) -> DataFrame:
+    """Lag to the previous *present* month of the shop, then classify the movement.
+
+    The window sees one row per (shop, month), so even the largest shop is
+    bounded by its number of months.
+    """
     w = Window.partitionBy("shopid").orderBy("month")
     prev = F.lag("revenue").over(w)
     r = rev.withColumn("prev_month_revenue", prev)
     revenue, p = F.col("revenue"), F.col("prev_month_revenue")
     return r.select(
-        "month", "shopid", "revenue", "prev_month_revenue",
+        "month", "shopid", "revenue", "prev_month_revenue", *keep,
         F.when(p.isNull(), revenue).otherwise(_zero()).alias("new_mrr"),
         F.when(revenue == p, revenue).when(revenue > p, p).when(revenue < p, revenue)
          .otherwise(_zero()).alias("mrr"),
@@ -71,8 +79,28 @@ def with_churn(shop_rev: DataFrame, as_of=None) -> DataFrame:
 
 
 def mrr_shop_month(tx: DataFrame, as_of=None) -> DataFrame:
-    """Per shop and month: revenue, previous revenue and the five components."""
-    return with_churn(mrr_components(revenue_by_month(tx)), as_of)
+    """Per shop and month: revenue, previous revenue and the five components.
+
+    Same rows as ``with_churn(mrr_components(...))`` in one pass: the window
+    that finds the previous month also flags each shop's last month, and a
+    generator emits that month's row plus the synthetic churn row after it,
+    so the per-shop table is neither re-read nor re-aggregated for the union.
+    """
+    rev = revenue_by_month(tx)
+    w = Window.partitionBy("shopid").orderBy("month")
+    comp = mrr_components(rev.withColumn("_final", F.lead("month").over(w).isNull()), keep=("_final",))
+    this_month = F.trunc(as_of_date(as_of), "month")
+    nxt = F.add_months("month", 1)
+    actual = F.struct(*[F.col(c) for c in _COLUMNS])
+    churn = F.struct(
+        nxt.alias("month"), F.col("shopid"), _zero().alias("revenue"),
+        F.lit(None).cast(S.MONEY_SUM).alias("prev_month_revenue"),
+        _zero().alias("new_mrr"), _zero().alias("mrr"), _zero().alias("expansion_mrr"),
+        _zero().alias("contraction_mrr"),
+        F.when((nxt == this_month) | (nxt == F.add_months(this_month, 1)), _zero())
+         .otherwise(-F.col("mrr")).cast(S.MONEY_SUM).alias("churn_mrr"))
+    rows = F.when(F.col("_final"), F.array(actual, churn)).otherwise(F.array(actual))
+    return comp.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def mrr_monthly(tx: DataFrame, as_of=None) -> DataFrame:

@@ -32,6 +32,10 @@ def build_session(master: str | None = None, app: str = "subledger",
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # one machine, small test tables: let AQE keep shuffle partitions of ~64 KB
+        # instead of merging every small shuffle into a single task
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
