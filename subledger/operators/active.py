@@ -110,17 +110,23 @@ def month_end(counts: DataFrame, as_of=None) -> DataFrame:
 
 def daily_active(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS,
                  method: str = "explode") -> DataFrame:
-    """Daily merchants with previous day, month, month-end and previous month-end."""
+    """Daily merchants with previous day, month, month-end and previous month-end.
+
+    All from windows over the day table (at most one row per calendar day):
+    the month-end value is the month's last reported day, and the previous
+    month's end value is the previous-day value seen on a month's first day.
+    """
     counts = merchants_by_day(intervals, as_of, max_days, method)
     d = counts.where(F.col("active_date") <= as_of_date(as_of))
-    d = d.select(
-        "active_date", "merchants",
-        F.lag("merchants").over(Window.orderBy("active_date")).alias("prev_day_merchants"),
-        F.trunc("active_date", "month").alias("month"),
-    )
-    return d.join(month_end(counts, as_of), "month", "left").select(
+    d = d.select("active_date", "merchants",
+                 F.lag("merchants").over(Window.orderBy("active_date")).alias("prev_day_merchants"),
+                 F.trunc("active_date", "month").alias("month"))
+    whole_month = (Window.partitionBy("month").orderBy("active_date")
+                   .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return d.select(
         "active_date", "merchants", "prev_day_merchants", "month",
-        "end_of_month_merchants", "last_month_merchants")
+        F.last("merchants").over(whole_month).alias("end_of_month_merchants"),
+        F.first("prev_day_merchants").over(whole_month).alias("last_month_merchants"))
 
 
 def store_intervals(events: DataFrame, as_of=None, tiebreak: str = "cursor") -> DataFrame:
