@@ -97,7 +97,8 @@ def with_previous(subs: DataFrame, tiebreak: str = "cursor", bucketed: bool | No
 
 
 def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str = "createdat",
-                     tiebreak: str = "cursor", bucketed: bool | None = None) -> DataFrame:
+                     tiebreak: str = "cursor", bucketed: bool | None = None,
+                     month_flags: str | None = None) -> DataFrame:
     """For each point row, per column, the first non-NULL value in rank order (see module doc).
 
     ``points`` needs ``shopid`` and ``at``; ``subs`` needs ``shopid``,
@@ -113,14 +114,23 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     * kind 1 start marks at start, key ascending: ``first`` after t = next start;
     * kind 2 segment marks: ``last`` = the distance-0 segment holding t, if it
       has not ended;
-    * kind 3 open-interval marks, key ascending: ``first`` up to t = lowest key.
+    * kind 3 open-interval marks, key ascending: ``first`` up to t = lowest key;
+    * kinds 5 and 6 (only with ``month_flags``): month-start marks of the
+      column's month and of the month after it. The latest kind-5 (kind-6) mark
+      at or before t lies on t's month start exactly when some interval of the
+      shop has that column in t's month (in the month before): the two EXISTS
+      tests of the choice step, answered in the same pass (output columns
+      ``ended_same_month`` and ``ended_month_before``).
+
+    Points sort after marks at equal times (kind 9).
     """
     bucketed = resolve_bucketing(bucketed, (points, ["shopid"]), (subs, ["shopid"]))
     a, e, tb = F.col("activated_date"), F.col("actual_end_date"), F.col(tiebreak)
     closed = a.isNotNull() & e.isNotNull() & (a <= e)
     open_ = a.isNotNull() & e.isNull()
     n = len(cols)
-    s = (subs.where(closed | open_)
+    ok = closed | open_  # other rows only contribute month-flag marks
+    s = (subs.withColumn("_ok", ok)
          .withColumn("_E", F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp")))
          .withColumn("_key", F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb"))))
 
@@ -130,7 +140,9 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
                      day_bucket("activated_date") if bucketed else None,
                      **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)})
     starts = [F.greatest(a, F.col(f"_mx{i}")) for i in range(n)]
-    s = s.select("shopid", "_E", "_key", *cols, "activated_date", F.array(*starts).alias("_starts"))
+    fm = month_start(month_flags).cast("timestamp") if month_flags else F.lit(None).cast("timestamp")
+    s = s.select("shopid", "_E", "_key", *cols, F.when(ok, a).alias("_a"),
+                 F.array(*starts).alias("_starts"), fm.alias("_fm"))
 
     def seg_ok(i: int, c: str, t) -> Column:
         return F.col(c).isNotNull() & F.col("_E").isNotNull() & (F.col("_starts")[i] == t) & (t < F.col("_E"))
@@ -138,9 +150,12 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     # kind, time, payload builders per kind
     mark = F.explode(F.array_union(
         F.array(F.struct(F.lit(0).alias("k"), F.col("_E").alias("t")),
-                F.struct(F.lit(1).alias("k"), F.col("activated_date").alias("t")),
-                F.struct(F.lit(3).alias("k"), F.when(F.col("_E").isNull(), F.col("activated_date")).alias("t"))),
-        F.transform(F.array_distinct("_starts"), lambda x: F.struct(F.lit(2).alias("k"), x.alias("t"))),
+                F.struct(F.lit(1).alias("k"), F.col("_a").alias("t")),
+                F.struct(F.lit(3).alias("k"), F.when(F.col("_E").isNull(), F.col("_a")).alias("t")),
+                F.struct(F.lit(5).alias("k"), F.col("_fm").alias("t")),
+                F.struct(F.lit(6).alias("k"), F.add_months("_fm", 1).cast("timestamp").alias("t"))),
+        F.transform(F.array_distinct("_starts"),
+                    lambda x: F.struct(F.lit(2).alias("k"), F.when(F.col("_a").isNotNull(), x).alias("t"))),
     )).alias("m")
     m = s.select("shopid", "_E", "_key", "_starts", *cols, mark).where(F.col("m.t").isNotNull())
     kind, t = F.col("m.k"), F.col("m.t")
@@ -153,8 +168,9 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         *[F.when((kind == 2) & seg_ok(i, c, t), F.struct(F.col(c).alias("v"), F.col("_E").alias("end")))
           .alias(f"_seg{i}") for i, c in enumerate(cols)],
         *[F.when(kind == 3, F.col(c)).alias(f"_opn{i}") for i, c in enumerate(cols)],
+        F.when(kind == 5, t).alias("_mf1"), F.when(kind == 6, t).alias("_mf2"),
     )
-    pts = points.withColumn("_t", F.col(at)).withColumn("_kind", F.lit(4))
+    pts = points.withColumn("_t", F.col(at)).withColumn("_kind", F.lit(9))
     u = pts.unionByName(marks, allowMissingColumns=True)
 
     fills = {}
@@ -163,6 +179,9 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         fills[f"_fe{i}"] = ("ffill", f"_end{i}")
         fills[f"_fo{i}"] = ("first_nonnull", f"_opn{i}")
         fills[f"_fb{i}"] = ("bfill", f"_beg{i}")
+    if month_flags:
+        fills["_ff1"] = ("ffill", "_mf1")
+        fills["_ff2"] = ("ffill", "_mf2")
     order = [asc("_t"), asc("_kind"), desc("_dk"), asc("_ak")]
     f = ordered_scan(u, ["shopid"], order, day_bucket("_t") if bucketed else None, **fills)
     out = []
@@ -170,7 +189,11 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         seg = F.col(f"_fs{i}")
         inside = F.when(F.col("_t") < seg["end"], seg["v"])
         out.append(F.coalesce(inside, F.col(f"_fe{i}"), F.col(f"_fo{i}"), F.col(f"_fb{i}")).alias(c))
-    return f.where(F.col("_kind") == 4).select(*points.columns, *out)
+    if month_flags:
+        this_month = month_start("_t").cast("timestamp")
+        out.append(F.coalesce(F.col("_ff1") == this_month, F.lit(False)).alias("ended_same_month"))
+        out.append(F.coalesce(F.col("_ff2") == this_month, F.lit(False)).alias("ended_month_before"))
+    return f.where(F.col("_kind") == 9).select(*points.columns, *out)
 
 
 def end_month_flags(subs_prev: DataFrame) -> DataFrame:
@@ -190,7 +213,8 @@ def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str
     """One row per distinct payment with its ranked subscription values and neighbours."""
     pays = tx_numbered.select(*PAYMENT_KEYS).distinct()
     bucketed = resolve_bucketing(bucketed, (tx_numbered, ["shopid"]), (subs_prev, ["shopid"]))
-    near = cut(nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed), bucketed)
+    near = cut(nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed,
+                                month_flags="prev_actual_end_date"), bucketed)
     day = day_bucket("createdat") if bucketed else None
     near = ordered_scan(near, ["shopid"], [asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")],
                         day, prev_day_amount=("lag", "netamount"))
@@ -211,8 +235,11 @@ def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str
 
 def choose_attribution(matched: DataFrame, subs_prev: DataFrame) -> DataFrame:
     """Take the previous subscription's values on a same-amount repeat after a month change."""
-    flags = end_month_flags(subs_prev)
-    m = matched.withColumn("month", month_start("createdat")).join(flags, ["shopid", "month"], "left")
+    if "ended_same_month" in matched.columns:
+        m = matched
+    else:
+        flags = end_month_flags(subs_prev)
+        m = matched.withColumn("month", month_start("createdat")).join(flags, ["shopid", "month"], "left")
     hit = F.coalesce(
         (F.col("transactions_per_day") > 1)
         & ((F.col("ended_same_month") & (F.col("netamount") == F.col("prev_day_amount")))

@@ -121,7 +121,7 @@ def q_tx_subs_prev(spark, sf_dir):
 
 def q_tx_matched(spark, sf_dir):
     tx, s, split = _attr_inputs(spark, sf_dir)
-    return attribution.matched_payments(tx, s, bucketed=split)
+    return attribution.matched_payments(tx, s, bucketed=split).drop("ended_same_month", "ended_month_before")
 
 
 def q_tx_choice(spark, sf_dir):

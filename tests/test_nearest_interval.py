@@ -95,6 +95,24 @@ def test_equals_all_pairs_ranking(spark, seed):
             assert got[pid][c] == row[c], (seed, pid, c, got[pid][c], row[c])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_month_flags_equal_exists(spark, seed):
+    subs, pays = _case(seed + 100)
+    s = spark.createDataFrame(subs, SUB_SCHEMA)
+    p = spark.createDataFrame(pays, PAY_SCHEMA)
+    got = {r["pid"]: (r["ended_same_month"], r["ended_month_before"])
+           for r in nearest_interval(p, s, COLS, month_flags="actual_end_date").collect()}
+
+    def month(d):
+        return (d.year, d.month)
+
+    def before(d):
+        return (d.year - (d.month == 1), 12 if d.month == 1 else d.month - 1)
+    for shop, pid, t in pays:
+        ends = {month(x[2]) for x in subs if x[0] == shop and x[2] is not None}
+        assert got[pid] == (month(t) in ends, before(t) in ends), (seed, pid)
+
+
 def test_no_subscription_gives_nulls(spark):
     s = spark.createDataFrame([], SUB_SCHEMA)
     p = spark.createDataFrame([(1, 1, BASE)], PAY_SCHEMA)
