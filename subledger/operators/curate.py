@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.lineage import cut
 from ..sources import catalog, raw, sinks
 
 # Original casing first; the lower-case name is the fallback.
@@ -73,7 +74,10 @@ def curate(spark: SparkSession, bronze_path: str, curated_path: str, table: str
     good days (replacing those days), then registers the table when named.
     """
     bronze = raw.read_raw(spark, bronze_path)
-    good, report = curate_all(bronze)
+    _, report = curate_all(bronze)
+    # one row per day: materialise once, so the checks and the quarantine join share it
+    report = cut(report)
+    good = convert_datetimes(bronze).join(report.where(~F.col("ok")).select("dt"), "dt", "left_anti")
     summary = report.agg(F.count(F.lit(1)).alias("days"), F.count_if("ok").alias("good_days")).first()
     if not summary or summary["days"] == 0:
         raise CurateError(f"No partitions found under {bronze_path}")
