@@ -57,9 +57,14 @@ def stream_curate(spark: SparkSession, raw_path: str, curated_path: str, quarant
 
 
 def stream_dedup(spark: SparkSession, bronze_path: str, out_path: str, checkpoint: str,
-                 ts_col: str, key: str = "cursor", delay: str = "1 day",
+                 ts_col: str, key: str = "cursor", delay: str = "2 days",
                  max_files: int | None = None) -> None:
-    """Append each cursor once; state for a cursor is kept until the watermark passes it."""
+    """Append each cursor once; state for a cursor is kept until the watermark passes it.
+
+    ``delay`` must cover how late a row can land: Spark's dedup state drops rows
+    older than the watermark. The fetcher re-reads from the day before the latest
+    loaded day, so re-landed rows are at most about two days behind.
+    """
     src = _source(spark, bronze_path, max_files)
     deduped = src.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([key])
     _run(deduped, out_path, checkpoint)

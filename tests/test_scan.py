@@ -33,3 +33,19 @@ def test_bucketed_equals_plain(spark, seed, ascending):
     a = sorted((r.asDict() for r in plain.collect()), key=key)
     b = sorted((r.asDict() for r in split.collect()), key=key)
     assert a == b
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """One key with every row: the split scan runs it as many (key, bucket) partitions."""
+    rows = [(1, t, t, t % 7) for t in range(4000)]
+    df = spark.createDataFrame(rows, "k long, t long, tb long, v long")
+    out = ordered_scan(df, ["k"], [asc("t"), asc("tb")], F.floor(F.col("t") / 100), p=("lag", "v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny data: keep the split
+    try:
+        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(per_task) > 1
+    assert max(r["count"] for r in per_task) < 4000 * 0.6
+    lagged = {r["tb"]: r["p"] for r in out.collect()}
+    assert lagged[0] is None and all(lagged[t] == (t - 1) % 7 for t in range(1, 4000))
