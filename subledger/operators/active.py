@@ -6,9 +6,9 @@ Two interchangeable ways to count distinct active shops per day:
   (a map-side generator, no range join), then COUNT(DISTINCT shopid) by day,
   which Spark runs as partial aggregates on (day, shop) then (day).
 * ``sweep`` - overlapping intervals of a shop are merged (gaps and islands),
-  each island adds +1 on its first day and -1 after its last day, and one
-  running sum over the calendar gives the count. Emits O(intervals) rows
-  instead of O(active days).
+  each island adds +1 on its first day and -1 after its last day; a running
+  sum over the change days gives the count, and each constant run is spelled
+  out as its days. Shuffles O(intervals) rows instead of O(active days).
 
 Both only report days with at least one active shop, up to ``as_of``.
 The windows over all days / months are unpartitioned on purpose: their input
@@ -90,13 +90,15 @@ def _merchants_sweep(intervals: DataFrame, as_of, max_days: int) -> DataFrame:
                   F.struct(F.date_add("e", 1).alias("day"), F.lit(-1).alias("d")))).alias("x"))
               .groupBy(F.col("x.day").alias("active_date"))
               .agg(F.sum("x.d").alias("delta")))
-    span = deltas.agg(F.min("active_date").alias("lo"), F.max("active_date").alias("hi"))
-    calendar = span.select(F.explode(F.sequence("lo", "hi")).alias("active_date"))
-    running = F.sum(F.coalesce("delta", F.lit(0))).over(
-        Window.orderBy("active_date").rowsBetween(Window.unboundedPreceding, 0))
-    return (calendar.join(deltas, "active_date", "left")
-            .select("active_date", running.cast("bigint").alias("merchants"))
-            .where(F.col("merchants") > 0))
+    # running count at each change day, valid until the next change day
+    w = Window.orderBy("active_date")
+    runs = deltas.select(
+        "active_date",
+        F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint").alias("merchants"),
+        F.lead("active_date").over(w).alias("next_change"))
+    return (runs.where(F.col("merchants") > 0)
+            .select(F.explode(F.sequence("active_date", F.date_sub("next_change", 1))).alias("active_date"),
+                    "merchants"))
 
 
 def month_end(counts: DataFrame, as_of=None) -> DataFrame:
