@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..operators import curate, dedup, flatten, quality
+from ..operators import curate, dedup, flatten, landing, quality
 from ..session import work_path
 from ..sources import arrivals, catalog, pages, raw, sinks
 from ..streaming import jobs
@@ -40,6 +40,15 @@ def q_conform_events(spark, sf_dir):
     return sinks.conform(q_flatten_events(spark, sf_dir), "events")
 
 
+def q_ingest_pages(spark, sf_dir):
+    base = work_path(spark, "landed-transactions")
+    name = f"landed_transactions_{uuid.uuid4().hex[:8]}"
+    docs = fx.transaction_pages(spark, sf_dir)
+    landing.ingest_pages(spark, docs, "transactions", base, LANDING_AS_OF)           # first run: all days
+    landing.ingest_pages(spark, docs, "transactions", base, LANDING_AS_OF, table=name)  # re-fetch window only
+    return spark.table(name)
+
+
 def q_sanitize_text(spark, sf_dir):
     from ..functions.scalar import sanitize
     docs = fx.table(spark, sf_dir, "documents")
@@ -158,6 +167,7 @@ QUERIES = {
     "flatten_events": q_flatten_events,
     "conform_transactions": q_conform_transactions,
     "conform_events": q_conform_events,
+    "ingest_pages": q_ingest_pages,
     "sanitize_text": q_sanitize_text,
     "daily_overwrite": q_daily_overwrite,
     "list_partitions": q_list_partitions,

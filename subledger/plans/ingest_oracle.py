@@ -117,6 +117,7 @@ ORACLES = {
     "conform_events": _ev(_T),
     "sanitize_text": "SELECT doc_id, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM documents",
     "daily_overwrite": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
+    "ingest_pages": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
     "list_partitions": f"WITH {TX_TYPED}, {TX_DAYS} SELECT dt, count(*) AS rows FROM txd GROUP BY dt",
     "files_by_day": f"""WITH {TX_TYPED}, {TX_DAYS}
         SELECT dt, count(*) AS rows FROM txd GROUP BY dt""",
