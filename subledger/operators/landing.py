@@ -7,7 +7,6 @@ changes nothing; a run after new pages replaces only the days it touches.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +15,15 @@ from ..sources import catalog, pages, raw, sinks
 from .flatten import flatten
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def landed_days(spark: SparkSession, base: str) -> DataFrame | None:
     """The landed table, or ``None`` before the first landing."""
-    try:
-        return raw.read_raw(spark, base)
-    except AnalysisException as ex:
-        if "PATH_NOT_FOUND" in str(ex) or "UNABLE_TO_INFER_SCHEMA" in str(ex):
-            return None
-        raise
+    return raw.read_raw(spark, base) if _exists(spark, base) else None
 
 
 def ingest_pages(spark: SparkSession, docs: DataFrame, api_type: str, base: str, as_of=None,
