@@ -99,17 +99,24 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Ord], bucket: Colum
     specs = {n: (k, F.col(c) if isinstance(c, str) else c) for n, (k, c) in outputs.items()}
     fwd = [o.sort() for o in order]
     rev = [o.sort(reverse=True) for o in order]
-    part = list(keys) + (["_sb"] if bucket is not None else [])
-    src = df.withColumn("_sb", bucket) if bucket is not None else df
-    w = Window.partitionBy(*part).orderBy(*fwd)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*fwd)
+        rback = Window.partitionBy(*keys).orderBy(*rev).rowsBetween(UNB, 0)
+        local = [_local(k, c, w, w.rowsBetween(UNB, 0), rback, w.rowsBetween(UNB, -1)).alias(n)
+                 for n, (k, c) in specs.items()]
+        return df.select(*[F.col(c) for c in df.columns], *local)
+
+    # One struct column (keys..., bucket) partitions the window, groups the
+    # summary and joins the carry back, so the rows are shuffled once: the join
+    # reuses the window's partitioning and only the small carry table moves.
+    # Struct equality matches NULL fields, so NULL keys keep their carry.
+    kf = [f"k{i}" for i in range(len(keys))]
+    src = df.withColumn("_pk", F.struct(*[F.col(k).alias(f) for k, f in zip(keys, kf)], bucket.alias("b")))
+    w = Window.partitionBy("_pk").orderBy(*fwd)
     back = w.rowsBetween(UNB, 0)
     before = w.rowsBetween(UNB, -1)
-    rback = Window.partitionBy(*part).orderBy(*rev).rowsBetween(UNB, 0)
+    rback = Window.partitionBy("_pk").orderBy(*rev).rowsBetween(UNB, 0)
     local = [_local(k, c, w, back, rback, before).alias(f"_l_{n}") for n, (k, c) in specs.items()]
-    if bucket is None:
-        out = src.select("*", *local)
-        return out.select(*df.columns, *[F.col(f"_l_{n}").alias(n) for n in specs])
-
     x = src.select("*", F.lag(F.lit(1)).over(w).isNull().alias("_sf"),
                    F.lead(F.lit(1)).over(w).isNull().alias("_sl"), *local)
 
@@ -131,12 +138,14 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Ord], bucket: Colum
             aggs.append(F.struct(F.max(c).alias("v")).alias(f"_s_{n}"))
         else:  # ffill, first_nonnull, cummax: the local value at the bucket's last row
             aggs.append(at("_sl", lc).alias(f"_s_{n}"))
-    summary = x.groupBy(*part).agg(*aggs)
+    summary = x.groupBy("_pk").agg(*aggs)
 
     # buckets ascend along the order; NULL buckets sit where the order puts NULLs
     nl = order[0].nulls_last
-    ws = Window.partitionBy(*keys).orderBy(F.col("_sb").asc_nulls_last() if nl else F.col("_sb").asc_nulls_first())
-    wsr = Window.partitionBy(*keys).orderBy(F.col("_sb").desc_nulls_first() if nl else F.col("_sb").desc_nulls_last())
+    b = F.col("_pk")["b"]
+    by_key = Window.partitionBy(*[F.col("_pk")[f] for f in kf])
+    ws = by_key.orderBy(b.asc_nulls_last() if nl else b.asc_nulls_first())
+    wsr = by_key.orderBy(b.desc_nulls_first() if nl else b.desc_nulls_last())
     prior = ws.rowsBetween(UNB, -1)
     carry = []
     for n, (k, _) in specs.items():
@@ -156,10 +165,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Ord], bucket: Colum
         else:  # cumsum
             v = F.sum(s["v"]).over(prior)
         carry.append(v.alias(f"_c_{n}"))
-    ck = [f"_ck{i}" for i in range(len(part))]
-    carried = summary.select(*[F.col(p).alias(c) for p, c in zip(part, ck)], *carry)
-    cond = [x[p].eqNullSafe(carried[c]) for p, c in zip(part, ck)]
-    j = x.join(carried, cond, "left")
+    carried = summary.select(F.col("_pk").alias("_ck"), *carry)
+    j = x.join(carried, x["_pk"] == carried["_ck"], "left")
 
     final = []
     for n, (k, _) in specs.items():

@@ -68,3 +68,15 @@ def test_explode_equals_sweep_and_bounded_by_shops(spark):
 def test_each_payment_once(spark):
     df = E.queries()["tx_attributed"](spark, SMALL)
     assert df.count() == df.select("id").distinct().count() == fx.payments(spark, SMALL).count()
+
+
+def test_month_flags_in_pass_equal_join_fallback(spark):
+    """EXISTS flags from the marks pass equal the (shop, month) join used without them."""
+    from subledger.operators import attribution as A
+    pay = fx.payments(spark, SMALL)
+    subs = A.with_previous(timeline.timeline_intervals(fx.subscription_events(spark, SMALL), fx.EVENTS_AS_OF))
+    tx = A.numbered_transactions(pay)
+    matched = A.matched_payments(tx, subs)
+    with_flags = A.choose_attribution(matched, subs)
+    via_join = A.choose_attribution(matched.drop("ended_same_month", "ended_month_before"), subs)
+    assert sorted(map(tuple, with_flags.collect())) == sorted(map(tuple, via_join.collect()))
