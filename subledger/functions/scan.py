@@ -62,13 +62,32 @@ def desc(col, nulls_last: bool = True) -> Ord:
     return Ord(col, False, nulls_last)
 
 
-def day_bucket(col: str | Column) -> Column:
+# Bucket sizes of the split path (session confs; defaults in brackets):
+#   subledger.scan.bucketSeconds   [86400]  width of time buckets
+#   subledger.scan.idBucketWidth   [2^20]   ids per id-range bucket
+BUCKET_SECONDS_CONF = "subledger.scan.bucketSeconds"
+ID_WIDTH_CONF = "subledger.scan.idBucketWidth"
+DEFAULT_BUCKET_SECONDS = 86400
+DEFAULT_ID_WIDTH = 1 << 20
+
+
+def time_bucket(col: str | Column, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
+    """Fixed-width time buckets (monotone in the time column)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.to_date(c)
+    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000))
+
+
+def day_bucket(col: str | Column, spark=None) -> Column:
+    """Time buckets of the session's width (one day unless configured)."""
+    seconds = int(spark.conf.get(BUCKET_SECONDS_CONF, str(DEFAULT_BUCKET_SECONDS))) if spark else \
+        DEFAULT_BUCKET_SECONDS
+    return time_bucket(col, seconds)
 
 
-def range_bucket(col: str | Column, width: int) -> Column:
+def range_bucket(col: str | Column, width: int = DEFAULT_ID_WIDTH, spark=None) -> Column:
     """Id-range buckets: at most ``width`` distinct ids per bucket, whatever the skew."""
+    if spark is not None:
+        width = int(spark.conf.get(ID_WIDTH_CONF, str(width)))
     c = F.col(col) if isinstance(col, str) else col
     return F.floor(c / F.lit(width))
 

@@ -58,8 +58,6 @@ ATTR_COLS = (
 PAYMENT_KEYS = ("createdat", "id", "_id", "netamount", "prev_netamount", "shopid")
 CHOSEN = (("pricing_plan", "prev_pricing_plan"), ("chargeamount", "prev_chargeamount"),
           ("activated_date", "prev_activated_date"), ("actual_end_date", "prev_actual_end_date"))
-# Width of the id ranges that bucket scans in id order (at most this many ids per bucket).
-ID_BUCKET_WIDTH = 1 << 20
 
 
 def _id_order() -> list[Ord]:
@@ -67,8 +65,8 @@ def _id_order() -> list[Ord]:
     return [asc("_id"), asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")]
 
 
-def _id_bucket(bucketed: bool):
-    return range_bucket("_id", ID_BUCKET_WIDTH) if bucketed else None
+def _id_bucket(bucketed: bool, spark):
+    return range_bucket("_id", spark=spark) if bucketed else None
 
 
 def numbered_transactions(tx: DataFrame, shop=None, bucketed: bool | None = None) -> DataFrame:
@@ -78,7 +76,7 @@ def numbered_transactions(tx: DataFrame, shop=None, bucketed: bool | None = None
         t = t.where(F.col("shopid") == F.lit(shop))
     bucketed = resolve_bucketing(bucketed, (t, ["shopid"]))
     return ordered_scan(t, ["shopid"], [asc("_id"), asc("id"), asc("createdat"), asc("netamount")],
-                        _id_bucket(bucketed), prev_netamount=("lag", "netamount"))
+                        _id_bucket(bucketed, t.sparkSession), prev_netamount=("lag", "netamount"))
 
 
 def with_previous(subs: DataFrame, tiebreak: str = "cursor", bucketed: bool | None = None) -> DataFrame:
@@ -91,7 +89,7 @@ def with_previous(subs: DataFrame, tiebreak: str = "cursor", bucketed: bool | No
     bucketed = resolve_bucketing(bucketed, (base, ["shopid"]))
     return ordered_scan(
         base, ["shopid"], [asc("activated_date"), asc(tiebreak)],
-        day_bucket("activated_date") if bucketed else None,
+        day_bucket("activated_date", base.sparkSession) if bucketed else None,
         prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"),
         prev_activated_date=("lag", "activated_date"), prev_actual_end_date=("lag", "actual_end_date"))
 
@@ -137,7 +135,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     # Running max of E over earlier intervals (key order) that have the column.
     s = s.select("*", *[F.when(F.col(c).isNotNull(), F.col("_E")).alias(f"_ce{i}") for i, c in enumerate(cols)])
     s = ordered_scan(s, ["shopid"], [asc("activated_date"), asc("actual_end_date"), asc(tiebreak)],
-                     day_bucket("activated_date") if bucketed else None,
+                     day_bucket("activated_date", s.sparkSession) if bucketed else None,
                      **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)})
     starts = [F.greatest(a, F.col(f"_mx{i}")) for i in range(n)]
     fm = month_start(month_flags).cast("timestamp") if month_flags else F.lit(None).cast("timestamp")
@@ -183,7 +181,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         fills["_ff1"] = ("ffill", "_mf1")
         fills["_ff2"] = ("ffill", "_mf2")
     order = [asc("_t"), asc("_kind"), desc("_dk"), asc("_ak")]
-    f = ordered_scan(u, ["shopid"], order, day_bucket("_t") if bucketed else None, **fills)
+    f = ordered_scan(u, ["shopid"], order, day_bucket("_t", u.sparkSession) if bucketed else None, **fills)
     out = []
     for i, c in enumerate(cols):
         seg = F.col(f"_fs{i}")
@@ -215,7 +213,7 @@ def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str
     bucketed = resolve_bucketing(bucketed, (tx_numbered, ["shopid"]), (subs_prev, ["shopid"]))
     near = cut(nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed,
                                 month_flags="prev_actual_end_date"), bucketed)
-    day = day_bucket("createdat") if bucketed else None
+    day = day_bucket("createdat", near.sparkSession) if bucketed else None
     near = ordered_scan(near, ["shopid"], [asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")],
                         day, prev_day_amount=("lag", "netamount"))
     near = ordered_scan(near.withColumn("_sec", F.unix_timestamp("createdat")), ["shopid"],
@@ -266,14 +264,14 @@ def carry_forward(labelled: DataFrame, bucketed: bool | None = None) -> DataFram
     """Same net amount as the previous payment -> previous row's plan, amount and dates (one step)."""
     bucketed = resolve_bucketing(bucketed, (labelled, ["shopid"]))
     keep = ("pricing_plan", "chargeamount", "activated_date", "actual_end_date")
-    lagged = ordered_scan(labelled, ["shopid"], _id_order(), _id_bucket(bucketed),
+    lagged = ordered_scan(labelled, ["shopid"], _id_order(), _id_bucket(bucketed, labelled.sparkSession),
                           **{f"_p_{c}": ("lag", c) for c in keep})
     same = F.col("netamount") == F.col("prev_netamount")
     cf = lagged.select(
         "createdat", "month", "id", "_id", "netamount", "prev_netamount", "next_day_amount", "shopid",
         "transactions_per_day",
         *[F.when(same, F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c) for c in keep])
-    return ordered_scan(cf, ["shopid"], _id_order(), _id_bucket(bucketed),
+    return ordered_scan(cf, ["shopid"], _id_order(), _id_bucket(bucketed, cf.sparkSession),
                         prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"))
 
 

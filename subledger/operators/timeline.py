@@ -35,7 +35,7 @@ def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
     bucketed = resolve_bucketing(bucketed, (ev, ["shopid"]))
     return ordered_scan(
         ev, ["shopid", "chargeid"], [asc("occurredat"), asc(tiebreak)],
-        day_bucket("occurredat") if bucketed else None,
+        day_bucket("occurredat", ev.sparkSession) if bucketed else None,
         activated_date=("first_nonnull", "occurredat"),
         deactivated_date=("lead", "occurredat"))
 
@@ -49,7 +49,7 @@ def timeline_intervals(events: DataFrame, as_of=None, shop=None, free_label: str
     starts = ranked.where(F.col("eventtype").isin(*S.INTERVAL_START_EVENTS))
     nxt = ordered_scan(
         starts, ["shopid"], [asc("activated_date"), asc("occurredat"), asc(tiebreak)],
-        day_bucket("activated_date") if bucketed else None,
+        day_bucket("activated_date", starts.sparkSession) if bucketed else None,
         next_activation=("lead", "activated_date"))
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")
     return nxt.select(

@@ -68,15 +68,22 @@ def test_entry_smoke(spark):
 SPLIT_PATH = ["timeline_intervals", "daily_active_sweep", "store_daily_active", "tx_attributed", "tx_matched"]
 
 
+FINE = {"subledger.scan.bucketSeconds": "3600", "subledger.scan.idBucketWidth": "1000"}
+
+
+@pytest.mark.parametrize("fine", [False, True], ids=["day-buckets", "hour-buckets"])
 @pytest.mark.parametrize("name", SPLIT_PATH)
-def test_hot_key_path_matches_oracle(spark, con, name):
+def test_hot_key_path_matches_oracle(spark, con, name, fine):
     """With the hot-key threshold at 0 every scan takes the bucketed two-level path."""
-    spark.conf.set("subledger.scan.hotKeyRows", "0")
+    confs = {"subledger.scan.hotKeyRows": "0", **(FINE if fine else {})}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
     try:
         df = E.queries()[name](spark, SMALL)
         srows = [tuple(r) for r in df.collect()]
     finally:
-        spark.conf.unset("subledger.scan.hotKeyRows")
+        for k in confs:
+            spark.conf.unset(k)
     res = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert _rows(df.columns, srows) == _rows(ocols, res.fetchall())
