@@ -59,8 +59,9 @@ def _cursor(id_col: str) -> Column:
 
 
 def _shifted_ts(col: str) -> Column:
-    # Fixture times are timestamp_ntz; read them as UTC instants, move 15 days.
-    return F.col(col).cast("timestamp") + F.expr("INTERVAL 15 DAYS")
+    # Fixture times are wall-clock (timestamp_ntz): move them 15 calendar days,
+    # then read them as instants of the session time zone.
+    return (F.col(col) + F.expr("INTERVAL 15 DAYS")).cast("timestamp")
 
 
 def billing_events(spark: SparkSession, sf_dir: str, mapping: dict[str, str] | None = None) -> DataFrame:
@@ -125,11 +126,12 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscription intervals from ``orders`` (daily active fixture)."""
     o = table(spark, sf_dir, "orders")
-    start = F.col("o_orderdate").cast("timestamp")
+    start = F.col("o_orderdate")
+    end = start + F.make_dt_interval(days=(F.col("o_orderkey") % 60).cast("int"))
     return o.select(
         F.col("o_custkey").alias("shopid"),
-        start.alias("activated_date"),
-        (start + F.make_dt_interval(days=(F.col("o_orderkey") % 60).cast("int"))).alias("actual_end_date"),
+        start.cast("timestamp").alias("activated_date"),
+        end.cast("timestamp").alias("actual_end_date"),
     )
 
 

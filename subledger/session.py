@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, app: str = "subledger",
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, local_memory: str = "12g") -> SparkSession:
     """Session with AQE on, UTC clock and no UI.
 
     On a cluster pass ``master=None`` and let spark-submit decide; the
@@ -34,8 +34,10 @@ def build_session(master: str | None = None, app: str = "subledger",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
         # one machine, small test tables: let AQE keep shuffle partitions of ~64 KB
-        # instead of merging every small shuffle into a single task
-        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # instead of merging every small shuffle into a single task; in local mode
+        # the driver JVM is also the executor, so give it a real heap
+        builder = (builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+                   .config("spark.driver.memory", local_memory))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
