@@ -10,7 +10,9 @@ Two interchangeable ways to count distinct active shops per day:
   sum over the change days gives the count, and each constant run is spelled
   out as its days. Shuffles O(intervals) rows instead of O(active days).
 
-Both only report days with at least one active shop, up to ``as_of``.
+Both only report days with at least one active shop, up to ``as_of``. The
+sweep is the default (about 2.5x faster at sf0.1 and far smaller shuffles at
+scale); ``method="explode"`` is the literal expansion.
 The windows over all days / months are unpartitioned on purpose: their input
 is at most one row per calendar day, bounded by the date span, not the data.
 """
@@ -65,7 +67,7 @@ def interval_days(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERV
 
 
 def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS,
-                     method: str = "explode") -> DataFrame:
+                     method: str = "sweep") -> DataFrame:
     """(active_date, merchants) for every day with at least one active shop."""
     if method == "explode":
         days = interval_days(intervals, as_of, max_days)
@@ -111,7 +113,7 @@ def month_end(counts: DataFrame, as_of=None) -> DataFrame:
 
 
 def daily_active(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS,
-                 method: str = "explode") -> DataFrame:
+                 method: str = "sweep") -> DataFrame:
     """Daily merchants with previous day, month, month-end and previous month-end.
 
     All from windows over the day table (at most one row per calendar day):

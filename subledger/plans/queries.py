@@ -75,7 +75,7 @@ def q_daily_active_sweep(spark, sf_dir):
 
 
 def q_month_end(spark, sf_dir):
-    counts = active.merchants_by_day(fx.order_intervals(spark, sf_dir), fx.ORDERS_AS_OF)
+    counts = active.merchants_by_day(fx.order_intervals(spark, sf_dir), fx.ORDERS_AS_OF, method="sweep")
     return active.month_end(counts, fx.ORDERS_AS_OF)
 
 
