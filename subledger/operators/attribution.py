@@ -38,8 +38,10 @@ Subscriptions whose end precedes their start (only possible when ``as_of``
 is earlier than the events) are outside this contract and are skipped.
 
 The later steps (lag/lead over payments, counts per shop-day) are windows over
-one row per distinct payment; EXISTS over an array becomes a join with the
-distinct (shop, month) set of previous-interval end months.
+one row per distinct payment. The two EXISTS tests over the array of previous
+end dates ("ended this month" / "the month before") are answered by month
+marks in the same pass (``month_flags``); ``end_month_flags`` gives the same
+flags as a (shop, month) join for callers that bring their own matches.
 """
 
 from __future__ import annotations
@@ -128,8 +130,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     open_ = a.isNotNull() & e.isNull()
     n = len(cols)
     ok = closed | open_  # other rows only contribute month-flag marks
-    s = (subs.withColumn("_ok", ok)
-         .withColumn("_E", F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp")))
+    s = (subs.withColumn("_E", F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp")))
          .withColumn("_key", F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb"))))
 
     # Running max of E over earlier intervals (key order) that have the column.
@@ -223,12 +224,11 @@ def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str
         # rows are already clustered by shop, so a (shop, day) window adds no shuffle
         per_day = Window.partitionBy("shopid", F.to_date("createdat"))
         return near.withColumn("transactions_per_day", F.count("id").over(per_day))
-    # hot shop: a grouped count per shop-day joined back (partial counts, no per-key task)
-    near = near.withColumn("_day", F.to_date("createdat"))
-    counts = (near.groupBy(F.col("shopid").alias("_s"), F.col("_day").alias("_d"))
-              .agg(F.count("id").alias("transactions_per_day")))
-    j = near.join(counts, near["shopid"].eqNullSafe(counts["_s"]) & near["_day"].eqNullSafe(counts["_d"]))
-    return j.drop("_s", "_d", "_day")
+    # hot shop: a grouped count per shop-day joined back (partial counts, no per-key task);
+    # one struct key, whose equality matches NULL fields, keeps the join a plain equi-join
+    near = near.withColumn("_sd", F.struct("shopid", F.to_date("createdat").alias("d")))
+    counts = near.groupBy(F.col("_sd").alias("_sd2")).agg(F.count("id").alias("transactions_per_day"))
+    return near.join(counts, near["_sd"] == counts["_sd2"]).drop("_sd", "_sd2")
 
 
 def choose_attribution(matched: DataFrame, subs_prev: DataFrame) -> DataFrame:
