@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.lineage import cut
 from ..functions.scalar import as_of_date, relationship_status
 from ..functions.scan import asc, day_bucket, ordered_scan, resolve_bucketing
 
@@ -80,8 +81,9 @@ def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INT
 def _merchants_sweep(intervals: DataFrame, as_of, max_days: int) -> DataFrame:
     r = day_ranges(intervals, as_of, max_days).select("shopid", "first_day", "last_day")
     order = [asc("first_day"), asc("last_day")]
-    month = day_bucket("first_day", r.sparkSession) if resolve_bucketing(None, (r, ["shopid"])) else None
-    r = ordered_scan(r, ["shopid"], order, month, reach=("cummax_before", "last_day"))
+    split = resolve_bucketing(None, (r, ["shopid"]))
+    month = day_bucket("first_day", r.sparkSession) if split else None
+    r = cut(ordered_scan(r, ["shopid"], order, month, reach=("cummax_before", "last_day")), split)
     r = r.withColumn("starts_island",
                      F.when(F.col("reach").isNull() | (F.col("first_day") > F.col("reach")), 1).otherwise(0))
     r = ordered_scan(r, ["shopid"], order, month, island=("cumsum", "starts_island"))
@@ -144,9 +146,10 @@ def store_intervals(events: DataFrame, as_of=None, tiebreak: str = "cursor") ->
     first = ev.groupBy("shopid").agg(F.min("occurredat").alias("first_install"))
     st = (ev.withColumn("status", relationship_status("eventtype")).where(F.col("status").isNotNull())
           .select("shopid", "shopdomain", "occurredat", "status", tiebreak))
-    day = day_bucket("occurredat", st.sparkSession) if resolve_bucketing(None, (st, ["shopid"])) else None
-    st = ordered_scan(st, ["shopid"], [asc("occurredat"), asc(tiebreak)], day,
-                      next_status_at=("lead", "occurredat"))
+    split = resolve_bucketing(None, (st, ["shopid"]))
+    day = day_bucket("occurredat", st.sparkSession) if split else None
+    st = cut(ordered_scan(st, ["shopid"], [asc("occurredat"), asc(tiebreak)], day,
+                          next_status_at=("lead", "occurredat")), split)
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")
     spans = (st.where(F.col("status") == S.STATUS_ACTIVE)
              .select("shopid", "shopdomain", F.col("occurredat").alias("activated_date"),

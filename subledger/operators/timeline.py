@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.lineage import cut
 from ..functions.scalar import as_of_date, interval_end, pricing_plan, subscription_event
 from ..functions.scan import asc, day_bucket, ordered_scan, resolve_bucketing
 
@@ -45,7 +46,7 @@ def timeline_intervals(events: DataFrame, as_of=None, shop=None, free_label: str
     """One interval per ACTIVATED / UNFROZEN event: [activated_date, actual_end_date]."""
     if bucketed is None:
         bucketed = resolve_bucketing(None, (events.where(subscription_event("eventtype")), ["shopid"]))
-    ranked = timeline_events(events, shop, tiebreak, bucketed)
+    ranked = cut(timeline_events(events, shop, tiebreak, bucketed), bucketed)
     starts = ranked.where(F.col("eventtype").isin(*S.INTERVAL_START_EVENTS))
     nxt = ordered_scan(
         starts, ["shopid"], [asc("activated_date"), asc("occurredat"), asc(tiebreak)],
