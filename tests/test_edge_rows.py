@@ -163,3 +163,12 @@ def test_daily_write_is_idempotent_and_keeps_other_days(spark, tmp_path):
     latest = raw.latest_partition(raw.read_raw(spark, base), dt.date(2024, 1, 3)).first()[0]
     assert latest == dt.date(2024, 1, 2)
     assert [r["cursor"] for r in raw.read_latest(raw.read_raw(spark, base), dt.date(2024, 1, 3)).collect()] == ["b"]
+
+
+def test_curate_fails_when_no_day_is_good(spark, tmp_path):
+    from subledger.operators.curate import CurateError, curate
+    base = str(tmp_path / "raw")
+    (spark.createDataFrame([("not a time", "c1"), ("never", "c2")], "occurredAt string, cursor string")
+     .withColumn("dt", F.lit(dt.date(2024, 1, 1))).write.partitionBy("dt").parquet(base))
+    with pytest.raises(CurateError):
+        curate(spark, base, str(tmp_path / "curated"))
