@@ -34,6 +34,10 @@ def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
     ev = ev.where(F.col("shopid").isNotNull()).select(
         "eventtype", "occurredat", "shopid", "shopdomain", "chargename", "chargeid", "chargeamount", tiebreak)
     bucketed = resolve_bucketing(bucketed, (ev, ["shopid"]))
+    if not bucketed:
+        # cluster by shop once: the (shop, charge) window and every later per-shop
+        # window (next activation, attribution) then need no further shuffle
+        ev = ev.repartition("shopid")
     return ordered_scan(
         ev, ["shopid", "chargeid"], [asc("occurredat"), asc(tiebreak)],
         day_bucket("occurredat", ev.sparkSession) if bucketed else None,
