@@ -45,21 +45,20 @@ def build_session(master: str | None = None, app: str = "subledger",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset.
+    """Return the shared checkpoint folder, creating a local one only when none is set.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that is used as
-    is. Only a session without one (local tests) gets a fresh temp folder.
+    A cluster names a shared folder in ``spark.checkpoint.dir`` and Spark applies
+    it when the context starts; that folder is used as is. Only a session
+    without one (local tests) gets a fresh temp folder, through the context API
+    (the config itself cannot be changed at run time).
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="subledger-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="subledger-ckpt-"))
+        current = sc.getCheckpointDir()
+    return current
 
 
 def work_path(spark: SparkSession, name: str) -> str:
