@@ -52,8 +52,12 @@ def _balanced(df: DataFrame) -> DataFrame:
     On a cluster the interval table already spans many splits and this is a
     no-op; a single small file would otherwise explode in one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def interval_days(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS) -> DataFrame:
