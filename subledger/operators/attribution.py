@@ -130,11 +130,12 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     open_ = a.isNotNull() & e.isNull()
     n = len(cols)
     ok = closed | open_  # other rows only contribute month-flag marks
-    s = (subs.withColumn("_E", F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp")))
-         .withColumn("_key", F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb"))))
+    big_e = F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp"))
+    s = subs.select("*", big_e.alias("_E"),
+                    F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb")).alias("_key"),
+                    *[F.when(F.col(c).isNotNull(), big_e).alias(f"_ce{i}") for i, c in enumerate(cols)])
 
     # Running max of E over earlier intervals (key order) that have the column.
-    s = s.select("*", *[F.when(F.col(c).isNotNull(), F.col("_E")).alias(f"_ce{i}") for i, c in enumerate(cols)])
     s = ordered_scan(s, ["shopid"], [asc("activated_date"), asc("actual_end_date"), asc(tiebreak)],
                      day_bucket("activated_date", s.sparkSession) if bucketed else None,
                      **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)})
@@ -169,7 +170,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         *[F.when(kind == 3, F.col(c)).alias(f"_opn{i}") for i, c in enumerate(cols)],
         F.when(kind == 5, t).alias("_mf1"), F.when(kind == 6, t).alias("_mf2"),
     )
-    pts = points.withColumn("_t", F.col(at)).withColumn("_kind", F.lit(9))
+    pts = points.select("*", F.col(at).alias("_t"), F.lit(9).alias("_kind"))
     u = pts.unionByName(marks, allowMissingColumns=True)
 
     fills = {}
@@ -217,9 +218,9 @@ def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str
     day = day_bucket("createdat", near.sparkSession) if bucketed else None
     near = ordered_scan(near, ["shopid"], [asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")],
                         day, prev_day_amount=("lag", "netamount"))
-    near = ordered_scan(near.withColumn("_sec", F.unix_timestamp("createdat")), ["shopid"],
-                        [asc("_sec"), asc("id"), asc("netamount"), asc("prev_netamount")],
-                        day, next_day_amount=("lead", "netamount")).drop("_sec")
+    near = ordered_scan(near, ["shopid"],
+                        [asc(F.unix_timestamp("createdat")), asc("id"), asc("netamount"), asc("prev_netamount")],
+                        day, next_day_amount=("lead", "netamount"))
     if not bucketed:
         # rows are already clustered by shop, so a (shop, day) window adds no shuffle
         per_day = Window.partitionBy("shopid", F.to_date("createdat"))
