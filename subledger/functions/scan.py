@@ -6,17 +6,19 @@ a key holding a third of the data would make that task a third of the job.
 two levels:
 
 1. the window runs per ``(key, bucket)``, where ``bucket`` is a monotone
-   function of the order (a day of the time column, a range of ids), so a hot
-   key is spread over many tasks;
+   function of the order (a time bucket, a range of ids), so a hot key is
+   spread over many tasks;
 2. each bucket is summarised by its first and last row (one row per bucket),
    a window over those few summary rows per key carries values across bucket
-   boundaries, and the carry is joined back on ``(key, bucket)``.
+   boundaries, and the carry is joined back on ``(key, bucket)``. One struct
+   column holds ``(key, bucket)`` for the window, the summary and the join, so
+   the rows are shuffled once and only the carry table moves for the join.
 
 Results equal the single-level window exactly when ``bucket`` never decreases
-along the order. Summary rows per key are bounded by the bucket count (days in
-the data, or id range / width), not by the rows of the key. Passing
-``bucket=None`` runs the plain single-level window (for inputs already bounded
-per key, e.g. one row per shop and month).
+along the order. Summary rows per key are bounded by the bucket count, not by
+the rows of the key. ``bucket=None`` runs the plain single-level window: the
+jobs pick it when ``has_hot_key`` finds no key above the threshold, and for
+inputs bounded per key anyway (one row per shop and month).
 
 Output kinds (``name=(kind, column)``):
   lag, lead            value of the previous / next row (NULLs included)
