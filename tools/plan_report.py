@@ -42,6 +42,11 @@ def main() -> None:
         details += [f"### {name}", "", "* pushed filters: " + ("; ".join(pushed) or "none"),
                     "* read schemas: " + "; ".join(f"`{s}`" for s in schemas),
                     "* exchanges: " + ("; ".join(f"`{p.split(', ENSURE')[0]}`" for p in parts) or "none"), ""]
+    # the operator tree of the attribution job (plain path), as Spark prints it
+    text = registered()["tx_attributed"](spark, sf_dir)._jdf.queryExecution().explainString(mode)
+    tree = text.split("\n\n\n")[0]
+    out += ["", "## Operator tree of `tx_attributed` (plain path)", "", "```", tree.strip(), "```"]
+
     # the same jobs on the hot-key path (every per-shop scan split into buckets)
     spark.conf.set("subledger.scan.hotKeyRows", "0")
     out += ["", "## Hot-key path (`subledger.scan.hotKeyRows=0`)", "",
