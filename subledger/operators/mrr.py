@@ -116,10 +116,13 @@ def mrr_monthly(tx: DataFrame, as_of=None) -> DataFrame:
     m = F.col("month")
     # The second test compares with the untruncated date + 1 month (true only on day 1).
     zero_churn = (m == F.trunc(today, "month")) | (m == F.add_months(today, 1))
+    # one row per month (bounded by the calendar): sort it in one partition rather
+    # than range-partition it, which would cost a sampling job
     return (by_month
             .withColumn("churn_mrr", F.when(zero_churn, _zero()).otherwise(F.col("churn_sum")))
             .drop("churn_sum")
-            .orderBy("month"))
+            .repartition(1)
+            .sortWithinPartitions("month"))
 
 
 def cumulative_revenue(tx: DataFrame) -> DataFrame:
