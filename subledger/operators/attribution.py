@@ -170,7 +170,10 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         *[F.when(kind == 3, F.col(c)).alias(f"_opn{i}") for i, c in enumerate(cols)],
         F.when(kind == 5, t).alias("_mf1"), F.when(kind == 6, t).alias("_mf2"),
     )
-    pts = points.select("*", F.col(at).alias("_t"), F.lit(9).alias("_kind"))
+    # A payment without a time is 999999 days from every interval, so the lowest
+    # key wins: placed before every mark, the forward fill finds exactly that.
+    first_ts = F.lit("0001-01-01 00:00:00").cast("timestamp")
+    pts = points.select("*", F.coalesce(F.col(at), first_ts).alias("_t"), F.lit(9).alias("_kind"))
     u = pts.unionByName(marks, allowMissingColumns=True)
 
     fills = {}
@@ -190,7 +193,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         inside = F.when(F.col("_t") < seg["end"], seg["v"])
         out.append(F.coalesce(inside, F.col(f"_fe{i}"), F.col(f"_fo{i}"), F.col(f"_fb{i}")).alias(c))
     if month_flags:
-        this_month = month_start("_t").cast("timestamp")
+        this_month = month_start(at).cast("timestamp")
         out.append(F.coalesce(F.col("_ff1") == this_month, F.lit(False)).alias("ended_same_month"))
         out.append(F.coalesce(F.col("_ff2") == this_month, F.lit(False)).alias("ended_month_before"))
     return f.where(F.col("_kind") == 9).select(*points.columns, *out)

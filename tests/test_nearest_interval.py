@@ -34,6 +34,8 @@ PAY_SCHEMA = T.StructType([
 
 
 def _distance(t, a, e):
+    if t is None:
+        return 999999
     if a is not None and e is not None and a <= t <= e:
         return 0
     if e is not None and t > e:
@@ -113,6 +115,19 @@ def test_month_flags_equal_exists(spark, seed):
         assert got[pid] == (month(t) in ends, before(t) in ends), (seed, pid)
 
 
+def test_null_payment_time_takes_lowest_key(spark):
+    subs, pays = _case(7)
+    pays = pays + [(shop, 10_000 + shop, None) for shop in range(4)]
+    s = spark.createDataFrame(subs, SUB_SCHEMA)
+    p = spark.createDataFrame(pays, PAY_SCHEMA)
+    got = {r["pid"]: r.asDict() for r in nearest_interval(p, s, COLS, month_flags="actual_end_date").collect()}
+    want = brute(pays, subs)
+    for pid, row in want.items():
+        for c in COLS:
+            assert got[pid][c] == row[c], (pid, c)
+    assert all(not got[10_000 + shop]["ended_same_month"] for shop in range(4))
+
+
 def test_no_subscription_gives_nulls(spark):
     s = spark.createDataFrame([], SUB_SCHEMA)
     p = spark.createDataFrame([(1, 1, BASE)], PAY_SCHEMA)
