@@ -35,7 +35,7 @@ def mrr_components(rev: DataFrame, keep=()) -> DataFrame:
     The window sees one row per (shop, month), so even the largest shop is
     bounded by its number of months.
     """
-    w = Window.partitionBy("shopid").orderBy("month")
+    w = Window.partitionBy("shopid").orderBy(F.col("month").asc_nulls_last())
     prev = F.lag("revenue").over(w)
     r = rev.withColumn("prev_month_revenue", prev)
     revenue, p = F.col("revenue"), F.col("prev_month_revenue")
@@ -87,7 +87,7 @@ def mrr_shop_month(tx: DataFrame, as_of=None) -> DataFrame:
     so the per-shop table is neither re-read nor re-aggregated for the union.
     """
     rev = revenue_by_month(tx)
-    w = Window.partitionBy("shopid").orderBy("month")
+    w = Window.partitionBy("shopid").orderBy(F.col("month").asc_nulls_last())
     comp = mrr_components(rev.withColumn("_final", F.lead("month").over(w).isNull()), keep=("_final",))
     this_month = F.trunc(as_of_date(as_of), "month")
     nxt = F.add_months("month", 1)
@@ -128,6 +128,6 @@ def mrr_monthly(tx: DataFrame, as_of=None) -> DataFrame:
 def cumulative_revenue(tx: DataFrame) -> DataFrame:
     """Running revenue per shop over its months (rows up to the current one)."""
     rev = revenue_by_month(tx)
-    w = (Window.partitionBy("shopid").orderBy("month")
+    w = (Window.partitionBy("shopid").orderBy(F.col("month").asc_nulls_last())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return rev.withColumn("total_revenue_overtime", F.sum("revenue").over(w).cast(S.MONEY_SUM))

@@ -172,3 +172,17 @@ def test_curate_fails_when_no_day_is_good(spark, tmp_path):
      .withColumn("dt", F.lit(dt.date(2024, 1, 1))).write.partitionBy("dt").parquet(base))
     with pytest.raises(CurateError):
         curate(spark, base, str(tmp_path / "curated"))
+
+
+def test_mrr_null_month_sorts_last(spark):
+    """A payment without a time forms a NULL month that sorts after real months (NULLS LAST)."""
+    tx = spark.createDataFrame([
+        (D(2024, 1, 5), "a/1", "c", Decimal("100.00"), 1),
+        (D(2024, 2, 5), "a/2", "c", Decimal("80.00"), 1),
+        (None, "a/3", "c", Decimal("10.00"), 1),
+    ], TX_SCHEMA)
+    rows = mrr.mrr_shop_month(tx, dt.date(2024, 6, 1)).collect()
+    null_month = [r for r in rows if r["month"] is None and r["revenue"] == Decimal("10.00")][0]
+    assert null_month["prev_month_revenue"] == Decimal("80.00")
+    feb = [r for r in rows if r["month"] == dt.date(2024, 2, 1)][0]
+    assert feb["prev_month_revenue"] == Decimal("100.00")
