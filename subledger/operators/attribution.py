@@ -199,6 +199,16 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     return f.where(F.col("_kind") == 9).select(*points.columns, *out)
 
 
+def skipped_intervals(subs: DataFrame) -> DataFrame:
+    """Intervals the ranking leaves out: a start after the end, or no start with an end.
+
+    The timeline only produces them when ``as_of`` precedes the events; list
+    them to see what a run did not rank (their month flags still count).
+    """
+    a, e = F.col("activated_date"), F.col("actual_end_date")
+    return subs.where((a.isNotNull() & e.isNotNull() & (a > e)) | (a.isNull() & e.isNotNull()))
+
+
 def end_month_flags(subs_prev: DataFrame) -> DataFrame:
     """(shopid, month) -> previous-interval end in the same month / in the month before."""
     m = month_start("prev_actual_end_date")

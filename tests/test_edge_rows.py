@@ -186,3 +186,9 @@ def test_mrr_null_month_sorts_last(spark):
     assert null_month["prev_month_revenue"] == Decimal("80.00")
     feb = [r for r in rows if r["month"] == dt.date(2024, 2, 1)][0]
     assert feb["prev_month_revenue"] == Decimal("100.00")
+
+
+def test_skipped_intervals_are_listed(spark):
+    subs = timeline.timeline_intervals(_events(spark), dt.date(2024, 1, 20))  # as_of before the last start
+    skipped = attribution.skipped_intervals(subs).collect()
+    assert [r["cursor"] for r in skipped] == ["05"]  # starts Jan 25, open end = as_of + 1 = Jan 21
