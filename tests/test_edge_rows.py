@@ -192,3 +192,19 @@ def test_skipped_intervals_are_listed(spark):
     subs = timeline.timeline_intervals(_events(spark), dt.date(2024, 1, 20))  # as_of before the last start
     skipped = attribution.skipped_intervals(subs).collect()
     assert [r["cursor"] for r in skipped] == ["05"]  # starts Jan 25, open end = as_of + 1 = Jan 21
+
+
+@pytest.mark.parametrize("method", ["explode", "sweep"])
+def test_same_day_interval_has_no_active_days(spark, method):
+    from subledger.operators import active
+    iv = spark.createDataFrame([
+        (1, D(2024, 1, 5, 10), D(2024, 1, 5, 18)),   # ends on its start day: no active day
+        (2, D(2024, 1, 5, 9), D(2024, 1, 7, 1)),     # active Jan 5 and Jan 6
+        (2, D(2024, 1, 6, 9), D(2024, 1, 9, 0)),     # overlaps the shop's other interval
+        (3, D(2024, 1, 8, 0), None),                 # open: active until as_of + 1, cut at as_of
+    ], "shopid long, activated_date timestamp, actual_end_date timestamp")
+    got = {r["active_date"]: r["merchants"]
+           for r in active.merchants_by_day(iv, dt.date(2024, 1, 9), method=method).collect()}
+    want = {dt.date(2024, 1, 5): 1, dt.date(2024, 1, 6): 1, dt.date(2024, 1, 7): 1,
+            dt.date(2024, 1, 8): 2, dt.date(2024, 1, 9): 1, dt.date(2024, 1, 10): 1}
+    assert got == want
