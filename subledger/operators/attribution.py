@@ -131,18 +131,21 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     n = len(cols)
     ok = closed | open_  # other rows only contribute month-flag marks
     big_e = F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp"))
+    fm = month_start(month_flags).cast("timestamp") if month_flags else F.lit(None).cast("timestamp")
     s = subs.select("*", big_e.alias("_E"),
                     F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb")).alias("_key"),
+                    fm.alias("_fm0"),
                     *[F.when(F.col(c).isNotNull(), big_e).alias(f"_ce{i}") for i, c in enumerate(cols)])
 
-    # Running max of E over earlier intervals (key order) that have the column.
+    # Running max of E over earlier intervals (key order) that have the column; the
+    # previous interval's flag month, so repeated months give no further marks.
     s = ordered_scan(s, ["shopid"], [asc("activated_date"), asc("actual_end_date"), asc(tiebreak)],
                      day_bucket("activated_date", s.sparkSession) if bucketed else None,
-                     **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)})
+                     _pfm=("lag", "_fm0"), **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)})
     starts = [F.greatest(a, F.col(f"_mx{i}")) for i in range(n)]
-    fm = month_start(month_flags).cast("timestamp") if month_flags else F.lit(None).cast("timestamp")
+    new_month = F.col("_pfm").isNull() | (F.col("_pfm") != F.col("_fm0"))
     s = s.select("shopid", "_E", "_key", *cols, F.when(ok, a).alias("_a"),
-                 F.array(*starts).alias("_starts"), fm.alias("_fm"))
+                 F.array(*starts).alias("_starts"), F.when(new_month, F.col("_fm0")).alias("_fm"))
 
     def seg_ok(i: int, c: str, t) -> Column:
         return F.col(c).isNotNull() & F.col("_E").isNotNull() & (F.col("_starts")[i] == t) & (t < F.col("_E"))
