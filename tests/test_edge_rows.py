@@ -208,3 +208,17 @@ def test_same_day_interval_has_no_active_days(spark, method):
     want = {dt.date(2024, 1, 5): 1, dt.date(2024, 1, 6): 1, dt.date(2024, 1, 7): 1,
             dt.date(2024, 1, 8): 2, dt.date(2024, 1, 9): 1, dt.date(2024, 1, 10): 1}
     assert got == want
+
+
+def test_register_external_twice_discovers_new_days(spark, tmp_path):
+    from subledger.sources import catalog
+    base = str(tmp_path / "bronze")
+    day1 = spark.createDataFrame([(D(2024, 1, 1, 5), "a")], "createdAt timestamp, cursor string")
+    sinks.write_daily(day1, base, "createdAt")
+    name = "bronze_reregister_test"
+    assert catalog.register_external(spark, name, base).count() == 1
+    day2 = spark.createDataFrame([(D(2024, 1, 2, 5), "b"), (D(2024, 1, 2, 6), "c")],
+                                 "createdAt timestamp, cursor string")
+    sinks.write_daily(day2, base, "createdAt")
+    assert catalog.register_external(spark, name, base).count() == 3
+    spark.sql(f"DROP TABLE {name}")
