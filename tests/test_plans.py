@@ -80,3 +80,17 @@ def test_month_flags_in_pass_equal_join_fallback(spark):
     with_flags = A.choose_attribution(matched, subs)
     via_join = A.choose_attribution(matched.drop("ended_same_month", "ended_month_before"), subs)
     assert sorted(map(tuple, with_flags.collect())) == sorted(map(tuple, via_join.collect()))
+
+
+def test_single_shop_filter_equals_full_run(spark):
+    """P10: the shop parameter gives the shop's rows of the full run (filter below the windows)."""
+    from subledger.operators import attribution as A
+    ev, pay = fx.subscription_events(spark, SMALL), fx.payments(spark, SMALL)
+    shop = pay.select("shopid").first()["shopid"]
+    full = timeline.timeline_intervals(ev, fx.EVENTS_AS_OF)
+    one = timeline.timeline_intervals(ev, fx.EVENTS_AS_OF, shop=shop)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, full.where(F.col("shopid") == shop).collect()))
+    att_full = A.attribute_transactions(pay, full).where(F.col("shopid") == shop)
+    att_one = A.attribute_transactions(pay, one, shop=shop)
+    assert sorted(map(tuple, att_one.collect())) == sorted(map(tuple, att_full.collect()))
+    assert "isnotnull(user_id)" in _plan(one).lower() or "user_id" in _plan(one)
