@@ -1,9 +1,10 @@
 """Lineage cuts between stages of long jobs.
 
 A two-level scan reads its input twice (rows and per-bucket summaries), so a
-chain of them doubles the logical plan at every step. Long jobs materialise
-their stage outputs with a reliable checkpoint in the shared folder named by
-``spark.checkpoint.dir``: the plan restarts from the written data, and a lost
+chain of them doubles the logical plan at every step. Long jobs therefore
+write their stage outputs as Parquet into a fresh folder under the shared
+directory named by ``spark.checkpoint.dir`` and continue from the files: the
+plan restarts there, later stages read only the columns they use, and a lost
 executor does not force recomputation from the sources.
 """
 
@@ -11,11 +12,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..session import ensure_checkpoint_dir
+from ..session import work_path
 
 
 def cut(df: DataFrame, enabled: bool = True) -> DataFrame:
     if not enabled:
         return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = work_path(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

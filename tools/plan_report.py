@@ -51,7 +51,7 @@ def main() -> None:
     spark.conf.set("subledger.scan.hotKeyRows", "0")
     out += ["", "## Hot-key path (`subledger.scan.hotKeyRows=0`)", "",
             "Per-shop scans partition by (shop, bucket); the carry between buckets runs on one summary",
-            "row per bucket. Checkpointed stages appear as scans of the written data (`Scan ExistingRDD`).", "",
+            "row per bucket. Stages cut on this path appear as Parquet scans of their written output.", "",
             "| job | exchanges | windows | exchange keys |", "| --- | --- | --- | --- |"]
     for name in ("timeline_intervals", "daily_active_sweep", "store_daily_active", "tx_attributed"):
         df = registered()[name](spark, sf_dir)
