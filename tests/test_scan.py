@@ -49,3 +49,23 @@ def test_hot_key_is_spread_over_tasks(spark):
     assert max(r["count"] for r in per_task) < 4000 * 0.6
     lagged = {r["tb"]: r["p"] for r in out.collect()}
     assert lagged[0] is None and all(lagged[t] == (t - 1) % 7 for t in range(1, 4000))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+ROW = st.tuples(st.sampled_from([0, 0, 0, 1, 2, None]),            # key 0 is hot
+                st.one_of(st.none(), st.integers(0, 40)),            # order value
+                st.one_of(st.none(), st.integers(-3, 9)))            # scanned value
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(ROW, min_size=1, max_size=60), width=st.integers(1, 12), ascending=st.booleans())
+def test_bucketed_equals_plain_property(spark, rows, width, ascending):
+    data = [(k, t, i, v) for i, (k, t, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, t long, tb long, v long")
+    order = [asc("t"), asc("tb")] if ascending else [desc("t"), asc("tb")]
+    bucket = F.floor(F.col("t") / width) if ascending else -F.floor(F.col("t") / width)
+    plain = {r["tb"]: r.asDict() for r in ordered_scan(df, ["k"], order, None, **KINDS).collect()}
+    split = {r["tb"]: r.asDict() for r in ordered_scan(df, ["k"], order, bucket, **KINDS).collect()}
+    assert plain == split
