@@ -5,7 +5,7 @@ is read as a path); outputs are Parquet paths written with overwrite. Every
 job takes ``--as-of`` (default: today) so reruns are repeatable.
 
   land        --pages P --api-type T --base B [--table N]
-  curate      --raw B --curated C [--table N --database D]
+  curate      --raw B --curated C [--table N --database D --dt YYYY-MM-DD]
   timeline    --events E --out O
   attribute   --transactions X --events E --out O
   mrr         --transactions X --out O [--per-shop]
@@ -50,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--curated", required=True)
     s.add_argument("--table")
     s.add_argument("--database")
+    s.add_argument("--dt", type=dt.date.fromisoformat, default=None, help="curate one day folder only")
     for job in ("timeline", "daily"):
         s = sub.add_parser(job)
         s.add_argument("--events", required=True)
@@ -83,7 +84,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         docs = spark.read.text(a.pages).withColumnRenamed("value", "json")
         ingest_pages(spark, docs, a.api_type, a.base, as_of, table=a.table)
     elif a.job == "curate":
-        curate(spark, a.raw, a.curated, table=a.table, database=a.database)
+        curate(spark, a.raw, a.curated, table=a.table, database=a.database, dt=a.dt)
     elif a.job == "timeline":
         _write(timeline.timeline_intervals(_read(spark, a.events), as_of), a.out)
     elif a.job == "attribute":

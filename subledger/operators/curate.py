@@ -67,13 +67,15 @@ def curate_all(bronze: DataFrame, pairs=DATETIME_PAIRS) -> tuple[DataFrame, Data
 
 
 def curate(spark: SparkSession, bronze_path: str, curated_path: str, table: str | None = None,
-           database: str | None = None) -> DataFrame:
+           database: str | None = None, dt=None) -> DataFrame:
     """Full curate job; returns the per-day report.
 
     Fails when there is no partition at all or no partition was good; writes
     good days (replacing those days), then registers the table when named.
+    ``dt`` restricts the run to one day folder (the arrival-triggered case):
+    partition pruning reads only that day and only that day is replaced.
     """
-    bronze = raw.read_raw(spark, bronze_path)
+    bronze = raw.read_raw(spark, bronze_path, dt)
     _, report = curate_all(bronze)
     # one row per day: materialise once, so the checks and the quarantine join share it
     report = cut(report)

@@ -222,3 +222,16 @@ def test_register_external_twice_discovers_new_days(spark, tmp_path):
     sinks.write_daily(day2, base, "createdAt")
     assert catalog.register_external(spark, name, base).count() == 3
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_curate_one_day_replaces_only_that_day(spark, tmp_path):
+    from subledger.operators.curate import curate
+    base, out = str(tmp_path / "raw"), str(tmp_path / "curated")
+    rows = [("2024-01-01T01:00:00Z", "a", dt.date(2024, 1, 1)), ("2024-01-02T01:00:00Z", "b", dt.date(2024, 1, 2))]
+    spark.createDataFrame(rows, "occurredAt string, cursor string, dt date").write.partitionBy("dt").parquet(base)
+    curate(spark, base, out)
+    spark.createDataFrame([("2024-01-02T02:00:00Z", "c", dt.date(2024, 1, 2))],
+                          "occurredAt string, cursor string, dt date").write.mode("append").partitionBy("dt").parquet(base)
+    report = curate(spark, base, out, dt=dt.date(2024, 1, 2))
+    assert [(r["dt"], r["rows"]) for r in report.collect()] == [(dt.date(2024, 1, 2), 2)]
+    assert sorted(r["cursor"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
