@@ -119,13 +119,15 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Ord], bucket: Colum
     """``df`` plus one column per output, computed over ``keys`` in ``order``."""
     specs = {n: (k, F.col(c) if isinstance(c, str) else c) for n, (k, c) in outputs.items()}
     fwd = [o.sort() for o in order]
-    rev = [o.sort(reverse=True) for o in order]
+    rev = [o.sort(reverse=True) for o in order] if any(k == "bfill" for k, _ in outputs.values()) else []
+    kinds = {k for k, _ in specs.values()}
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*fwd)
-        rback = Window.partitionBy(*keys).orderBy(*rev).rowsBetween(UNB, 0)
-        local = [_local(k, c, w, w.rowsBetween(UNB, 0), rback, w.rowsBetween(UNB, -1)).alias(n)
-                 for n, (k, c) in specs.items()]
-        return df.select(*[F.col(c) for c in df.columns], *local)
+        back = w.rowsBetween(UNB, 0)
+        before = w.rowsBetween(UNB, -1) if "cummax_before" in kinds else None
+        rback = Window.partitionBy(*keys).orderBy(*rev).rowsBetween(UNB, 0) if "bfill" in kinds else None
+        local = [_local(k, c, w, back, rback, before).alias(n) for n, (k, c) in specs.items()]
+        return df.select("*", *local)
 
     # One struct column (keys..., bucket) partitions the window, groups the
     # summary and joins the carry back, so the rows are shuffled once: the join
@@ -135,8 +137,8 @@ def ordered_scan(df: DataFrame, keys: list[str], order: list[Ord], bucket: Colum
     src = df.withColumn("_pk", F.struct(*[F.col(k).alias(f) for k, f in zip(keys, kf)], bucket.alias("b")))
     w = Window.partitionBy("_pk").orderBy(*fwd)
     back = w.rowsBetween(UNB, 0)
-    before = w.rowsBetween(UNB, -1)
-    rback = Window.partitionBy("_pk").orderBy(*rev).rowsBetween(UNB, 0)
+    before = w.rowsBetween(UNB, -1) if "cummax_before" in kinds else None
+    rback = Window.partitionBy("_pk").orderBy(*rev).rowsBetween(UNB, 0) if "bfill" in kinds else None
     local = [_local(k, c, w, back, rback, before).alias(f"_l_{n}") for n, (k, c) in specs.items()]
     x = src.select("*", F.lag(F.lit(1)).over(w).isNull().alias("_sf"),
                    F.lead(F.lit(1)).over(w).isNull().alias("_sl"), *local)

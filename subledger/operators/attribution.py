@@ -147,9 +147,6 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     s = s.select("shopid", "_E", "_key", *cols, F.when(ok, a).alias("_a"),
                  F.array(*starts).alias("_starts"), F.when(new_month, F.col("_fm0")).alias("_fm"))
 
-    def seg_ok(i: int, c: str, t) -> Column:
-        return F.col(c).isNotNull() & F.col("_E").isNotNull() & (F.col("_starts")[i] == t) & (t < F.col("_E"))
-
     # kind, time, payload builders per kind
     mark = F.explode(F.array_union(
         F.array(F.struct(F.lit(0).alias("k"), F.col("_E").alias("t")),
@@ -161,17 +158,20 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
                     lambda x: F.struct(F.lit(2).alias("k"), F.when(F.col("_a").isNotNull(), x).alias("t"))),
     )).alias("m")
     m = s.select("shopid", "_E", "_key", "_starts", *cols, mark).where(F.col("m.t").isNotNull())
-    kind, t = F.col("m.k"), F.col("m.t")
-    marks = m.select(
-        "shopid", t.alias("_t"), kind.alias("_kind"),
-        F.when(kind == 0, F.col("_key")).alias("_dk"),
-        F.when(kind != 0, F.col("_key")).alias("_ak"),
-        *[F.when(kind == 0, F.col(c)).alias(f"_end{i}") for i, c in enumerate(cols)],
-        *[F.when(kind == 1, F.col(c)).alias(f"_beg{i}") for i, c in enumerate(cols)],
-        *[F.when((kind == 2) & seg_ok(i, c, t), F.struct(F.col(c).alias("v"), F.col("_E").alias("end")))
-          .alias(f"_seg{i}") for i, c in enumerate(cols)],
-        *[F.when(kind == 3, F.col(c)).alias(f"_opn{i}") for i, c in enumerate(cols)],
-        F.when(kind == 5, t).alias("_mf1"), F.when(kind == 6, t).alias("_mf2"),
+    # One SQL projection: the payload of each mark kind per column (cheap to build
+    # for many columns; the segment payload only where that column's segment starts).
+    q = [f"`{c}`" for c in cols]
+    marks = m.selectExpr(
+        "shopid", "m.t AS _t", "m.k AS _kind",
+        "CASE WHEN m.k = 0 THEN _key END AS _dk",
+        "CASE WHEN m.k <> 0 THEN _key END AS _ak",
+        *[f"CASE WHEN m.k = 0 THEN {c} END AS _end{i}" for i, c in enumerate(q)],
+        *[f"CASE WHEN m.k = 1 THEN {c} END AS _beg{i}" for i, c in enumerate(q)],
+        *[f"CASE WHEN m.k = 2 AND {c} IS NOT NULL AND _E IS NOT NULL AND _starts[{i}] = m.t AND m.t < _E "
+          f"THEN named_struct('v', {c}, 'end', _E) END AS _seg{i}" for i, c in enumerate(q)],
+        *[f"CASE WHEN m.k = 3 THEN {c} END AS _opn{i}" for i, c in enumerate(q)],
+        "CASE WHEN m.k = 5 THEN m.t END AS _mf1",
+        "CASE WHEN m.k = 6 THEN m.t END AS _mf2",
     )
     # A payment without a time is 999999 days from every interval, so the lowest
     # key wins: placed before every mark, the forward fill finds exactly that.
