@@ -28,6 +28,12 @@ def _norm(v):
     return str(v)
 
 
+def _duck_type(dt) -> str:
+    name = dt.simpleString().upper()
+    return {"INT": "INTEGER", "STRING": "VARCHAR", "TIMESTAMP_NTZ": "TIMESTAMP",
+            "TIMESTAMP": "TIMESTAMP WITH TIME ZONE"}.get(name, name)
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
@@ -55,6 +61,8 @@ def test_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    types = {f.name: _duck_type(f.dataType) for f in df.schema.fields}
+    assert types == {d[0]: str(d[1]).upper() for d in res.description}
     assert len(srows) == len(orows)
     assert _rows(df.columns, srows) == _rows(ocols, orows)
 
