@@ -1,5 +1,7 @@
 """The command line runs jobs over paths and writes Parquet."""
 
+from pyspark.sql import functions as F
+
 from conftest import SMALL
 from subledger import cli
 from subledger import fixtures as fx
@@ -30,3 +32,24 @@ def test_cli_land_pages_from_text(spark, tmp_path):
     cli.main(["--as-of", "2024-02-14", "land", "--pages", pages, "--api-type", "transactions", "--base", base],
              spark)
     assert spark.read.parquet(base).count() == fx.payments(spark, SMALL).count()
+
+
+def test_cli_remaining_jobs(spark, tmp_path):
+    ev, tx = str(tmp_path / "events"), str(tmp_path / "tx")
+    fx.relationship_events(spark, SMALL).write.parquet(ev)
+    fx.payments(spark, SMALL).write.parquet(tx)
+    notes = str(tmp_path / "notes")
+    fx.notifications(spark, SMALL).select("json").write.text(notes)
+    raw = str(tmp_path / "raw")
+    fx.raw_events(spark, SMALL).withColumn("dt", F.to_date(F.substring("occurredAt", 1, 10))) \
+        .write.partitionBy("dt").parquet(raw)
+    as_of = ["--as-of", fx.EVENTS_AS_OF.isoformat()]
+    cli.main(as_of + ["daily", "--events", ev, "--out", str(tmp_path / "stores"), "--store"], spark)
+    cli.main(as_of + ["mrr", "--transactions", tx, "--out", str(tmp_path / "mrr_shop"), "--per-shop"], spark)
+    cli.main(["arrivals", "--notifications", notes, "--out", str(tmp_path / "arr"), "--summary"], spark)
+    cli.main(["curate", "--raw", raw, "--curated", str(tmp_path / "curated")], spark)
+    read = spark.read.parquet
+    assert read(str(tmp_path / "stores")).count() > 0
+    assert "churn_mrr" in read(str(tmp_path / "mrr_shop")).columns
+    assert read(str(tmp_path / "arr")).count() > 0
+    assert read(str(tmp_path / "curated")).count() == fx.raw_events(spark, SMALL).count()
