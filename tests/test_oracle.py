@@ -50,7 +50,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from subledger.plans import queries
+    assert set(queries.registered()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
