@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .mixing import mix_digest
 from .ring_shards import shard_digest
+from .simhash import simhash_digest
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_digest(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
