@@ -10,6 +10,7 @@ from .common import table
 from .language import identify
 from .leaks import find_leaks
 from .mixing import mix_digest
+from .repetition import repetition
 from .ring_shards import shard_digest
 from .simhash import simhash_digest
 
@@ -34,6 +35,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition(table(spark, sf_dir, "documents")).drop("repeats")
+
+
 #: DuckDB SQL of the queries that SQL can express
 ORACLES: dict[str, str] = {}
 
