@@ -10,6 +10,7 @@ from .common import table
 from .language import identify
 from .leaks import find_leaks
 from .mixing import mix_digest
+from .private import personal_data
 from .repetition import repetition
 from .ring_shards import shard_digest
 from .simhash import simhash_digest
@@ -19,6 +20,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
