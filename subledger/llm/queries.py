@@ -14,6 +14,7 @@ from .private import personal_data
 from .repetition import repetition
 from .ring_shards import shard_digest
 from .simhash import simhash_digest
+from .warc import archive_digest
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_digest(table(spark, sf_dir, "pages"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digest(table(spark, sf_dir, "documents"))
 
