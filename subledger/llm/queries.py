@@ -10,6 +10,7 @@ from .common import table
 from .language import identify
 from .leaks import find_leaks
 from .mixing import mix_digest
+from .page_text import extract
 from .private import personal_data
 from .repetition import repetition
 from .ring_shards import shard_digest
@@ -33,6 +34,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_digest(table(spark, sf_dir, "documents"))
 

@@ -34,7 +34,6 @@ import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from urllib.parse import urlsplit
 
 import pyarrow as pa
 import pyarrow.fs
@@ -43,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from .common import saved
+from .common import saved, sort_key
 
 REVISIT_BYTES = 1000
 BLOCK = 512
@@ -60,19 +59,6 @@ def store(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.LocalFileSystem(), path
 
 
-def sort_key(url: str | None) -> str:
-    """Reversed host, then path and query: com,example,www)/a?b (no spaces or control characters)."""
-    url = (url or "").strip()
-    try:
-        parts = urlsplit(url if "://" in url else "//" + url)
-        host, port = (parts.hostname or "").lower(), parts.port
-        rest = (parts.path or "/") + ("?" + parts.query if parts.query else "")
-    except ValueError:  # not a URL: sorted by its text
-        host, port, rest = "", None, "/" + url
-    key = ",".join(reversed(host.split("."))) + (f":{port}" if port else "") + ")" + rest
-    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", key)
-
-
 def capture_key(url: str | None, page_id: int | None, file: str, offset: int) -> str:
     page = "" if page_id is None else f"{page_id + 2**63:020d}"
     return f"{sort_key(url)} {page:>20} {file} {offset:020d}"
