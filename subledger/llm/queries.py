@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .language import identify
 from .leaks import find_leaks
+from .licences import oracle as licence_oracle
+from .licences import scan_digest
 from .mixing import mix_digest
 from .page_text import extract
 from .private import personal_data
@@ -26,6 +28,10 @@ def op2_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,7 +61,7 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: DuckDB SQL of the queries that SQL can express
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_licences": licence_oracle()}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
