@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 from urllib.parse import urlsplit
 
@@ -15,7 +16,16 @@ from ..session import ensure_checkpoint_dir
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (clusters may ship it with --py-files)."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
