@@ -17,6 +17,7 @@ from . import schemas as S
 
 # Fixed as-of dates of the fixtures, so results never drift with the clock.
 EVENTS_AS_OF = dt.date(2024, 2, 20)
+BACKFILL_AS_OF = dt.date(2024, 2, 5)
 ORDERS_AS_OF = dt.date(2001, 8, 15)
 
 # Fixture vocabularies (driver event_type -> billing event type).
@@ -276,8 +277,10 @@ def notifications(spark: SparkSession, sf_dir: str, per_doc: int = 4) -> DataFra
     """Object-arrival notification documents, one object per event, ``per_doc`` records each.
 
     Keys vary on purpose: ``%3D`` for ``=`` (every 3rd), ``+`` in the file name
-    (every 5th), no day folder (every 11th), another source (every 13th), and a
-    folder without ``database-collection`` (every 17th).
+    (every 5th), no day folder (every 11th), another source (every 13th), a
+    folder without ``database-collection`` (every 17th), a bad percent sequence
+    (every 19th) and no key (every 101st). One more document for each row of
+    ``region`` can't be read as JSON.
     """
     ev = table(spark, sf_dir, "events")
     eid = F.col("event_id")
@@ -287,7 +290,9 @@ def notifications(spark: SparkSession, sf_dir: str, per_doc: int = 4) -> DataFra
     eq = F.when(eid % 3 == 0, F.lit("%3D")).otherwise(F.lit("="))
     fname = F.concat(F.lit("part"), F.when(eid % 5 == 0, F.lit("+")).otherwise(F.lit("-")),
                      eid.cast("string"), F.lit(".json"))
-    key = F.when(eid % 11 == 0, F.concat_ws("/", src, folder, fname)) \
+    key = F.when(eid % 101 == 0, F.lit("")) \
+           .when(eid % 19 == 0, F.concat_ws("/", src, folder, F.lit("100%zz"), fname)) \
+           .when(eid % 11 == 0, F.concat_ws("/", src, folder, fname)) \
            .otherwise(F.concat_ws("/", src, folder, F.concat(F.lit("dt"), eq, day), fname))
     rec = F.struct(
         F.lit("aws:s3").alias("eventSource"), F.lit("region-1").alias("awsRegion"),
@@ -297,4 +302,6 @@ def notifications(spark: SparkSession, sf_dir: str, per_doc: int = 4) -> DataFra
                  ).alias("s3"))
     docs = (ev.select(F.floor(eid / per_doc).alias("doc_id"), rec.alias("r"))
             .groupBy("doc_id").agg(F.collect_list("r").alias("Records")))
-    return docs.select("doc_id", F.to_json(F.struct("Records")).alias("json"))
+    broken = table(spark, sf_dir, "region").select((-1 - F.col("r_regionkey")).cast("long").alias("doc_id"),
+                                                   F.concat(F.lit('{"Records": ['), F.col("r_name")).alias("json"))
+    return docs.select("doc_id", F.to_json(F.struct("Records")).alias("json")).unionByName(broken)

@@ -93,5 +93,8 @@ def month_start(c: Column | str) -> Column:
 
 
 def decode_key(c: Column | str) -> Column:
-    """Percent-decoding that keeps a literal ``+`` (url_decode alone makes it a space)."""
-    return F.url_decode(F.replace(_c(c), F.lit("+"), F.lit("%2B")))
+    """Percent-decoding that keeps a literal ``+`` (url_decode alone makes it a space).
+
+    A key that isn't valid percent-encoding is left as it is.
+    """
+    return F.coalesce(F.try_url_decode(F.replace(_c(c), F.lit("+"), F.lit("%2B"))), _c(c))

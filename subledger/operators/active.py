@@ -10,9 +10,9 @@ Two interchangeable ways to count distinct active shops per day:
   sum over the change days gives the count, and each constant run is spelled
   out as its days. Shuffles O(intervals) rows instead of O(active days).
 
-Both only report days with at least one active shop, up to ``as_of``. The
-sweep is the default (about 2.5x faster at sf0.1 and far smaller shuffles at
-scale); ``method="explode"`` is the literal expansion.
+Both report the days that some interval covers, up to ``as_of``. The sweep is
+the default (1.66 s against 2.77 s at sf0.1 and far smaller shuffles at scale);
+``method="explode"`` is the literal expansion, kept as its check.
 The windows over all days / months are unpartitioned on purpose: their input
 is at most one row per calendar day, bounded by the date span, not the data.
 """
@@ -28,41 +28,26 @@ from ..functions.scalar import as_of_date, relationship_status
 from ..functions.scan import asc, day_bucket, ordered_scan, resolve_bucketing
 
 
-def day_ranges(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS) -> DataFrame:
-    """First and last active day of each interval (end day excluded, open -> as_of + 1)."""
+def day_ranges(intervals: DataFrame, as_of=None, max_days: int | None = None) -> DataFrame:
+    """First and last active day of each interval (end day excluded, open -> as_of + 1).
+
+    ``max_days`` ends every interval after so many days; by default nothing does.
+    """
     today = as_of_date(as_of)
     start = F.to_date("activated_date")
     last = (F.when(F.col("actual_end_date").isNull(), F.date_add(today, 1))
             .otherwise(F.date_sub(F.to_date("actual_end_date"), 1)))
-    last = F.least(last, F.date_add(start, max_days - 1))
+    if max_days is not None:
+        last = F.least(last, F.date_add(start, max_days - 1))
     return (intervals
             .withColumn("first_day", start)
             .withColumn("last_day", last)
             .where(F.col("last_day") >= F.col("first_day")))
 
 
-def numbers(spark, n: int = S.MAX_INTERVAL_DAYS) -> DataFrame:
-    """0 .. n-1 as column ``n`` (the day-offset table; the jobs use ``sequence`` instead)."""
-    return spark.range(n).select(F.col("id").alias("n"))
-
-
-def _balanced(df: DataFrame) -> DataFrame:
-    """Spread an input with fewer partitions than cores before a row-multiplying generator.
-
-    On a cluster the interval table already spans many splits and this is a
-    no-op; a single small file would otherwise explode in one task.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(cores) if parts < cores else df
-
-
-def interval_days(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS) -> DataFrame:
+def interval_days(intervals: DataFrame, as_of=None, max_days: int | None = None) -> DataFrame:
     """Each interval expanded to one row per active day."""
-    r = _balanced(day_ranges(intervals, as_of, max_days))
+    r = day_ranges(intervals, as_of, max_days)
     return r.select(
         "shopid",
         F.to_date("activated_date").alias("activated_date"),
@@ -71,7 +56,7 @@ def interval_days(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERV
     )
 
 
-def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS,
+def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int | None = None,
                      method: str = "sweep") -> DataFrame:
     """(active_date, merchants) for every day with at least one active shop."""
     if method == "explode":
@@ -82,7 +67,7 @@ def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INT
     raise ValueError(f"unknown method: {method}")
 
 
-def _merchants_sweep(intervals: DataFrame, as_of, max_days: int) -> DataFrame:
+def _merchants_sweep(intervals: DataFrame, as_of, max_days: int | None) -> DataFrame:
     r = day_ranges(intervals, as_of, max_days).select("shopid", "first_day", "last_day")
     order = [asc("first_day"), asc("last_day")]
     split = resolve_bucketing(None, (r, ["shopid"]))
@@ -92,19 +77,22 @@ def _merchants_sweep(intervals: DataFrame, as_of, max_days: int) -> DataFrame:
                      F.when(F.col("reach").isNull() | (F.col("first_day") > F.col("reach")), 1).otherwise(0))
     r = ordered_scan(r, ["shopid"], order, month, island=("cumsum", "starts_island"))
     islands = r.groupBy("shopid", "island").agg(F.min("first_day").alias("s"), F.max("last_day").alias("e"))
+    # a span without a shop covers its days but is no merchant (COUNT(DISTINCT) skips NULL)
+    shop = F.col("shopid").isNotNull().cast("int")
     deltas = (islands
               .select(F.explode(F.array(
-                  F.struct(F.col("s").alias("day"), F.lit(1).alias("d")),
-                  F.struct(F.date_add("e", 1).alias("day"), F.lit(-1).alias("d")))).alias("x"))
+                  F.struct(F.col("s").alias("day"), F.lit(1).alias("c"), shop.alias("d")),
+                  F.struct(F.date_add("e", 1).alias("day"), F.lit(-1).alias("c"), (-shop).alias("d")))).alias("x"))
               .groupBy(F.col("x.day").alias("active_date"))
-              .agg(F.sum("x.d").alias("delta")))
+              .agg(F.sum("x.d").alias("delta"), F.sum("x.c").alias("cover")))
     # running count at each change day, valid until the next change day
     w = Window.orderBy("active_date")
     runs = deltas.select(
         "active_date",
         F.sum("delta").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint").alias("merchants"),
+        F.sum("cover").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("covering"),
         F.lead("active_date").over(w).alias("next_change"))
-    return (runs.where(F.col("merchants") > 0)
+    return (runs.where(F.col("covering") > 0)
             .select(F.explode(F.sequence("active_date", F.date_sub("next_change", 1))).alias("active_date"),
                     "merchants"))
 
@@ -118,7 +106,7 @@ def month_end(counts: DataFrame, as_of=None) -> DataFrame:
                              F.lag("end_of_month_merchants").over(Window.orderBy("month")))
 
 
-def daily_active(intervals: DataFrame, as_of=None, max_days: int = S.MAX_INTERVAL_DAYS,
+def daily_active(intervals: DataFrame, as_of=None, max_days: int | None = None,
                  method: str = "sweep") -> DataFrame:
     """Daily merchants with previous day, month, month-end and previous month-end.
 

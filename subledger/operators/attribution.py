@@ -23,25 +23,28 @@ over the union of payments and subscription breakpoints per shop:
   ``(start, end)`` covering the payment. Sorted by that key, subscription ``j``
   wins exactly on ``[max(start_j, max E of earlier ones), E_j)``, so these
   disjoint segments come from one running max, and a payment takes the last
-  segment starting at or before it.
+  segment starting at or before it. An interval whose start is missing or lies
+  after its end (any backfill whose ``as_of`` precedes some events makes them)
+  covers only ``(end, E)``, the rest of its end day. Among those of a day the
+  lowest key that has ended wins, so an interval takes over from its end on
+  only if its key is lower than all that ended before it that day; the lower
+  key of both winners is taken.
 * distance d >= 1 - ended on an earlier day: the latest ``E <= t`` wins,
-  ties by key: a backward fill over end marks.
-* 999999 - not started: the earliest start after ``t``: a forward fill over
-  start marks. Intervals without an end stay in this tier for good: a
-  backward ``first`` over their marks.
+  ties by key: a fill over end marks.
+* 999999 - anything else. It is only reached when no interval of the shop has
+  ended or begun, for that column, so all of them are in this tier and the
+  shop's lowest key wins: one mark per shop and column before all others.
 
 All tiers come out of one window over payments + marks per shop (see
 ``nearest_interval``); no payment is ever paired with a subscription.
 Each column keeps its own candidates (rows where it is non-NULL), so the
-result equals the ordered-list form exactly, ties broken by ``tiebreak``.
-Subscriptions whose end precedes their start (only possible when ``as_of``
-is earlier than the events) are outside this contract and are skipped.
+result equals the ordered-list form exactly, ties broken by ``tiebreak``;
+missing starts and ends sort last.
 
 The later steps (lag/lead over payments, counts per shop-day) are windows over
 one row per distinct payment. The two EXISTS tests over the array of previous
 end dates ("ended this month" / "the month before") are answered by month
-marks in the same pass (``month_flags``); ``end_month_flags`` gives the same
-flags as a (shop, month) join for callers that bring their own matches.
+marks in the same pass (``month_flags``).
 """
 
 from __future__ import annotations
@@ -105,86 +108,98 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     ``activated_date``, ``actual_end_date``, ``tiebreak`` and ``cols``.
     Returns ``points`` plus one column per entry of ``cols``.
 
-    Plan: one window over the intervals (running max of E in key order), one
-    generator turning each interval into its marks, and one window over
-    points + marks per shop. Marks sort by (time, kind, key) so that every
-    tier is a plain first/last-non-NULL fill:
+    Plan: one window over the intervals (running max of E in key order), one over
+    those of a shop and end day (lowest key so far), one generator turning each
+    interval into its marks, and one window over points + marks per shop. Marks
+    sort by (time, kind, key) so that every tier is a first/last-non-NULL fill:
 
+    * kind -1, before all times: the shop's lowest key per column: ``first``;
     * kind 0 end marks at E, key descending: ``last`` = latest E <= t, lowest key;
-    * kind 1 start marks at start, key ascending: ``first`` after t = next start;
     * kind 2 segment marks: ``last`` = the distance-0 segment holding t, if it
       has not ended;
-    * kind 3 open-interval marks, key ascending: ``first`` up to t = lowest key;
     * kinds 5 and 6 (only with ``month_flags``): month-start marks of the
       column's month and of the month after it. The latest kind-5 (kind-6) mark
       at or before t lies on t's month start exactly when some interval of the
       shop has that column in t's month (in the month before): the two EXISTS
       tests of the choice step, answered in the same pass (output columns
-      ``ended_same_month`` and ``ended_month_before``).
+      ``ended_same_month`` and ``ended_month_before``);
+    * kind 10 marks of intervals that cover the rest of their end day only,
+      after the points of the same time.
 
-    Points sort after marks at equal times (kind 9).
+    Points are kind 9.
     """
     bucketed = resolve_bucketing(bucketed, (points, ["shopid"]), (subs, ["shopid"]))
     a, e, tb = F.col("activated_date"), F.col("actual_end_date"), F.col(tiebreak)
-    closed = a.isNotNull() & e.isNotNull() & (a <= e)
-    open_ = a.isNotNull() & e.isNull()
     n = len(cols)
-    ok = closed | open_  # other rows only contribute month-flag marks
-    big_e = F.when(closed, F.date_add(F.to_date(e), 1).cast("timestamp"))
+    first_ts = F.lit("0001-01-01 00:00:00").cast("timestamp")
     fm = month_start(month_flags).cast("timestamp") if month_flags else F.lit(None).cast("timestamp")
-    s = subs.select("*", big_e.alias("_E"),
-                    F.struct(a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb")).alias("_key"),
-                    fm.alias("_fm0"),
-                    *[F.when(F.col(c).isNotNull(), big_e).alias(f"_ce{i}") for i, c in enumerate(cols)])
-
-    # Running max of E over earlier intervals (key order) that have the column; the
-    # previous interval's flag month, so repeated months give no further marks.
+    s = subs.select(
+        "*", F.date_add(F.to_date(e), 1).cast("timestamp").alias("_E"),
+        F.struct(a.isNull().alias("an"), a.alias("a"), e.isNull().alias("en"), e.alias("e"), tb.alias("tb")).alias("_key"),
+        F.when(e.isNotNull(), a.isNull() | (a > e)).alias("_rest"), fm.alias("_fm0"))
+    s = s.select("*", *[F.when(F.col(c).isNotNull() & ~F.col("_rest"), F.col("_E")).alias(f"_ce{i}")
+                        for i, c in enumerate(cols)],
+                 *[F.when(F.col(c).isNotNull(), F.lit(1)).alias(f"_has{i}") for i, c in enumerate(cols)])
+
+    # Running max of E over earlier intervals (key order) that have the column; whether
+    # an earlier one has it; the previous interval's flag month, so repeated months
+    # give no further marks.
     s = ordered_scan(s, ["shopid"], [asc("activated_date"), asc("actual_end_date"), asc(tiebreak)],
                      day_bucket("activated_date", s.sparkSession) if bucketed else None,
-                     _pfm=("lag", "_fm0"), **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)})
-    starts = [F.greatest(a, F.col(f"_mx{i}")) for i in range(n)]
+                     _pfm=("lag", "_fm0"), **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)},
+                     **{f"_had{i}": ("cummax_before", f"_has{i}") for i in range(n)})
+    # rest-of-day intervals: the lowest key of those that ended earlier that day
+    ended = (Window.partitionBy("shopid", "_E").orderBy(F.col("actual_end_date"), F.col("_key").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    s = s.select("*", *[F.min(F.when(F.col("_rest") & F.col(c).isNotNull(), F.col("_key"))).over(ended).alias(f"_lo{i}")
+                        for i, c in enumerate(cols)])
+    starts = [F.when(~F.col("_rest"), F.greatest(a, F.col(f"_mx{i}"))) for i in range(n)]
     new_month = F.col("_pfm").isNull() | (F.col("_pfm") != F.col("_fm0"))
-    s = s.select("shopid", "_E", "_key", *cols, F.when(ok, a).alias("_a"),
-                 F.array(*starts).alias("_starts"), F.when(new_month, F.col("_fm0")).alias("_fm"))
+    first_of = [F.col(f"_had{i}").isNull() & F.col(c).isNotNull() for i, c in enumerate(cols)]
+    takes_over = [F.col("_rest") & F.col(c).isNotNull() & (F.col(f"_lo{i}").isNull() | (F.col("_key") < F.col(f"_lo{i}")))
+                  for i, c in enumerate(cols)]
+    s = s.select("shopid", "_E", "_key", *cols, F.array(*starts).alias("_starts"),
+                 F.array(*first_of).alias("_first"), F.array(*takes_over).alias("_over"),
+                 F.when(F.exists(F.array(*takes_over), lambda x: x), e).alias("_rest_at"),
+                 F.when(new_month, F.col("_fm0")).alias("_fm"))
 
     # kind, time, payload builders per kind
-    mark = F.explode(F.array_union(
+    mark = F.explode(F.concat(
         F.array(F.struct(F.lit(0).alias("k"), F.col("_E").alias("t")),
-                F.struct(F.lit(1).alias("k"), F.col("_a").alias("t")),
-                F.struct(F.lit(3).alias("k"), F.when(F.col("_E").isNull(), F.col("_a")).alias("t")),
+                F.struct(F.lit(-1).alias("k"), F.when(F.exists("_first", lambda x: x), first_ts).alias("t")),
+                F.struct(F.lit(10).alias("k"), F.col("_rest_at").alias("t")),
                 F.struct(F.lit(5).alias("k"), F.col("_fm").alias("t")),
                 F.struct(F.lit(6).alias("k"), F.add_months("_fm", 1).cast("timestamp").alias("t"))),
-        F.transform(F.array_distinct("_starts"),
-                    lambda x: F.struct(F.lit(2).alias("k"), F.when(F.col("_a").isNotNull(), x).alias("t"))),
+        F.transform(F.array_distinct("_starts"), lambda x: F.struct(F.lit(2).alias("k"), x.alias("t"))),
     )).alias("m")
-    m = s.select("shopid", "_E", "_key", "_starts", *cols, mark).where(F.col("m.t").isNotNull())
+    m = s.select("shopid", "_E", "_key", "_starts", "_first", "_over", *cols, mark).where(F.col("m.t").isNotNull())
     # One SQL projection: the payload of each mark kind per column (cheap to build
     # for many columns; the segment payload only where that column's segment starts).
     q = [f"`{c}`" for c in cols]
     marks = m.selectExpr(
         "shopid", "m.t AS _t", "m.k AS _kind",
-        "CASE WHEN m.k = 0 THEN _key END AS _dk",
-        "CASE WHEN m.k <> 0 THEN _key END AS _ak",
+        "CASE WHEN m.k IN (0, 10) THEN _key END AS _dk",
+        "CASE WHEN m.k NOT IN (0, 10) THEN _key END AS _ak",
         *[f"CASE WHEN m.k = 0 THEN {c} END AS _end{i}" for i, c in enumerate(q)],
-        *[f"CASE WHEN m.k = 1 THEN {c} END AS _beg{i}" for i, c in enumerate(q)],
-        *[f"CASE WHEN m.k = 2 AND {c} IS NOT NULL AND _E IS NOT NULL AND _starts[{i}] = m.t AND m.t < _E "
-          f"THEN named_struct('v', {c}, 'end', _E) END AS _seg{i}" for i, c in enumerate(q)],
-        *[f"CASE WHEN m.k = 3 THEN {c} END AS _opn{i}" for i, c in enumerate(q)],
+        *[f"CASE WHEN m.k = -1 AND _first[{i}] THEN {c} END AS _low{i}" for i, c in enumerate(q)],
+        *[f"CASE WHEN m.k = 2 AND {c} IS NOT NULL AND _starts[{i}] = m.t AND m.t < _E "
+          f"THEN named_struct('key', _key, 'v', {c}, 'end', _E) END AS _seg{i}" for i, c in enumerate(q)],
+        *[f"CASE WHEN m.k = 10 AND _over[{i}] THEN named_struct('key', _key, 'v', {c}, 'end', _E) END AS _rst{i}"
+          for i, c in enumerate(q)],
         "CASE WHEN m.k = 5 THEN m.t END AS _mf1",
         "CASE WHEN m.k = 6 THEN m.t END AS _mf2",
     )
     # A payment without a time is 999999 days from every interval, so the lowest
-    # key wins: placed before every mark, the forward fill finds exactly that.
-    first_ts = F.lit("0001-01-01 00:00:00").cast("timestamp")
+    # key wins: it is placed right after the mark that holds it.
     pts = points.select("*", F.coalesce(F.col(at), first_ts).alias("_t"), F.lit(9).alias("_kind"))
     u = pts.unionByName(marks, allowMissingColumns=True)
 
     fills = {}
     for i in range(n):
         fills[f"_fs{i}"] = ("ffill", f"_seg{i}")
+        fills[f"_fr{i}"] = ("ffill", f"_rst{i}")
         fills[f"_fe{i}"] = ("ffill", f"_end{i}")
-        fills[f"_fo{i}"] = ("first_nonnull", f"_opn{i}")
-        fills[f"_fb{i}"] = ("bfill", f"_beg{i}")
+        fills[f"_fo{i}"] = ("first_nonnull", f"_low{i}")
     if month_flags:
         fills["_ff1"] = ("ffill", "_mf1")
         fills["_ff2"] = ("ffill", "_mf2")
@@ -192,9 +207,9 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     f = ordered_scan(u, ["shopid"], order, day_bucket("_t", u.sparkSession) if bucketed else None, **fills)
     out = []
     for i, c in enumerate(cols):
-        seg = F.col(f"_fs{i}")
-        inside = F.when(F.col("_t") < seg["end"], seg["v"])
-        out.append(F.coalesce(inside, F.col(f"_fe{i}"), F.col(f"_fo{i}"), F.col(f"_fb{i}")).alias(c))
+        seg, rest = F.col(f"_fs{i}"), F.col(f"_fr{i}")
+        inside = F.least(F.when(F.col("_t") < seg["end"], seg), F.when(F.col("_t") < rest["end"], rest))["v"]
+        out.append(F.coalesce(inside, F.col(f"_fe{i}"), F.col(f"_fo{i}")).alias(c))
     if month_flags:
         this_month = month_start(at).cast("timestamp")
         out.append(F.coalesce(F.col("_ff1") == this_month, F.lit(False)).alias("ended_same_month"))
@@ -202,28 +217,6 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     return f.where(F.col("_kind") == 9).select(*points.columns, *out)
 
 
-def skipped_intervals(subs: DataFrame) -> DataFrame:
-    """Intervals the ranking leaves out: a start after the end, or no start with an end.
-
-    The timeline only produces them when ``as_of`` precedes the events; list
-    them to see what a run did not rank (their month flags still count).
-    """
-    a, e = F.col("activated_date"), F.col("actual_end_date")
-    return subs.where((a.isNotNull() & e.isNotNull() & (a > e)) | (a.isNull() & e.isNotNull()))
-
-
-def end_month_flags(subs_prev: DataFrame) -> DataFrame:
-    """(shopid, month) -> previous-interval end in the same month / in the month before."""
-    m = month_start("prev_actual_end_date")
-    base = subs_prev.where(F.col("prev_actual_end_date").isNotNull()).select("shopid", m.alias("m"))
-    both = base.select("shopid", F.explode(F.array(
-        F.struct(F.col("m").alias("month"), F.lit(True).alias("same"), F.lit(False).alias("next")),
-        F.struct(F.add_months("m", 1).alias("month"), F.lit(False).alias("same"), F.lit(True).alias("next")),
-    )).alias("x"))
-    return (both.groupBy("shopid", F.col("x.month").alias("month"))
-            .agg(F.max("x.same").alias("ended_same_month"), F.max("x.next").alias("ended_month_before")))
-
-
 def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str = "cursor",
                      bucketed: bool | None = None) -> DataFrame:
     """One row per distinct payment with its ranked subscription values and neighbours."""
@@ -248,20 +241,15 @@ def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str
     return near.join(counts, near["_sd"] == counts["_sd2"]).drop("_sd", "_sd2")
 
 
-def choose_attribution(matched: DataFrame, subs_prev: DataFrame) -> DataFrame:
+def choose_attribution(matched: DataFrame) -> DataFrame:
     """Take the previous subscription's values on a same-amount repeat after a month change."""
-    if "ended_same_month" in matched.columns:
-        m = matched
-    else:
-        flags = end_month_flags(subs_prev)
-        m = matched.withColumn("month", month_start("createdat")).join(flags, ["shopid", "month"], "left")
     hit = F.coalesce(
         (F.col("transactions_per_day") > 1)
         & ((F.col("ended_same_month") & (F.col("netamount") == F.col("prev_day_amount")))
            | (F.col("ended_month_before") & (F.col("netamount") != F.col("next_day_amount")))),
         F.lit(False))
     chosen = [F.when(hit & F.col(p).isNotNull(), F.col(p)).otherwise(F.col(c)).alias(c) for c, p in CHOSEN]
-    return m.select("createdat", "id", "_id", "netamount", "prev_netamount", "next_day_amount", "shopid",
+    return matched.select("createdat", "id", "_id", "netamount", "prev_netamount", "next_day_amount", "shopid",
                     "transactions_per_day", *chosen)
 
 
@@ -305,4 +293,4 @@ def attribute_transactions(tx: DataFrame, subs: DataFrame, shop=None, tiebreak:
     s = with_previous(subs if shop is None else subs.where(F.col("shopid") == F.lit(shop)), tiebreak, bucketed)
     s = cut(s, bucketed)
     matched = cut(matched_payments(t, s, tiebreak, bucketed), bucketed)
-    return carry_forward(label_sales(choose_attribution(matched, s)), bucketed)
+    return carry_forward(label_sales(choose_attribution(matched)), bucketed)

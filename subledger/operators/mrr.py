@@ -20,9 +20,9 @@ def _zero():
 
 
 def revenue_by_month(tx: DataFrame) -> DataFrame:
-    """SUM(netamount) per (month, shopid)."""
+    """SUM(netamount) per (month, shopid); amounts become exact before the sum, whatever their type."""
     return (tx.groupBy(month_start("createdat").alias("month"), "shopid")
-            .agg(F.sum("netamount").cast(S.MONEY_SUM).alias("revenue")))
+            .agg(F.sum(F.col("netamount").cast(S.MONEY)).cast(S.MONEY_SUM).alias("revenue")))
 
 
 _COLUMNS = ("month", "shopid", "revenue", "prev_month_revenue", "new_mrr", "mrr",
@@ -52,43 +52,24 @@ def mrr_components(rev: DataFrame, keep=()) -> DataFrame:
 
 def shop_last_month(shop_rev: DataFrame) -> DataFrame:
     """Last present month of each shop and its retained revenue (an aggregate, no window)."""
-    return (shop_rev.groupBy("shopid")
+    return (shop_rev.where(F.col("month").isNotNull()).groupBy("shopid")
             .agg(F.max("month").alias("final_month"),
                  F.max_by("mrr", "month").alias("final_mrr")))
 
 
-def with_churn(shop_rev: DataFrame, as_of=None) -> DataFrame:
-    """Append, per shop, a synthetic month after its last one that churns its retained revenue.
-
-    Churn is zeroed when that month is the as-of month or the month after it.
-    """
-    today = as_of_date(as_of)
-    this_month = F.trunc(today, "month")
-    last = shop_last_month(shop_rev)
-    churn_month = F.add_months("final_month", 1)
-    churn = (last.select(
-        churn_month.alias("month"), "shopid",
-        _zero().alias("revenue"),
-        F.lit(None).cast(S.MONEY_SUM).alias("prev_month_revenue"),
-        _zero().alias("new_mrr"), _zero().alias("mrr"),
-        _zero().alias("expansion_mrr"), _zero().alias("contraction_mrr"),
-        F.when((churn_month == this_month) | (churn_month == F.add_months(this_month, 1)), _zero())
-         .otherwise(-F.col("final_mrr")).cast(S.MONEY_SUM).alias("churn_mrr"),
-    ))
-    return shop_rev.unionByName(churn)
-
-
 def mrr_shop_month(tx: DataFrame, as_of=None) -> DataFrame:
     """Per shop and month: revenue, previous revenue and the five components.
 
-    Same rows as ``with_churn(mrr_components(...))`` in one pass: the window
-    that finds the previous month also flags each shop's last month, and a
-    generator emits that month's row plus the synthetic churn row after it,
-    so the per-shop table is neither re-read nor re-aggregated for the union.
+    The window that finds the previous month also flags each shop's last month,
+    and a generator emits that month's row plus a synthetic row for the month
+    after it, which churns the retained revenue; churn is zero when that month
+    is the as-of month or the one after. Payments without a time form a NULL
+    month, which is never a shop's last: a shop has one churn row, and none if
+    all its payments lack a time.
     """
     rev = revenue_by_month(tx)
     w = Window.partitionBy("shopid").orderBy(F.col("month").asc_nulls_last())
-    comp = mrr_components(rev.withColumn("_final", F.lead("month").over(w).isNull()), keep=("_final",))
+    comp = mrr_components(rev.withColumn("_final", F.col("month").isNotNull() & F.lead("month").over(w).isNull()), keep=("_final",))
     this_month = F.trunc(as_of_date(as_of), "month")
     nxt = F.add_months("month", 1)
     actual = F.struct(*[F.col(c) for c in _COLUMNS])

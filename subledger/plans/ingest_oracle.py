@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .. import schemas as S
 from .ingest import LANDING_AS_OF, SPLIT_DAY
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -55,12 +56,10 @@ EV_TYPED = f"ev AS ({_ev(_T)})"
 LATEST = f"latest AS (SELECT max(dt) AS latest_dt FROM txd WHERE dt <> {LANDING})"
 
 _AUDIT_COLS = ("eventtype", "occurredat", "shopdomain", "shopid", "chargeamount", "chargeid", "chargename", "cursor")
-_DT_COLS = ("createdat", "deletedat", "publishedat", "updatedat", "lastaccess", "reinstalledat",
-            "metadata_created_at", "uninstalledat", "metadata_updated_at", "occurredat")
 
 
 def _audit_row(c: str) -> str:
-    allow_null = "false" if (c in _DT_COLS or c == "shopid") else "true"
+    allow_null = "false" if (c in S.DATETIME_COLUMNS or c == "shopid") else "true"
     allow_dup = "false" if c == "shopid" else "true"
     return f"""SELECT '{c}' AS "column", {allow_null} AS allow_null, {allow_dup} AS allow_duplicated,
         count(*) AS rows, count(*) - count({c}) AS null_count,
@@ -86,18 +85,24 @@ ARRIVALS_CTE = f"""k AS (
     FROM events)
 , keyed AS (
     SELECT user_id * 1000 + event_id % 1000 AS size,
-        CASE WHEN event_id % 11 = 0 THEN src || '/' || folder || '/' || fname
+        CASE WHEN event_id % 101 = 0 THEN '' WHEN event_id % 19 = 0 THEN src || '/' || folder || '/100%zz/' || fname
+             WHEN event_id % 11 = 0 THEN src || '/' || folder || '/' || fname
              ELSE src || '/' || folder || '/dt' || eq || day || '/' || fname END AS key
     FROM k)
-, decoded AS (SELECT *, url_decode(key) AS dk FROM keyed)
+, unreadable AS (
+    SELECT NULL::BIGINT AS size, '' AS key, 'Unknown' AS event_source, 'Unknown' AS region, 'Unknown' AS event_name,
+        'Unknown' AS bucket FROM region)
+, decoded AS (
+    SELECT *, CASE WHEN contains(key, '%zz') THEN key ELSE url_decode(key) END AS dk FROM (
+        SELECT size, key, 'aws:s3' AS event_source, 'region-1' AS region, 'ObjectCreated:Put' AS event_name,
+            'landing' AS bucket FROM keyed UNION ALL SELECT * FROM unreadable))
 , parsed AS (
-    SELECT 'aws:s3' AS event_source, 'region-1' AS region, 'ObjectCreated:Put' AS event_name,
-        'landing' AS bucket, key, size, dk AS decoded_key,
+    SELECT event_source, region, event_name, bucket, key, size, dk AS decoded_key,
         CASE WHEN contains(dk, 'dt=') THEN replace(rtrim(split_part(dk, 'dt=', 1), '/'), '/', '-')
              ELSE replace(dk, '/', '-') END AS object_prefix,
         CASE WHEN contains(dk, 'dt=') THEN split_part(split_part(dk, 'dt=', 2), '/', 1) END AS partition_value,
         len(string_split(dk, '/')) >= 2 AND string_split(dk, '/')[1] = 'mongodb' AS fits,
-        string_split(dk, '/')[2] AS db_coll
+        coalesce(string_split(dk, '/')[2], '') AS db_coll
     FROM decoded)
 , arrivals AS (
     SELECT event_source, region, event_name, bucket, key, size, decoded_key, object_prefix, partition_value,
@@ -105,8 +110,8 @@ ARRIVALS_CTE = f"""k AS (
         CASE WHEN fits AND position('-' IN db_coll) > 0
              THEN substr(db_coll, position('-' IN db_coll) + 1) END AS collection,
         CASE WHEN NOT fits OR position('-' IN db_coll) = 0 THEN 'Error' ELSE 'Success' END AS status,
-        CASE WHEN NOT fits THEN 'Invalid object key format: ' || decoded_key
-             WHEN position('-' IN db_coll) = 0 THEN 'Failed to parse database and collection' END AS message
+        CASE WHEN key = '' THEN '{S.MSG_NO_KEY}' WHEN NOT fits THEN '{S.MSG_OTHER_KEY}' || decoded_key
+             WHEN position('-' IN db_coll) = 0 THEN '{S.MSG_NO_COLLECTION}' END AS message
     FROM parsed)"""
 
 

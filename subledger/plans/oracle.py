@@ -2,14 +2,14 @@
 
 Written independently of the Spark code, as plain brute-force SQL: the
 attribution ranks every (payment, subscription) pair of a shop, the day counts
-use a range join against 0..9999, last values use ``arg_max``. Tables
+use a range join against day offsets, last values use ``arg_max``. Tables
 ``events``, ``orders`` … are views over the same parquet files the Spark side
 reads.
 """
 
 from __future__ import annotations
 
-from ..fixtures import EVENTS_AS_OF, ORDERS_AS_OF
+from ..fixtures import BACKFILL_AS_OF, EVENTS_AS_OF, ORDERS_AS_OF
 
 EV_AS_OF = f"DATE '{EVENTS_AS_OF.isoformat()}'"
 ORD_AS_OF = f"DATE '{ORDERS_AS_OF.isoformat()}'"
@@ -89,7 +89,8 @@ def _mrr_ctes(tx: str, as_of: str) -> str:
         {_money('0')} AS churn_mrr
     FROM moves)
 , last_seen AS (
-    SELECT shopid, max(month) AS final_month, arg_max(mrr, month) AS final_mrr FROM comp GROUP BY shopid)
+    SELECT shopid, max(month) AS final_month, arg_max(mrr, month) AS final_mrr
+    FROM comp WHERE month IS NOT NULL GROUP BY shopid)
 , churned AS (
     SELECT CAST(final_month + INTERVAL 1 MONTH AS DATE) AS month, shopid,
         {_money('0')} AS revenue, CAST(NULL AS DECIMAL(38,2)) AS prev_month_revenue,
@@ -118,6 +119,9 @@ SELECT month, shopid, revenue, prev_month_revenue, new_mrr, mrr, expansion_mrr,
 FROM shop_months"""
 
 MRR_MONTHLY = _mrr_totals(ORDER_PAYMENTS_CTE, "order_payments", ORD_AS_OF)
+# amounts as doubles, as landed tables hold them
+MRR_BRONZE = _mrr_totals(PAYMENTS_CTE.replace("CAST(floor(value / 10) * 10 AS DECIMAL(18,2))",
+                                              "CAST(value AS DECIMAL(18,2))"), "payments", EV_AS_OF)
 MRR_EVENTS_MONTHLY = _mrr_totals(PAYMENTS_CTE, "payments", EV_AS_OF)
 
 SHOP_LAST_MONTH = f"""WITH {ORDER_PAYMENTS_CTE}, {_mrr_ctes('order_payments', ORD_AS_OF)}
@@ -173,7 +177,8 @@ def _days(src: str, as_of: str) -> str:
     SELECT s.shopid, {start} AS activated_date, CAST(s.actual_end_date AS DATE) AS actual_end_date,
         {start} + CAST(r.range AS INTEGER) AS active_date
     FROM {src} s
-    JOIN range(0, 10000) r
+    JOIN range(0, (SELECT max(date_diff('day', CAST(activated_date AS DATE),
+                                        coalesce(CAST(actual_end_date AS DATE), {as_of} + 2))) + 1 FROM {src})) r
       ON {start} + CAST(r.range AS INTEGER) <= coalesce(CAST(s.actual_end_date AS DATE) - 1, {as_of} + 1))"""
 
 
@@ -336,11 +341,16 @@ SELECT * FROM labelled"""
 TX_ATTRIBUTED = f"""WITH {ATTRIBUTION_CTES}
 SELECT * FROM attributed"""
 
+TX_BACKFILL = TX_ATTRIBUTED.replace(EV_AS_OF, f"DATE '{BACKFILL_AS_OF.isoformat()}'")
+
+TX_ONE_SHOP = TX_ATTRIBUTED + " WHERE shopid = (SELECT min(shopid) FROM payments)"
+
 
 ORACLES: dict[str, str] = {
     "mrr_shop_month": MRR_SHOP_MONTH,
     "mrr_monthly": MRR_MONTHLY,
     "mrr_monthly_events": MRR_EVENTS_MONTHLY,
+    "mrr_monthly_bronze": MRR_BRONZE,
     "shop_last_month": SHOP_LAST_MONTH,
     "mrr_cumulative": MRR_CUMULATIVE,
     "timeline_events": TIMELINE_EVENTS,
@@ -358,4 +368,6 @@ ORACLES: dict[str, str] = {
     "tx_choice": TX_CHOICE,
     "tx_labelled": TX_LABELLED,
     "tx_attributed": TX_ATTRIBUTED,
+    "tx_attributed_backfill": TX_BACKFILL,
+    "tx_one_shop": TX_ONE_SHOP,
 }

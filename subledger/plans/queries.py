@@ -43,6 +43,16 @@ def q_mrr_monthly_events(spark, sf_dir):
     return mrr.mrr_monthly(fx.payments(spark, sf_dir), fx.EVENTS_AS_OF)
 
 
+def q_mrr_monthly_bronze(spark, sf_dir):
+    """Landed amounts are doubles with cents; the totals must not depend on the order of the sum."""
+    landed = fx.bronze_transactions(spark, sf_dir)
+    shop = F.regexp_extract(F.col("cursor"), "^0*([0-9]+)$", 1).cast("long").alias("event_id")
+    users = fx.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("shopid"))
+    tx = (landed.select(F.col("createdAt").alias("createdat"), F.col("grossAmount").alias("netamount"), shop)
+          .join(users, "event_id"))
+    return mrr.mrr_monthly(tx, fx.EVENTS_AS_OF)
+
+
 def q_shop_last_month(spark, sf_dir):
     shop_rev = mrr.mrr_components(mrr.revenue_by_month(fx.order_payments(spark, sf_dir)))
     return mrr.shop_last_month(shop_rev)
@@ -94,14 +104,14 @@ def q_store_daily_active(spark, sf_dir):
 
 
 # --- C02 ------------------------------------------------------------------
-def _attr_split(spark, sf_dir):
+def _attr_split(spark, sf_dir, as_of=fx.EVENTS_AS_OF):
     """One skew decision per job, from the raw inputs: intervals per shop never
     exceed subscription events per shop, so the timeline need not run for it."""
     pay = fx.payments(spark, sf_dir)
     ev = fx.subscription_events(spark, sf_dir)
     split = resolve_bucketing(None, (pay, ["shopid"]),
                               (ev.where(subscription_event("eventtype")), ["shopid"]))
-    subs = timeline.timeline_intervals(ev, fx.EVENTS_AS_OF, bucketed=split)
+    subs = timeline.timeline_intervals(ev, as_of, bucketed=split)
     return pay, subs, split
 
 
@@ -126,13 +136,13 @@ def q_tx_matched(spark, sf_dir):
 
 def q_tx_choice(spark, sf_dir):
     tx, s, split = _attr_inputs(spark, sf_dir)
-    return attribution.choose_attribution(cut(attribution.matched_payments(tx, s, bucketed=split), split), s)
+    return attribution.choose_attribution(cut(attribution.matched_payments(tx, s, bucketed=split), split))
 
 
 def q_tx_labelled(spark, sf_dir):
     tx, s, split = _attr_inputs(spark, sf_dir)
     return attribution.label_sales(
-        attribution.choose_attribution(cut(attribution.matched_payments(tx, s, bucketed=split), split), s))
+        attribution.choose_attribution(cut(attribution.matched_payments(tx, s, bucketed=split), split)))
 
 
 def q_tx_attributed(spark, sf_dir):
@@ -140,10 +150,24 @@ def q_tx_attributed(spark, sf_dir):
     return attribution.attribute_transactions(pay, subs, bucketed=split)
 
 
+def q_tx_attributed_backfill(spark, sf_dir):
+    """A run for a past day: open intervals that start after it end before they start."""
+    pay, subs, split = _attr_split(spark, sf_dir, fx.BACKFILL_AS_OF)
+    return attribution.attribute_transactions(pay, subs, bucketed=split)
+
+
+def q_tx_one_shop(spark, sf_dir):
+    """The single-shop run, for the shop with the lowest id."""
+    pay, ev = fx.payments(spark, sf_dir), fx.subscription_events(spark, sf_dir)
+    shop = pay.agg(F.min("shopid")).first()[0]
+    return attribution.attribute_transactions(pay, timeline.timeline_intervals(ev, fx.EVENTS_AS_OF, shop), shop)
+
+
 QUERIES: dict[str, Query] = {
     "mrr_shop_month": q_mrr_shop_month,
     "mrr_monthly": q_mrr_monthly,
     "mrr_monthly_events": q_mrr_monthly_events,
+    "mrr_monthly_bronze": q_mrr_monthly_bronze,
     "shop_last_month": q_shop_last_month,
     "mrr_cumulative": q_mrr_cumulative,
     "timeline_events": q_timeline_events,
@@ -161,6 +185,8 @@ QUERIES: dict[str, Query] = {
     "tx_choice": q_tx_choice,
     "tx_labelled": q_tx_labelled,
     "tx_attributed": q_tx_attributed,
+    "tx_attributed_backfill": q_tx_attributed_backfill,
+    "tx_one_shop": q_tx_one_shop,
 }
 
 

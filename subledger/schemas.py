@@ -40,8 +40,11 @@ SALE_LABEL_RULES = (
 
 # Distance given to an interval that starts after the payment.
 NOT_STARTED_DISTANCE = 999999
-# Longest interval expanded to days (days beyond are not counted).
-MAX_INTERVAL_DAYS = 10000
+
+# Messages of arrival keys that name no table.
+MSG_NO_KEY = "no object key in the notification"
+MSG_OTHER_KEY = "object key outside the expected layout: "
+MSG_NO_COLLECTION = "folder holds no database-collection pair"
 
 # Column policy: names treated as datetimes, and the unique-key column.
 DATETIME_COLUMNS = (
@@ -93,7 +96,7 @@ def bronze_schema(api_type: str) -> T.StructType:
     try:
         return BRONZE_SCHEMAS[api_type]
     except KeyError:
-        raise ValueError(f"Unsupported api_type: {api_type}") from None
+        raise ValueError(f"no bronze schema for feed type {api_type!r}") from None
 
 
 # Page documents as returned by the billing API. Amounts arrive as strings.

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schemas as S
 from ..functions.scalar import decode_key
 
 NOTIFICATION_SCHEMA = T.StructType([T.StructField("Records", T.ArrayType(T.StructType([
@@ -29,15 +30,19 @@ NOTIFICATION_SCHEMA = T.StructType([T.StructField("Records", T.ArrayType(T.Struc
 
 
 def read_notifications(docs: DataFrame, json_col: str = "json") -> DataFrame:
-    """One row per record: event source, region, event name, bucket, key, size."""
-    recs = docs.select(F.explode(F.from_json(F.col(json_col), NOTIFICATION_SCHEMA)["Records"]).alias("r"))
+    """One row per record: event source, region, event name, bucket, key, size.
+
+    A document that can't be read, or holds no records, gives one row with an
+    empty key, which ``parse_arrivals`` reports as an ``Error``.
+    """
+    recs = docs.select(F.explode_outer(F.from_json(F.col(json_col), NOTIFICATION_SCHEMA)["Records"]).alias("r"))
     unknown = F.lit("Unknown")
     return recs.select(
         F.coalesce("r.eventSource", unknown).alias("event_source"),
         F.coalesce("r.awsRegion", unknown).alias("region"),
         F.coalesce("r.eventName", unknown).alias("event_name"),
         F.coalesce("r.s3.bucket.name", unknown).alias("bucket"),
-        F.coalesce("r.s3.object.key", unknown).alias("key"),
+        F.when(F.col("r").isNull(), F.lit("")).otherwise(F.coalesce("r.s3.object.key", unknown)).alias("key"),
         F.col("r.s3.object.size").alias("size"),
     )
 
@@ -58,9 +63,9 @@ def parse_arrivals(records: DataFrame, source: str = "mongodb", key_col: str = "
               .when(~fits, F.lit("Error"))
               .when(~splits, F.lit("Error"))
               .otherwise(F.lit("Success")))
-    message = (F.when((prefix == "") | (k == ""), F.lit("Missing required parameters"))
-               .when(~fits, F.concat(F.lit("Invalid object key format: "), k))
-               .when(~splits, F.lit("Failed to parse database and collection")))
+    message = (F.when((prefix == "") | (k == ""), F.lit(S.MSG_NO_KEY))
+               .when(~fits, F.concat(F.lit(S.MSG_OTHER_KEY), k))
+               .when(~splits, F.lit(S.MSG_NO_COLLECTION)))
     return records.select(
         "*",
         k.alias("decoded_key"),

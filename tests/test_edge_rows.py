@@ -8,6 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from subledger import schemas as S
 from subledger.functions.scalar import decode_key, numeric_id, sanitize, sale_label
 from subledger.operators import attribution, mrr, timeline
 from subledger.operators.curate import convert_datetimes, curate_all
@@ -111,8 +112,16 @@ def test_arrival_keys(spark):
     assert (a["object_prefix"], a["partition_value"], a["database"], a["collection"], a["status"]) == \
            ("mongodb-db-coll", "2024-03-20", "db", "coll", "Success")
     assert b["partition_value"] is None and b["object_prefix"] == "mongodb-db-coll-file.json"
-    assert c["status"] == "Error" and c["message"].startswith("Invalid object key format")
-    assert d["status"] == "Error" and d["message"] == "Failed to parse database and collection"
+    assert c["status"] == "Error" and c["message"].startswith(S.MSG_OTHER_KEY)
+    assert d["status"] == "Error" and d["message"] == S.MSG_NO_COLLECTION
+
+
+def test_unreadable_notifications_give_error_rows(spark):
+    docs = spark.createDataFrame([("not json",), ('{"Records": []}',), (None,),
+                                  ('{"Records": [{"s3": {"object": {"key": "mongodb/a-b/100%zz"}}}]}',)], "json string")
+    got = arrivals.parse_arrivals(arrivals.read_notifications(docs)).collect()
+    assert sorted((r["status"], r["decoded_key"]) for r in got) == [
+        ("Error", ""), ("Error", ""), ("Error", ""), ("Success", "mongodb/a-b/100%zz")]
 
 
 def test_sanitize_and_decode(spark):
@@ -186,12 +195,44 @@ def test_mrr_null_month_sorts_last(spark):
     assert null_month["prev_month_revenue"] == Decimal("80.00")
     feb = [r for r in rows if r["month"] == dt.date(2024, 2, 1)][0]
     assert feb["prev_month_revenue"] == Decimal("100.00")
+    assert [(r["month"], r["churn_mrr"]) for r in rows if r["churn_mrr"]] == [(dt.date(2024, 3, 1), Decimal("-80.00"))]
+    last = mrr.shop_last_month(mrr.mrr_components(mrr.revenue_by_month(tx))).collect()
+    assert [tuple(r) for r in last] == [(1, dt.date(2024, 2, 1), Decimal("80.00"))]
+
 
+def test_revenue_of_doubles_does_not_depend_on_order(spark):
+    import random
+    values = [1e13, 0.1, 0.2, -1e13, 0.3, 5.005, 7.1, 0.7] * 3
+    sums = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(values)
+        tx = spark.createDataFrame([(D(2024, 1, 5), v, 1) for v in values],
+                                   "createdat timestamp, netamount double, shopid long").repartition(seed + 1)
+        sums.add(mrr.revenue_by_month(tx).first()["revenue"])
+    assert len(sums) == 1
 
-def test_skipped_intervals_are_listed(spark):
+
+def test_intervals_that_end_before_they_start_are_ranked(spark):
     subs = timeline.timeline_intervals(_events(spark), dt.date(2024, 1, 20))  # as_of before the last start
-    skipped = attribution.skipped_intervals(subs).collect()
-    assert [r["cursor"] for r in skipped] == ["05"]  # starts Jan 25, open end = as_of + 1 = Jan 21
+    last = [r for r in subs.collect() if r["cursor"] == "05"][0]
+    assert last["activated_date"] > last["actual_end_date"]
+    tx = spark.createDataFrame([(D(2024, 1, 27), "gid://p/AppSubscriptionSale/1", "c", Decimal("1.00"), 1)], TX_SCHEMA)
+    row = attribution.attribute_transactions(tx, subs).first()
+    assert row["pricing_plan"] == "Unlimited Blog posts"  # ended Jan 21, later than the one that ended Jan 20
+
+
+@pytest.mark.parametrize("method", ["explode", "sweep"])
+def test_long_intervals_and_null_shops(spark, method):
+    from subledger.operators import active
+    iv = spark.createDataFrame([
+        (1, D(1980, 1, 1), D(2024, 1, 1)), (None, D(2024, 1, 1), D(2024, 1, 3)), (2, D(2024, 1, 2), D(2024, 1, 4)),
+    ], "shopid long, activated_date timestamp, actual_end_date timestamp")
+    got = {r["active_date"]: r["merchants"]
+           for r in active.merchants_by_day(iv, dt.date(2024, 1, 9), method=method).collect()}
+    assert len(got) == 16071 + 3 and got[dt.date(2023, 12, 31)] == 1
+    assert [got[dt.date(2024, 1, d)] for d in (1, 2, 3)] == [0, 1, 1]
+    cut = active.merchants_by_day(iv, dt.date(2024, 1, 9), max_days=10, method=method)
+    assert cut.count() == 13
 
 
 @pytest.mark.parametrize("method", ["explode", "sweep"])

@@ -69,11 +69,14 @@ def _case(seed):
         for _ in range(rnd.randint(0, 9)):
             a = BASE + dt.timedelta(hours=rnd.randint(0, 120))
             r = rnd.random()
-            e = None if r < 0.1 else a if r < 0.25 else a + dt.timedelta(hours=rnd.randint(1, 80))
+            e = (None if r < 0.1 else a if r < 0.25 else a - dt.timedelta(hours=rnd.randint(1, 40)) if r < 0.45
+                 else a + dt.timedelta(hours=rnd.randint(1, 80)))
+            if rnd.random() < 0.08:
+                a = None
             n += 1
             subs.append((shop, a, e, f"{n:06d}", rnd.choice(["A", "B", "C", None]),
                          rnd.choice([10, 20, None]), rnd.choice(["P", None])))
-            bounds += [a] + ([e, dt.datetime.combine(e.date(), dt.time()) + dt.timedelta(days=1)] if e else [])
+            bounds += [x for x in [a] if x] + ([e, dt.datetime.combine(e.date(), dt.time()) + dt.timedelta(days=1)] if e else [])
         for _ in range(rnd.randint(1, 25)):
             if bounds and rnd.random() < 0.4:
                 t = rnd.choice(bounds) + dt.timedelta(minutes=rnd.choice([-1, 0, 0, 1]))
