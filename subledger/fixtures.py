@@ -19,6 +19,8 @@ from . import schemas as S
 EVENTS_AS_OF = dt.date(2024, 2, 20)
 BACKFILL_AS_OF = dt.date(2024, 2, 5)
 ORDERS_AS_OF = dt.date(2001, 8, 15)
+# The day of which some rows have unreadable times.
+BAD_DAY = dt.date(2024, 2, 3)
 
 # Fixture vocabularies (driver event_type -> billing event type).
 SUBSCRIPTION_TYPE_MAP = {
@@ -273,6 +275,25 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_events(spark, sf_dir).withColumn("occurredAt", _iso(F.col("occurredAt")))
 
 
+def mixed_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events with ``dt``: some times of one day unreadable, and rows without a day, some of them unreadable."""
+    number = F.col("cursor").cast("long")
+    day = F.to_date(F.substring("occurredAt", 1, 10))
+    bad = (number % 5 == 0) & ((day == F.lit(BAD_DAY)) | (number % 53 == 0))
+    return (raw_events(spark, sf_dir).withColumn("dt", F.when(number % 53 != 0, day))
+            .withColumn("occurredAt", F.when(bad, F.lit("some time ago")).otherwise(F.col("occurredAt"))))
+
+
+def broken_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page without edges per row of ``region``, and one whose row has no time per row of ``nation``."""
+    other = table(spark, sf_dir, "region").select(
+        F.concat(F.lit('{"data":{"note":"'), F.col("r_name"), F.lit('"}}')).alias("json"))
+    untimed = table(spark, sf_dir, "nation").select(F.concat(
+        F.lit('{"data":{"transactions":{"edges":[{"cursor":"n-'), F.col("n_nationkey").cast("string"),
+        F.lit('","node":{"id":"'), F.col("n_name"), F.lit('"}}]}}}')).alias("json"))
+    return other.unionByName(untimed)
+
+
 def notifications(spark: SparkSession, sf_dir: str, per_doc: int = 4) -> DataFrame:
     """Object-arrival notification documents, one object per event, ``per_doc`` records each.
 

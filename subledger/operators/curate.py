@@ -1,4 +1,4 @@
-"""Bronze -> curated: event-time columns become timestamps, bad days are held back.
+"""Bronze -> curated: event-time columns become timestamps, names lower case, bad days are held back.
 
 The whole base folder is one Spark job (not a loop over days). Each day gets
 a report row (rows, rows whose time did not parse); a day with any bad row is
@@ -7,6 +7,8 @@ quarantined with an anti join and reported, the rest is written.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,15 @@ def convert_datetimes(df: DataFrame, pairs=DATETIME_PAIRS) -> DataFrame:
     return df
 
 
+def lower_names(df: DataFrame) -> DataFrame:
+    """Canonical lower-case names; columns that differ in case only become one (first non-NULL value)."""
+    groups: dict[str, list[str]] = {}
+    for c in df.columns:
+        groups.setdefault(c.lower(), []).append(c)
+    return df.select(*[(F.coalesce(*map(F.col, same)) if len(same) > 1 else F.col(same[0])).alias(name)
+                       for name, same in groups.items()])
+
+
 def curate_all(bronze: DataFrame, pairs=DATETIME_PAIRS) -> tuple[DataFrame, DataFrame]:
     """(good rows, per-day report). A day is bad when any non-NULL time fails to parse."""
     names = datetime_columns(bronze, pairs)
@@ -62,32 +73,48 @@ def curate_all(bronze: DataFrame, pairs=DATETIME_PAIRS) -> tuple[DataFrame, Data
     report = (conv.groupBy("dt")
               .agg(F.count(F.lit(1)).alias("rows"), F.count_if("_bad").alias("bad_rows"))
               .withColumn("ok", F.col("bad_rows") == 0))
-    good = conv.join(report.where(~F.col("ok")).select("dt"), "dt", "left_anti").drop("_bad")
-    return good, report
+    return lower_names(_good_days(conv.drop("_bad"), report)), report
+
+
+def _good_days(df: DataFrame, report: DataFrame) -> DataFrame:
+    """Rows of the days that are fine (the day of rows without one is NULL, which equals itself here)."""
+    bad = report.where(~F.col("ok")).select(F.col("dt").alias("_bad_dt"))
+    return df.join(bad, F.col("dt").eqNullSafe(F.col("_bad_dt")), "left_anti")
 
 
 def curate(spark: SparkSession, bronze_path: str, curated_path: str, table: str | None = None,
-           database: str | None = None, dt=None) -> DataFrame:
+           database: str | None = None, dt=None, pairs=DATETIME_PAIRS) -> DataFrame:
     """Full curate job; returns the per-day report.
 
     Fails when there is no partition at all or no partition was good; writes
     good days (replacing those days), then registers the table when named.
     ``dt`` restricts the run to one day folder (the arrival-triggered case):
-    partition pruning reads only that day and only that day is replaced.
+    only that folder is read and only that day is replaced. ``pairs`` names the
+    event-time columns. A new database lies beside the curated folder.
     """
-    bronze = raw.read_raw(spark, bronze_path, dt)
-    _, report = curate_all(bronze)
+    if dt is not None:
+        bronze = sinks.stored_days(spark, bronze_path.rstrip("/"), [as_date(dt)])
+        if bronze is None:
+            raise CurateError(f"no folder for day {dt} under {bronze_path}")
+    else:
+        bronze = raw.read_raw(spark, bronze_path, merge_schema=True)
+    _, report = curate_all(bronze, pairs)
     # one row per day: materialise once, so the checks and the quarantine join share it
     report = cut(report)
-    good = convert_datetimes(bronze).join(report.where(~F.col("ok")).select("dt"), "dt", "left_anti")
+    good = lower_names(_good_days(convert_datetimes(bronze, pairs), report))
     summary = report.agg(F.count(F.lit(1)).alias("days"), F.count_if("ok").alias("good_days")).first()
     if not summary or summary["days"] == 0:
-        raise CurateError(f"No partitions found under {bronze_path}")
+        raise CurateError(f"nothing to curate under {bronze_path}")
     if summary["good_days"] == 0:
-        raise CurateError("No partitions were successfully processed")
+        raise CurateError("every day holds event times that can't be read")
     sinks.write_curated(good, curated_path)
     if database:
-        catalog.ensure_database(spark, database)
+        parent = curated_path.rstrip("/").rsplit("/", 1)[0]
+        catalog.ensure_database(spark, database.lower(), f"{parent}/{database.lower()}.db")
     if table:
         catalog.register_external(spark, f"{database}.{table}" if database else table, curated_path)
     return report
+
+
+def as_date(value) -> datetime.date:
+    return value if isinstance(value, datetime.date) else datetime.date.fromisoformat(str(value))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import money, nested, sanitize
 
 
-def flatten_transactions(edges: DataFrame) -> DataFrame:
+def flatten_transactions(edges: DataFrame, keep=()) -> DataFrame:
     n = F.col("node")
     return edges.select(
         n["createdAt"].alias("createdAt"),
@@ -25,11 +25,11 @@ def flatten_transactions(edges: DataFrame) -> DataFrame:
         nested(n["shop"]["id"], "").alias("shopID"),
         nested(n["shop"]["myshopifyDomain"], "").alias("shopDomain"),
         money(n["shopifyFee"]["amount"]).alias("shopifyFee"),
-        F.col("cursor"),
+        F.col("cursor"), *keep,
     )
 
 
-def flatten_events(edges: DataFrame) -> DataFrame:
+def flatten_events(edges: DataFrame, keep=()) -> DataFrame:
     n = F.col("node")
     return edges.select(
         sanitize(n["type"]).alias("eventType"),
@@ -44,13 +44,13 @@ def flatten_events(edges: DataFrame) -> DataFrame:
         nested(n["charge"]["billingOn"], "").alias("billingOn"),
         nested(n["charge"]["id"], "").alias("chargeId"),
         sanitize(nested(n["charge"]["name"], "")).alias("chargeName"),
-        F.col("cursor"),
+        F.col("cursor"), *keep,
     )
 
 
-def flatten(edges: DataFrame, api_type: str) -> DataFrame:
+def flatten(edges: DataFrame, api_type: str, keep=()) -> DataFrame:
     if api_type == "transactions":
-        return flatten_transactions(edges)
+        return flatten_transactions(edges, keep)
     if api_type == "events":
-        return flatten_events(edges)
-    raise ValueError(f"Unknown API type: {api_type}")
+        return flatten_events(edges, keep)
+    raise ValueError(f"no flat layout for feed type {api_type!r}")

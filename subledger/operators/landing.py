@@ -1,47 +1,69 @@
 """Landing job: API page documents -> day-partitioned bronze table.
 
 pages -> edges -> flat rows -> bronze schema -> rows of the re-fetch window
--> day-replacing write -> external table. Re-running it over the same pages
-changes nothing; a run after new pages replaces only the days it touches.
+-> merged by cursor with the stored rows of their days -> those days replaced
+-> external table. The pages are parsed once: the flat rows are staged, and the
+checks, the quarantine and the write read the stage. Re-running over the same
+pages changes nothing; pages that hold only a part of a day add to that day.
+
+Pages without an edge path, and rows without an event time, go to a quarantine
+folder beside the table (reason, json), one file set per run.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.lineage import staged
 from ..sources import catalog, pages, raw, sinks
 from .flatten import flatten
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def landed_days(spark: SparkSession, base: str) -> DataFrame | None:
-    """The landed table, or ``None`` before the first landing."""
-    return raw.read_raw(spark, base) if _exists(spark, base) else None
+def landed_days(spark: SparkSession, base: str) -> list[dt.date]:
+    """The days that have a folder, from a listing of the table's folder (one name per day)."""
+    if not sinks.path_exists(spark, base):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    names = [re.fullmatch(r"dt=(\d{4}-\d{2}-\d{2})", f.getPath().getName()) for f in found]
+    return sorted(dt.date.fromisoformat(m[1]) for m in names if m)
 
 
 def ingest_pages(spark: SparkSession, docs: DataFrame, api_type: str, base: str, as_of=None,
-                 table: str | None = None, json_col: str = "json", on_missing: str = "raise") -> DataFrame:
-    """Land the rows carried by ``docs``; returns the rows written in this run.
+                 table: str | None = None, json_col: str = "json", on_missing: str = "raise",
+                 quarantine: str | None = None) -> DataFrame:
+    """Land the rows carried by ``docs``; returns the days written in this run.
 
-    The re-fetch window starts one day before the latest landed day (nothing
-    landed: everything up to ``as_of``). The latest day is one aggregate value.
+    The re-fetch window starts one day before the latest landed day other than
+    ``as_of`` (nothing landed: everything up to ``as_of``). ``quarantine``
+    defaults to ``<base>-quarantine``.
     """
-    edges, _ = pages.read_pages(docs, api_type, json_col, on_missing)
-    rows = sinks.conform(flatten(edges, api_type), api_type)
-    ts = S.BRONZE_TIME_COLUMN[api_type]
-    loaded = landed_days(spark, base)
-    latest = None
-    if loaded is not None:
-        latest = raw.latest_partition(loaded, as_of).first()["latest_dt"]
-    window = raw.incremental_window(rows, ts, latest, as_of)
-    sinks.write_daily(window, base, ts)
+    base = base.rstrip("/")
+    ts, schema = S.BRONZE_TIME_COLUMN[api_type], S.bronze_schema(api_type)
+    rows = pages.explode_pages(docs, api_type, json_col)
+    flat = sinks.conform(flatten(rows, api_type, keep=("_page",)), api_type, keep=("_page",))
+    with staged(flat) as stage:
+        bad_page = F.col("_page").isNotNull()
+        if on_missing == "raise" and not stage.where(bad_page).isEmpty():
+            raise pages.PageShapeError(f"a page of feed type {api_type!r} has no edge list")
+        held = stage.where(bad_page | F.col(ts).isNull()).select(
+            F.when(bad_page, F.lit("no edges")).otherwise(F.lit("no time")).alias("reason"),
+            F.coalesce("_page", F.to_json(F.struct(*schema.names))).alias("json"))
+        if not held.isEmpty():
+            held.write.mode("append").parquet(quarantine or f"{base}-quarantine")
+        today = as_of or dt.date.today()
+        days = [d for d in landed_days(spark, base) if d != today]
+        good = stage.where(~bad_page & F.col(ts).isNotNull()).drop("_page")
+        window = raw.incremental_window(good, ts, days[-1] if days else None, as_of)
+        touched = sinks.merge_days(window.withColumn("dt", F.to_date(F.col(ts))), base, ts, schema=None)
     if table:
         catalog.register_external(spark, table, base)
-    return window.withColumn("dt", F.to_date(F.col(ts)))
+    stored = sinks.stored_days(spark, base, touched)
+    if stored is None:
+        return spark.createDataFrame([], schema).withColumn("dt", F.lit(None).cast("date"))
+    return stored

@@ -1,6 +1,6 @@
 """Column policy audit: may a column be NULL, may it repeat, and does the data obey?
 
-Rules by column name: known datetime columns may repeat but not be NULL; the
+Rules by column name, whatever its case: known datetime columns may repeat but not be NULL; the
 shop key may do neither; everything else may do both. The audit unpivots the
 table to (column, value), counts per (column, value) with map-side partial
 aggregation (a hot value collapses before the shuffle), then folds those
@@ -16,20 +16,21 @@ from .. import schemas as S
 
 
 def allow_null(column: Column) -> Column:
-    return ~(column.isin(*S.DATETIME_COLUMNS) | (column == S.UNIQUE_KEY_COLUMN))
+    name = F.lower(column)
+    return ~(name.isin(*S.DATETIME_COLUMNS) | (name == S.UNIQUE_KEY_COLUMN))
 
 
 def allow_duplicated(column: Column) -> Column:
-    return column != S.UNIQUE_KEY_COLUMN
+    return F.lower(column) != S.UNIQUE_KEY_COLUMN
 
 
 def column_policy(columns) -> list[tuple[str, str, str]]:
     """(column, Allow_null, Allow_duplicated) as yes/no tags, from names only."""
     out = []
     for c in columns:
-        if c in S.DATETIME_COLUMNS:
+        if c.lower() in S.DATETIME_COLUMNS:
             out.append((c, "no", "yes"))
-        elif c == S.UNIQUE_KEY_COLUMN:
+        elif c.lower() == S.UNIQUE_KEY_COLUMN:
             out.append((c, "no", "no"))
         else:
             out.append((c, "yes", "yes"))

@@ -50,6 +50,25 @@ def q_ingest_pages(spark, sf_dir):
     return spark.table(name)
 
 
+def q_ingest_partial_day(spark, sf_dir):
+    """Pages landed in two runs that both hold parts of the same days."""
+    base = work_path(spark, "landed-parts")
+    docs = fx.transaction_pages(spark, sf_dir)
+    for part in (0, 1):
+        landing.ingest_pages(spark, docs.where(F.col("page_id") % 2 == part), "transactions", base, LANDING_AS_OF)
+    return raw.read_raw(spark, base)
+
+
+def q_ingest_quarantine(spark, sf_dir):
+    """What a landing with broken pages and rows without a time keeps, and where."""
+    base, held = work_path(spark, "landed-some"), work_path(spark, "landed-held")
+    docs = fx.transaction_pages(spark, sf_dir).select("json").unionByName(fx.broken_pages(spark, sf_dir))
+    landing.ingest_pages(spark, docs, "transactions", base, LANDING_AS_OF, on_missing="quarantine", quarantine=held)
+    good = raw.read_raw(spark, base).select(F.lit("landed").alias("reason"))
+    return (good.unionByName(spark.read.parquet(held).select("reason"))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("rows")))
+
+
 def q_sanitize_text(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents")
     return docs.select("doc_id", sanitize("text").alias("text"))
@@ -107,6 +126,19 @@ def q_register_external(spark, sf_dir):
     return catalog.register_external(spark, name, base)
 
 
+def q_register_external_evolved(spark, sf_dir):
+    """A table registered before a later day brings a new column."""
+    base = work_path(spark, "bronze-grown")
+    tx = fx.bronze_transactions(spark, sf_dir)
+    early = F.col("createdAt") < F.lit(SPLIT_DAY).cast("timestamp")
+    name = f"bronze_grown_{uuid.uuid4().hex[:8]}"
+    sinks.write_daily(tx.where(early), base, "createdAt")
+    catalog.register_external(spark, name, base)
+    sinks.write_daily(tx.where(~early).withColumn("note", F.concat(F.lit("late "), F.col("cursor"))),
+                      base, "createdAt")
+    return catalog.register_external(spark, name, base)
+
+
 def _landed_raw_events(spark, sf_dir):
     base = work_path(spark, "raw-events")
     sinks.write_daily(fx.raw_events(spark, sf_dir), base, "occurredAt")
@@ -118,6 +150,30 @@ def q_curate_report(spark, sf_dir):
     return curate.curate(spark, base, work_path(spark, "curated-events"))
 
 
+def _landed_mixed_events(spark, sf_dir):
+    """Raw events of which one day, and the rows without a day, hold unreadable times."""
+    base = work_path(spark, "raw-mixed")
+    fx.mixed_raw_events(spark, sf_dir).write.partitionBy("dt").parquet(base)
+    return base
+
+
+def q_curate_report_mixed(spark, sf_dir):
+    base, out = _landed_mixed_events(spark, sf_dir), work_path(spark, "curated-mixed")
+    report = curate.curate(spark, base, out)
+    written = raw.read_raw(spark, out).groupBy("dt").agg(F.count(F.lit(1)).alias("written"))
+    return (report.join(written.withColumnRenamed("dt", "_dt"), F.col("dt").eqNullSafe(F.col("_dt")), "left")
+            .select("dt", "rows", "bad_rows", "ok", F.coalesce("written", F.lit(0)).cast("bigint").alias("written")))
+
+
+def q_policy_audit_curated(spark, sf_dir):
+    """The audit of a curated table whose shops repeat and are missing."""
+    base, out = work_path(spark, "raw-audited"), work_path(spark, "curated-audited")
+    shops = fx.raw_events(spark, sf_dir).withColumn("shopId", F.when(F.col("shopId") != "", F.col("shopId")))
+    sinks.write_daily(shops, base, "occurredAt")
+    curate.curate(spark, base, out)
+    return quality.policy_audit(raw.read_raw(spark, out))
+
+
 def q_curate_datetimes(spark, sf_dir):
     base = _landed_raw_events(spark, sf_dir)
     out = work_path(spark, "curated-events")
@@ -152,13 +208,26 @@ def q_stream_curate(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_stream_curate_relanded(spark, sf_dir):
+    """Days that land twice, read file by file in several batches; both folders."""
+    base = _landed_mixed_events(spark, sf_dir)
+    out, held, ck = work_path(spark, "stream-curated"), work_path(spark, "stream-held"), work_path(spark, "ck")
+    jobs.stream_curate(spark, base, out, held, ck, max_files=40)
+    fx.mixed_raw_events(spark, sf_dir).write.mode("append").partitionBy("dt").parquet(base)
+    jobs.stream_curate(spark, base, out, held, ck)
+    columns = ["dt", "cursor", "occurredat", "shopid"]
+    return (raw.read_raw(spark, out).select(*columns, F.lit(False).alias("held"))
+            .unionByName(raw.read_raw(spark, held).select(*columns, F.lit(True).alias("held"))))
+
+
 def q_stream_late_dedup(spark, sf_dir):
     base = work_path(spark, "bronze-relanded")
     tx = fx.bronze_transactions(spark, sf_dir).withColumn("dt", F.to_date("createdAt"))
     for _ in range(2):  # the same rows landed twice, as a re-fetch of overlapping days does
         tx.write.mode("append").partitionBy("dt").parquet(base)
     out, ck = work_path(spark, "stream-dedup"), work_path(spark, "ck")
-    jobs.stream_dedup(spark, base, out, ck, ts_col="createdAt", key="cursor")
+    # one file a batch: days arrive in any order, and every day twice
+    jobs.stream_dedup(spark, base, out, ck, ts_col="createdAt", key="cursor", max_files=30)
     return spark.read.parquet(out)
 
 
@@ -168,6 +237,8 @@ QUERIES = {
     "conform_transactions": q_conform_transactions,
     "conform_events": q_conform_events,
     "ingest_pages": q_ingest_pages,
+    "ingest_partial_day": q_ingest_partial_day,
+    "ingest_quarantine": q_ingest_quarantine,
     "sanitize_text": q_sanitize_text,
     "daily_overwrite": q_daily_overwrite,
     "list_partitions": q_list_partitions,
@@ -177,12 +248,16 @@ QUERIES = {
     "incremental_window": q_incremental_window,
     "schema_merge": q_schema_merge,
     "register_external": q_register_external,
+    "register_external_evolved": q_register_external_evolved,
     "curate_report": q_curate_report,
+    "curate_report_mixed": q_curate_report_mixed,
     "curate_datetimes": q_curate_datetimes,
     "policy_audit": q_policy_audit,
+    "policy_audit_curated": q_policy_audit_curated,
     "parse_arrivals": q_parse_arrivals,
     "arrivals_summary": q_arrivals_summary,
     "drop_seen": q_drop_seen,
     "stream_curate": q_stream_curate,
+    "stream_curate_relanded": q_stream_curate_relanded,
     "stream_late_dedup": q_stream_late_dedup,
 }

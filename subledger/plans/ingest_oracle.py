@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .. import schemas as S
+from ..fixtures import BAD_DAY
 from .ingest import LANDING_AS_OF, SPLIT_DAY
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -115,6 +116,27 @@ ARRIVALS_CTE = f"""k AS (
     FROM parsed)"""
 
 
+_EV_NAMES = ("eventType", "occurredAt", "shopDomain", "shopName", "shopId", "appName", "reason", "chargeAmount",
+             "currencyCode", "billingOn", "chargeId", "chargeName", "cursor")
+_LOWER = ", ".join(f"{c} AS {c.lower()}" for c in _EV_NAMES)
+CURATED = f"SELECT {_LOWER}, CAST(occurredAt AS DATE) AS dt FROM ev"
+_BAD = f"(CAST(cursor AS BIGINT) % 5 = 0 AND (day = DATE '{BAD_DAY.isoformat()}' OR CAST(cursor AS BIGINT) % 53 = 0))"
+MIXED = f"""days AS (SELECT *, CAST(occurredAt AS DATE) AS day FROM ev)
+, mixed AS (SELECT *, {_BAD} AS bad, CASE WHEN CAST(cursor AS BIGINT) % 53 <> 0 THEN day END AS dt FROM days)"""
+
+
+def _audit_curated() -> str:
+    body = "\n    UNION ALL\n    ".join(_audit_row(c.lower()) for c in _EV_NAMES)
+    return f"""WITH {EV_TYPED}, sub_events AS (
+    SELECT * REPLACE (NULLIF(shopid, '') AS shopid) FROM (SELECT {_LOWER} FROM ev)), a AS ({body})
+SELECT *, (NOT allow_null AND null_count > 0) OR (NOT allow_duplicated AND duplicate_count > 0) AS violated
+FROM a"""
+
+
+# two landings by page: the second one re-reads from the day before the latest day of the first
+PARTS = f"""parts AS (SELECT *, (CAST(cursor AS BIGINT) // 100) % 2 AS part FROM txd)
+, first_latest AS (SELECT max(dt) AS latest_dt FROM parts WHERE part = 0 AND dt <> {LANDING})"""
+
 ORACLES = {
     "flatten_transactions": _tx(f"strftime({_T}, {_ISO})"),
     "flatten_events": _ev(f"strftime({_T}, {_ISO})"),
@@ -123,6 +145,12 @@ ORACLES = {
     "sanitize_text": "SELECT doc_id, replace(replace(text, chr(10), ' '), chr(13), ' ') AS text FROM documents",
     "daily_overwrite": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
     "ingest_pages": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
+    "ingest_partial_day": f"""WITH {TX_TYPED}, {TX_DAYS}, {PARTS}
+        SELECT parts.* EXCLUDE (part) FROM parts, first_latest
+        WHERE part = 0 OR dt >= latest_dt - 1""",
+    "ingest_quarantine": f"""WITH {TX_TYPED}
+        SELECT 'landed' AS reason, count(*) AS rows FROM tx
+        UNION ALL SELECT 'no edges', count(*) FROM region UNION ALL SELECT 'no time', count(*) FROM nation""",
     "list_partitions": f"WITH {TX_TYPED}, {TX_DAYS} SELECT dt, count(*) AS rows FROM txd GROUP BY dt",
     "files_by_day": f"""WITH {TX_TYPED}, {TX_DAYS}
         SELECT dt, count(*) AS rows FROM txd GROUP BY dt""",
@@ -135,10 +163,20 @@ ORACLES = {
     "schema_merge": f"""WITH {TX_TYPED}, {TX_DAYS}
         SELECT *, CASE WHEN createdAt >= {SPLIT} THEN 'late ' || cursor END AS note FROM txd""",
     "register_external": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
+    "register_external_evolved": f"""WITH {TX_TYPED}, {TX_DAYS}
+        SELECT *, CASE WHEN createdAt >= {SPLIT} THEN 'late ' || cursor END AS note FROM txd""",
+    "curate_report_mixed": f"""WITH {EV_TYPED}, {MIXED}
+        SELECT dt, count(*) AS rows, count(*) FILTER (WHERE bad) AS bad_rows, NOT bool_or(bad) AS ok,
+            CASE WHEN bool_or(bad) THEN 0 ELSE count(*) END AS written
+        FROM mixed GROUP BY dt""",
+    "policy_audit_curated": _audit_curated(),
+    "stream_curate_relanded": f"""WITH {EV_TYPED}, {MIXED}
+        SELECT dt, cursor, CASE WHEN NOT bad THEN occurredAt END AS occurredat, shopId AS shopid, bad AS held
+        FROM mixed""",
     "curate_report": f"""WITH {EV_TYPED}
         SELECT CAST(occurredAt AS DATE) AS dt, count(*) AS rows, CAST(0 AS BIGINT) AS bad_rows, true AS ok
         FROM ev GROUP BY 1""",
-    "curate_datetimes": f"WITH {EV_TYPED} SELECT *, CAST(occurredAt AS DATE) AS dt FROM ev",
+    "curate_datetimes": f"WITH {EV_TYPED} {CURATED}",
     "policy_audit": _audit(),
     "parse_arrivals": f"WITH {ARRIVALS_CTE} SELECT * FROM arrivals",
     "arrivals_summary": f"""WITH {ARRIVALS_CTE}
@@ -148,6 +186,6 @@ ORACLES = {
     "drop_seen": f"""WITH {TX_TYPED}
         SELECT * FROM tx WHERE createdAt >= {SPLIT} AND cursor NOT IN (
             SELECT cursor FROM tx WHERE createdAt < {SPLIT} + INTERVAL 2 DAY)""",
-    "stream_curate": f"WITH {EV_TYPED} SELECT *, CAST(occurredAt AS DATE) AS dt FROM ev",
+    "stream_curate": f"WITH {EV_TYPED} {CURATED}",
     "stream_late_dedup": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
 }

@@ -11,7 +11,7 @@ _NAME = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 def _check_name(name: str) -> str:
     if not _NAME.match(name):
-        raise ValueError(f"invalid table or database name: {name!r}")
+        raise ValueError(f"not a table or database name: {name!r}")
     return name
 
 
@@ -25,12 +25,18 @@ def register_external(spark: SparkSession, name: str, path: str, partition_cols=
     """Create-if-absent Parquet table over ``path`` and (re)discover its day partitions.
 
     A partitioned table over existing folders reads no rows until its
-    partitions are recovered, hence the REPAIR after the CREATE.
+    partitions are recovered, hence the REPAIR after the CREATE. A table that
+    exists gains the columns that later days brought. Names are lower case.
     """
-    _check_name(name)
+    name = _check_name(name).lower()
     parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
     schema_df = spark.read.option("mergeSchema", "true").parquet(path)
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema_df.schema.fields)
+    if spark.catalog.tableExists(name):
+        known = {c.lower() for c in spark.table(name).columns}
+        new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema_df.schema.fields if f.name.lower() not in known]
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{parts} LOCATION '{path}'")
     if partition_cols:
         spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -22,7 +22,7 @@ def _edges_col(api_type: str):
         return F.col("_doc.data.transactions.edges")
     if api_type == "events":
         return F.col("_doc.data.app.events.edges")
-    raise ValueError(f"Unknown API type: {api_type}")
+    raise ValueError(f"no page layout for feed type {api_type!r}")
 
 
 def parse_pages(pages: DataFrame, api_type: str, json_col: str = "json") -> DataFrame:
@@ -50,3 +50,12 @@ def read_pages(pages: DataFrame, api_type: str, json_col: str = "json",
              .select(F.explode("_edges").alias("e"))
              .select(F.col("e.cursor").alias("cursor"), F.col("e.node").alias("node")))
     return edges, bad
+
+
+def explode_pages(pages: DataFrame, api_type: str, json_col: str = "json") -> DataFrame:
+    """One pass over the pages: edge rows (cursor, node), and rows with ``_page`` for pages without an edge path."""
+    parsed = parse_pages(pages, api_type, json_col)
+    bad = F.when(F.col("_edges").isNull(), F.coalesce(F.col(json_col), F.lit("")))
+    rows = parsed.select(bad.alias("_page"), F.explode_outer("_edges").alias("e"))
+    return (rows.where(F.col("e").isNotNull() | F.col("_page").isNotNull())
+            .select(F.col("e.cursor").alias("cursor"), F.col("e.node").alias("node"), "_page"))

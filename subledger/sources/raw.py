@@ -8,14 +8,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.scalar import as_of_date
 
 
-def read_raw(spark: SparkSession, base: str, dt=None, merge_schema: bool = True) -> DataFrame:
-    """Read a day-partitioned folder; ``dt`` prunes to one day (no path building)."""
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(base)
+def read_raw(spark: SparkSession, base: str, dt=None, merge_schema: bool = False,
+             schema: T.StructType | None = None) -> DataFrame:
+    """Read a day-partitioned folder; ``dt`` prunes to one day (no path building).
+
+    A declared ``schema`` (without ``dt``) reads no footers at planning time;
+    ``merge_schema`` reads all of them and is for evolving tables only.
+    """
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField("dt", T.DateType())]))
+    df = reader.parquet(base)
     if dt is not None:
         df = df.where(F.col("dt") == as_of_date(dt))
     return df

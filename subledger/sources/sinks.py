@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.lineage import remove_path, staged
 
 
-def conform(df: DataFrame, api_type: str) -> DataFrame:
+def conform(df: DataFrame, api_type: str, keep=()) -> DataFrame:
     """Select the bronze columns in order, cast to their types (unknown type -> ValueError)."""
     schema = S.bronze_schema(api_type)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *keep)
 
 
 def write_daily(df: DataFrame, base: str, ts_col: str) -> None:
@@ -27,13 +28,79 @@ def write_daily(df: DataFrame, base: str, ts_col: str) -> None:
      .partitionBy("dt").parquet(base))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def stored_days(spark: SparkSession, base: str, days, schema: T.StructType | None = None) -> DataFrame | None:
+    """Stored rows of the given days (partition pruning), or ``None`` when nothing is stored.
+
+    Without a ``schema`` the footers of these days' files are merged, no others.
+    """
+    if not path_exists(spark, base):
+        return None
+    folders = [f for f in (f"{base}/dt={d.isoformat() if d else '__HIVE_DEFAULT_PARTITION__'}" for d in days)
+               if path_exists(spark, f)]
+    if not folders:
+        return None
+    reader = spark.read.option("basePath", base)
+    reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
+    return reader.parquet(*folders).withColumn("dt", F.col("dt").cast("date"))
+
+
+def newest_by_key(new: DataFrame, stored: DataFrame | None, key: str = "cursor") -> DataFrame:
+    """New and stored rows, one per key; a new row replaces the stored one.
+
+    Rows without a key are told apart by all their values. Of several new rows
+    with one key the largest in column order stays, so reruns agree.
+    """
+    def keyed(df: DataFrame) -> DataFrame:
+        whole = F.concat(F.lit("row:"), F.xxhash64(*sorted(c for c in df.columns if c != "dt")).cast("string"))
+        return df.withColumn("_key", F.coalesce(F.col(key), whole) if key in df.columns else whole)
+
+    columns = [F.col(c) for c in new.columns]
+    fresh = (keyed(new).groupBy("_key").agg(F.max(F.struct(*columns)).alias("r")).select("_key", "r.*"))
+    if stored is None:
+        return fresh.drop("_key")
+    old = keyed(stored)
+    kept = old.join(fresh.select("_key"), "_key", "left_anti")
+    return fresh.unionByName(kept, allowMissingColumns=True).drop("_key")
+
+
+def replace_days(df: DataFrame, base: str, days, ts_col: str | None = None) -> None:
+    """Make the given days of ``base`` hold exactly the rows of ``df`` (which has ``dt``)."""
+    spark = df.sparkSession
+    present = {r["dt"] for r in df.select("dt").distinct().collect()}
+    if present:
+        order = ["dt"] + [c for c in [ts_col] if c in df.columns]
+        (df.repartitionByRange(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt").parquet(base))
+    for day in set(days) - present:
+        remove_path(spark, f"{base}/dt={day.isoformat() if day else '__HIVE_DEFAULT_PARTITION__'}")
+
+
+def merge_days(new: DataFrame, base: str, ts_col: str | None = None, key: str = "cursor",
+               schema: T.StructType | None = None) -> list:
+    """Merge rows (with ``dt``) into the stored rows of their days and replace those days; returns the days.
+
+    ``new`` should be a materialised frame: it is read for its days and for the merge.
+    """
+    spark = new.sparkSession
+    days = [r["dt"] for r in new.select("dt").distinct().collect()]
+    if days:
+        with staged(newest_by_key(new, stored_days(spark, base, days, schema), key)) as rows:
+            replace_days(rows, base, days, ts_col)
+    return days
+
+
 def require_timestamp(df: DataFrame, names=("occurredat", "occurredAt")) -> str | None:
     """Raise if the event-time column exists but is not an instant timestamp."""
     for name in names:
         if name in df.columns:
             dtype = df.schema[name].dataType
             if not isinstance(dtype, T.TimestampType):
-                raise ValueError(f"Column '{name}' is not timestamp type. Current type: {dtype.typeName()}")
+                raise ValueError(f"event time {name!r} must be a timestamp before the write, it is {dtype.typeName()}")
             return name
     return None
 

@@ -1,15 +1,18 @@
-"""Incremental jobs on Structured Streaming (file source -> Parquet file sink).
+"""Incremental jobs on Structured Streaming (file source -> day-replacing Parquet folders).
 
 * ``stream_curate``   new landed files are curated as they arrive (the arrival
   trigger of the batch design). Rows whose event time does not parse go to a
-  quarantine sink instead of the curated one.
+  quarantine folder instead of the curated one.
 * ``stream_dedup``    re-landed rows (the fetcher re-reads the day before the
-  latest one) are dropped by cursor within an event-time watermark.
+  latest one) are kept once per cursor.
 
 Both run with ``trigger(availableNow=True)``: they process what is there and
-stop, so they can be scheduled like batch jobs. The file sink's metadata log
-and the checkpoint make each run exactly-once, and a lost executor only
-re-runs its tasks. No server or port is involved.
+stop, so they can be scheduled like batch jobs. Each micro-batch is merged with
+the stored rows of the days it touches, newest row per cursor, and those days
+are replaced. A day that lands again, whole or in part, is therefore replayed,
+not appended; a row that lands late, however late, joins its day; and a batch
+that runs again after a failure gives the same result. One source feeds both
+folders of ``stream_curate``. No state is kept beside the source's checkpoint.
 """
 
 from __future__ import annotations
@@ -17,54 +20,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.curate import convert_datetimes, datetime_columns
+from ..functions.lineage import staged
+from ..operators.curate import DATETIME_PAIRS, convert_datetimes, datetime_columns, lower_names
+from ..sources import sinks
 
 
-def _source(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def _run(spark: SparkSession, path: str, checkpoint: str, each, max_files: int | None) -> None:
     schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(path)
-
-
-def _run(df: DataFrame, sink: str, checkpoint: str, partition_col: str | None = "dt") -> None:
-    w = (df.writeStream.format("parquet").outputMode("append")
-         .option("path", sink).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True))
-    if partition_col and partition_col in df.columns:
-        w = w.partitionBy(partition_col)
-    w.start().awaitTermination()
+    (reader.parquet(path).writeStream.foreachBatch(each)
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
 
 def stream_curate(spark: SparkSession, raw_path: str, curated_path: str, quarantine_path: str,
-                  checkpoint: str, max_files: int | None = None) -> None:
-    """Curate every landed file once: parsed rows to ``curated_path``, the rest to quarantine."""
-    src = _source(spark, raw_path, max_files)
-    names = datetime_columns(src)
-    flagged = src
-    for n in names:
-        flagged = flagged.withColumn(f"_raw_{n}", F.col(n))
-    flagged = convert_datetimes(flagged)
-    bad = F.lit(False)
-    for n in names:
-        bad = bad | (F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull())
-    flagged = flagged.withColumn("_bad", bad)
-    good = flagged.where(~F.col("_bad")).drop("_bad", *[f"_raw_{n}" for n in names])
-    held = flagged.where(F.col("_bad")).drop("_bad")
-    _run(good, curated_path, f"{checkpoint}/curated")
-    _run(held, quarantine_path, f"{checkpoint}/quarantine")
+                  checkpoint: str, max_files: int | None = None, key: str = "cursor", pairs=DATETIME_PAIRS) -> None:
+    """Curate every landed file: parsed rows to ``curated_path``, the rest (with their text) to quarantine."""
+    def each(batch: DataFrame, _: int) -> None:
+        names = datetime_columns(batch, pairs)
+        flagged = batch
+        for n in names:
+            flagged = flagged.withColumn(f"_raw_{n}", F.col(n).cast("string"))
+        flagged, bad = convert_datetimes(flagged, pairs), F.lit(False)
+        for n in names:
+            bad = bad | (F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull())
+        flagged = lower_names(flagged.withColumn("_bad", bad))
+        texts = [f"_raw_{n.lower()}" for n in names]
+        with staged(flagged) as new:
+            days = [r["dt"] for r in new.select("dt").distinct().collect()]
+            stored = None
+            for path, held in ((curated_path, False), (quarantine_path, True)):
+                old = sinks.stored_days(new.sparkSession, path, days)
+                if old is not None:
+                    old = old.withColumn("_bad", F.lit(held))
+                    stored = old if stored is None else stored.unionByName(old, allowMissingColumns=True)
+            with staged(sinks.newest_by_key(new, stored, key)) as rows:
+                sinks.replace_days(rows.where(~F.col("_bad")).drop("_bad", *texts), curated_path, days)
+                sinks.replace_days(rows.where("_bad").drop("_bad"), quarantine_path, days)
+
+    _run(spark, raw_path, checkpoint, each, max_files)
 
 
 def stream_dedup(spark: SparkSession, bronze_path: str, out_path: str, checkpoint: str,
-                 ts_col: str, key: str = "cursor", delay: str = "2 days",
-                 max_files: int | None = None) -> None:
-    """Append each cursor once; state for a cursor is kept until the watermark passes it.
+                 ts_col: str, key: str = "cursor", max_files: int | None = None) -> None:
+    """Keep each cursor once per day, the row that landed last."""
+    def each(batch: DataFrame, _: int) -> None:
+        with staged(batch if "dt" in batch.columns else batch.withColumn("dt", F.to_date(ts_col))) as new:
+            sinks.merge_days(new, out_path, ts_col, key)
 
-    ``delay`` must cover how late a row can land: Spark's dedup state drops rows
-    older than the watermark. The fetcher re-reads from the day before the latest
-    loaded day, so re-landed rows are at most about two days behind.
-    """
-    src = _source(spark, bronze_path, max_files)
-    deduped = src.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([key])
-    _run(deduped, out_path, checkpoint)
+    _run(spark, bronze_path, checkpoint, each, max_files)

@@ -161,6 +161,43 @@ def test_curate_guard_and_bad_day(spark):
     assert good.count() == 1
 
 
+def test_landing_keeps_every_row(spark, tmp_path):
+    from subledger.operators.landing import ingest_pages
+    base = str(tmp_path / "tx")
+
+    def page(*rows):
+        edges = ",".join('{"cursor":"%s","node":{"id":"x/1"%s}}' % (c, f',"createdAt":"{t}"' if t else "")
+                         for c, t in rows)
+        return ('{"data":{"transactions":{"edges":[' + edges + "]}}}",)
+    as_of = dt.date(2024, 1, 9)
+
+    def land(*docs, **more):
+        ingest_pages(spark, spark.createDataFrame(list(docs), "json string"), "transactions", base, as_of, **more)
+        return sorted(r["cursor"] for r in spark.read.parquet(base).collect())
+    day = "2024-01-08T01:00:00Z"
+    assert land(page(("c1", day), ("c2", day))) == ["c1", "c2"]
+    assert land(page(("c3", day)), page()) == ["c1", "c2", "c3"]
+    with pytest.raises(pages.PageShapeError):
+        land(page(("c4", day)), ("{}",))
+    assert land(page(("c4", day), ("c5", None)), ("{}",), ("broken",), (None,), on_missing="quarantine") == [
+        "c1", "c2", "c3", "c4"]
+    held = spark.read.parquet(base + "-quarantine")
+    assert sorted((r["reason"], r["json"]) for r in held.collect())[:3] == [
+        ("no edges", ""), ("no edges", "broken"), ("no edges", "{}")]
+    assert held.where("reason = 'no time'").count() == 1
+
+
+def test_curate_rows_without_a_day_and_names(spark, tmp_path):
+    from subledger.operators.curate import curate
+    base, out = str(tmp_path / "raw"), str(tmp_path / "cur")
+    rows = [("2024-01-01T01:00:00Z", "a", dt.date(2024, 1, 1)), ("never", "b", None), ("2024-01-02T01:00:00Z", "c", None)]
+    spark.createDataFrame(rows, "occurredAt string, shopId string, dt date").write.partitionBy("dt").parquet(base)
+    report = {r["dt"]: (r["rows"], r["bad_rows"], r["ok"]) for r in curate(spark, base, out).collect()}
+    assert report == {dt.date(2024, 1, 1): (1, 0, True), None: (2, 1, False)}
+    kept = spark.read.parquet(out)
+    assert kept.columns == ["occurredat", "shopid", "dt"] and [r["shopid"] for r in kept.collect()] == ["a"]
+
+
 def test_daily_write_is_idempotent_and_keeps_other_days(spark, tmp_path):
     base = str(tmp_path / "bronze")
     df = spark.createDataFrame([(D(2024, 1, 1, 5), "a"), (D(2024, 1, 2, 6), "b"), (D(2024, 1, 3, 7), "c")],
