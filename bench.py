@@ -29,6 +29,9 @@ HEADLINE = (
     "flatten_events",
     "policy_audit",
     "parse_arrivals",
+    "ingest_pages",
+    "curate_datetimes",
+    "stream_curate",
 )
 
 

@@ -112,8 +112,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     elif a.job == "timeline":
         _write(timeline.timeline_intervals(_read(spark, a.events), as_of), a.out)
     elif a.job == "attribute":
-        subs = timeline.timeline_intervals(_read(spark, a.events), as_of)
-        _write(attribution.attribute_transactions(_read(spark, a.transactions), subs), a.out)
+        _write(attribution.attribute_from_events(_read(spark, a.transactions), _read(spark, a.events), as_of), a.out)
     elif a.job == "mrr":
         tx = _read(spark, a.transactions)
         _write(mrr.mrr_shop_month(tx, as_of) if a.per_shop else mrr.mrr_monthly(tx, as_of), a.out)

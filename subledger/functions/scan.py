@@ -17,8 +17,9 @@ two levels:
 Results equal the single-level window exactly when ``bucket`` never decreases
 along the order. Summary rows per key are bounded by the bucket count, not by
 the rows of the key. ``bucket=None`` runs the plain single-level window: the
-jobs pick it when ``has_hot_key`` finds no key above the threshold, and for
-inputs bounded per key anyway (one row per shop and month).
+jobs use it for all keys below a threshold (``by_heat`` sends only the keys
+above it through buckets), and for inputs bounded per key anyway (one row per
+shop and month).
 
 Output kinds (``name=(kind, column)``):
   lag, lead            value of the previous / next row (NULLs included)
@@ -38,6 +39,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import cut
+
 UNB = Window.unboundedPreceding
 
 
@@ -221,29 +224,36 @@ def hot_key_rows(spark) -> int:
     return int(spark.conf.get(HOT_KEY_CONF, str(DEFAULT_HOT_KEY_ROWS)))
 
 
-_DECISIONS: dict[tuple, bool] = {}
-
+def hot_keys(key: str, *frames: DataFrame, threshold: int | None = None) -> DataFrame | None:
+    """The values of ``key`` (as ``_hot``) that hold more than ``threshold`` rows of a frame; ``None`` if there are none.
 
-def has_hot_key(df: DataFrame, keys: list[str], threshold: int | None = None) -> bool:
-    """True when some key holds more than ``threshold`` rows (one small grouped count).
-
-    The count reads only the key columns and aggregates map-side, so the check
-    costs a fraction of the scan it guards; only a boolean reaches the driver.
-    Both strategies give identical results, so the answer is remembered per
-    input plan for the life of the process (a stale answer costs speed only).
+    One grouped count per frame, which reads the key column and aggregates
+    map-side; the hot values themselves stay in a small written table.
+    """
+    t = hot_key_rows(frames[0].sparkSession) if threshold is None else threshold
+    found = None
+    for df in frames:
+        own = (df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > t).select("_hot"))
+        found = own if found is None else found.union(own)
+    hot = cut(found.distinct())
+    return None if hot.isEmpty() else hot
+
+
+def by_heat(job, bucketed: bool | None, key: str, *frames: DataFrame, checks=()) -> DataFrame:
+    """``job(bucketed, *frames)``, with only the hot keys on the bucketed path.
+
+    Given ``bucketed``, everything takes that path. Otherwise the rows of hot
+    keys (counted in ``checks``, default the frames) are scanned in buckets and
+    all other keys by plain windows; the two results are disjoint by key.
     """
-    t = hot_key_rows(df.sparkSession) if threshold is None else threshold
-    if t <= 0:
-        return True
-    memo = (df.semanticHash(), tuple(keys), t)
-    if memo not in _DECISIONS:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        _DECISIONS[memo] = counts.where(F.col("_n") > t).limit(1).count() > 0
-    return _DECISIONS[memo]
-
-
-def resolve_bucketing(bucketed: bool | None, *checks: tuple[DataFrame, list[str]]) -> bool:
-    """``bucketed`` when given, else whether any (frame, keys) pair has a hot key."""
     if bucketed is not None:
-        return bucketed
-    return any(has_hot_key(df, keys) for df, keys in checks)
+        return job(bucketed, *frames)
+    hot = hot_keys(key, *(checks or frames))
+    if hot is None:
+        return job(False, *frames)
+
+    def part(df: DataFrame, how: str) -> DataFrame:
+        return df.join(hot, df[key].eqNullSafe(hot["_hot"]), how)
+    return job(False, *[part(df, "left_anti") for df in frames]).unionByName(
+        job(True, *[part(df, "left_semi") for df in frames]))

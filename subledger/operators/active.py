@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.lineage import cut
 from ..functions.scalar import as_of_date, relationship_status
-from ..functions.scan import asc, day_bucket, ordered_scan, resolve_bucketing
+from ..functions.scan import asc, by_heat, day_bucket, ordered_scan
 
 
 def day_ranges(intervals: DataFrame, as_of=None, max_days: int | None = None) -> DataFrame:
@@ -67,16 +67,20 @@ def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int | None = No
     raise ValueError(f"unknown method: {method}")
 
 
-def _merchants_sweep(intervals: DataFrame, as_of, max_days: int | None) -> DataFrame:
-    r = day_ranges(intervals, as_of, max_days).select("shopid", "first_day", "last_day")
+def _islands(split: bool, r: DataFrame) -> DataFrame:
+    """Overlapping day ranges of a shop, merged."""
     order = [asc("first_day"), asc("last_day")]
-    split = resolve_bucketing(None, (r, ["shopid"]))
     month = day_bucket("first_day", r.sparkSession) if split else None
     r = cut(ordered_scan(r, ["shopid"], order, month, reach=("cummax_before", "last_day")), split)
     r = r.withColumn("starts_island",
                      F.when(F.col("reach").isNull() | (F.col("first_day") > F.col("reach")), 1).otherwise(0))
     r = ordered_scan(r, ["shopid"], order, month, island=("cumsum", "starts_island"))
-    islands = r.groupBy("shopid", "island").agg(F.min("first_day").alias("s"), F.max("last_day").alias("e"))
+    return r.groupBy("shopid", "island").agg(F.min("first_day").alias("s"), F.max("last_day").alias("e"))
+
+
+def _merchants_sweep(intervals: DataFrame, as_of, max_days: int | None) -> DataFrame:
+    r = day_ranges(intervals, as_of, max_days).select("shopid", "first_day", "last_day")
+    islands = by_heat(_islands, None, "shopid", r)
     # a span without a shop covers its days but is no merchant (COUNT(DISTINCT) skips NULL)
     shop = F.col("shopid").isNotNull().cast("int")
     deltas = (islands
@@ -138,10 +142,12 @@ def store_intervals(events: DataFrame, as_of=None, tiebreak: str = "cursor") ->
     first = ev.groupBy("shopid").agg(F.min("occurredat").alias("first_install"))
     st = (ev.withColumn("status", relationship_status("eventtype")).where(F.col("status").isNotNull())
           .select("shopid", "shopdomain", "occurredat", "status", tiebreak))
-    split = resolve_bucketing(None, (st, ["shopid"]))
-    day = day_bucket("occurredat", st.sparkSession) if split else None
-    st = cut(ordered_scan(st, ["shopid"], [asc("occurredat"), asc(tiebreak)], day,
-                          next_status_at=("lead", "occurredat")), split)
+
+    def next_status(split: bool, x: DataFrame) -> DataFrame:
+        day = day_bucket("occurredat", x.sparkSession) if split else None
+        return cut(ordered_scan(x, ["shopid"], [asc("occurredat"), asc(tiebreak)], day,
+                                next_status_at=("lead", "occurredat")), split)
+    st = by_heat(next_status, None, "shopid", st)
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")
     spans = (st.where(F.col("status") == S.STATUS_ACTIVE)
              .select("shopid", "shopdomain", F.col("occurredat").alias("activated_date"),

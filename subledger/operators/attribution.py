@@ -53,8 +53,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
-from ..functions.scalar import month_start, numeric_id, sale_label
-from ..functions.scan import Ord, asc, day_bucket, desc, ordered_scan, range_bucket, resolve_bucketing
+from ..functions.scalar import month_start, numeric_id, sale_label, subscription_event
+from ..functions.scan import Ord, asc, by_heat, day_bucket, desc, ordered_scan, range_bucket
+from .timeline import timeline_intervals
 
 ATTR_COLS = (
     "pricing_plan", "prev_pricing_plan", "chargeamount", "prev_chargeamount",
@@ -79,9 +80,10 @@ def numbered_transactions(tx: DataFrame, shop=None, bucketed: bool | None = None
     t = tx.select("createdat", "id", numeric_id("id").alias("_id"), "chargeid", "netamount", "shopid")
     if shop is not None:
         t = t.where(F.col("shopid") == F.lit(shop))
-    bucketed = resolve_bucketing(bucketed, (t, ["shopid"]))
-    return ordered_scan(t, ["shopid"], [asc("_id"), asc("id"), asc("createdat"), asc("netamount")],
-                        _id_bucket(bucketed, t.sparkSession), prev_netamount=("lag", "netamount"))
+    return by_heat(
+        lambda split, x: ordered_scan(x, ["shopid"], [asc("_id"), asc("id"), asc("createdat"), asc("netamount")],
+                                      _id_bucket(split, x.sparkSession), prev_netamount=("lag", "netamount")),
+        bucketed, "shopid", t)
 
 
 def with_previous(subs: DataFrame, tiebreak: str = "cursor", bucketed: bool | None = None) -> DataFrame:
@@ -91,16 +93,17 @@ def with_previous(subs: DataFrame, tiebreak: str = "cursor", bucketed: bool | No
     value or an EXISTS test downstream, so no dedup step is needed.
     """
     base = subs.select("shopid", "activated_date", "actual_end_date", "pricing_plan", "chargeamount", tiebreak)
-    bucketed = resolve_bucketing(bucketed, (base, ["shopid"]))
-    return ordered_scan(
-        base, ["shopid"], [asc("activated_date"), asc(tiebreak)],
-        day_bucket("activated_date", base.sparkSession) if bucketed else None,
-        prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"),
-        prev_activated_date=("lag", "activated_date"), prev_actual_end_date=("lag", "actual_end_date"))
+    return by_heat(
+        lambda split, x: ordered_scan(
+            x, ["shopid"], [asc("activated_date"), asc(tiebreak)],
+            day_bucket("activated_date", x.sparkSession) if split else None,
+            prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"),
+            prev_activated_date=("lag", "activated_date"), prev_actual_end_date=("lag", "actual_end_date")),
+        bucketed, "shopid", base)
 
 
 def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str = "createdat",
-                     tiebreak: str = "cursor", bucketed: bool | None = None,
+                     tiebreak: str = "cursor", bucketed: bool = False,
                      month_flags: str | None = None) -> DataFrame:
     """For each point row, per column, the first non-NULL value in rank order (see module doc).
 
@@ -128,7 +131,6 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
 
     Points are kind 9.
     """
-    bucketed = resolve_bucketing(bucketed, (points, ["shopid"]), (subs, ["shopid"]))
     a, e, tb = F.col("activated_date"), F.col("actual_end_date"), F.col(tiebreak)
     n = len(cols)
     first_ts = F.lit("0001-01-01 00:00:00").cast("timestamp")
@@ -220,8 +222,12 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
 def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str = "cursor",
                      bucketed: bool | None = None) -> DataFrame:
     """One row per distinct payment with its ranked subscription values and neighbours."""
+    return by_heat(lambda split, tx, subs: _matched(tx, subs, tiebreak, split), bucketed, "shopid",
+                   tx_numbered, subs_prev)
+
+
+def _matched(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str, bucketed: bool) -> DataFrame:
     pays = tx_numbered.select(*PAYMENT_KEYS).distinct()
-    bucketed = resolve_bucketing(bucketed, (tx_numbered, ["shopid"]), (subs_prev, ["shopid"]))
     near = cut(nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed,
                                 month_flags="prev_actual_end_date"), bucketed)
     day = day_bucket("createdat", near.sparkSession) if bucketed else None
@@ -267,7 +273,10 @@ def label_sales(chosen: DataFrame) -> DataFrame:
 
 def carry_forward(labelled: DataFrame, bucketed: bool | None = None) -> DataFrame:
     """Same net amount as the previous payment -> previous row's plan, amount and dates (one step)."""
-    bucketed = resolve_bucketing(bucketed, (labelled, ["shopid"]))
+    return by_heat(_carry_forward, bucketed, "shopid", labelled)
+
+
+def _carry_forward(bucketed: bool, labelled: DataFrame) -> DataFrame:
     keep = ("pricing_plan", "chargeamount", "activated_date", "actual_end_date")
     lagged = ordered_scan(labelled, ["shopid"], _id_order(), _id_bucket(bucketed, labelled.sparkSession),
                           **{f"_p_{c}": ("lag", c) for c in keep})
@@ -284,13 +293,21 @@ def attribute_transactions(tx: DataFrame, subs: DataFrame, shop=None, tiebreak:
                            bucketed: bool | None = None) -> DataFrame:
     """Full job: every payment with its plan, amount, interval and previous plan/amount.
 
-    ``bucketed=None`` decides once from the inputs: when a shop holds more than
-    the hot-key threshold of payments or intervals, every scan is split into
-    buckets and the stages are checkpointed; otherwise plain windows run.
+    ``bucketed=None`` counts the rows of each shop once: shops with more payments
+    or intervals than the hot-key threshold are scanned in buckets, with their
+    stages written between the scans; all other shops by plain windows.
     """
-    bucketed = resolve_bucketing(bucketed, (tx, ["shopid"]), (subs, ["shopid"]))
-    t = cut(numbered_transactions(tx, shop, bucketed), bucketed)
-    s = with_previous(subs if shop is None else subs.where(F.col("shopid") == F.lit(shop)), tiebreak, bucketed)
-    s = cut(s, bucketed)
-    matched = cut(matched_payments(t, s, tiebreak, bucketed), bucketed)
-    return carry_forward(label_sales(choose_attribution(matched)), bucketed)
+    def job(split: bool, x: DataFrame, y: DataFrame) -> DataFrame:
+        t = cut(numbered_transactions(x, shop, split), split)
+        s = cut(with_previous(y, tiebreak, split), split)
+        matched = cut(matched_payments(t, s, tiebreak, split), split)
+        return carry_forward(label_sales(choose_attribution(matched)), split)
+    subs = subs if shop is None else subs.where(F.col("shopid") == F.lit(shop))
+    return by_heat(job, bucketed, "shopid", tx, subs)
+
+
+def attribute_from_events(tx: DataFrame, events: DataFrame, as_of=None, shop=None) -> DataFrame:
+    """The full job from charge events: hot shops are found in the inputs, before anything is computed."""
+    def job(split: bool, x: DataFrame, ev: DataFrame) -> DataFrame:
+        return attribute_transactions(x, timeline_intervals(ev, as_of, shop, bucketed=split), shop, bucketed=split)
+    return by_heat(job, None, "shopid", tx, events, checks=(tx, events.where(subscription_event("eventtype"))))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.lineage import cut
 from ..functions.scalar import as_of_date, interval_end, pricing_plan, subscription_event
-from ..functions.scan import asc, day_bucket, ordered_scan, resolve_bucketing
+from ..functions.scan import asc, by_heat, day_bucket, ordered_scan
 
 
 def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
@@ -33,7 +33,10 @@ def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
         ev = ev.where(F.col("shopid") == F.lit(shop))
     ev = ev.where(F.col("shopid").isNotNull()).select(
         "eventtype", "occurredat", "shopid", "shopdomain", "chargename", "chargeid", "chargeamount", tiebreak)
-    bucketed = resolve_bucketing(bucketed, (ev, ["shopid"]))
+    return by_heat(lambda split, x: _timeline_events(split, x, tiebreak), bucketed, "shopid", ev)
+
+
+def _timeline_events(bucketed: bool, ev: DataFrame, tiebreak: str) -> DataFrame:
     if not bucketed:
         # cluster by shop once: the (shop, charge) window and every later per-shop
         # window (next activation, attribution) then need no further shuffle
@@ -48,8 +51,11 @@ def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
 def timeline_intervals(events: DataFrame, as_of=None, shop=None, free_label: str = S.FREE_PLAN_LABEL,
                        tiebreak: str = "cursor", bucketed: bool | None = None) -> DataFrame:
     """One interval per ACTIVATED / UNFROZEN event: [activated_date, actual_end_date]."""
-    if bucketed is None:
-        bucketed = resolve_bucketing(None, (events.where(subscription_event("eventtype")), ["shopid"]))
+    return by_heat(lambda split, ev: _timeline_intervals(split, ev, as_of, shop, free_label, tiebreak), bucketed,
+                   "shopid", events, checks=(events.where(subscription_event("eventtype")),))
+
+
+def _timeline_intervals(bucketed: bool, events: DataFrame, as_of, shop, free_label: str, tiebreak: str) -> DataFrame:
     ranked = cut(timeline_events(events, shop, tiebreak, bucketed), bucketed)
     starts = ranked.where(F.col("eventtype").isin(*S.INTERVAL_START_EVENTS))
     nxt = ordered_scan(

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import fixtures as fx
 from ..functions.lineage import cut
 from ..functions.scalar import subscription_event
-from ..functions.scan import resolve_bucketing
+from ..functions.scan import hot_keys
 from ..operators import active, attribution, mrr, timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,15 +104,12 @@ def q_store_daily_active(spark, sf_dir):
 
 
 # --- C02 ------------------------------------------------------------------
-def _attr_split(spark, sf_dir, as_of=fx.EVENTS_AS_OF):
-    """One skew decision per job, from the raw inputs: intervals per shop never
-    exceed subscription events per shop, so the timeline need not run for it."""
+def _attr_split(spark, sf_dir):
+    """The stage queries below take one path for all shops: buckets as soon as one is hot."""
     pay = fx.payments(spark, sf_dir)
     ev = fx.subscription_events(spark, sf_dir)
-    split = resolve_bucketing(None, (pay, ["shopid"]),
-                              (ev.where(subscription_event("eventtype")), ["shopid"]))
-    subs = timeline.timeline_intervals(ev, as_of, bucketed=split)
-    return pay, subs, split
+    split = hot_keys("shopid", pay, ev.where(subscription_event("eventtype"))) is not None
+    return pay, timeline.timeline_intervals(ev, fx.EVENTS_AS_OF, bucketed=split), split
 
 
 def _attr_inputs(spark, sf_dir):
@@ -146,21 +143,21 @@ def q_tx_labelled(spark, sf_dir):
 
 
 def q_tx_attributed(spark, sf_dir):
-    pay, subs, split = _attr_split(spark, sf_dir)
-    return attribution.attribute_transactions(pay, subs, bucketed=split)
+    return attribution.attribute_from_events(fx.payments(spark, sf_dir), fx.subscription_events(spark, sf_dir),
+                                             fx.EVENTS_AS_OF)
 
 
 def q_tx_attributed_backfill(spark, sf_dir):
     """A run for a past day: open intervals that start after it end before they start."""
-    pay, subs, split = _attr_split(spark, sf_dir, fx.BACKFILL_AS_OF)
-    return attribution.attribute_transactions(pay, subs, bucketed=split)
+    return attribution.attribute_from_events(fx.payments(spark, sf_dir), fx.subscription_events(spark, sf_dir),
+                                             fx.BACKFILL_AS_OF)
 
 
 def q_tx_one_shop(spark, sf_dir):
     """The single-shop run, for the shop with the lowest id."""
     pay, ev = fx.payments(spark, sf_dir), fx.subscription_events(spark, sf_dir)
     shop = pay.agg(F.min("shopid")).first()[0]
-    return attribution.attribute_transactions(pay, timeline.timeline_intervals(ev, fx.EVENTS_AS_OF, shop), shop)
+    return attribution.attribute_from_events(pay, ev, fx.EVENTS_AS_OF, shop)
 
 
 QUERIES: dict[str, Query] = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,14 +49,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only when none is set.
 
     A cluster names a shared folder in ``spark.checkpoint.dir`` and Spark applies
-    it when the context starts; that folder is used as is. Only a session
-    without one (local tests) gets a fresh temp folder, through the context API
-    (the config itself cannot be changed at run time).
+    it when the context starts; that folder is used as is. Only a local session
+    without one (tests) gets a fresh temp folder, through the context API (the
+    config itself cannot be changed at run time); on a cluster a missing folder
+    is an error, since no machine's own folder reaches the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="subledger-ckpt-"))
         current = sc.getCheckpointDir()
     return current

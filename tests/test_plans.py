@@ -70,16 +70,22 @@ def test_each_payment_once(spark):
     assert df.count() == df.select("id").distinct().count() == fx.payments(spark, SMALL).count()
 
 
-def test_month_flags_in_pass_equal_join_fallback(spark):
-    """EXISTS flags from the marks pass equal the (shop, month) join used without them."""
+def test_only_hot_shops_take_the_bucketed_path(spark):
+    """With the threshold between the shops' sizes both paths run; the result is that of the plain one."""
+    from subledger.functions.scan import hot_keys
     from subledger.operators import attribution as A
-    pay = fx.payments(spark, SMALL)
-    subs = A.with_previous(timeline.timeline_intervals(fx.subscription_events(spark, SMALL), fx.EVENTS_AS_OF))
-    tx = A.numbered_transactions(pay)
-    matched = A.matched_payments(tx, subs)
-    with_flags = A.choose_attribution(matched, subs)
-    via_join = A.choose_attribution(matched.drop("ended_same_month", "ended_month_before"), subs)
-    assert sorted(map(tuple, with_flags.collect())) == sorted(map(tuple, via_join.collect()))
+    pay, ev = fx.payments(spark, SMALL), fx.subscription_events(spark, SMALL)
+    plain = A.attribute_transactions(pay, timeline.timeline_intervals(ev, fx.EVENTS_AS_OF, bucketed=False),
+                                     bucketed=False)
+    sizes = sorted(r["count"] for r in ev.groupBy("shopid").count().collect())
+    spark.conf.set("subledger.scan.hotKeyRows", str(sizes[len(sizes) // 2]))
+    try:
+        hot = hot_keys("shopid", pay, ev)
+        assert 0 < hot.count() < len(sizes)
+        mixed = A.attribute_from_events(pay, ev, fx.EVENTS_AS_OF)
+        assert sorted(map(str, mixed.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.unset("subledger.scan.hotKeyRows")
 
 
 def test_single_shop_filter_equals_full_run(spark):

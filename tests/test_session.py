@@ -25,3 +25,14 @@ def test_checkpoint_folder_when_unset(tmp_path):
     out = subprocess.run([sys.executable, "-c", SCRIPT.format(root=ROOT)], env=env,
                          capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("ok"), out.stderr[-2000:]
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace as Some
+
+    import pytest
+
+    from subledger.session import ensure_checkpoint_dir
+    context = Some(master="yarn", getCheckpointDir=lambda: None, getConf=lambda: Some(get=lambda key, default: default))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Some(sparkContext=context))
