@@ -2,15 +2,16 @@
 
 The benchmark is cut into passages of at most ``PASSAGE`` words. Their TF-IDF matrix
 (document frequencies counted over all documents; terms that no passage has share
-``OTHER`` buckets, which matters for the length of a window only) gets a distributed randomised SVD:
-a Gaussian test matrix, power iterations whose products X'(XQ) are summed over the
-tasks, and the Gram matrix of XQ for the last rotation. With ``RANK`` or fewer passages
-the latent space holds them exactly.
+``OTHER`` buckets, which matters for the length of a window only) gets a distributed
+randomised SVD: a Gaussian test matrix, power iterations whose products X'(XQ) are
+summed over the tasks, and the Gram matrix of XQ for the last rotation. With ``RANK`` or
+fewer passages the latent space holds them exactly.
 
 Documents are read as overlapping windows of 16, 32 and 64 words, one every ``STEP``
 words; a passage is compared with the smallest window that holds it. A window's cosine
-with a passage can't exceed the share of its TF-IDF mass that lies on benchmark terms,
-so windows below that bound are passed over without projecting them; this loses none.
+with a passage can't exceed the share of its TF-IDF mass on benchmark terms, nor the sum
+of the most that each of its terms adds for any passage; windows below these bounds are
+passed over without projecting them, which loses none.
 Candidates (cosine of ``COSINE``, relative to how well the latent space holds the
 passage) are verified on the words themselves: longest common subsequence of passage
 and window with its surroundings, in relation to the passage. A passage is found if
@@ -54,7 +55,9 @@ ANSWERED = 0.8
 FEW_WORDS = 8          # shorter passages have to be there in full
 MAX_PASSAGES = 200_000
 MAX_TERMS = 1 << 18
-OTHER = 1 << 17         # buckets for the document frequencies of terms that no passage has
+OTHER = 1 << 16         # buckets for the document frequencies of terms that no passage has
+SEGMENT = 32_768       # words of a text handled at once
+BOUND_CELLS = 1 << 31  # terms x passages up to which the terms' largest shares are computed
 CHUNK = 256            # terms in a row of partial sums
 DROP = b".,;:!?\"'()[]{}"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -108,11 +111,12 @@ class Index:
     basis: np.ndarray          # terms x rank, scaled by idf
     latent: np.ndarray         # passages x rank, divided by its squared length
     capture: float             # least length of a passage in the latent space
+    most: np.ndarray           # the most that a term adds for any passage
 
     @cached_property
     def by_scale(self) -> list[tuple[int, np.ndarray]]:
         n = np.array([len(w) for w in self.words])
-        out, below = [], 0
+        out, below = [], 0  # (words of a window, its passages)
         for s in SCALES:
             mine = np.flatnonzero((n > below) & ((n <= s) | (s == SCALES[-1])))
             out.append((s, mine))
@@ -125,22 +129,53 @@ class Index:
 
     def candidates(self, words: list[bytes]) -> Iterator[tuple[int, int, int, float]]:
         """(passage, first word, end word, cosine) of the windows above the threshold."""
+        for start in range(0, len(words), SEGMENT):
+            if start and len(words) - start <= SCALES[-1]:
+                return
+            yield from self._segment(words[start:start + SEGMENT + SCALES[-1]], start)
+
+    @cached_property
+    def per_word(self) -> np.ndarray:
+        """For each word number: its TF-IDF mass, that on benchmark terms, the most it adds."""
+        out = np.zeros((len(self.idf), 3))
+        out[:, 0] = self.idf ** 2
+        out[:len(self.terms), 1] = out[:len(self.terms), 0]
+        out[:len(self.terms), 2] = self.most
+        return out
+
+    def _segment(self, words: list[bytes], start: int) -> Iterator[tuple[int, int, int, float]]:
         ids, n = term_ids(words, self.terms), len(self.terms)
-        if ids.min() >= n:
-            return
-        weight = self.idf[ids] ** 2
-        firsts = np.arange(0, len(ids), STEP)
-        mass = np.concatenate([[0], np.cumsum(np.add.reduceat(weight, firsts))])
-        own = np.concatenate([[0], np.cumsum(np.add.reduceat(np.where(ids < n, weight, 0), firsts))])
+        blocks = -(-len(ids) // STEP)
+        bounds = np.zeros((blocks + 1, 3))
+        np.cumsum(np.add.reduceat(self.per_word[ids], np.arange(0, len(ids), STEP)), axis=0, out=bounds[1:])
+        todo = []
         for scale, passages in self.by_scale:
-            k = min(scale // STEP, len(firsts))
-            all_, mine = mass[k:] - mass[:-k], own[k:] - own[:-k]
-            for b in np.flatnonzero(mine >= (COSINE * self.capture) ** 2 * all_ - 1e-9):
-                a, z = b * STEP, min(len(ids), (b + k) * STEP)
-                inside = ids[a:z]
-                cosine = self.latent[passages] @ self.basis[inside[inside < n]].sum(0) / math.sqrt(max(all_[b], 1e-12))
-                for i in np.flatnonzero(cosine >= COSINE):
-                    yield int(passages[i]), int(a), int(z), float(cosine[i])
+            k = min(scale // STEP, blocks)
+            mass, own, most = (bounds[k:] - bounds[:-k]).T
+            limit = COSINE * np.sqrt(mass) - 1e-4
+            at = np.flatnonzero((most >= limit) & (np.sqrt(np.maximum(own, 0)) >= self.capture * limit))
+            if len(at):
+                todo.append((k, passages, at, np.sqrt(np.maximum(mass[at], 1e-12))))
+        if not todo:
+            return
+        # the blocks of these windows in the latent space
+        used = np.unique(np.concatenate([(at[:, None] + np.arange(k)).ravel() for k, _, at, _ in todo]))
+        place = np.full(blocks, len(used))
+        place[used] = np.arange(len(used))
+        inside = np.flatnonzero((ids < n) & np.repeat(place < len(used), STEP)[:len(ids)])
+        block = place[inside // STEP]
+        heads = np.flatnonzero(np.diff(block, prepend=-1))
+        sums = np.zeros((len(used), self.basis.shape[1]), np.float32)
+        if len(heads):
+            sums[block[heads]] = np.add.reduceat(self.basis[ids[inside]], heads, axis=0)
+        for k, passages, at, length in todo:
+            latent = self.latent[passages].T
+            for i in range(0, len(at), SEGMENT // STEP):
+                some = at[i:i + SEGMENT // STEP]
+                cosine = (sums[place[some[:, None] + np.arange(k)]].sum(1) @ latent) / length[i:i + len(some), None]
+                for b, j in zip(*np.nonzero(cosine >= COSINE)):
+                    first = int(some[b]) * STEP
+                    yield int(passages[j]), start + first, start + min(len(ids), first + k * STEP), float(cosine[b, j])
 
     def verify(self, words: list[bytes], passage: int, first: int, end: int) -> tuple[int, float, float] | None:
         """(common words, their share, the answer's share) if the passage is there."""
@@ -148,6 +183,9 @@ class Index:
         margin = STEP + n // 4
         near = words[max(0, first - margin):end + margin]
         masks, answer_masks = self.masks[passage]
+        # the words in common, whatever their order, are a bound
+        if sum(masks[w].bit_count() for w in masks.keys() & set(near)) < PARAPHRASED * n:
+            return None
         lcs = common_words(masks, n, near)
         share = lcs / n
         if n < FEW_WORDS and lcs < n or share < PARAPHRASED:
@@ -275,8 +313,12 @@ def build_index(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     length = np.sqrt((latent ** 2).sum(1))
     latent = latent / np.maximum(length, 0.05)[:, None] ** 2
     basis = basis * idf[:len(terms), None]
+    if len(terms) * len(words) <= BOUND_CELLS:
+        most = np.concatenate([(basis[i:i + CHUNK] @ latent.T).max(1) for i in range(0, len(terms), CHUNK)])
+    else:
+        most = np.linalg.norm(basis, axis=1) * np.linalg.norm(latent, axis=1).max()
     return Index(items, words, answers, terms, idf.astype(np.float32), basis.astype(np.float32),
-                 latent.astype(np.float32), float(min(1.0, max(0.05, length.min()))))
+                 latent.astype(np.float32), float(min(1.0, max(0.05, length.min()))), np.maximum(most, 0))
 
 
 HITS = ("doc_id long, item_id long, first_word int, end_word int, cosine double, common_words int, "
