@@ -23,19 +23,20 @@ ORDERS_AS_OF = dt.date(2001, 8, 15)
 BAD_DAY = dt.date(2024, 2, 3)
 
 # Fixture vocabularies (driver event_type -> billing event type).
+USAGE_EVENT = "USAGE_CHARGE_APPLIED"
 SUBSCRIPTION_TYPE_MAP = {
     "signup": S.EVENT_CHARGE_ACTIVATED,
     "error": S.EVENT_CHARGE_FROZEN,
     "click": S.EVENT_CHARGE_UNFROZEN,
     "view": S.EVENT_CHARGE_CANCELED,
-    "purchase": "USAGE_CHARGE_APPLIED",
+    "purchase": USAGE_EVENT,
 }
 RELATIONSHIP_TYPE_MAP = {
     "signup": "RELATIONSHIP_INSTALLED",
     "click": "RELATIONSHIP_REACTIVATED",
     "error": "RELATIONSHIP_UNINSTALLED",
     "view": "RELATIONSHIP_DEACTIVATED",
-    "purchase": "USAGE_CHARGE_APPLIED",
+    "purchase": USAGE_EVENT,
 }
 PLAN_NAMES = ("Free plan", "Pro", "Enterprise, annual")
 SALE_SUBTYPES = ("AppOneTimeSale", "AppSaleAdjustment", "AppSaleCredit")  # id % 10 = 0, 1, 2
@@ -88,7 +89,9 @@ def billing_events(spark: SparkSession, sf_dir: str, mapping: dict[str, str] | N
 
 
 def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return billing_events(spark, sf_dir, SUBSCRIPTION_TYPE_MAP)
+    """Charge events; every tenth shop only has usage charges, so its payments have no subscription."""
+    ev = billing_events(spark, sf_dir, SUBSCRIPTION_TYPE_MAP)
+    return ev.withColumn("eventtype", F.when(F.col("shopid") % 10 == 0, F.lit(USAGE_EVENT)).otherwise(F.col("eventtype")))
 
 
 def relationship_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ reads.
 
 from __future__ import annotations
 
-from ..fixtures import BACKFILL_AS_OF, EVENTS_AS_OF, ORDERS_AS_OF
+from .. import schemas as S
+from ..fixtures import BACKFILL_AS_OF, EVENTS_AS_OF, ORDERS_AS_OF, USAGE_EVENT
 
 EV_AS_OF = f"DATE '{EVENTS_AS_OF.isoformat()}'"
 ORD_AS_OF = f"DATE '{ORDERS_AS_OF.isoformat()}'"
@@ -22,9 +23,9 @@ def _event_type_case(mapping: dict[str, str]) -> str:
     return f"CASE {whens} END"
 
 
-def billing_events_cte(name: str, mapping: dict[str, str]) -> str:
+def billing_events_cte(name: str, mapping: dict[str, str], usage_only: str = "false") -> str:
     return f"""{name} AS (
-    SELECT {_event_type_case(mapping)} AS eventtype,
+    SELECT CASE WHEN {usage_only} THEN '{USAGE_EVENT}' ELSE {_event_type_case(mapping)} END AS eventtype,
            CAST(ts AS TIMESTAMP) + INTERVAL 15 DAY AS occurredat,
            'shop-' || CAST(user_id AS VARCHAR) AS shopdomain,
            user_id AS shopid,
@@ -137,7 +138,7 @@ FROM rev"""
 # --- C01 subscription timeline ----------------------------------------------
 from ..fixtures import RELATIONSHIP_TYPE_MAP, SUBSCRIPTION_TYPE_MAP  # noqa: E402
 
-SUB_EVENTS_CTE = billing_events_cte("sub_events", SUBSCRIPTION_TYPE_MAP)
+SUB_EVENTS_CTE = billing_events_cte("sub_events", SUBSCRIPTION_TYPE_MAP, "user_id % 10 = 0")
 REL_EVENTS_CTE = billing_events_cte("rel_events", RELATIONSHIP_TYPE_MAP)
 
 TIMELINE_CTES = f"""{SUB_EVENTS_CTE}
@@ -155,7 +156,7 @@ TIMELINE_CTES = f"""{SUB_EVENTS_CTE}
     WHERE eventtype IN ('SUBSCRIPTION_CHARGE_ACTIVATED', 'SUBSCRIPTION_CHARGE_UNFROZEN'))
 , intervals AS (
     SELECT shopid, shopdomain, chargeid, activated_date, chargeamount,
-        CASE WHEN chargename LIKE '%Free%' THEN 'Unlimited Blog posts' ELSE chargename END AS pricing_plan,
+        CASE WHEN chargename LIKE '{S.FREE_PLAN_PATTERN}' THEN '{S.FREE_PLAN_LABEL}' ELSE chargename END AS pricing_plan,
         CASE WHEN deactivated_date IS NULL
                  THEN coalesce(next_activation, CAST({EV_AS_OF} + 1 AS TIMESTAMP))
              WHEN next_activation < deactivated_date THEN next_activation
@@ -253,6 +254,10 @@ _chosen = ",\n        ".join(f"CASE WHEN hit AND {p} IS NOT NULL THEN {p} ELSE {
 _carried = ",\n        ".join(
     f"CASE WHEN netamount = prev_netamount THEN lag({c}) OVER w ELSE {c} END AS {c}" for c in _KEEP)
 
+_labels = "\n                  ".join(
+    f"WHEN id LIKE '{pattern}'{' AND pricing_plan IS NULL' if without_plan else ''} THEN '{label}'"
+    for pattern, without_plan, label in S.SALE_LABEL_RULES)
+
 ATTRIBUTION_CTES = f"""{PAYMENTS_CTE}, {TIMELINE_CTES}
 , tx AS (
     SELECT createdat, id, _id, chargeid, netamount, shopid,
@@ -304,10 +309,7 @@ ATTRIBUTION_CTES = f"""{PAYMENTS_CTE}, {TIMELINE_CTES}
 , labelled AS (
     SELECT createdat, CAST(date_trunc('month', createdat) AS DATE) AS month,
         id, _id, netamount, prev_netamount, next_day_amount, shopid, transactions_per_day,
-        CAST(CASE WHEN id LIKE '%AppOneTimeSale%' THEN 'App One Time Sale'
-                  WHEN id LIKE '%Adjustment%' AND pricing_plan IS NULL THEN 'Undefined refund'
-                  WHEN id LIKE '%AppSubscriptionSale%' AND pricing_plan IS NULL THEN 'Undefined transactions'
-                  WHEN id LIKE '%AppSaleCredit%' THEN 'App Sale Credit'
+        CAST(CASE {_labels}
                   ELSE pricing_plan END AS VARCHAR) AS pricing_plan,
         CAST(chargeamount AS DOUBLE) AS chargeamount,
         CAST(activated_date AS DATE) AS activated_date,

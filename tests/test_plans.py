@@ -65,6 +65,12 @@ def test_explode_equals_sweep_and_bounded_by_shops(spark):
     assert a.agg(F.max("merchants")).first()[0] <= shops
 
 
+def test_fixture_reaches_every_sale_label(spark):
+    from subledger import schemas as S
+    found = {r[0] for r in E.queries()["tx_labelled"](spark, SMALL).select("pricing_plan").distinct().collect()}
+    assert {label for _, _, label in S.SALE_LABEL_RULES} <= found and S.FREE_PLAN_LABEL in found
+
+
 def test_each_payment_once(spark):
     df = E.queries()["tx_attributed"](spark, SMALL)
     assert df.count() == df.select("id").distinct().count() == fx.payments(spark, SMALL).count()
