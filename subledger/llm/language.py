@@ -10,7 +10,7 @@ net). A part of the sample (``CALIBRATE``) is not trained on; the temperature th
 divides the logits is the one with the least log-loss on it.
 
 Bounds: the sample has ``PER_LANGUAGE`` documents a language on average (those with the
-smallest hashes of the id, at most ``MAX_SAMPLE`` in all); only their hashed features
+smallest hashes of the id; about ``MAX_SAMPLE`` in all, never twice as many); only their hashed features
 come to the driver, whose model is languages x BUCKETS numbers. A table with more than
 ``MAX_LANGUAGES`` labels is refused. Prediction is one map over the whole texts.
 
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 NGRAMS = (1, 2, 3)
 BUCKETS = 1 << 15
 PER_LANGUAGE = 800
-MAX_SAMPLE = 20_000
+MAX_SAMPLE = 8_000
 MAX_LANGUAGES = 256
 CALIBRATE = 5          # every fifth document of the sample
 EPOCHS = 4
@@ -73,7 +73,8 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def known(text: str | None) -> bool:
-    return bool(text and LETTER.search(text))
+    """Whether the text has a letter (the pattern also finds numerals such as a superscript two)."""
+    return any(m[0].isalpha() for m in LETTER.finditer(text or ""))
 
 
 def softmax(z: np.ndarray) -> np.ndarray:
@@ -188,12 +189,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     df[list(counted)] = list(counted.values())
     idf = np.log((1 + total) / (1 + df)) + 1
 
+    per_language = min(per_language, max(1, MAX_SAMPLE // len(per)))
     order = F.xxhash64(F.lit(7), "key")
     share = F.create_map(*[x for k, n in per.items() for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
     picked = (learn.withColumn("order", order)
               .filter(F.shiftrightunsigned("order", 11) < share[F.col("lang")] * float(1 << 53))
               .mapInArrow(_sample_features, "lang string, order long, at binary, n binary")
-              .orderBy("order", "lang", "at", "n").limit(MAX_SAMPLE).collect())
+              .orderBy("order", "lang", "at", "n").limit(2 * MAX_SAMPLE).collect())
     languages = sorted({r["lang"] for r in picked})
     if not languages:
         return Model([], idf, np.zeros((BUCKETS, 0)), 1.0)

@@ -92,7 +92,7 @@ def test_temperature():
 
 
 def test_odd_rows(spark, model):
-    rows = [{"doc_id": 1, "text": None}, {"doc_id": 2, "text": ""}, {"doc_id": 3, "text": "12 34 !?\n"},
+    rows = [{"doc_id": 1, "text": None}, {"doc_id": 2, "text": ""}, {"doc_id": 3, "text": "12 34 !?\n²Ⅷ"},
             {"doc_id": None, "text": "the hand of the that"}, {"doc_id": 5, "text": "der die und " * 200_000}]
     docs = make_docs(spark, [r | {"score": 0.5, "lang_pred": "x"} for r in rows], ", score double, lang_pred string")
     out = language.identify(docs, model).collect()
