@@ -186,6 +186,10 @@ def q_policy_audit(spark, sf_dir):
     return quality.policy_audit(fx.subscription_events(spark, sf_dir))
 
 
+def q_policy_audit_exact(spark, sf_dir):
+    return quality.policy_audit(fx.subscription_events(spark, sf_dir), distinct="exact")
+
+
 def q_parse_arrivals(spark, sf_dir):
     return arrivals.parse_arrivals(arrivals.read_notifications(fx.notifications(spark, sf_dir)))
 
@@ -253,6 +257,7 @@ QUERIES = {
     "curate_report_mixed": q_curate_report_mixed,
     "curate_datetimes": q_curate_datetimes,
     "policy_audit": q_policy_audit,
+    "policy_audit_exact": q_policy_audit_exact,
     "policy_audit_curated": q_policy_audit_curated,
     "parse_arrivals": q_parse_arrivals,
     "arrivals_summary": q_arrivals_summary,

@@ -59,20 +59,26 @@ LATEST = f"latest AS (SELECT max(dt) AS latest_dt FROM txd WHERE dt <> {LANDING}
 _AUDIT_COLS = ("eventtype", "occurredat", "shopdomain", "shopid", "chargeamount", "chargeid", "chargename", "cursor")
 
 
-def _audit_row(c: str) -> str:
-    allow_null = "false" if (c in S.DATETIME_COLUMNS or c == "shopid") else "true"
-    allow_dup = "false" if c == "shopid" else "true"
+def _audit_row(c: str, everywhere: bool = False) -> str:
+    counted = everywhere or c == S.UNIQUE_KEY_COLUMN
+    distinct = f"count(DISTINCT {c})" if counted else "NULL::BIGINT"
+    allow_null = "false" if (c in S.DATETIME_COLUMNS or c == S.UNIQUE_KEY_COLUMN) else "true"
+    allow_dup = "false" if c == S.UNIQUE_KEY_COLUMN else "true"
     return f"""SELECT '{c}' AS "column", {allow_null} AS allow_null, {allow_dup} AS allow_duplicated,
         count(*) AS rows, count(*) - count({c}) AS null_count,
-        count({c}) - count(DISTINCT {c}) AS duplicate_count, count(DISTINCT {c}) AS distinct_values
+        count({c}) - {distinct} AS duplicate_count, {distinct} AS distinct_values
     FROM sub_events"""
 
 
-def _audit() -> str:
+_VIOLATED = """(NOT allow_null AND null_count > 0)
+        OR (NOT allow_duplicated AND coalesce(duplicate_count > 0, false)) AS violated"""
+
+
+def _audit(everywhere: bool = False) -> str:
     from .oracle import SUB_EVENTS_CTE
-    body = "\n    UNION ALL\n    ".join(_audit_row(c) for c in _AUDIT_COLS)
+    body = "\n    UNION ALL\n    ".join(_audit_row(c, everywhere) for c in _AUDIT_COLS)
     return f"""WITH {SUB_EVENTS_CTE}, a AS ({body})
-SELECT *, (NOT allow_null AND null_count > 0) OR (NOT allow_duplicated AND duplicate_count > 0) AS violated
+SELECT *, {_VIOLATED}
 FROM a"""
 
 
@@ -129,7 +135,7 @@ def _audit_curated() -> str:
     body = "\n    UNION ALL\n    ".join(_audit_row(c.lower()) for c in _EV_NAMES)
     return f"""WITH {EV_TYPED}, sub_events AS (
     SELECT * REPLACE (NULLIF(shopid, '') AS shopid) FROM (SELECT {_LOWER} FROM ev)), a AS ({body})
-SELECT *, (NOT allow_null AND null_count > 0) OR (NOT allow_duplicated AND duplicate_count > 0) AS violated
+SELECT *, {_VIOLATED}
 FROM a"""
 
 
@@ -178,6 +184,7 @@ ORACLES = {
         FROM ev GROUP BY 1""",
     "curate_datetimes": f"WITH {EV_TYPED} {CURATED}",
     "policy_audit": _audit(),
+    "policy_audit_exact": _audit(everywhere=True),
     "parse_arrivals": f"WITH {ARRIVALS_CTE} SELECT * FROM arrivals",
     "arrivals_summary": f"""WITH {ARRIVALS_CTE}
         SELECT database, collection, partition_value, count(*) AS objects,

@@ -66,9 +66,12 @@ def test_a_day_that_lands_again_is_replayed(spark, tmp_path):
 
 def test_policy_audit_exact_and_approximate(spark):
     df = spark.createDataFrame([(1, "a", None), (1, "b", None), (2, "b", "x")], "shopid long, v string, occurredat string")
-    exact = {r["column"]: r.asDict() for r in quality.policy_audit(df).collect()}
+    exact = {r["column"]: r.asDict() for r in quality.policy_audit(df, distinct="exact").collect()}
+    rules = {r["column"]: r.asDict() for r in quality.policy_audit(df).collect()}
+    assert rules["shopid"] == exact["shopid"] and rules["v"]["distinct_values"] is None
+    assert all(rules[c]["violated"] == exact[c]["violated"] for c in exact)
     assert exact["shopid"]["duplicate_count"] == 1 and exact["shopid"]["violated"]
     assert exact["occurredat"]["null_count"] == 2 and exact["occurredat"]["violated"]
     assert not exact["v"]["violated"]
-    approx = {r["column"]: r["distinct_values"] for r in quality.policy_audit(df, exact=False).collect()}
+    approx = {r["column"]: r["distinct_values"] for r in quality.policy_audit(df, distinct="approx").collect()}
     assert approx == {"shopid": 2, "v": 2, "occurredat": 1}
