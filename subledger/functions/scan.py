@@ -5,9 +5,9 @@ a key holding a third of the data would make that task a third of the job.
 ``ordered_scan`` computes the same lag / lead / fills / running aggregates in
 two levels:
 
-1. the window runs per ``(key, bucket)``, where ``bucket`` is a monotone
-   function of the order (a time bucket, a range of ids), so a hot key is
-   spread over many tasks;
+1. the window runs per ``(key, bucket)``, where ``bucket`` never decreases
+   along the order (equal shares of the sorted rows, or any column with that
+   property), so a hot key is spread over many tasks;
 2. each bucket is summarised by its first and last row (one row per bucket),
    a window over those few summary rows per key carries values across bucket
    boundaries, and the carry is joined back on ``(key, bucket)``. One struct
@@ -67,34 +67,22 @@ def desc(col, nulls_last: bool = True) -> Ord:
     return Ord(col, False, nulls_last)
 
 
-# Bucket sizes of the split path (session confs; defaults in brackets):
-#   subledger.scan.bucketSeconds   [86400]  width of time buckets
-#   subledger.scan.idBucketWidth   [2^20]   ids per id-range bucket
-BUCKET_SECONDS_CONF = "subledger.scan.bucketSeconds"
-ID_WIDTH_CONF = "subledger.scan.idBucketWidth"
-DEFAULT_BUCKET_SECONDS = 86400
-DEFAULT_ID_WIDTH = 1 << 20
+# Rows per bucket of a split scan (session conf; default in brackets):
+#   subledger.scan.bucketRows   [100000]
+BUCKET_ROWS_CONF = "subledger.scan.bucketRows"
+DEFAULT_BUCKET_ROWS = 100_000
 
 
-def time_bucket(col: str | Column, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
-    """Fixed-width time buckets (monotone in the time column)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(seconds * 1_000_000))
+def sorted_buckets(df: DataFrame, keys: list[str], order: list[Ord]) -> tuple[DataFrame, Column]:
+    """``df`` sorted by key and order and written, and buckets of so many rows along that order.
 
-
-def day_bucket(col: str | Column, spark=None) -> Column:
-    """Time buckets of the session's width (one day unless configured)."""
-    seconds = int(spark.conf.get(BUCKET_SECONDS_CONF, str(DEFAULT_BUCKET_SECONDS))) if spark else \
-        DEFAULT_BUCKET_SECONDS
-    return time_bucket(col, seconds)
-
-
-def range_bucket(col: str | Column, width: int = DEFAULT_ID_WIDTH, spark=None) -> Column:
-    """Id-range buckets: at most ``width`` distinct ids per bucket, whatever the skew."""
-    if spark is not None:
-        width = int(spark.conf.get(ID_WIDTH_CONF, str(width)))
-    c = F.col(col) if isinstance(col, str) else col
-    return F.floor(c / F.lit(width))
+    A row's place is its sorted partition and position there, so the number of
+    buckets follows a key's rows, whatever their values: rows of one day, or
+    without an order value, are cut like any others.
+    """
+    rows = int(df.sparkSession.conf.get(BUCKET_ROWS_CONF, str(DEFAULT_BUCKET_ROWS)))
+    placed = cut(df.orderBy(*keys, *[o.sort() for o in order]).withColumn("_place", F.monotonically_increasing_id()))
+    return placed, F.floor(F.col("_place") / F.lit(rows))
 
 
 def _local(kind: str, c: Column, w, back, rback, before) -> Column:
@@ -117,9 +105,18 @@ def _local(kind: str, c: Column, w, back, rback, before) -> Column:
     raise ValueError(f"unknown scan kind: {kind}")
 
 
-def ordered_scan(df: DataFrame, keys: list[str], order: list[Ord], bucket: Column | None = None,
+def ordered_scan(df: DataFrame, keys: list[str], order: list[Ord], bucket: Column | bool | None = None,
                  **outputs: tuple[str, str | Column]) -> DataFrame:
-    """``df`` plus one column per output, computed over ``keys`` in ``order``."""
+    """``df`` plus one column per output, computed over ``keys`` in ``order``.
+
+    ``bucket`` is a column that never decreases along the order, ``True`` for
+    buckets of equal size (``sorted_buckets``), or nothing for the plain window.
+    """
+    if bucket is True:
+        placed, bucket = sorted_buckets(df, keys, order)
+        return ordered_scan(placed, keys, order, bucket, **outputs).drop("_place")
+    if bucket is False:
+        bucket = None
     specs = {n: (k, F.col(c) if isinstance(c, str) else c) for n, (k, c) in outputs.items()}
     fwd = [o.sort() for o in order]
     rev = [o.sort(reverse=True) for o in order] if any(k == "bfill" for k, _ in outputs.values()) else []

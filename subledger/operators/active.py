@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.lineage import cut
 from ..functions.scalar import as_of_date, relationship_status
-from ..functions.scan import asc, by_heat, day_bucket, ordered_scan
+from ..functions.scan import asc, by_heat, ordered_scan
 
 
 def day_ranges(intervals: DataFrame, as_of=None, max_days: int | None = None) -> DataFrame:
@@ -70,11 +70,10 @@ def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int | None = No
 def _islands(split: bool, r: DataFrame) -> DataFrame:
     """Overlapping day ranges of a shop, merged."""
     order = [asc("first_day"), asc("last_day")]
-    month = day_bucket("first_day", r.sparkSession) if split else None
-    r = cut(ordered_scan(r, ["shopid"], order, month, reach=("cummax_before", "last_day")), split)
+    r = cut(ordered_scan(r, ["shopid"], order, split, reach=("cummax_before", "last_day")), split)
     r = r.withColumn("starts_island",
                      F.when(F.col("reach").isNull() | (F.col("first_day") > F.col("reach")), 1).otherwise(0))
-    r = ordered_scan(r, ["shopid"], order, month, island=("cumsum", "starts_island"))
+    r = ordered_scan(r, ["shopid"], order, split, island=("cumsum", "starts_island"))
     return r.groupBy("shopid", "island").agg(F.min("first_day").alias("s"), F.max("last_day").alias("e"))
 
 
@@ -144,8 +143,7 @@ def store_intervals(events: DataFrame, as_of=None, tiebreak: str = "cursor") ->
           .select("shopid", "shopdomain", "occurredat", "status", tiebreak))
 
     def next_status(split: bool, x: DataFrame) -> DataFrame:
-        day = day_bucket("occurredat", x.sparkSession) if split else None
-        return cut(ordered_scan(x, ["shopid"], [asc("occurredat"), asc(tiebreak)], day,
+        return cut(ordered_scan(x, ["shopid"], [asc("occurredat"), asc(tiebreak)], split,
                                 next_status_at=("lead", "occurredat")), split)
     st = by_heat(next_status, None, "shopid", st)
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")

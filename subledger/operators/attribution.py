@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lineage import cut
 from ..functions.scalar import month_start, numeric_id, sale_label, subscription_event
-from ..functions.scan import Ord, asc, by_heat, day_bucket, desc, ordered_scan, range_bucket
+from ..functions.scan import Ord, asc, by_heat, desc, ordered_scan
 from .timeline import timeline_intervals
 
 ATTR_COLS = (
@@ -71,10 +71,6 @@ def _id_order() -> list[Ord]:
     return [asc("_id"), asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")]
 
 
-def _id_bucket(bucketed: bool, spark):
-    return range_bucket("_id", spark=spark) if bucketed else None
-
-
 def numbered_transactions(tx: DataFrame, shop=None, bucketed: bool | None = None) -> DataFrame:
     """Payments with ``_id`` (trailing digits) and the previous payment's net amount."""
     t = tx.select("createdat", "id", numeric_id("id").alias("_id"), "chargeid", "netamount", "shopid")
@@ -82,7 +78,7 @@ def numbered_transactions(tx: DataFrame, shop=None, bucketed: bool | None = None
         t = t.where(F.col("shopid") == F.lit(shop))
     return by_heat(
         lambda split, x: ordered_scan(x, ["shopid"], [asc("_id"), asc("id"), asc("createdat"), asc("netamount")],
-                                      _id_bucket(split, x.sparkSession), prev_netamount=("lag", "netamount")),
+                                      split, prev_netamount=("lag", "netamount")),
         bucketed, "shopid", t)
 
 
@@ -96,7 +92,7 @@ def with_previous(subs: DataFrame, tiebreak: str = "cursor", bucketed: bool | No
     return by_heat(
         lambda split, x: ordered_scan(
             x, ["shopid"], [asc("activated_date"), asc(tiebreak)],
-            day_bucket("activated_date", x.sparkSession) if split else None,
+            split,
             prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"),
             prev_activated_date=("lag", "activated_date"), prev_actual_end_date=("lag", "actual_end_date")),
         bucketed, "shopid", base)
@@ -147,7 +143,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     # an earlier one has it; the previous interval's flag month, so repeated months
     # give no further marks.
     s = ordered_scan(s, ["shopid"], [asc("activated_date"), asc("actual_end_date"), asc(tiebreak)],
-                     day_bucket("activated_date", s.sparkSession) if bucketed else None,
+                     bucketed,
                      _pfm=("lag", "_fm0"), **{f"_mx{i}": ("cummax_before", f"_ce{i}") for i in range(n)},
                      **{f"_had{i}": ("cummax_before", f"_has{i}") for i in range(n)})
     # rest-of-day intervals: the lowest key of those that ended earlier that day
@@ -206,7 +202,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         fills["_ff1"] = ("ffill", "_mf1")
         fills["_ff2"] = ("ffill", "_mf2")
     order = [asc("_t"), asc("_kind"), desc("_dk"), asc("_ak")]
-    f = ordered_scan(u, ["shopid"], order, day_bucket("_t", u.sparkSession) if bucketed else None, **fills)
+    f = ordered_scan(u, ["shopid"], order, bucketed, **fills)
     out = []
     for i, c in enumerate(cols):
         seg, rest = F.col(f"_fs{i}"), F.col(f"_fr{i}")
@@ -230,12 +226,11 @@ def _matched(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str, bucket
     pays = tx_numbered.select(*PAYMENT_KEYS).distinct()
     near = cut(nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed,
                                 month_flags="prev_actual_end_date"), bucketed)
-    day = day_bucket("createdat", near.sparkSession) if bucketed else None
     near = ordered_scan(near, ["shopid"], [asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")],
-                        day, prev_day_amount=("lag", "netamount"))
+                        bucketed, prev_day_amount=("lag", "netamount"))
     near = ordered_scan(near, ["shopid"],
                         [asc(F.unix_timestamp("createdat")), asc("id"), asc("netamount"), asc("prev_netamount")],
-                        day, next_day_amount=("lead", "netamount"))
+                        bucketed, next_day_amount=("lead", "netamount"))
     if not bucketed:
         # rows are already clustered by shop, so a (shop, day) window adds no shuffle
         per_day = Window.partitionBy("shopid", F.to_date("createdat"))
@@ -278,14 +273,14 @@ def carry_forward(labelled: DataFrame, bucketed: bool | None = None) -> DataFram
 
 def _carry_forward(bucketed: bool, labelled: DataFrame) -> DataFrame:
     keep = ("pricing_plan", "chargeamount", "activated_date", "actual_end_date")
-    lagged = ordered_scan(labelled, ["shopid"], _id_order(), _id_bucket(bucketed, labelled.sparkSession),
+    lagged = ordered_scan(labelled, ["shopid"], _id_order(), bucketed,
                           **{f"_p_{c}": ("lag", c) for c in keep})
     same = F.col("netamount") == F.col("prev_netamount")
     cf = lagged.select(
         "createdat", "month", "id", "_id", "netamount", "prev_netamount", "next_day_amount", "shopid",
         "transactions_per_day",
         *[F.when(same, F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c) for c in keep])
-    return ordered_scan(cf, ["shopid"], _id_order(), _id_bucket(bucketed, cf.sparkSession),
+    return ordered_scan(cf, ["shopid"], _id_order(), bucketed,
                         prev_pricing_plan=("lag", "pricing_plan"), prev_chargeamount=("lag", "chargeamount"))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.lineage import cut
 from ..functions.scalar import as_of_date, interval_end, pricing_plan, subscription_event
-from ..functions.scan import asc, by_heat, day_bucket, ordered_scan
+from ..functions.scan import asc, by_heat, ordered_scan
 
 
 def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
@@ -25,7 +25,7 @@ def timeline_events(events: DataFrame, shop=None, tiebreak: str = "cursor",
     """Subscription-charge events with the charge's first time and the next event's time.
 
     Both come from one ordered scan per (shop, charge) in event-time order. With
-    a hot shop (``bucketed=None`` checks) the scan is split into day buckets so
+    a hot shop (``bucketed=None`` checks) the scan is split into buckets of rows so
     that no shop or charge is ever scanned by a single task.
     """
     ev = events.where(subscription_event("eventtype"))
@@ -43,7 +43,7 @@ def _timeline_events(bucketed: bool, ev: DataFrame, tiebreak: str) -> DataFrame:
         ev = ev.repartition("shopid")
     return ordered_scan(
         ev, ["shopid", "chargeid"], [asc("occurredat"), asc(tiebreak)],
-        day_bucket("occurredat", ev.sparkSession) if bucketed else None,
+        bucketed,
         activated_date=("first_nonnull", "occurredat"),
         deactivated_date=("lead", "occurredat"))
 
@@ -60,7 +60,7 @@ def _timeline_intervals(bucketed: bool, events: DataFrame, as_of, shop, free_lab
     starts = ranked.where(F.col("eventtype").isin(*S.INTERVAL_START_EVENTS))
     nxt = ordered_scan(
         starts, ["shopid"], [asc("activated_date"), asc("occurredat"), asc(tiebreak)],
-        day_bucket("activated_date", starts.sparkSession) if bucketed else None,
+        bucketed,
         next_activation=("lead", "activated_date"))
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")
     return nxt.select(

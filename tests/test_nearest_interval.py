@@ -87,17 +87,17 @@ def _case(seed):
     return subs, pays
 
 
-@pytest.mark.parametrize("split", [False, True], ids=["plain", "split-hour-buckets"])
+@pytest.mark.parametrize("split", [False, True], ids=["plain", "split-small-buckets"])
 @pytest.mark.parametrize("seed", range(int(os.environ.get("NEAREST_SEEDS", "6"))))
 def test_equals_all_pairs_ranking(spark, seed, split):
     subs, pays = _case(seed)
     s = spark.createDataFrame(subs, SUB_SCHEMA)
     p = spark.createDataFrame(pays, PAY_SCHEMA)
-    spark.conf.set("subledger.scan.bucketSeconds", "3600")
+    spark.conf.set("subledger.scan.bucketRows", "5")
     try:
         got = {r["pid"]: r.asDict() for r in nearest_interval(p, s, COLS, bucketed=split).collect()}
     finally:
-        spark.conf.unset("subledger.scan.bucketSeconds")
+        spark.conf.unset("subledger.scan.bucketRows")
     want = brute(pays, subs)
     assert set(got) == set(want)
     for pid, row in want.items():

@@ -77,10 +77,10 @@ def test_entry_smoke(spark):
 SPLIT_PATH = ["timeline_intervals", "daily_active_sweep", "store_daily_active", "tx_attributed", "tx_matched"]
 
 
-FINE = {"subledger.scan.bucketSeconds": "3600", "subledger.scan.idBucketWidth": "1000"}
+FINE = {"subledger.scan.bucketRows": "7"}
 
 
-@pytest.mark.parametrize("fine", [False, True], ids=["day-buckets", "hour-buckets"])
+@pytest.mark.parametrize("fine", [False, True], ids=["large-buckets", "small-buckets"])
 @pytest.mark.parametrize("name", SPLIT_PATH)
 def test_hot_key_path_matches_oracle(spark, con, name, fine):
     """With the hot-key threshold at 0 every scan takes the bucketed two-level path."""

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from subledger.functions.scan import asc, desc, ordered_scan
+from subledger.functions.scan import asc, desc, ordered_scan, sorted_buckets
 
 KINDS = dict(lg=("lag", "v"), ld=("lead", "v"), ff=("ffill", "v"), bf=("bfill", "v"),
              fn=("first_nonnull", "v"), cm=("cummax", "v"), cs=("cumsum", "v"), cb=("cummax_before", "v"))
@@ -35,6 +35,30 @@ def test_bucketed_equals_plain(spark, seed, ascending):
     assert a == b
 
 
+@pytest.mark.parametrize("seed,ascending", [(5, True), (6, False)])
+def test_sorted_buckets_equal_plain(spark, seed, ascending):
+    df = spark.createDataFrame(_rows(seed), "k long, t long, tb long, v long")
+    order = [asc("t"), asc("tb")] if ascending else [desc("t", nulls_last=False), asc("tb")]
+    spark.conf.set("subledger.scan.bucketRows", "9")
+    try:
+        split = sorted(map(str, ordered_scan(df, ["k"], order, True, **KINDS).collect()))
+    finally:
+        spark.conf.unset("subledger.scan.bucketRows")
+    assert split == sorted(map(str, ordered_scan(df, ["k"], order, False, **KINDS).collect()))
+
+
+def test_rows_of_one_day_or_without_time_are_cut(spark):
+    """A hot key whose rows all have one order value, or none, still gives small buckets."""
+    rows = [(1, None if i % 2 else 5, i, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, t long, tb long, v long").repartition(4)
+    spark.conf.set("subledger.scan.bucketRows", "100")
+    try:
+        placed, bucket = sorted_buckets(df, ["k"], [asc("t"), asc("tb")])
+        assert max(r["count"] for r in placed.groupBy(bucket).count().collect()) <= 100
+    finally:
+        spark.conf.unset("subledger.scan.bucketRows")
+
+
 def test_hot_key_is_spread_over_tasks(spark):
     """One key with every row: the split scan runs it as many (key, bucket) partitions."""
     rows = [(1, t, t, t % 7) for t in range(4000)]

@@ -26,8 +26,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("subledger.scan.bucketSeconds", "3600")
-    spark.conf.set("subledger.scan.idBucketWidth", "1000")
+    spark.conf.set("subledger.scan.bucketRows", "500")
     pay = fx.payments(spark, sf_dir)
     hot = pay.withColumn("shopid", F.when(F.abs(F.hash("id")) % 3 == 0, F.lit(0)).otherwise(F.col("shopid")))
     total = hot.count()
