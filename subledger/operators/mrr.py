@@ -69,7 +69,8 @@ def mrr_shop_month(tx: DataFrame, as_of=None) -> DataFrame:
     """
     rev = revenue_by_month(tx)
     w = Window.partitionBy("shopid").orderBy(F.col("month").asc_nulls_last())
-    comp = mrr_components(rev.withColumn("_final", F.col("month").isNotNull() & F.lead("month").over(w).isNull()), keep=("_final",))
+    final = F.col("month").isNotNull() & F.lead("month").over(w).isNull()
+    comp = mrr_components(rev.withColumn("_final", final), keep=("_final",))
     this_month = F.trunc(as_of_date(as_of), "month")
     nxt = F.add_months("month", 1)
     actual = F.struct(*[F.col(c) for c in _COLUMNS])

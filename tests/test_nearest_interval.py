@@ -76,7 +76,8 @@ def _case(seed):
             n += 1
             subs.append((shop, a, e, f"{n:06d}", rnd.choice(["A", "B", "C", None]),
                          rnd.choice([10, 20, None]), rnd.choice(["P", None])))
-            bounds += [x for x in [a] if x] + ([e, dt.datetime.combine(e.date(), dt.time()) + dt.timedelta(days=1)] if e else [])
+            bounds += [a] * (a is not None)
+            bounds += [e, dt.datetime.combine(e.date(), dt.time()) + dt.timedelta(days=1)] if e else []
         for _ in range(rnd.randint(1, 25)):
             if bounds and rnd.random() < 0.4:
                 t = rnd.choice(bounds) + dt.timedelta(minutes=rnd.choice([-1, 0, 0, 1]))
