@@ -29,7 +29,6 @@ stay NULL; empty tables give no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass

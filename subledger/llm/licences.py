@@ -162,7 +162,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     names = F.create_map(*[F.lit(x) for pair in known_sentences().items() for x in pair])
 
     def found(column: str) -> Column:
-        numbered = F.transform(F.col(column), lambda s, i: F.struct(i.alias("pos"), F.element_at(names, F.trim(s)).alias("id")))
+        numbered = F.transform(F.col(column), lambda s, i: F.struct(
+            i.alias("pos"), F.element_at(names, F.trim(s)).alias("id")))
         return F.filter(numbered, lambda x: x["id"].isNotNull())
 
     empty = F.array().cast("array<struct<first: int, last: int, licence: string>>")
