@@ -14,9 +14,11 @@ from .licences import scan_digest
 from .mixing import mix_digest
 from .page_text import extract
 from .private import personal_data
+from .repetition import oracle as repetition_oracle
 from .repetition import repetition
 from .ring_shards import shard_digest
 from .simhash import simhash_digest
+from .warc import ORACLE as WARC_ORACLE
 from .warc import archive_digest
 
 
@@ -57,11 +59,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition(table(spark, sf_dir, "documents")).drop("repeats")
+    return repetition(table(spark, sf_dir, "documents")).drop("repeats", "longest_repeat")
 
 
 #: DuckDB SQL of the queries that SQL can express
-ORACLES: dict[str, str] = {"op3_licences": licence_oracle()}
+ORACLES: dict[str, str] = {"op3_licences": licence_oracle(), "op8_warc": WARC_ORACLE,
+                           "op10_repetition": repetition_oracle()}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

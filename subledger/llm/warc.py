@@ -309,3 +309,15 @@ def archive_digest(pages: DataFrame) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
     archive.delete()
     return rows
+
+
+#: DuckDB SQL of ``archive_digest``
+ORACLE = f"""
+WITH d AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+           FROM pages),
+largest AS (SELECT payload_digest, max(page_id) AS keeper, count(*) AS n FROM d
+            WHERE payload_bytes >= {REVISIT_BYTES} GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN n > 1 AND page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n > 1 AND page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM d LEFT JOIN largest USING (payload_digest)"""
