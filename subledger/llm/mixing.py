@@ -61,7 +61,8 @@ def water_fill(sizes: list[int], weights: list[float], share: float, cap: float)
         for i in full:
             target[i] = cap * sizes[i]
         pool = max(0.0, pool - sum(target[i] for i in full))
-        active = [i for i in active if i not in set(full)]
+        done = set(full)
+        active = [i for i in active if i not in done]
     return target
 
 
