@@ -1,6 +1,7 @@
 """Operator 5: language identification by multinomial logistic regression.
 
-Features are TF-IDF weights of character n-grams (``NGRAMS``) of the lower-cased text,
+Features are TF-IDF weights of character n-grams (``NGRAMS``) of the lower-cased text
+(without words that hold a digit or @, which are addresses and numbers in any language),
 hashed to ``BUCKETS`` buckets: (1 + ln tf) * idf, scaled to length one. Document
 frequencies come from all learnable documents (label known, crc32 of the id not 2 mod
 4), counted in the tasks and summed by a shuffle. The classifier, one weight vector per
@@ -42,11 +43,22 @@ ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
 PIECE = 1 << 20        # code points handled at once
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
+MARK = re.compile("[0-9@]")
+MARKED_WORD = re.compile(r"(?<!\S)(?=\S*[0-9@])\S+")
 FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
+def plain_words(text: str) -> str:
+    """The text without words that hold a digit or @ (numbers, addresses, keys), unless no letter remains."""
+    if not MARK.search(text):
+        return text
+    kept = MARKED_WORD.sub(" ", text)
+    return kept if known(kept) else text
+
+
 def grams(text: str) -> np.ndarray:
-    """How often each bucket's n-grams occur in the text."""
+    """How often each bucket's n-grams occur in the text's plain words."""
+    text = plain_words(text)
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     counts = np.zeros(BUCKETS, np.int64)
     shift = np.uint32(32 - BUCKETS.bit_length() + 1)
@@ -230,7 +242,7 @@ def identify(docs: DataFrame, model: Model | None = None, key: str = "doc_id", t
             .mapInArrow(_predict_task(fitted), "doc_id long, held_out boolean, lang_pred string, score double"))
 
 
-def accepted(docs: DataFrame, languages: tuple[str, ...] | None = None, least: float = 0.3,
+def accepted(docs: DataFrame, languages: tuple[str, ...] | None = None, least: float = 0.0,
              model: Model | None = None) -> DataFrame:
     """Documents whose language is recognised (one of ``languages`` if given) with a score of ``least``."""
     fitted = docs.sparkSession.sparkContext.broadcast(model or fit(docs))

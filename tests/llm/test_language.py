@@ -57,6 +57,12 @@ def test_grams_by_hand(monkeypatch):
     assert (language.grams(text) == want).all()
 
 
+def test_numbers_and_addresses_are_no_words():
+    assert language.plain_words("Ab c3 x@y.z dé") == "Ab     dé"
+    assert language.plain_words("a1 @b") == "a1 @b" and language.plain_words("a b") == "a b"
+    language.plain_words("a" * 300_000 + " 1 " + "b" * 300_000 + "1")
+
+
 def test_ftrl_step_by_step():
     r = np.random.default_rng(1)
     rows = [(np.sort(r.choice(30, 5, False)), r.random(5), int(r.integers(3))) for _ in range(25)]
