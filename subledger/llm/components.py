@@ -19,7 +19,8 @@ SALTS = 16   # a node's edges meet its minimum in so many partitions
 def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
     """Edges (a, b) with the ``low`` of their a; edges of one node are spread by their other end."""
     salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")).join(salted, ["a", "salt"])
+    return edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int")).join(
+        salted.hint("merge"), ["a", "salt"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
