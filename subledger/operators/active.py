@@ -47,7 +47,9 @@ def day_ranges(intervals: DataFrame, as_of=None, max_days: int | None = None) ->
 
 def interval_days(intervals: DataFrame, as_of=None, max_days: int | None = None) -> DataFrame:
     """Each interval expanded to one row per active day."""
-    r = day_ranges(intervals, as_of, max_days)
+    # every interval becomes many rows: spread them first, whatever the files' splits
+    parts = int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = day_ranges(intervals, as_of, max_days).repartition(parts)
     return r.select(
         "shopid",
         F.to_date("activated_date").alias("activated_date"),
