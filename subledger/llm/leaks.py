@@ -5,7 +5,10 @@ The benchmark is cut into passages of at most ``PASSAGE`` words. Their TF-IDF ma
 ``OTHER`` buckets, which matters for the length of a window only) gets a distributed
 randomised SVD: a Gaussian test matrix, power iterations whose products X'(XQ) are
 summed over the tasks, and the Gram matrix of XQ for the last rotation. With ``RANK`` or
-fewer passages the latent space holds them exactly.
+fewer passages the latent space holds them exactly. A passage of which it holds less
+than ``WEAK`` (its words are in few other passages, so its direction is none of the
+largest) is compared by its own TF-IDF vector instead, in the texts that have one of its
+rarer words; without any of these too few words are left to verify it.
 
 Documents are read as overlapping windows of 16, 32 and 64 words, one every ``STEP``
 words; a passage is compared with the smallest window that holds it. A window's cosine
@@ -48,6 +51,7 @@ RANK = 256
 OVERSAMPLE = 16
 POWER = 2
 COSINE = 0.4
+WEAK = 0.3             # length in the latent space below which a passage is compared by its own vector
 COPIED = 0.75
 PARAPHRASED = 0.5
 ANSWERED = 0.8
@@ -111,6 +115,7 @@ class Index:
     latent: np.ndarray         # passages x rank, divided by its squared length
     capture: float             # least length of a passage in the latent space
     most: np.ndarray           # the most that a term adds for any passage
+    weak: dict[int, tuple[np.ndarray, np.ndarray]]  # (terms, weights) of the passages outside of the latent space
 
     @cached_property
     def by_scale(self) -> list[tuple[int, np.ndarray]]:
@@ -118,10 +123,38 @@ class Index:
         out, below = [], 0  # (words of a window, its passages)
         for s in SCALES:
             mine = np.flatnonzero((n > below) & ((n <= s) | (s == SCALES[-1])))
-            out.append((s, mine))
+            out.append((s, mine[[int(p) not in self.weak for p in mine]] if self.weak else mine))
             below = s
         return [x for x in out if len(x[1])]
 
+    @cached_property
+    def rare(self) -> tuple[np.ndarray, np.ndarray]:
+        """(first entry of each term, passages): weak passages by their rarer words; the others can't verify them."""
+        pairs = []
+        for p in self.weak:
+            ids = term_ids(self.words[p], self.terms)
+            ids = ids[np.argsort(-self.idf[ids], kind="stable")]
+            # a term's places are together or not, so it is listed with its first
+            pairs += [(t, p) for t in set(ids[:int((1 - PARAPHRASED) * len(ids)) + 1].tolist())]
+        at = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        return np.searchsorted(at[:, 0], np.arange(len(self.terms) + 1)), at[:, 1]
+
+    def _own_vectors(self, ids: np.ndarray, start: int, mass: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """Windows above the threshold of the weak passages, by their own vectors."""
+        first, passages = self.rare
+        here = np.unique(ids[ids < len(self.terms)])
+        found = {int(p) for t in here[first[here + 1] > first[here]] for p in passages[first[t]:first[t + 1]]}
+        weights, blocks = np.zeros(len(self.idf)), len(mass) - 1
+        for p in sorted(found):
+            at, x = self.weak[p]
+            weights[at] = x * self.idf[at]
+            sums = np.concatenate([[0], np.cumsum(np.add.reduceat(weights[ids], np.arange(0, len(ids), STEP)))])
+            weights[at] = 0
+            k = min(next((s for s in SCALES if len(self.words[p]) <= s), SCALES[-1]) // STEP, blocks)
+            cosine = (sums[k:] - sums[:-k]) / np.sqrt(np.maximum(mass[k:] - mass[:-k], 1e-12))
+            for b in np.flatnonzero(cosine >= COSINE):
+                yield p, start + int(b) * STEP, start + min(len(ids), int(b + k) * STEP), float(cosine[b])
+
     @cached_property
     def masks(self):
         return [(position_masks(w), position_masks(w[len(w) - a:])) for w, a in zip(self.words, self.answers)]
@@ -147,6 +180,8 @@ class Index:
         blocks = -(-len(ids) // STEP)
         bounds = np.zeros((blocks + 1, 3))
         np.cumsum(np.add.reduceat(self.per_word[ids], np.arange(0, len(ids), STEP)), axis=0, out=bounds[1:])
+        if self.weak:
+            yield from self._own_vectors(ids, start, bounds[:, 0])
         todo = []
         for scale, passages in self.by_scale:
             k = min(scale // STEP, blocks)
@@ -310,14 +345,16 @@ def build_index(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     basis = randomised_svd(matrix, len(terms), len(vectors), min(rank, len(vectors)))
     latent = np.array([x @ basis[at] for at, x in vectors])
     length = np.sqrt((latent ** 2).sum(1))
-    latent = latent / np.maximum(length, 0.05)[:, None] ** 2
+    weak = {int(i): vectors[i] for i in np.flatnonzero(length < WEAK)}
+    latent = np.where(length < WEAK, 0, 1 / np.maximum(length, WEAK) ** 2)[:, None] * latent
+    length = length[length >= WEAK]
     basis = basis * idf[:len(terms), None]
     if len(terms) * len(words) <= BOUND_CELLS:
         most = np.concatenate([(basis[i:i + CHUNK] @ latent.T).max(1) for i in range(0, len(terms), CHUNK)])
     else:
         most = np.linalg.norm(basis, axis=1) * np.linalg.norm(latent, axis=1).max()
     return Index(items, words, answers, terms, idf.astype(np.float32), basis.astype(np.float32),
-                 latent.astype(np.float32), float(min(1.0, max(0.05, length.min()))), np.maximum(most, 0))
+                 latent.astype(np.float32), float(min(1.0, length.min(initial=1.0))), np.maximum(most, 0), weak)
 
 
 HITS = ("doc_id long, item_id long, first_word int, end_word int, cosine double, common_words int, "

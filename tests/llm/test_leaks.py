@@ -119,3 +119,22 @@ def test_odd_rows(spark):
     # an item longer than a passage
     book = spark.createDataFrame([(8, " ".join(f"x{i}" for i in range(200)), 0)], schema)
     assert {r.doc_id for r in leaks.find_leaks(docs, book).collect()} == {5, 6}
+
+
+def test_isolated_passages_of_a_large_benchmark(spark):
+    """300 topics of four passages each fill the latent space; ten passages share no word with any."""
+    r = random.Random(8)
+    bench = []
+    for k in range(300):
+        topic = [f"t{k}x{j}" for j in range(40)]
+        bench += [(4 * k + v, " ".join(topic[v:] + [f"u{k}x{v}"] * v)) for v in range(4)]
+    bench += [(2000 + i, " ".join(f"lone{i}x{j}" for j in range(40))) for i in range(10)]
+    docs = [{"doc_id": i, "text": f"{sentence(r, 90)} {text} {sentence(r, 90)}"} for i, text in bench[::100] + bench[1200:]]
+    docs.append({"doc_id": 1, "text": sentence(r, 200)})
+    frame, table = make_docs(spark, docs), spark.createDataFrame(bench, "item_id long, text string")
+    index = leaks.build_index(frame, table)
+    assert len(index.items) > 1000
+    got = {(d["doc_id"], h[0]) for d in docs for h in index.hits(d["text"])}
+    assert {(d["doc_id"], d["doc_id"]) for d in docs[:-1]} <= got
+    assert {(d, i) for d, i in got if d >= 2000 or i >= 2000} == {(i, i) for i in range(2000, 2010)}
+    assert not any(d == 1 for d, _ in got)
