@@ -11,10 +11,12 @@ largest) is compared by its own TF-IDF vector instead, in the texts that have on
 rarer words; without any of these too few words are left to verify it.
 
 Documents are read as overlapping windows of 16, 32 and 64 words, one every ``STEP``
-words; a passage is compared with the smallest window that holds it. A window's cosine
-with a passage can't exceed the share of its TF-IDF mass on benchmark terms, nor the sum
-of the most that each of its terms adds for any passage; windows below these bounds are
-passed over without projecting them, which loses none.
+words; a passage is compared with the smallest window that holds it. The cosine is taken
+over the length of the window or, if that is less, of the passage: what else is in a
+window that is larger than the passage, or in more telling words, can't hide a copy.
+A window's cosine can't exceed the share of its TF-IDF mass on benchmark terms, nor the
+sum of the most that each of its terms adds for any passage; windows below these bounds
+are passed over without projecting them, which loses none.
 Candidates (cosine of ``COSINE``, relative to how well the latent space holds the
 passage) are verified on the words themselves: longest common subsequence of passage
 and window with its surroundings, in relation to the passage. A passage is found if
@@ -114,7 +116,8 @@ class Index:
     basis: np.ndarray          # terms x rank, scaled by idf
     latent: np.ndarray         # passages x rank, divided by its squared length
     capture: float             # least length of a passage in the latent space
-    most: np.ndarray           # the most that a term adds for any passage
+    most: np.ndarray           # the most that a term adds for any passage, and that over the passage's length
+    size: np.ndarray           # lengths of the passages
     weak: dict[int, tuple[np.ndarray, np.ndarray]]  # (terms, weights) of the passages outside of the latent space
 
     @cached_property
@@ -151,7 +154,7 @@ class Index:
             sums = np.concatenate([[0], np.cumsum(np.add.reduceat(weights[ids], np.arange(0, len(ids), STEP)))])
             weights[at] = 0
             k = min(next((s for s in SCALES if len(self.words[p]) <= s), SCALES[-1]) // STEP, blocks)
-            cosine = (sums[k:] - sums[:-k]) / np.sqrt(np.maximum(mass[k:] - mass[:-k], 1e-12))
+            cosine = (sums[k:] - sums[:-k]) / np.minimum(np.sqrt(np.maximum(mass[k:] - mass[:-k], 1e-12)), self.size[p])
             for b in np.flatnonzero(cosine >= COSINE):
                 yield p, start + int(b) * STEP, start + min(len(ids), int(b + k) * STEP), float(cosine[b])
 
@@ -168,26 +171,27 @@ class Index:
 
     @cached_property
     def per_word(self) -> np.ndarray:
-        """For each word number: its TF-IDF mass, that on benchmark terms, the most it adds."""
-        out = np.zeros((len(self.idf), 3))
+        """For each word number: its TF-IDF mass, that on benchmark terms, the most it adds, over a passage's length."""
+        out = np.zeros((len(self.idf), 4))
         out[:, 0] = self.idf ** 2
         out[:len(self.terms), 1] = out[:len(self.terms), 0]
-        out[:len(self.terms), 2] = self.most
+        out[:len(self.terms), 2:] = self.most
         return out
 
     def _segment(self, words: list[bytes], start: int) -> Iterator[tuple[int, int, int, float]]:
         ids, n = term_ids(words, self.terms), len(self.terms)
         blocks = -(-len(ids) // STEP)
-        bounds = np.zeros((blocks + 1, 3))
+        bounds = np.zeros((blocks + 1, 4))
         np.cumsum(np.add.reduceat(self.per_word[ids], np.arange(0, len(ids), STEP)), axis=0, out=bounds[1:])
         if self.weak:
             yield from self._own_vectors(ids, start, bounds[:, 0])
         todo = []
         for scale, passages in self.by_scale:
             k = min(scale // STEP, blocks)
-            mass, own, most = (bounds[k:] - bounds[:-k]).T
+            mass, own, most, over = (bounds[k:] - bounds[:-k]).T
             limit = COSINE * np.sqrt(mass) - 1e-4
-            at = np.flatnonzero((most >= limit) & (np.sqrt(np.maximum(own, 0)) >= self.capture * limit))
+            at = np.flatnonzero((most >= limit) & (np.sqrt(np.maximum(own, 0)) >= self.capture * limit)
+                                | (over >= COSINE - 1e-4))
             if len(at):
                 todo.append((k, passages, at, np.sqrt(np.maximum(mass[at], 1e-12))))
         if not todo:
@@ -206,7 +210,8 @@ class Index:
             latent = self.latent[passages].T
             for i in range(0, len(at), SEGMENT // STEP):
                 some = at[i:i + SEGMENT // STEP]
-                cosine = (sums[place[some[:, None] + np.arange(k)]].sum(1) @ latent) / length[i:i + len(some), None]
+                cosine = (sums[place[some[:, None] + np.arange(k)]].sum(1) @ latent) / np.minimum(
+                    length[i:i + len(some), None], self.size[passages])
                 for b, j in zip(*np.nonzero(cosine >= COSINE)):
                     first = int(some[b]) * STEP
                     yield int(passages[j]), start + first, start + min(len(ids), first + k * STEP), float(cosine[b, j])
@@ -335,11 +340,13 @@ def build_index(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     df[list(counted)] = list(counted.values())
     idf = np.log((total + 2) / (np.minimum(df, total) + 1))
 
-    vectors = []
+    vectors, size = [], []
     for p in words:
         at, tf = np.unique([terms[w] for w in p], return_counts=True)
         x = tf * idf[at]
-        vectors.append((at.astype(np.int32), x / max(np.sqrt((x * x).sum()), 1e-12)))
+        size.append(max(np.sqrt((x * x).sum()), 1e-12))
+        vectors.append((at.astype(np.int32), x / size[-1]))
+    size = np.array(size)
     matrix = saved(spark.createDataFrame([(at.tobytes(), x.tobytes()) for at, x in vectors], "at binary, x binary")
                    .repartition(max(1, min(64, len(vectors) // 50))))
     basis = randomised_svd(matrix, len(terms), len(vectors), min(rank, len(vectors)))
@@ -350,11 +357,13 @@ def build_index(docs: DataFrame, benchmark: DataFrame, text: str = "text", item:
     length = length[length >= WEAK]
     basis = basis * idf[:len(terms), None]
     if len(terms) * len(words) <= BOUND_CELLS:
-        most = np.concatenate([(basis[i:i + CHUNK] @ latent.T).max(1) for i in range(0, len(terms), CHUNK)])
+        adds = (basis[i:i + CHUNK] @ latent.T for i in range(0, len(terms), CHUNK))
+        most = np.concatenate([np.stack([x.max(1), (x / size).max(1)], 1) for x in adds])
     else:
-        most = np.linalg.norm(basis, axis=1) * np.linalg.norm(latent, axis=1).max()
+        far = np.linalg.norm(latent, axis=1)
+        most = np.linalg.norm(basis, axis=1)[:, None] * [far.max(), (far / size).max()]
     return Index(items, words, answers, terms, idf.astype(np.float32), basis.astype(np.float32),
-                 latent.astype(np.float32), float(min(1.0, length.min(initial=1.0))), np.maximum(most, 0), weak)
+                 latent.astype(np.float32), float(min(1.0, length.min(initial=1.0))), np.maximum(most, 0), size, weak)
 
 
 HITS = ("doc_id long, item_id long, first_word int, end_word int, cosine double, common_words int, "

@@ -138,3 +138,15 @@ def test_isolated_passages_of_a_large_benchmark(spark):
     assert {(d["doc_id"], d["doc_id"]) for d in docs[:-1]} <= got
     assert {(d, i) for d, i in got if d >= 2000 or i >= 2000} == {(i, i) for i in range(2000, 2010)}
     assert not any(d == 1 for d, _ in got)
+
+
+def test_common_words_in_rare_text(spark):
+    """Passages just over a window size, in words that most documents have, inside words of one document."""
+    r = random.Random(9)
+    bench = [(n, " ".join(f"f{r.randrange(25)}" for _ in range(n))) for n in (17, 20, 33, 40, 64)]
+    docs = [{"doc_id": n, "text": " ".join([f"n{n}x{k}" for k in range(83)] + [text] + [f"m{n}x{k}" for k in range(83)])}
+            for n, text in bench]
+    docs += [{"doc_id": 1000 + d, "text": " ".join(f"f{k}" for k in r.sample(range(25), 9)) + f" z{d}"} for d in range(400)]
+    index = leaks.build_index(make_docs(spark, docs), spark.createDataFrame(bench, "item_id long, text string"))
+    got = [(d["doc_id"], h[0]) for d in docs for h in index.hits(d["text"])]
+    assert {(n, n) for n, _ in bench} <= set(got) and all(d < 1000 for d, _ in got)
