@@ -1,7 +1,8 @@
 """Operator 5: language identification by multinomial logistic regression.
 
 Features are TF-IDF weights of character n-grams (``NGRAMS``) of the lower-cased text
-(without words that hold a digit or @, which are addresses and numbers in any language),
+(without numbers, Latin words that hold a digit, e-mail addresses, and web addresses with
+a digit or @, which say nothing about the language; all letters beside them count),
 hashed to ``BUCKETS`` buckets: (1 + ln tf) * idf, scaled to length one. Document
 frequencies come from all learnable documents (label known, crc32 of the id not 2 mod
 4), counted in the tasks and summed by a shuffle. The classifier, one weight vector per
@@ -44,15 +45,19 @@ PIECE = 1 << 20        # code points handled at once
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 MARK = re.compile("[0-9@]")
-MARKED_WORD = re.compile(r"(?<!\S)(?=\S*[0-9@])\S+")
+LATIN = "0-9A-Za-z_\u00c0-\u024f\u1e00-\u1eff"
+# a web address, an e-mail address or @name, a word of Latin letters and digits; each starts once in a run
+MARKED = re.compile(rf"""(?P<web>(?:https?://|www\.)[!-~]++)
+    |(?<![{LATIN}.+%-])[{LATIN}.+%-]*+@[{LATIN}.@-]*+
+    |(?<![{LATIN}])(?=[{LATIN}]*[0-9])[{LATIN}]++""", re.X)
 FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
 def plain_words(text: str) -> str:
-    """The text without words that hold a digit or @ (numbers, addresses, keys), unless no letter remains."""
+    """The text without its numbers, Latin words with a digit and addresses, unless no letter remains."""
     if not MARK.search(text):
         return text
-    kept = MARKED_WORD.sub(" ", text)
+    kept = MARKED.sub(lambda m: m[0] if m["web"] and not MARK.search(m[0]) else " ", text)
     return kept if known(kept) else text
 
 

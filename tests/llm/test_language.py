@@ -63,6 +63,18 @@ def test_numbers_and_addresses_are_no_words():
     language.plain_words("a" * 300_000 + " 1 " + "b" * 300_000 + "1")
 
 
+def test_letters_beside_numbers_and_addresses_stay():
+    plain = lambda text: language.plain_words(text).split()
+    assert plain("In 東京は2020年に開催した") == ["In", "東京は", "年に開催した"]
+    assert plain("ใน2020ปี เมลfoo@bar.comครับ") == ["ใน", "ปี", "เมล", "ครับ"]
+    assert plain("Covid-19-Pandemie в 2020-го (Anfrage:foo.b@bar.com)/danke c3") == [
+        "Covid-", "-Pandemie", "в", "-го", "(Anfrage:", ")/danke"]
+    assert plain("siehe https://a1.example.com/x?y=2 oder www.example.com @name 1") == [
+        "siehe", "oder", "www.example.com"]
+    for piece in ("a", "a1", "@", "a.", "1-", "www.", "https://", "東1"):
+        language.plain_words(piece * 200_000 + "1")
+
+
 def test_ftrl_step_by_step():
     r = np.random.default_rng(1)
     rows = [(np.sort(r.choice(30, 5, False)), r.random(5), int(r.integers(3))) for _ in range(25)]
