@@ -9,7 +9,11 @@ frequencies come from all learnable documents (label known, crc32 of the id not
 language, is trained on a bounded sample by FTRL-proximal: per-coordinate learning
 rates, an L1 penalty that keeps weights at exactly zero and an L2 penalty (elastic
 net). A part of the sample (``CALIBRATE``) is not trained on; the temperature that
-divides the logits is the one with the least log-loss on it.
+divides the logits is the one with the least log-loss on it. It also gives the bound below
+which ``accepted`` drops a document as of no learnt language: how far the probability
+lies above chance (1 / languages) for all but ``UNSURE`` of the held part, times ``MARGIN``,
+and less for texts of few n-grams (half at ``SHORT`` of them), whose probability is never
+high. One language alone, or too few documents to hold some back, sets no bound.
 
 Bounds: the sample has ``PER_LANGUAGE`` documents a language on average (those with the
 smallest hashes of the id; about ``MAX_SAMPLE`` in all, never twice as many); only their hashed features
@@ -41,6 +45,7 @@ MAX_LANGUAGES = 256
 CALIBRATE = 5          # every fifth document of the sample
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
+UNSURE, MARGIN, SHORT = 0.01, 0.5, 60
 PIECE = 1 << 20        # code points handled at once
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -99,6 +104,12 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+def above_chance(p: np.ndarray) -> np.ndarray:
+    """How far the best class lies above chance: 0 if all are alike, 1 if it is certain."""
+    classes = p.shape[-1]
+    return (p.max(-1) - 1 / classes) / (1 - 1 / classes) if classes > 1 else p.max(-1)
+
+
 def train_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = EPOCHS) -> np.ndarray:
     """Weights (BUCKETS x classes) by FTRL-proximal with elastic net."""
     z, n = np.zeros((BUCKETS, classes)), np.zeros((BUCKETS, classes))
@@ -146,14 +157,20 @@ class Model:
     idf: np.ndarray
     weights: np.ndarray
     temperature: float
+    bound: float = 0.0         # least distance of the probability from chance, for long texts
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """(language, score, whether the score is that of a learnt language)."""
         if not self.languages or not known(text):
-            return UNKNOWN, 0.0
-        at, x = weigh(grams(text), self.idf)
+            return UNKNOWN, 0.0, False
+        counts = grams(text)
+        at, x = weigh(counts, self.idf)
         p = softmax(x @ self.weights[at] / self.temperature)
-        best = int(p.argmax())
-        return self.languages[best], float(p[best])
+        best, n = int(p.argmax()), counts.sum()
+        return self.languages[best], float(p[best]), above_chance(p) >= self.bound * n / (n + SHORT)
 
 
 def _remainder(key: Column) -> Column:
@@ -225,7 +242,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "
     weights = train_ftrl([r for i, r in enumerate(rows) if not held or i % CALIBRATE], len(languages))
     logits = np.array([x @ weights[at] for at, x, _ in held]).reshape(len(held), len(languages))
     heat = fit_temperature(logits, np.array([y for _, _, y in held], int))
-    return Model(languages, idf.astype(np.float32), weights.astype(np.float32), heat)
+    sure = above_chance(softmax(logits / heat)) if held and len(languages) > 1 else np.zeros(1)
+    return Model(languages, idf.astype(np.float32), weights.astype(np.float32), heat,
+                 MARGIN * float(np.quantile(sure, UNSURE)))
 
 
 def _predict_task(model):
@@ -249,14 +268,14 @@ def identify(docs: DataFrame, model: Model | None = None, key: str = "doc_id", t
 
 def accepted(docs: DataFrame, languages: tuple[str, ...] | None = None, least: float = 0.0,
              model: Model | None = None) -> DataFrame:
-    """Documents whose language is recognised (one of ``languages`` if given) with a score of ``least``."""
+    """Documents of a learnt language (one of ``languages`` if given) with a score of ``least`` and the model's bound."""
     fitted = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = fitted.value
         for batch in batches:
-            found = [m.predict(t.as_py()) for t in batch.column(at)]
-            yield batch.filter(pa.array([lang != UNKNOWN and p >= least and (not languages or lang in languages)
-                                         for lang, p in found], pa.bool_()))
+            found = [m.judge(t.as_py()) for t in batch.column(at)]
+            yield batch.filter(pa.array([bool(sure and p >= least and (not languages or lang in languages))
+                                         for lang, p, sure in found], pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

@@ -126,3 +126,15 @@ def test_odd_rows(spark, model):
     # one language only
     one = make_docs(spark, [{"doc_id": i, "text": f"some words {i}", "lang": "en"} for i in range(80)])
     assert {(r.lang_pred, r.score) for r in language.identify(one).collect()} == {("en", 1.0)}
+
+
+def test_documents_of_no_learnt_language_go(spark, model):
+    clean = spark.read.parquet(f"{SMALL}/documents.parquet")
+    r = np.random.default_rng(3)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz", "αβγδεζηθικλμνξοπρστυφχψω",
+                 "абвгдежзийклмнопрстуфхцчшщыьэюя", "".join(map(chr, range(0x4e00, 0x5600)))]
+    noise = [" ".join("".join(r.choice(list(a), r.integers(2, 9))) for _ in range(n))
+             for a in alphabets for n in (12, 60, 300)]
+    docs = clean.unionByName(make_docs(spark, [{"doc_id": -1 - i, "text": t} for i, t in enumerate(noise)]))
+    kept = {x.doc_id for x in language.accepted(docs, model=model).collect()}
+    assert kept == {x.doc_id for x in clean.collect() if language.known(x.text)}
