@@ -2,7 +2,9 @@
 
 A page is read into lines, one per block element, without the parts that are never
 text (scripts, styles, forms, navigation, headers, footers, sidebars, elements whose
-class, id or role names adverts, menus, notices, comments and the like). Pages of a
+class, id or role names adverts, menus, notices, comments and the like; a page, its
+``main`` and what holds that are never left out by such a name, an ``article`` and what
+holds one only by the whole name: teaser, not has-teaser). Pages of a
 host are ordered by URL path; a page is compared with its nearest neighbours before and
 after: their lines are aligned by longest common subsequence, and shared lines, the
 site's template, are deleted. A neighbour that shares ``MIRROR`` of the lines is a copy
@@ -53,22 +55,69 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 PARTS = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie
 cookies disqus footer menu nav navbar navigation newsletter notice notices pagination popup promo promotion related
 share sharing sidebar social sponsor sponsored subscribe teaser toolbar widget""".split())
+PAGES = ("html", "body", "main")     # never left out for their names
 PAGE_PARTS = frozenset("header masthead topbar".split())   # dropped outside of protected elements
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)
     ((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>""", re.S | re.X)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=$|[\s=/])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+HOLDER = re.compile(f"<(?:{'|'.join(PROTECTED)})\\b", re.I)
 CLOSING = re.compile(r"</([a-zA-Z][a-zA-Z0-9:-]*)")
 
 
-def unwanted(name: str, attributes: str, inside: bool) -> bool:
+def unwanted(name: str, attributes: str, inside: bool, holds=lambda: frozenset()) -> bool:
+    """Whether the element is left out; ``holds`` tells which of the protected elements it has inside."""
     if name in DROPPED or name == "header" and not inside:
         return True
-    if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
+    if name in ("html", "body") or not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return False
-    words = {w for m in NAMED.finditer(attributes) for w in re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())}
-    return bool(words & PARTS or not inside and words & PAGE_PARTS or HIDDEN.search(attributes))
+    if HIDDEN.search(attributes):
+        return True
+    if name in PAGES:
+        return False
+    names = [(m[1] or m[2] or m[3] or "").lower() for m in NAMED.finditer(attributes)]
+    parts = PARTS if inside else PARTS | PAGE_PARTS
+    if not parts & {w for x in names for w in re.split(r"[\s_-]+", x)}:
+        return False
+    inner = {name} & {*PROTECTED} or holds()
+    return "main" not in inner and (not inner or bool(parts & {w for x in names for w in x.split()}))
+
+
+def protected_inside(source: str) -> dict[int, set[str]]:
+    """For the end of every opening tag that has protected elements inside: which of them."""
+    out: dict[int, set[str]] = {}
+    stack: list[tuple[str, int]] = []
+    counts: dict[str, int] = {}
+    at = 0
+    while tag := TAG.search(source, at):
+        at = tag.end()
+        name = (tag[2] or tag[5] or "").lower()
+        attributes = tag[3] or tag[6] or ""
+        if not name or name in VOID or attributes.endswith("/"):
+            continue
+        if tag[1] or tag[4]:
+            # closes its own opening tag and the unclosed ones after that
+            while counts.get(name):
+                last, start = stack.pop()
+                counts[last] -= 1
+                held = out.get(start, set()) | ({last} & {*PROTECTED})
+                if stack and held:
+                    out.setdefault(stack[-1][1], set()).update(held)
+                if last == name:
+                    break
+        elif name in RAW:
+            close = re.compile("</" + name, re.I).search(source, at)
+            at = close.start() if close else len(source)
+        else:
+            stack.append((name, at))
+            counts[name] = counts.get(name, 0) + 1
+    while stack:
+        last, start = stack.pop()
+        held = out.get(start, set()) | ({last} & {*PROTECTED})
+        if stack and held:
+            out.setdefault(stack[-1][1], set()).update(held)
+    return out
 
 
 def page_lines(source: str | None) -> list[tuple[str, bool]]:
@@ -81,6 +130,13 @@ def page_lines(source: str | None) -> list[tuple[str, bool]]:
     skip, depth = None, 0    # element that is being left out
     until_block = False      # an unclosed one: left out up to the next block
     at = 0
+    held: dict[int, set[str]] | None = None
+
+    def holds():
+        nonlocal held
+        if held is None:
+            held = protected_inside(source) if HOLDER.search(source) else {}
+        return held.get(at, set())
 
     def end_block():
         text = " ".join(entities.unescape("".join(piece)).split())
@@ -108,8 +164,8 @@ def page_lines(source: str | None) -> list[tuple[str, bool]]:
         if name in BLOCKS:
             end_block()
             until_block = False
-        if name in PROTECTED:
-            inside = max(0, inside - 1) if closing else inside + 1
+        if closing and name in PROTECTED:
+            inside = max(0, inside - 1)
         if closing or name in VOID:
             if name == "br":
                 piece.append(" ")
@@ -117,11 +173,13 @@ def page_lines(source: str | None) -> list[tuple[str, bool]]:
         if name in RAW:
             close = re.compile("</" + name, re.I).search(source, at)
             at = close.start() if close else len(source)
-        elif unwanted(name, attributes, inside > 0) and not attributes.endswith("/"):
+        elif unwanted(name, attributes, inside > 0, holds) and not attributes.endswith("/"):
             if name != "head" and last_close.get(name, -1) >= at and name != "p":
                 skip, depth = name, 1
             elif name != "head":
                 until_block = True
+        elif name in PROTECTED:
+            inside += 1
     end_block()
     return lines
 

@@ -27,6 +27,21 @@ def test_reading():
     assert page_text.page_lines("<nav>menu<p>text<script>x") == [("text", False)]
 
 
+def test_names_of_the_page_and_its_main_part():
+    for source in ('<html class="cookie-notice"><body class="has-sidebar"><p>text<main id="main-with-sidebar"><p>more</main>',
+                   '<body><p>text<article class="post has-comments"><p>more</article>',
+                   '<div id="page" class="has-sidebar menu-open"><p>text</p><div><article><p>more</article></div></div>',
+                   '<div class="widget"><p>text</p><main><p>more</p></main></div>'):
+        assert page_text.page_lines(source) == [("text", False), ("more", True)], source
+    # a left-out article protects nothing after it
+    assert page_text.page_lines('<p>a</p><article class="teaser"><p>card</article><p>b<article><p>c</article><p>d') == [
+        ("a", False), ("b", False), ("c", True), ("d", False)]
+    assert page_text.page_lines('<div class="comments"><article><p>c</article></div><div class="top-ad">x</div>y') == [
+        ("y", False)]
+    for piece in ("<article><div class='top-ad'>", "<div class='top-ad'></article>", "<main></div><p class='x-ad'>"):
+        page_text.page_lines(piece * 30_000)
+
+
 def test_long_pages_are_linear():
     for piece in ("<p>", "<", "<a \"", "<!--", "<nav>", "<p>x", "</p>", "<script>", "&amp;", "<div class='ad'>"):
         page_text.page_lines(piece * 30_000)
