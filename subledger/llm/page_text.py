@@ -7,17 +7,19 @@ class, id or role names adverts, menus, notices, comments and the like; a page,
 holds one only by the whole name: teaser, not has-teaser). Pages of a
 host are ordered by URL path; a page is compared with its nearest neighbours before and
 after: their lines are aligned by longest common subsequence, and shared lines, the
-site's template, are deleted. A neighbour that shares ``MIRROR`` of the lines is a copy
-of the page, not a witness of the template, and deletes nothing. Lines of an element in
-``PROTECTED`` (article, main) are the page's own text whatever other pages hold, so the
-aligning never deletes them; where a page has such an element, its lines are the text.
+site's template, are deleted. A neighbour with the same lines is a copy and deletes
+nothing. One that shares ``MIRROR`` of the lines may be a copy with small changes or
+another page of few own lines, so up to ``REACH`` pages on each side are searched for a
+witness that differs more; only if there is none, the alike pages are the witnesses.
+Lines of an element in ``PROTECTED`` (article, main) are the page's own text whatever
+other pages hold; where a page has such an element, its lines are the text.
 
 On the cluster: the sort keys (reversed host, path, page_id) alone are range
-partitioned first, which gives the first and last key of every partition. Then each
+partitioned first, which gives the first and last keys of every partition. Then each
 page's lines go straight to the partition of their key, the rows at its ends also to
-the partition beside it as neighbours, so the text is shuffled once and a host with a
+the partitions beside it as neighbours, so the text is shuffled once and a host with a
 third of all pages is spread like any other. Partitions are streamed in key order with
-three pages in memory.
+``REACH`` pages on each side in memory.
 
 Defined results: NULL html has no text; NULL url belongs to the empty host; rows with
 equal keys are neighbours in any order; pages without lines give the empty text; an
@@ -30,17 +32,17 @@ import html as entities
 import re
 from bisect import bisect_right
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import saved, sort_key
 
 PROTECTED = ("article", "main")
 MIRROR = 0.8
+REACH = 4
 ROWS_PER_PARTITION = 50_000
 MAX_CELLS = 1 << 28      # bits of an alignment held at once
 
@@ -243,17 +245,30 @@ def aligned(a: list, b: list) -> list[tuple[int, int]]:
     return pairs + [(len(a) - k, len(b) - k) for k in range(cut, 0, -1)]
 
 
-def shared_with(lines: list[str], other: list[str]) -> set[int]:
-    """Which lines the neighbour proves to be template."""
-    pairs = aligned(lines, other)
-    if len(pairs) >= MIRROR * max(len(lines), len(other)):
-        return set()
-    return {i for i, _ in pairs}
+def alike(lines: list[str], other: list[str]) -> bool:
+    """Whether the pages are copies or have little besides a common template."""
+    return len(aligned(lines, other)) >= MIRROR * max(len(lines), len(other))
+
+
+def witness(page: list[tuple[str, bool]], others: Iterable[list[tuple[str, bool]]]) -> list[tuple[str, bool]] | None:
+    """The nearest page that differs, or if all are alike the nearest that is no copy."""
+    lines, second = [t for t, _ in page], None
+    for other in others:
+        theirs = [t for t, _ in other]
+        if theirs == lines:
+            continue
+        if not alike(lines, theirs):
+            return other
+        second = second or other
+    return second
 
 
 def main_text(page: list[tuple[str, bool]], neighbours: list[list[tuple[str, bool]]]) -> str:
     lines = [t for t, _ in page]
-    template = set().union(*(shared_with(lines, [t for t, _ in n]) for n in neighbours)) if lines else set()
+    others = [n for n in ([t for t, _ in n] for n in neighbours) if n != lines]
+    others = [n for n in others if not alike(lines, n)] or others
+    shared = [{i for i, _ in aligned(lines, n)} for n in others]
+    template = set().union(*shared)
     has_own = any(own for _, own in page)
     return "\n".join(t for i, (t, own) in enumerate(page) if own or not has_own and i not in template)
 
@@ -272,10 +287,41 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string())], ["key"])
 
 
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and last ``REACH`` keys of a partition."""
+    low: list[str] = []
+    high: list[str] = []
+    for batch in batches:
+        keys = set(batch.column(0).to_pylist())
+        low, high = sorted(keys.union(low))[:REACH], sorted(keys.union(high))[-REACH:]
+    if low:
+        yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([high])], ["low", "high"])
+
+
+def host_of(key: str) -> str:
+    return key.split(")", 1)[0]
+
+
+def beside(ends: list[tuple[list[str], list[str]]]) -> dict[str, list[int]]:
+    """For keys near the end of their partition: the other partitions that need their pages as neighbours."""
+    out: dict[str, list[int]] = {}
+    for step, side in ((1, 0), (-1, 1)):
+        for p in range(len(ends)):
+            host, left, q = host_of(ends[p][1 - side][-1 if step > 0 else 0]), REACH, p + step
+            while left and 0 <= q < len(ends):
+                keys = ends[q][side][:left] if step > 0 else ends[q][side][-left:]
+                mine = [k for k in keys if host_of(k) == host]
+                for k in mine:
+                    out.setdefault(k, []).append(p)
+                left = left - len(keys) if len(mine) == len(keys) else 0
+                q += step
+    return out
+
+
 def _read_pages(ends):
-    """Lines of every page for its partition, and for the one beside it if it is at the end."""
+    """Lines of every page for its partition, and for those beside it if it is near the end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        firsts = [first for first, _ in ends.value]
+        firsts, others = ends.value
         for batch in batches:
             out = []
             for i, url, source in zip(*(c.to_pylist() for c in batch.columns)):
@@ -283,10 +329,7 @@ def _read_pages(ends):
                 part = max(0, bisect_right(firsts, key) - 1)
                 lines = [{"text": t, "own": own} for t, own in page_lines(source)]
                 out.append((part, key, i, url, lines, True))
-                if part > 0 and key == firsts[part]:
-                    out.append((part - 1, key, i, url, lines, False))
-                if part + 1 < len(firsts) and key == ends.value[part][1]:
-                    out.append((part + 1, key, i, url, lines, False))
+                out += [(p, key, i, url, lines, False) for p in others.get(key, ())]
             types = (pa.int32(), pa.string(), pa.int64(), pa.string(), LINES, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types],
@@ -298,24 +341,33 @@ def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows():
         for batch in batches:
             for r in batch.to_pylist():
-                yield (r["part"], r["key"].split(")", 1)[0]), r, [(x["text"], x["own"]) for x in r["lines"]]
-        yield None, None, None
+                yield (r["part"], host_of(r["key"])), r, [(x["text"], x["own"]) for x in r["lines"]]
+        yield from [(None, None, None)] * REACH
 
-    window: deque = deque(maxlen=3)   # before, page, after
+    before: deque = deque(maxlen=REACH)
+    ahead: deque = deque()
     out = []
     for item in rows():
-        window.append(item)
-        if len(window) == 1:
+        ahead.append(item)
+        if len(ahead) <= REACH:
             continue
-        before, (place, r, lines), after = (window if len(window) == 3 else ((None, None, None), *window))
-        if r["own"]:
-            text = main_text(lines, [n[2] for n in (before, after) if n[0] == place])
+        place, r, lines = here = ahead.popleft()
+        if r and r["own"]:
+            sides = (witness(lines, (n[2] for n in side if n[0] == place)) for side in (reversed(before), ahead))
+            text = main_text(lines, [n for n in sides if n is not None])
             out.append((r["page_id"], r["url"], text, len(text)))
-        if len(out) >= 500 or item[0] is None and out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.string(), pa.int64()))],
-                ["page_id", "url", "text", "n_chars"])
+        before.append(here)
+        if len(out) >= 500:
+            yield _texts(out)
             out = []
+    if out:
+        yield _texts(out)
+
+
+def _texts(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.string(), pa.string(), pa.int64()))],
+        ["page_id", "url", "text", "n_chars"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -323,9 +375,9 @@ def extract(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     keys = saved(pages.select("page_id", "url").mapInArrow(_keys, "key string"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys.count() // ROWS_PER_PARTITION)
-    ends = sorted(tuple(r) for r in keys.repartitionByRange(parts, "key").groupBy(F.spark_partition_id().alias("part"))
-                  .agg(F.min("key"), F.max("key")).drop("part").collect())
-    shared = spark.sparkContext.broadcast(ends)
+    ends = sorted((r.low, r.high) for r in keys.repartitionByRange(parts, "key")
+                  .mapInArrow(_ends, "low array<string>, high array<string>").collect())
+    shared = spark.sparkContext.broadcast(([low[0] for low, _ in ends], beside(ends)))
     lines = "array<struct<text: string, own: boolean>>"
     read = pages.select("page_id", "url", "html").mapInArrow(
         _read_pages(shared), f"part int, key string, page_id long, url string, lines {lines}, own boolean")

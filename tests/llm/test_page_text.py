@@ -113,3 +113,25 @@ def test_query(spark):
     for r in out:
         source = next(x[2] for x in rows if x[0] == r.page_id)
         assert "<nav>" in source and "track(" not in r.text and "©" not in r.text and len(r.text) > 3
+
+
+def test_short_pages_lose_their_template(spark):
+    """All pages of hosts where the template dominates, and near copies next to a page that differs."""
+    rows = site(300)
+    template = [f"menu {k}" for k in range(8)]
+    rows += [(500 + i, f"https://short.example.org/{i:03d}", "".join(f"<p>{x}" for x in template + [f"own {i}"]))
+             for i in range(40)]
+    body = [f"own text {k}" for k in range(20)]
+    rows += [(600 + i, f"https://copies.example.org/a{i}", "".join(f"<p>{x}" for x in ["Top", *body, f"own seen {i}"]))
+             for i in range(3)]
+    rows += [(610, "https://copies.example.org/b", "<p>Top<p>own other<p>own page")]
+    for parts in (2, 40):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            out = {r.page_id: r.text.split("\n") for r in page_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        assert len(out) == len(rows)
+        for i, _, source in rows:
+            want = [t for t, _ in page_text.page_lines(source) if t.startswith("own")]
+            assert out[i] == want, i
