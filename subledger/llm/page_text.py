@@ -11,8 +11,8 @@ site's template, are deleted. A neighbour with the same lines is a copy and dele
 nothing. One that shares ``MIRROR`` of the lines may be a copy with small changes or
 another page of few own lines, so up to ``REACH`` pages on each side are searched for a
 witness that differs more; only if there is none, the alike pages are the witnesses.
-Lines of an element in ``PROTECTED`` (article, main) are the page's own text whatever
-other pages hold; where a page has such an element, its lines are the text.
+Lines in an element of ``PROTECTED`` (article, main) need more evidence: they are deleted
+if they are shorter than ``LONG`` and shared with the witnesses on both sides.
 
 On the cluster: the sort keys (reversed host, path, page_id) alone are range
 partitioned first, which gives the first and last keys of every partition. Then each
@@ -43,6 +43,7 @@ from .common import saved, sort_key
 PROTECTED = ("article", "main")
 MIRROR = 0.8
 REACH = 4
+LONG = 100               # characters
 ROWS_PER_PARTITION = 50_000
 MAX_CELLS = 1 << 28      # bits of an alignment held at once
 
@@ -269,8 +270,9 @@ def main_text(page: list[tuple[str, bool]], neighbours: list[list[tuple[str, boo
     others = [n for n in others if not alike(lines, n)] or others
     shared = [{i for i, _ in aligned(lines, n)} for n in others]
     template = set().union(*shared)
-    has_own = any(own for _, own in page)
-    return "\n".join(t for i, (t, own) in enumerate(page) if own or not has_own and i not in template)
+    proven = set.intersection(*shared) if len(shared) > 1 else set()
+    return "\n".join(t for i, (t, own) in enumerate(page)
+                     if i not in (proven if own else template) or own and len(t) >= LONG)
 
 
 # --- on the cluster ----------------------------------------------------------------------

@@ -115,6 +115,17 @@ def test_query(spark):
         assert "<nav>" in source and "track(" not in r.text and "©" not in r.text and len(r.text) > 3
 
 
+def test_protected_lines_are_judged_too():
+    long = "a long passage " * 10
+    pages = [page_text.page_lines(f"<p>Welcome<div><p>own {i} a<p>own {i} b</div><article><p>card {i}<p>Share this<p>{long}</article>")
+             for i in range(3)]
+    assert page_text.main_text(pages[1], [pages[0], pages[2]]).split("\n") == [
+        "own 1 a", "own 1 b", "card 1", long.strip()]
+    # one witness proves no protected line
+    assert page_text.main_text(pages[1], [pages[0]]).split("\n") == [
+        "own 1 a", "own 1 b", "card 1", "Share this", long.strip()]
+
+
 def test_short_pages_lose_their_template(spark):
     """All pages of hosts where the template dominates, and near copies next to a page that differs."""
     rows = site(300)
