@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .block_search import ORACLE as NEIGHBOUR_ORACLE
+from .block_search import neighbours
 from .common import table
 from .language import identify
 from .leaks import find_leaks
@@ -62,9 +64,14 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents")).drop("repeats", "longest_repeat")
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"))
+
+
 #: DuckDB SQL of the queries that SQL can express
 ORACLES: dict[str, str] = {"op3_licences": licence_oracle(), "op8_warc": WARC_ORACLE,
-                           "op10_repetition": repetition_oracle()}
+                           "op10_repetition": repetition_oracle(),
+                           "op13_neighbours": NEIGHBOUR_ORACLE}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
