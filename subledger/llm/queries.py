@@ -20,6 +20,8 @@ from .repetition import oracle as repetition_oracle
 from .repetition import repetition
 from .ring_shards import shard_digest
 from .simhash import simhash_digest
+from .spelling import ORACLE as SPELLING_ORACLE
+from .spelling import variants
 from .warc import ORACLE as WARC_ORACLE
 from .warc import archive_digest
 
@@ -64,6 +66,10 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents")).drop("repeats", "longest_repeat")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
 def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(table(spark, sf_dir, "embeddings"))
 
@@ -71,7 +77,7 @@ def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB SQL of the queries that SQL can express
 ORACLES: dict[str, str] = {"op3_licences": licence_oracle(), "op8_warc": WARC_ORACLE,
                            "op10_repetition": repetition_oracle(),
-                           "op13_neighbours": NEIGHBOUR_ORACLE}
+                           "op12_spelling": SPELLING_ORACLE, "op13_neighbours": NEIGHBOUR_ORACLE}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
