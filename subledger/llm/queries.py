@@ -15,6 +15,8 @@ from .licences import oracle as licence_oracle
 from .licences import scan_digest
 from .mixing import mix_digest
 from .page_text import extract
+from .prefix_trie import ORACLE as TRIE_ORACLE
+from .prefix_trie import prefix_trie
 from .private import personal_data
 from .repetition import oracle as repetition_oracle
 from .repetition import repetition
@@ -66,6 +68,10 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents")).drop("repeats", "longest_repeat")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents"))
 
@@ -77,7 +83,7 @@ def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB SQL of the queries that SQL can express
 ORACLES: dict[str, str] = {"op3_licences": licence_oracle(), "op8_warc": WARC_ORACLE,
                            "op10_repetition": repetition_oracle(),
-                           "op12_spelling": SPELLING_ORACLE, "op13_neighbours": NEIGHBOUR_ORACLE}
+                           "op11_prefix_trie": TRIE_ORACLE, "op12_spelling": SPELLING_ORACLE, "op13_neighbours": NEIGHBOUR_ORACLE}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
