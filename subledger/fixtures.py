@@ -22,6 +22,9 @@ ORDERS_AS_OF = dt.date(2001, 8, 15)
 # The day of which some rows have unreadable times.
 BAD_DAY = dt.date(2024, 2, 3)
 
+# Pages of a later fetch have higher numbers.
+CORRECTED_PAGES = 10_000_000
+
 # Fixture vocabularies (driver event_type -> billing event type).
 USAGE_EVENT = "USAGE_CHARGE_APPLIED"
 SUBSCRIPTION_TYPE_MAP = {
@@ -187,9 +190,15 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
-    """API pages (JSON text) of the purchases, ``page_size`` consecutive ids per page."""
+def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100, corrected: bool = False) -> DataFrame:
+    """API pages (JSON text) of the purchases, ``page_size`` consecutive ids per page.
+
+    ``corrected`` gives the pages of a later fetch: every fourth purchase, at half its amount.
+    """
     p = _tx_parts()
+    rows = _purchases(spark, sf_dir)
+    if corrected:
+        rows, p["gross"] = rows.where(F.col("event_id") % 4 == 0), p["gross"] / 2
     node = F.struct(
         _iso(p["createdAt"]).alias("createdAt"), p["id"].alias("id"), p["chargeId"].alias("chargeId"),
         F.struct(p["gross"].cast("string").alias("amount"), F.lit("USD").alias("currencyCode")).alias("grossAmount"),
@@ -198,8 +207,8 @@ def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) ->
                                                   p["shopDomain"].alias("myshopifyDomain"))).alias("shop"),
         F.when(p["fee"].isNotNull(), F.struct(p["fee"].cast("string").alias("amount"))).alias("shopifyFee"),
     )
-    edges = _purchases(spark, sf_dir).select(
-        F.floor(F.col("event_id") / page_size).alias("page_id"),
+    edges = rows.select(
+        (F.floor(F.col("event_id") / page_size) + (CORRECTED_PAGES if corrected else 0)).alias("page_id"),
         F.struct(p["cursor"].alias("cursor"), node.alias("node")).alias("edge"))
     pages = edges.groupBy("page_id").agg(F.collect_list("edge").alias("edges"))
     doc = F.struct(F.struct(F.struct(
@@ -208,6 +217,37 @@ def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100) ->
     return pages.select("page_id", F.to_json(doc).alias("json"))
 
 
+def keyless_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page per row of ``nation`` that holds one row without a cursor twice."""
+    name = F.col("n_name")
+    node = F.concat(F.lit('{"node":{"createdAt":"2024-01-20T08:00:00Z","id":"'), name,
+                    F.lit('","grossAmount":{"amount":"1.5"}}}'))
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias("page_id"),
+        F.concat(F.lit('{"data":{"transactions":{"edges":['), node, F.lit(","), node, F.lit("]}}}")).alias("json"))
+
+
+def corrected_transactions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Bronze transactions, and what lands later: every fourth at half its amount. Every fiftieth has no cursor."""
+    tx = bronze_transactions(spark, sf_dir)
+    number = F.col("cursor").cast("long")
+    keyless = F.when(number % 50 != 1, F.col("cursor"))
+    later = (tx.where((number % 4 == 0) | (number % 50 == 1))
+             .withColumn("grossAmount", F.when(number % 50 == 1, F.col("grossAmount")).otherwise(F.col("grossAmount") / 2)))
+    return tx.withColumn("cursor", keyless), later.withColumn("cursor", keyless)
+
+
+def growing_transactions(spark: SparkSession, sf_dir: str, split: dt.date) -> tuple[DataFrame, DataFrame]:
+    """Bronze transactions before and from a day on; the later ones have wider columns ``units``, ``rate`` and ``note``."""
+    tx = bronze_transactions(spark, sf_dir)
+    number, early = F.col("cursor").cast("long"), F.col("createdAt") < F.lit(split).cast("timestamp")
+    first = tx.where(early).select("*", (number % 1000).cast("int").alias("units"), (number % 7).cast("int").alias("rate"),
+                                   (number % 10).cast("int").alias("note"))
+    later = tx.where(~early).select("*", (number + 5_000_000_000).alias("units"), (number % 7 + 0.5).cast("double").alias("rate"),
+                                    F.concat(F.lit("no "), (number % 10).cast("string")).alias("note"))
+    return first, later
+
+
 def _ev_parts() -> dict[str, Column]:
     eid, uid = F.col("event_id"), F.col("user_id")
     k = _k()

@@ -1,69 +1,95 @@
 """Landing job: API page documents -> day-partitioned bronze table.
 
-pages -> edges -> flat rows -> bronze schema -> rows of the re-fetch window
--> merged by cursor with the stored rows of their days -> those days replaced
--> external table. The pages are parsed once: the flat rows are staged, and the
-checks, the quarantine and the write read the stage. Re-running over the same
-pages changes nothing; pages that hold only a part of a day add to that day.
+pages -> edges -> flat rows -> bronze schema -> merged by cursor with the stored
+rows of their days, the row that landed last stays -> those days replaced ->
+external table, of which only these days are registered. The pages are parsed
+once: the flat rows are staged, and the checks, the quarantine and the write read
+the stage. Re-running over the same pages changes nothing; pages that hold only a
+part of a day add to that day; rows of days long past join them.
 
-Pages without an edge path, and rows without an event time, go to a quarantine
-folder beside the table (reason, json), one file set per run.
+Pages without an edge path, rows without an event time and rows of days to come
+go to a quarantine folder beside the table (reason, json), one file set per run.
+What has been handed over is in the one or the other.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.lineage import staged
+from ..functions.scalar import as_of_date
 from ..sources import catalog, pages, raw, sinks
 from .flatten import flatten
 
 
-def landed_days(spark: SparkSession, base: str) -> list[dt.date]:
-    """The days that have a folder, from a listing of the table's folder (one name per day)."""
-    if not sinks.path_exists(spark, base):
-        return []
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
-    names = [re.fullmatch(r"dt=(\d{4}-\d{2}-\d{2})", f.getPath().getName()) for f in found]
-    return sorted(dt.date.fromisoformat(m[1]) for m in names if m)
+def placed_rows(flat: DataFrame, ts: str, latest: dt.date | None, today: dt.date, late: str = "merge") -> DataFrame:
+    """``flat`` with ``reason``: why a row is held back, NULL for the rows to land.
+
+    The window starts one day before the latest landed day and ends with ``today``. Rows before it
+    are late: they are merged into their day like any other (``late="merge"``) or held
+    (``late="hold"``). Rows of a later day than ``today`` are held, whatever ``late`` says.
+    """
+    if late not in ("merge", "hold"):
+        raise ValueError(f"late rows are merged or held, not {late!r}")
+    day = F.to_date(F.col(ts))
+    reason = (F.when(F.col("_page").isNotNull(), F.lit("no edges"))
+              .when(F.col(ts).isNull(), F.lit("no time"))
+              .when(day > F.lit(today), F.lit("future day")))
+    if late == "hold" and latest is not None:
+        reason = reason.when(day < F.lit(latest - dt.timedelta(days=1)), F.lit("late day"))
+    return flat.withColumn("reason", reason)
 
 
 def ingest_pages(spark: SparkSession, docs: DataFrame, api_type: str, base: str, as_of=None,
                  table: str | None = None, json_col: str = "json", on_missing: str = "raise",
-                 quarantine: str | None = None) -> DataFrame:
+                 quarantine: str | None = None, late: str = "merge", at: Column | None = None,
+                 order: Column | None = None) -> DataFrame:
     """Land the rows carried by ``docs``; returns the days written in this run.
 
-    The re-fetch window starts one day before the latest landed day other than
-    ``as_of`` (nothing landed: everything up to ``as_of``). ``quarantine``
-    defaults to ``<base>-quarantine``.
+    Every row is afterwards in the table or in the quarantine (default ``<base>-quarantine``), which
+    holds (reason, json). Of rows with one cursor the one that landed last stays; ``at`` and
+    ``order`` say when a page was fetched and its place in the fetch (``explode_pages``).
     """
     base = base.rstrip("/")
     ts, schema = S.BRONZE_TIME_COLUMN[api_type], S.bronze_schema(api_type)
-    rows = pages.explode_pages(docs, api_type, json_col)
-    flat = sinks.conform(flatten(rows, api_type, keep=("_page",)), api_type, keep=("_page",))
-    with staged(flat) as stage:
-        bad_page = F.col("_page").isNotNull()
-        if on_missing == "raise" and not stage.where(bad_page).isEmpty():
+    rows = pages.explode_pages(docs, api_type, json_col, at, order)
+    flat = sinks.conform(flatten(rows, api_type, keep=("_page", sinks.SEQ)), api_type, keep=("_page", sinks.SEQ))
+    today = as_of or dt.date.today()
+    days = [d for d in raw.landed_days(spark, base) if d != today]
+    with staged(placed_rows(flat, ts, days[-1] if days else None, today, late)) as stage:
+        held = stage.where(F.col("reason").isNotNull())
+        if on_missing == "raise" and not held.where(F.col("_page").isNotNull()).isEmpty():
             raise pages.PageShapeError(f"a page of feed type {api_type!r} has no edge list")
-        held = stage.where(bad_page | F.col(ts).isNull()).select(
-            F.when(bad_page, F.lit("no edges")).otherwise(F.lit("no time")).alias("reason"),
-            F.coalesce("_page", F.to_json(F.struct(*schema.names))).alias("json"))
+        held = held.select("reason", F.coalesce("_page", F.to_json(F.struct(*schema.names, sinks.SEQ), sinks.JSON_TIMES)).alias("json"))
         if not held.isEmpty():
             held.write.mode("append").parquet(quarantine or f"{base}-quarantine")
-        today = as_of or dt.date.today()
-        days = [d for d in landed_days(spark, base) if d != today]
-        good = stage.where(~bad_page & F.col(ts).isNotNull()).drop("_page")
-        window = raw.incremental_window(good, ts, days[-1] if days else None, as_of)
-        touched = sinks.merge_days(window.withColumn("dt", F.to_date(F.col(ts))), base, ts, schema=None)
+        good = stage.where(F.col("reason").isNull()).drop("_page", "reason").withColumn("dt", F.to_date(F.col(ts)))
+        columns = good.schema
+        touched = sinks.merge_days(good, base, ts, schema=None)
     if table:
-        catalog.register_external(spark, table, base)
+        catalog.register_days(spark, table, base, columns, touched)
     stored = sinks.stored_days(spark, base, touched)
     if stored is None:
-        return spark.createDataFrame([], schema).withColumn("dt", F.lit(None).cast("date"))
+        return spark.createDataFrame([], columns)
     return stored
+
+
+def release_held(spark: SparkSession, quarantine: str, api_type: str, base: str, as_of=None) -> list[dt.date]:
+    """Land the held rows whose day has come (reasons ``future day`` and ``late day``); the others stay held.
+
+    The rows keep the order in which they first landed. Running it again changes nothing: the
+    quarantine is a record and keeps its rows, and the merge knows them by cursor.
+    """
+    ts = S.BRONZE_TIME_COLUMN[api_type]
+    seq = T.StructType().add("at", T.TimestampType()).add("page", T.LongType()).add("edge", T.IntegerType())
+    schema = T.StructType([*S.bronze_schema(api_type).fields, T.StructField(sinks.SEQ, seq)])
+    held = spark.read.schema("reason string, json string").parquet(quarantine)
+    rows = (held.where(F.col("reason").isin("future day", "late day")).select(F.from_json("json", schema, sinks.JSON_TIMES).alias("r"))
+            .select("r.*").withColumn("dt", F.to_date(F.col(ts))).where(F.col("dt") <= as_of_date(as_of)))
+    with staged(rows) as due:
+        return sinks.merge_days(due, base.rstrip("/"), ts)

@@ -21,6 +21,8 @@ from ..streaming import jobs
 # "Today" of the landing fixtures: the last landed day, whose folder may be partial.
 LANDING_AS_OF = dt.date(2024, 2, 14)
 SPLIT_DAY = dt.date(2024, 2, 1)
+# "Today" of two landings in a row, both before the last day of the rows.
+FIRST_AS_OF, SECOND_AS_OF = dt.date(2024, 2, 5), dt.date(2024, 2, 10)
 
 
 def q_flatten_transactions(spark, sf_dir):
@@ -47,16 +49,40 @@ def q_ingest_pages(spark, sf_dir):
     docs = fx.transaction_pages(spark, sf_dir)
     landing.ingest_pages(spark, docs, "transactions", base, LANDING_AS_OF)           # first run: all days
     landing.ingest_pages(spark, docs, "transactions", base, LANDING_AS_OF, table=name)  # re-fetch window only
-    return spark.table(name)
+    return spark.table(name).drop(sinks.SEQ)
 
 
 def q_ingest_partial_day(spark, sf_dir):
-    """Pages landed in two runs that both hold parts of the same days."""
+    """Pages landed in two runs that both hold parts of the same days; late rows are held back."""
     base = work_path(spark, "landed-parts")
     docs = fx.transaction_pages(spark, sf_dir)
     for part in (0, 1):
-        landing.ingest_pages(spark, docs.where(F.col("page_id") % 2 == part), "transactions", base, LANDING_AS_OF)
-    return raw.read_raw(spark, base)
+        landing.ingest_pages(spark, docs.where(F.col("page_id") % 2 == part), "transactions", base, LANDING_AS_OF,
+                             late="hold")
+    return raw.read_raw(spark, base).drop(sinks.SEQ)
+
+
+def q_ingest_late_rows(spark, sf_dir):
+    """Two landings whose second holds late days, corrections and rows without a cursor: every row and where it is."""
+    base, held = work_path(spark, "landed-late"), work_path(spark, "held-late")
+    docs, keyless = fx.transaction_pages(spark, sf_dir), fx.keyless_pages(spark, sf_dir)
+    first = docs.where(F.col("page_id") % 2 == 0).unionByName(keyless)
+    later = (docs.where(F.col("page_id") % 2 == 1).unionByName(fx.transaction_pages(spark, sf_dir, corrected=True))
+             .unionByName(keyless))
+    for pages_, as_of in ((first, FIRST_AS_OF), (later, SECOND_AS_OF)):
+        landing.ingest_pages(spark, pages_, "transactions", base, as_of, quarantine=held, order=F.col("page_id"))
+    table = raw.read_raw(spark, base).select("id", "cursor", "grossAmount", "dt", F.lit(None).cast("string").alias("reason"))
+    rest = spark.read.parquet(held).select(F.from_json("json", "id string, cursor string, grossAmount double").alias("r"), "reason")
+    return table.unionByName(rest.select("r.*", F.lit(None).cast("date").alias("dt"), "reason"))
+
+
+def q_ingest_released(spark, sf_dir):
+    """A landing as of an early day, whose held rows land when their day has come."""
+    base, held = work_path(spark, "landed-early"), work_path(spark, "held-early")
+    landing.ingest_pages(spark, fx.transaction_pages(spark, sf_dir), "transactions", base, FIRST_AS_OF, quarantine=held)
+    for as_of in (SECOND_AS_OF, LANDING_AS_OF, LANDING_AS_OF):   # the last run finds nothing new
+        landing.release_held(spark, held, "transactions", base, as_of)
+    return raw.read_raw(spark, base).drop(sinks.SEQ)
 
 
 def q_ingest_quarantine(spark, sf_dir):
@@ -120,6 +146,49 @@ def q_schema_merge(spark, sf_dir):
     return catalog.discover_schema(spark, base)
 
 
+def q_schema_widened(spark, sf_dir):
+    """Days whose files differ in type, read as one table of the wider types."""
+    base = work_path(spark, "bronze-widened")
+    for part in fx.growing_transactions(spark, sf_dir, SPLIT_DAY):
+        sinks.write_daily(part, base, "createdAt")
+    return catalog.discover_schema(spark, base)
+
+
+def q_register_widened(spark, sf_dir):
+    """A catalog table whose columns widen when later days bring wider types; each write registers its own days."""
+    base, name = work_path(spark, "bronze-registered"), f"bronze_registered_{uuid.uuid4().hex[:8]}"
+    for part in fx.growing_transactions(spark, sf_dir, SPLIT_DAY):
+        sinks.write_daily(part, base, "createdAt")
+        days = [r["dt"] for r in part.select(F.to_date("createdAt").alias("dt")).distinct().collect()]
+        catalog.register_days(spark, name, base, part.schema, days)
+    return spark.table(name)
+
+
+def q_files_by_day_counted(spark, sf_dir):
+    """Two files a day, as two appends of one task a day leave them."""
+    base = work_path(spark, "bronze-files")
+    tx = fx.bronze_transactions(spark, sf_dir).withColumn("dt", F.to_date("createdAt"))
+    for _ in range(2):
+        tx.repartition("dt").write.mode("append").partitionBy("dt").parquet(base)
+    return raw.files_by_day(raw.read_raw(spark, base))
+
+
+def q_curate_guard(spark, sf_dir):
+    """The timestamp guard of the curated write: what it says, and what gets written, with text and with times."""
+    out = []
+    for kind, rows in (("text", fx.raw_events(spark, sf_dir)), ("timestamp", fx.bronze_events(spark, sf_dir))):
+        path, error = work_path(spark, f"guarded-{kind}"), None
+        rows = rows.withColumn("dt", F.to_date("occurredAt"))
+        try:
+            sinks.write_curated(rows, path)
+        except ValueError as ex:
+            error = str(ex)
+        written = raw.read_raw(spark, path).agg(F.count(F.lit(1)).alias("rows")) if error is None \
+            else rows.limit(0).agg(F.count(F.lit(1)).alias("rows"))
+        out.append(written.select(F.lit(kind).alias("event_time"), F.lit(error).cast("string").alias("error"), "rows"))
+    return out[0].unionByName(out[1])
+
+
 def q_register_external(spark, sf_dir):
     base = _landed_transactions(spark, sf_dir)
     name = f"bronze_transactions_{uuid.uuid4().hex[:8]}"
@@ -209,7 +278,7 @@ def q_stream_curate(spark, sf_dir):
     base = _landed_raw_events(spark, sf_dir)
     out, held, ck = work_path(spark, "stream-curated"), work_path(spark, "stream-held"), work_path(spark, "ck")
     jobs.stream_curate(spark, base, out, held, ck)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop(sinks.SEQ)
 
 
 def q_stream_curate_relanded(spark, sf_dir):
@@ -232,7 +301,16 @@ def q_stream_late_dedup(spark, sf_dir):
     out, ck = work_path(spark, "stream-dedup"), work_path(spark, "ck")
     # one file a batch: days arrive in any order, and every day twice
     jobs.stream_dedup(spark, base, out, ck, ts_col="createdAt", key="cursor", max_files=30)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop(sinks.SEQ)
+
+
+def q_stream_corrections(spark, sf_dir):
+    """Rows that land again with a smaller amount, and rows without a cursor that land twice, in several batches."""
+    base, out, ck = work_path(spark, "bronze-corrected"), work_path(spark, "stream-corrected"), work_path(spark, "ck")
+    for part in fx.corrected_transactions(spark, sf_dir):
+        part.withColumn("dt", F.to_date("createdAt")).write.mode("append").partitionBy("dt").parquet(base)
+    jobs.stream_dedup(spark, base, out, ck, ts_col="createdAt", max_files=30)
+    return spark.read.parquet(out).drop(sinks.SEQ)
 
 
 QUERIES = {
@@ -243,16 +321,22 @@ QUERIES = {
     "ingest_pages": q_ingest_pages,
     "ingest_partial_day": q_ingest_partial_day,
     "ingest_quarantine": q_ingest_quarantine,
+    "ingest_late_rows": q_ingest_late_rows,
+    "ingest_released": q_ingest_released,
     "sanitize_text": q_sanitize_text,
     "daily_overwrite": q_daily_overwrite,
     "list_partitions": q_list_partitions,
     "files_by_day": q_files_by_day,
+    "files_by_day_counted": q_files_by_day_counted,
     "latest_partition": q_latest_partition,
     "read_latest": q_read_latest,
     "incremental_window": q_incremental_window,
     "schema_merge": q_schema_merge,
+    "schema_widened": q_schema_widened,
+    "register_widened": q_register_widened,
     "register_external": q_register_external,
     "register_external_evolved": q_register_external_evolved,
+    "curate_guard": q_curate_guard,
     "curate_report": q_curate_report,
     "curate_report_mixed": q_curate_report_mixed,
     "curate_datetimes": q_curate_datetimes,
@@ -265,4 +349,5 @@ QUERIES = {
     "stream_curate": q_stream_curate,
     "stream_curate_relanded": q_stream_curate_relanded,
     "stream_late_dedup": q_stream_late_dedup,
+    "stream_corrections": q_stream_corrections,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .. import schemas as S
 from ..fixtures import BAD_DAY
-from .ingest import LANDING_AS_OF, SPLIT_DAY
+from .ingest import FIRST_AS_OF, LANDING_AS_OF, SECOND_AS_OF, SPLIT_DAY
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _T = "(CAST(ts AS TIMESTAMP) + INTERVAL 15 DAY)"
@@ -143,6 +143,11 @@ FROM a"""
 PARTS = f"""parts AS (SELECT *, (CAST(cursor AS BIGINT) // 100) % 2 AS part FROM txd)
 , first_latest AS (SELECT max(dt) AS latest_dt FROM parts WHERE part = 0 AND dt <> {LANDING})"""
 
+FIRST, SECOND = (f"DATE '{d.isoformat()}'" for d in (FIRST_AS_OF, SECOND_AS_OF))
+GROWN = f"""CASE WHEN createdAt < {SPLIT} THEN CAST(cursor AS BIGINT) % 1000 ELSE CAST(cursor AS BIGINT) + 5000000000 END AS units,
+        CAST(CAST(cursor AS BIGINT) % 7 + CASE WHEN createdAt < {SPLIT} THEN 0 ELSE 0.5 END AS DOUBLE) AS rate,
+        CASE WHEN createdAt < {SPLIT} THEN '' ELSE 'no ' END || CAST(CAST(cursor AS BIGINT) % 10 AS VARCHAR) AS note"""
+
 ORACLES = {
     "flatten_transactions": _tx(f"strftime({_T}, {_ISO})"),
     "flatten_events": _ev(f"strftime({_T}, {_ISO})"),
@@ -157,6 +162,31 @@ ORACLES = {
     "ingest_quarantine": f"""WITH {TX_TYPED}
         SELECT 'landed' AS reason, count(*) AS rows FROM tx
         UNION ALL SELECT 'no edges', count(*) FROM region UNION ALL SELECT 'no time', count(*) FROM nation""",
+    "ingest_late_rows": f"""WITH {TX_TYPED}, {TX_DAYS}
+        , e AS (SELECT id, cursor, grossAmount, dt, CAST(cursor AS BIGINT) % 4 = 0 AS again,
+                       (CAST(cursor AS BIGINT) // 100) % 2 = 0 AS early FROM txd)
+        , keyless AS (SELECT n_name AS id, NULL::VARCHAR AS cursor, 1.5::DOUBLE AS grossAmount, DATE '2024-01-20' AS dt,
+                             NULL::VARCHAR AS reason FROM nation)
+        SELECT id, cursor, CASE WHEN again AND dt <= {SECOND} THEN grossAmount / 2 ELSE grossAmount END AS grossAmount,
+               dt, NULL::VARCHAR AS reason
+        FROM e WHERE dt <= CASE WHEN again OR NOT early THEN {SECOND} ELSE {FIRST} END
+        UNION ALL SELECT id, cursor, grossAmount, NULL, 'future day' FROM e
+        WHERE dt > CASE WHEN early THEN {FIRST} ELSE {SECOND} END
+        UNION ALL SELECT id, cursor, grossAmount / 2, NULL, 'future day' FROM e WHERE again AND dt > {SECOND}
+        UNION ALL SELECT * FROM keyless UNION ALL SELECT * FROM keyless""",
+    "ingest_released": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
+    "files_by_day_counted": f"""WITH {TX_TYPED}, {TX_DAYS}
+        SELECT dt, CAST(2 AS BIGINT) AS files, 2 * count(*) AS rows FROM txd GROUP BY dt""",
+    "schema_widened": f"WITH {TX_TYPED}, {TX_DAYS} SELECT *, {GROWN} FROM txd",
+    "register_widened": f"WITH {TX_TYPED}, {TX_DAYS} SELECT *, {GROWN} FROM txd",
+    "curate_guard": f"""WITH {EV_TYPED}
+        SELECT 'text' AS event_time,
+               'event time ''occurredAt'' must be a timestamp before the write, it is string' AS error, CAST(0 AS BIGINT) AS rows
+        UNION ALL SELECT 'timestamp', NULL, count(*) FROM ev""",
+    "stream_corrections": f"""WITH {TX_TYPED}, {TX_DAYS}
+        , n AS (SELECT *, CAST(cursor AS BIGINT) AS number FROM txd)
+        SELECT * EXCLUDE (number) REPLACE (CASE WHEN number % 50 <> 1 THEN cursor END AS cursor,
+            CASE WHEN number % 4 = 0 AND number % 50 <> 1 THEN grossAmount / 2 ELSE grossAmount END AS grossAmount) FROM n""",
     "list_partitions": f"WITH {TX_TYPED}, {TX_DAYS} SELECT dt, count(*) AS rows FROM txd GROUP BY dt",
     "files_by_day": f"""WITH {TX_TYPED}, {TX_DAYS}
         SELECT dt, count(*) AS rows FROM txd GROUP BY dt""",

@@ -7,7 +7,7 @@ a quarantine frame (or raise, when asked), never silently dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -52,10 +52,18 @@ def read_pages(pages: DataFrame, api_type: str, json_col: str = "json",
     return edges, bad
 
 
-def explode_pages(pages: DataFrame, api_type: str, json_col: str = "json") -> DataFrame:
-    """One pass over the pages: edge rows (cursor, node), and rows with ``_page`` for pages without an edge path."""
-    parsed = parse_pages(pages, api_type, json_col)
+def explode_pages(pages: DataFrame, api_type: str, json_col: str = "json", at: Column | None = None,
+                  order: Column | None = None) -> DataFrame:
+    """One pass over the pages: edge rows (cursor, node), and rows with ``_page`` for pages without an edge path.
+
+    ``_seq`` says in which order rows landed: the fetch time ``at`` (default: now), the page's place
+    ``order`` in the fetch (default: its row in the frame), the edge's place in the page.
+    """
+    at = F.current_timestamp() if at is None else at.cast("timestamp")
+    order = F.monotonically_increasing_id() if order is None else order.cast("long")
+    parsed = parse_pages(pages.withColumn("_at", at).withColumn("_order", order), api_type, json_col)
     bad = F.when(F.col("_edges").isNull(), F.coalesce(F.col(json_col), F.lit("")))
-    rows = parsed.select(bad.alias("_page"), F.explode_outer("_edges").alias("e"))
+    rows = parsed.select(bad.alias("_page"), "_at", "_order", F.posexplode_outer("_edges").alias("_edge", "e"))
+    seq = F.struct(F.col("_at").alias("at"), F.col("_order").alias("page"), F.col("_edge").alias("edge"))
     return (rows.where(F.col("e").isNotNull() | F.col("_page").isNotNull())
-            .select(F.col("e.cursor").alias("cursor"), F.col("e.node").alias("node"), "_page"))
+            .select(F.col("e.cursor").alias("cursor"), F.col("e.node").alias("node"), "_page", seq.alias("_seq")))

@@ -6,6 +6,9 @@ partition pruning does the path work and nothing is listed on the driver.
 
 from __future__ import annotations
 
+import datetime
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,16 @@ def read_raw(spark: SparkSession, base: str, dt=None, merge_schema: bool = False
     return df
 
 
+def landed_days(spark: SparkSession, base: str) -> list[datetime.date]:
+    """The days that have a folder, from a listing of the table's folder (one name per day)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [re.fullmatch(r"dt=(\d{4}-\d{2}-\d{2})", f.getPath().getName()) for f in fs.listStatus(p)]
+    return sorted(datetime.date.fromisoformat(m[1]) for m in names if m)
+
+
 def list_partitions(df: DataFrame) -> DataFrame:
     """(dt, rows) for every day present."""
     return df.groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))

@@ -8,6 +8,14 @@ from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions.lineage import remove_path, staged
+from . import widening
+
+#: stored column that says in which order rows landed (a struct; its fields depend on the source)
+SEQ = "_seq"
+#: rows as JSON keep their times to the microsecond
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+#: copies of a keyless row that are written from one array
+COPIES = 10_000
 
 
 def conform(df: DataFrame, api_type: str, keep=()) -> DataFrame:
@@ -44,28 +52,41 @@ def stored_days(spark: SparkSession, base: str, days, schema: T.StructType | Non
                if path_exists(spark, f)]
     if not folders:
         return None
-    reader = spark.read.option("basePath", base)
-    reader = reader.schema(schema) if schema else reader.option("mergeSchema", "true")
-    return reader.parquet(*folders).withColumn("dt", F.col("dt").cast("date"))
+    rows = (spark.read.option("basePath", base).schema(schema).parquet(*folders) if schema
+            else widening.read_widened(spark, base, folders))
+    return rows.withColumn("dt", F.col("dt").cast("date"))
 
 
 def newest_by_key(new: DataFrame, stored: DataFrame | None, key: str = "cursor") -> DataFrame:
-    """New and stored rows, one per key; a new row replaces the stored one.
+    """New and stored rows, one per key: the one that landed last.
 
-    Rows without a key are told apart by all their values. Of several new rows
-    with one key the largest in column order stays, so reruns agree.
+    ``_seq`` (a struct, see ``SEQ``) orders the rows; rows without one are older than all that have
+    one, of those a new row replaces a stored one, and of new ones the largest in column order stays.
+    Rows without a key are told apart by all their named values; of equal ones as many stay as the
+    larger of the two sides holds, so a batch that lands twice adds nothing and none is lost.
     """
-    def keyed(df: DataFrame) -> DataFrame:
-        whole = F.concat(F.lit("row:"), F.xxhash64(*sorted(c for c in df.columns if c != "dt")).cast("string"))
-        return df.withColumn("_key", F.coalesce(F.col(key), whole) if key in df.columns else whole)
-
-    columns = [F.col(c) for c in new.columns]
-    fresh = (keyed(new).groupBy("_key").agg(F.max(F.struct(*columns)).alias("r")).select("_key", "r.*"))
-    if stored is None:
-        return fresh.drop("_key")
-    old = keyed(stored)
-    kept = old.join(fresh.select("_key"), "_key", "left_anti")
-    return fresh.unionByName(kept, allowMissingColumns=True).drop("_key")
+    def sided(df: DataFrame, fresh: bool) -> DataFrame:
+        return df.withColumn("_new", F.lit(fresh))
+
+    rows = sided(new, True)
+    if stored is not None:
+        schema = widening.wider_schema(new.schema, stored.schema)
+        rows = sided(widening.conformed(new, schema), True).unionByName(sided(widening.conformed(stored, schema), False))
+    columns = [c for c in rows.columns if c != "_new"]
+    known = key in columns
+    # named values only: two rows that hold the same text in different columns differ, and a column
+    # that later batches add doesn't change what earlier rows are
+    whole = F.sha2(F.to_json(F.struct(*sorted(c for c in columns if c not in ("dt", SEQ, "_bad"))), JSON_TIMES), 256)
+    name = F.col(key).cast("string") if known else F.lit(None).cast("string")
+    order = [F.col(SEQ).isNotNull(), F.col(SEQ)] if SEQ in columns else []
+    last = F.max(F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], "_new", *columns)).alias("r")
+    picked = (rows.groupBy(name.alias("_key"), F.when(name.isNull(), whole).alias("_row"))
+              .agg(last, F.count_if("_new").alias("_n"), F.count_if(~F.col("_new")).alias("_m")))
+    copies = F.when(F.col("_key").isNull(), F.greatest("_n", "_m")).otherwise(F.lit(1))
+    # a row that repeats very often is written out in slots, so no array grows with its number
+    slots = picked.withColumn("_n", copies).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES))))
+    many = F.least(F.lit(COPIES), F.col("_n") - F.col("_slot") * COPIES)
+    return slots.withColumn("_one", F.explode(F.sequence(F.lit(1), many))).select("r.*").select(*columns)
 
 
 def replace_days(df: DataFrame, base: str, days, ts_col: str | None = None) -> None:
