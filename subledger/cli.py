@@ -119,7 +119,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     elif a.job == "daily":
         ev = _read(spark, a.events)
         spans = active.store_intervals(ev, as_of) if a.store else timeline.timeline_intervals(ev, as_of)
-        _write(active.daily_active(spans, as_of, method=a.method), a.out)
+        _write(active.daily_active(spans, as_of, method=a.method, checks=(ev,)), a.out)
     elif a.job == "audit":
         _write(quality.policy_audit(_read(spark, a.table)), a.out)
     elif a.job == "arrivals":

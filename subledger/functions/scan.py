@@ -233,16 +233,19 @@ def hot_keys(key: str, *frames: DataFrame, threshold: int | None = None) -> Data
         own = (df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
                .where(F.col("_n") > t).select("_hot"))
         found = own if found is None else found.union(own)
-    hot = cut(found.distinct())
-    return None if hot.isEmpty() else hot
+    found = found.distinct()
+    # mostly there are none: one job, nothing written
+    return None if found.isEmpty() else cut(found)
 
 
 def by_heat(job, bucketed: bool | None, key: str, *frames: DataFrame, checks=()) -> DataFrame:
     """``job(bucketed, *frames)``, with only the hot keys on the bucketed path.
 
     Given ``bucketed``, everything takes that path. Otherwise the rows of hot
-    keys (counted in ``checks``, default the frames) are scanned in buckets and
-    all other keys by plain windows; the two results are disjoint by key.
+    keys are scanned in buckets and all other keys by plain windows; the two results
+    are disjoint by key. ``checks`` (default the frames) are what the keys are counted
+    in: pass the job's raw inputs, which hold at least as many rows of a key, when
+    the frames are computed, since the count runs all that lies before it.
     """
     if bucketed is not None:
         return job(bucketed, *frames)

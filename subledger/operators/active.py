@@ -59,13 +59,17 @@ def interval_days(intervals: DataFrame, as_of=None, max_days: int | None = None)
 
 
 def merchants_by_day(intervals: DataFrame, as_of=None, max_days: int | None = None,
-                     method: str = "sweep") -> DataFrame:
-    """(active_date, merchants) for every day with at least one active shop."""
+                     method: str = "sweep", checks=()) -> DataFrame:
+    """(active_date, merchants) for every day with at least one active shop.
+
+    ``checks``: the tables that the intervals come from, with a ``shopid`` and no fewer rows of any
+    shop; hot shops are then found there, without computing the intervals for it.
+    """
     if method == "explode":
         days = interval_days(intervals, as_of, max_days)
         return days.groupBy("active_date").agg(F.countDistinct("shopid").alias("merchants"))
     if method == "sweep":
-        return _merchants_sweep(intervals, as_of, max_days)
+        return _merchants_sweep(intervals, as_of, max_days, checks)
     raise ValueError(f"unknown method: {method}")
 
 
@@ -79,9 +83,9 @@ def _islands(split: bool, r: DataFrame) -> DataFrame:
     return r.groupBy("shopid", "island").agg(F.min("first_day").alias("s"), F.max("last_day").alias("e"))
 
 
-def _merchants_sweep(intervals: DataFrame, as_of, max_days: int | None) -> DataFrame:
+def _merchants_sweep(intervals: DataFrame, as_of, max_days: int | None, checks=()) -> DataFrame:
     r = day_ranges(intervals, as_of, max_days).select("shopid", "first_day", "last_day")
-    islands = by_heat(_islands, None, "shopid", r)
+    islands = by_heat(_islands, None, "shopid", r, checks=checks)
     # a span without a shop covers its days but is no merchant (COUNT(DISTINCT) skips NULL)
     shop = F.col("shopid").isNotNull().cast("int")
     deltas = (islands
@@ -112,14 +116,14 @@ def month_end(counts: DataFrame, as_of=None) -> DataFrame:
 
 
 def daily_active(intervals: DataFrame, as_of=None, max_days: int | None = None,
-                 method: str = "sweep") -> DataFrame:
+                 method: str = "sweep", checks=()) -> DataFrame:
     """Daily merchants with previous day, month, month-end and previous month-end.
 
     All from windows over the day table (at most one row per calendar day):
     the month-end value is the month's last reported day, and the previous
     month's end value is the previous-day value seen on a month's first day.
     """
-    counts = merchants_by_day(intervals, as_of, max_days, method)
+    counts = merchants_by_day(intervals, as_of, max_days, method, checks)
     d = counts.where(F.col("active_date") <= as_of_date(as_of))
     d = d.select("active_date", "merchants",
                  F.lag("merchants").over(Window.orderBy("active_date")).alias("prev_day_merchants"),
@@ -147,7 +151,7 @@ def store_intervals(events: DataFrame, as_of=None, tiebreak: str = "cursor") ->
     def next_status(split: bool, x: DataFrame) -> DataFrame:
         return cut(ordered_scan(x, ["shopid"], [asc("occurredat"), asc(tiebreak)], split,
                                 next_status_at=("lead", "occurredat")), split)
-    st = by_heat(next_status, None, "shopid", st)
+    st = by_heat(next_status, None, "shopid", st, checks=(ev,))
     open_end = F.date_add(as_of_date(as_of), 1).cast("timestamp")
     spans = (st.where(F.col("status") == S.STATUS_ACTIVE)
              .select("shopid", "shopdomain", F.col("occurredat").alias("activated_date"),

@@ -90,8 +90,8 @@ def q_month_end(spark, sf_dir):
 
 
 def q_daily_active_timeline(spark, sf_dir):
-    subs = timeline.timeline_intervals(fx.subscription_events(spark, sf_dir), fx.EVENTS_AS_OF)
-    return active.daily_active(subs, fx.EVENTS_AS_OF)
+    ev = fx.subscription_events(spark, sf_dir)
+    return active.daily_active(timeline.timeline_intervals(ev, fx.EVENTS_AS_OF), fx.EVENTS_AS_OF, checks=(ev,))
 
 
 def q_store_status(spark, sf_dir):
@@ -99,8 +99,8 @@ def q_store_status(spark, sf_dir):
 
 
 def q_store_daily_active(spark, sf_dir):
-    spans = active.store_intervals(fx.relationship_events(spark, sf_dir), fx.EVENTS_AS_OF)
-    return active.daily_active(spans, fx.EVENTS_AS_OF)
+    ev = fx.relationship_events(spark, sf_dir)
+    return active.daily_active(active.store_intervals(ev, fx.EVENTS_AS_OF), fx.EVENTS_AS_OF, checks=(ev,))
 
 
 # --- C02 ------------------------------------------------------------------
