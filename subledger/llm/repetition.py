@@ -7,7 +7,9 @@ substring that repeats, maximal to the right at the interval's smallest prefix;
 suffix's longest repeat is the larger of its two neighbouring prefixes. The union of
 the spans of all repeats is the covered part. A document is dropped if repeats of
 ``MIN_WORDS`` or more cover more than ``MAX_COVERED`` of its words, or if the longest
-repeat has more than ``MAX_LONGEST_WORDS`` words and ``MAX_LONGEST_SHARE`` of them.
+repeat has more than ``MAX_LONGEST`` words. Both limits lie far below the base rule's
+half of the words, so they decide documents that it passes: a passage pasted again, or
+many short blocks that come back.
 
 Base counts: code points in words, characters of ``SYMBOLS``, lines with a word that
 equal an earlier line, words in three-word windows found twice or more (which is the
@@ -34,9 +36,8 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 LEAST_WORDS = 50
 MIN_WORDS = 8
-MAX_COVERED = 0.5
-MAX_LONGEST_WORDS = 100
-MAX_LONGEST_SHARE = 0.3
+MAX_COVERED = 0.15
+MAX_LONGEST = 100
 
 
 def suffix_array(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +105,7 @@ def measure(text: str | None) -> dict:
     mask = covered(longest, MIN_WORDS)
     top = int(longest.max(initial=0))
     failed = n < LEAST_WORDS or 100 * repeat_words > 50 * n
-    fine = mask.sum() <= MAX_COVERED * n and (top <= MAX_LONGEST_WORDS or top <= MAX_LONGEST_SHARE * n)
+    fine = mask.sum() <= MAX_COVERED * n and top <= MAX_LONGEST
     return {
         "n_words": n, "word_chars": len(text) - sum(map(text.count, SPACES)),
         "n_symbols": sum(map(text.count, SYMBOLS)), "n_dup_lines": again, "n_repeat_words": repeat_words,
@@ -146,8 +147,7 @@ def oracle() -> str:
     """DuckDB SQL of the contract's columns: repeats as equal windows, the longest one by windows of the limit's size."""
     return f"""
 WITH d AS (
-  SELECT *, len(words) AS n_words,
-         greatest({MAX_LONGEST_WORDS}, CAST(floor({MAX_LONGEST_SHARE} * len(words)) AS BIGINT)) + 1 AS too_long
+  SELECT *, len(words) AS n_words, {MAX_LONGEST} + 1 AS too_long
   FROM (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
                regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents)),
 {_covered_sql('few', WINDOW)},{_covered_sql('many', MIN_WORDS)},
