@@ -115,6 +115,9 @@ RULES = [
     ("Unlicense", ["unlicense"]),
 ]
 
+#: identifiers of the longest rule
+MOST = max(len(ids) for _, ids in RULES)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = "[ \\t\\n\\x0B\\f\\r]"
 END = f"[.!?;:]+({SPACE}+|\\z)"
@@ -139,22 +142,43 @@ def sentences(text: Column, ends: str) -> Column:
     return F.filter(F.split(plain, " ?(\x01 ?)+"), lambda s: F.trim(s) != "")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it, also inside of lambdas."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _matches(found: Column) -> Column:
-    """Rule matches over found[(pos, id)], without those inside a longer one."""
-    rules = F.array(*[F.struct(F.lit(name).alias("licence"), F.array(*map(F.lit, ids)).alias("ids"))
-                      for name, ids in RULES])
-    ids = F.transform(found, lambda x: x["id"])
-
-    def at(x, i):
-        fits = F.filter(rules, lambda r: (F.slice(ids, i + 1, F.size(r["ids"])) == r["ids"])
-                        & (F.element_at(found, F.least(i + F.size(r["ids"]), F.size(found)))["pos"] - x["pos"]
-                           < F.size(r["ids"]) + GAP))
-        return F.transform(fits, lambda r: F.struct(
-            x["pos"].alias("first"), F.element_at(found, i + F.size(r["ids"]))["pos"].alias("last"),
-            r["licence"].alias("licence")))
-    every = F.flatten(F.transform(found, at))
-    return F.filter(every, lambda m: ~F.exists(every, lambda o: (o["first"] <= m["first"]) & (o["last"] >= m["last"])
-                                               & (o["last"] - o["first"] > m["last"] - m["first"])))
+    """Rule matches over found[(pos, id)], without those inside a longer one; linear in the sentences found.
+
+    A rule has at most ``MOST`` identifiers, so a longer match that holds another one starts at most
+    that many places before it: the longest match of these few places decides.
+    """
+    rules = F.array(*[F.struct(F.lit(name).alias("licence"), F.array(*map(F.lit, ids)).alias("ids"),
+                               F.lit(len(ids)).alias("n")) for name, ids in RULES])
+
+    def fitting(found, ids, i):
+        return F.filter(rules, lambda r: (F.slice(ids, i + 1, r["n"]) == r["ids"])
+                        & (F.element_at(found, F.least(i + r["n"], F.size(found)))["pos"]
+                           - F.element_at(found, i + 1)["pos"] < r["n"] + GAP))
+
+    def kept(found, at):
+        # at[i]: the rules that fit at place i (of nought on), last[i]: the last place of the longest
+        def with_last(last):
+            def place(rules_here, i):
+                before = F.slice(last, F.greatest(i - MOST + 2, F.lit(1)), F.least(i, F.lit(MOST - 1)))
+                free = F.filter(rules_here, lambda r: (i + r["n"] == F.element_at(last, i + 1))
+                                & ~F.exists(before, lambda end: end >= i + r["n"]))
+                return F.transform(free, lambda r: F.struct(
+                    F.element_at(found, i + 1)["pos"].alias("first"),
+                    F.element_at(found, i + r["n"])["pos"].alias("last"), r["licence"].alias("licence")))
+            return F.flatten(F.transform(at, place))
+        return _let(F.transform(at, lambda rules_here, i: F.coalesce(
+            i + F.array_max(F.transform(rules_here, lambda r: r["n"])), F.lit(0))), with_last)
+
+    def with_ids(found):
+        return _let(F.transform(found, lambda x: x["id"]), lambda ids: _let(
+            F.transform(ids, lambda _, i: fitting(found, ids, i)), lambda at: kept(found, at)))
+    return _let(found, with_ids)
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,7 +1,9 @@
 """Operator 3 against DuckDB, on the tables and on planted licence texts."""
 
-import duckdb
 import textwrap
+import time
+
+import duckdb
 
 from rows import SMALL, make_docs
 from subledger.llm import licences
@@ -67,3 +69,15 @@ def test_rules_and_odd_rows(spark):
 def test_plan_is_native(spark):
     plan = op3_licences(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_many_sentences_in_one_text(spark):
+    """A notice file of 10,000 licence sentences: time follows their number."""
+    one = "Licensed under the MIT License. Some other words here. "
+    few, many = (make_docs(spark, [{"doc_id": 1, "text": one * n}]) for n in (50, 10_000))
+    licences.scan(few).collect()
+    start = time.time()
+    row = licences.scan(many).collect()[0]
+    assert time.time() - start < 60
+    assert row.n_known == 10_000 and len(row.matches) == 10_000 and row.licences == ["MIT"]
+    assert [m["first"] for m in row.matches] == list(range(0, 20_000, 2))
