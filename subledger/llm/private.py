@@ -203,12 +203,13 @@ def _with_terms(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFr
     found = saved(docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("digest"),
                               F.col(text).alias("text")).mapInArrow(_find, FOUND))
     total = found.count()
-    near = found.filter("size(near) > 0").select("doc_id", "digest", F.explode("near").alias("x")).select(
-        "doc_id", "digest", "x.*")
+    near = found.filter("size(near) > 0").select(
+        "doc_id", "digest", F.monotonically_increasing_id().alias("row"), F.explode("near").alias("x")).select(
+        "doc_id", "digest", "row", "x.*")
     pairs = saved(near.filter("is_first").groupBy("entity", "term", "general").agg(F.count("*").alias("both"))
                   .filter(F.col("both") >= SUPPORT))
     shapes = (near.filter("general IS NOT NULL").groupBy("entity", "general")
-              .agg(F.count_distinct("doc_id", "digest").alias("general_both")))
+              .agg(F.count_distinct("row").alias("general_both")))   # rows, as everywhere else
     wanted = pairs.select("term").union(pairs.filter("general IS NOT NULL").select("general"))
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(wanted))
     df = saved(docs.select(text).mapInArrow(_frequencies(bitmap), "term string, df long")

@@ -112,6 +112,15 @@ def test_disclosing_terms(spark):
     assert clean[5] == told_rows()[5]["text"]
 
 
+def test_repeated_rows_do_not_change_the_action(spark):
+    """Term and general form are counted in the same unit, rows."""
+    rows = [{"doc_id": i, "text": f"the clerk filed form number {i} today"} for i in range(60)]
+    told = [{"doc_id": i, "text": "Write jo@ex-ample.org about zeta42 now"} for i in (100, None)]
+    for copies in (1, 3):
+        clean = private.sanitised(make_docs(spark, rows + told * copies)).collect()
+        assert {r.text for r in clean if "[EMAIL]" in r.text} == {"[TERM] [EMAIL] [TERM] [TERM] [TERM]"}
+
+
 def test_odd_rows(spark):
     rows = [{"doc_id": 1, "text": None}, {"doc_id": None, "text": ""}, {"doc_id": 2, "text": "a@b.c"},
             {"doc_id": 2, "text": "a@b.c"}, {"doc_id": None, "text": "x a@b.c"},
