@@ -44,6 +44,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_COPIES = 2.0
 SEED = 42
+SLOT = 64             # copies of a row that one task writes at a time
 EDGE = 1e-9
 
 
@@ -186,5 +187,10 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     # equal rows: one of them, copied as often as all together
     single = with_copies(taken.filter("_m = 1"))
     repeated = with_copies(taken.filter("_m > 1")).dropDuplicates(["_id", "_digest", "_source"])
-    both = single.unionByName(repeated)
+    # copies of equal rows may be any share of the mix: they are cut into slots, and these dealt out
+    slots = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / SLOT))
+    dealt = repeated.withColumn("_slot", F.explode(slots)).withColumn(
+        "_copies", F.least(F.lit(SLOT).cast("long"), F.col("_copies") - F.col("_slot") * SLOT)).drop("_slot")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = single.unionByName(dealt.repartition(parts))
     return both.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(*names)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rows import SMALL, make_docs
 from subledger.llm import mixing
@@ -68,6 +69,20 @@ def test_many_buckets_and_levels(spark, monkeypatch):
         assert abs(sum(r.taken for r in mine) - t) <= 17
 
 
+def test_equal_rows_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOT", 16)
+    rows = [{"doc_id": 1, "text": "same words here", "source": "a"}] * 2_000
+    rows += [{"doc_id": 10 + i, "text": f"other words {i}", "source": "b"} for i in range(2_000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = mixing.mixed_documents(make_docs(spark, rows).repartition(4))
+        sizes = sorted(r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect())
+        copies = sum(r.copies for r in mixing.mix_digest(make_docs(spark, rows)).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == copies and sizes[-1] < 0.4 * copies
+
+
 def test_odd_rows(spark):
     rows = ([{"doc_id": None, "text": "a b", "source": None}] * 3 + [{"doc_id": 1, "text": None, "source": "s"}]
             + [{"doc_id": 2, "text": "", "source": "s"}, {"doc_id": 2, "text": " \t\n", "source": "s"}]
