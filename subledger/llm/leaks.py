@@ -24,8 +24,9 @@ the relation is ``COPIED``, or ``PARAPHRASED`` and its answer, the last sentence
 there to ``ANSWERED``.
 
 All of it is a map over whole texts; what is broadcast (terms, latent vectors) is
-bounded by the benchmark, at most ``MAX_PASSAGES`` passages and ``MAX_TERMS`` terms,
-checked.
+an index of at most ``MAX_PASSAGES`` passages and ``MAX_TERMS`` terms. A larger benchmark
+is cut between items into several indexes, each with a map of its own; nothing of it is
+left out. Only one item that is larger by itself makes a larger index.
 
 Defined results: NULL and empty texts and items never match; a document that holds an
 item is returned once per item with its best place, repeated rows each time; NULL ids
@@ -37,12 +38,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import saved
 
@@ -58,8 +60,9 @@ COPIED = 0.75
 PARAPHRASED = 0.5
 ANSWERED = 0.8
 FEW_WORDS = 8          # shorter passages have to be there in full
-MAX_PASSAGES = 200_000
-MAX_TERMS = 1 << 18
+MAX_PASSAGES = 100_000   # passages and terms of one index; a larger benchmark has several
+MAX_TERMS = 1 << 16       # a task's sums of the SVD are at most MAX_TERMS x (RANK + OVERSAMPLE) doubles, 143 MB
+BLOCK_ITEMS = 50_000      # benchmark rows that the driver reads at a time
 OTHER = 1 << 16         # buckets for the document frequencies of terms that no passage has
 SEGMENT = 32_768       # words of a text handled at once
 BOUND_CELLS = 1 << 31  # terms x passages up to which the terms' largest shares are computed
@@ -302,25 +305,64 @@ def randomised_svd(rows: DataFrame, columns: int, n_rows: int, rank: int, power:
     return held.value @ turn[:, order[values[order] > 1e-12 * max(values.max(initial=0), 1e-300)]]
 
 
-def build_index(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
-                rank: int = RANK) -> Index | None:
-    spark = docs.sparkSession
-    rows = benchmark.select(item, text).limit(MAX_PASSAGES + 1).collect()
-    items, words, answers = [], [], []
+Piece = tuple  # (item, words of its passages, answer words of each)
+
+
+def _pieces(rows: list) -> list[Piece]:
+    """Benchmark rows as passages of at most ``PASSAGE`` words; rows without a word are none."""
+    out = []
     for key, body in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")):
         all_words, a = tokens(body), answer_words(body)
         pieces = max(1, -(-len(all_words) // PASSAGE))
         cut = [len(all_words) * i // pieces for i in range(pieces + 1)]
-        for i, j in zip(cut, cut[1:]):
-            if j > i:
-                items.append(key)
-                words.append(all_words[i:j])
-                answers.append(min(a, j - i) if j == len(all_words) else 0)
-    if not words:
-        return None
+        spans = [(i, j) for i, j in zip(cut, cut[1:]) if j > i]
+        if spans:
+            out.append((key, [all_words[i:j] for i, j in spans],
+                        [min(a, j - i) if j == len(all_words) else 0 for i, j in spans]))
+    return out
+
+
+def _parts(pieces: list[Piece]) -> Iterator[list[Piece]]:
+    """Cut where more passages or terms would come together than one index may hold; an item stays whole."""
+    todo = [pieces] if pieces else []
+    while todo:
+        own = todo.pop()
+        fits = (sum(len(p[1]) for p in own) <= MAX_PASSAGES
+                and len({w for _, passages, _ in own for p in passages for w in p}) <= MAX_TERMS)
+        borders = [] if fits else [i for i in range(1, len(own)) if own[i][0] != own[i - 1][0]]
+        half = min(borders, key=lambda i: abs(2 * i - len(own)), default=0)
+        if half:
+            todo += [own[half:], own[:half]]
+        else:
+            yield own
+
+
+def build_indexes(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
+                  rank: int = RANK) -> Iterator[Index]:
+    """Indexes that together hold the whole benchmark, each within the bounds; mostly it is one."""
+    some = benchmark.select(item, text).filter(F.length(F.trim(text)) > 0)
+    blocks = max(1, -(-some.count() // BLOCK_ITEMS))
+    block = F.pmod(F.xxhash64(item), F.lit(blocks))
+    for b in range(blocks):
+        for part in _parts(_pieces(some.filter(block == b).collect())):
+            yield _index(docs, part, text, rank)
+
+
+def build_index(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
+                rank: int = RANK) -> Index | None:
+    """The index of a benchmark that fits one; ``None`` if it holds no word."""
+    found = list(build_indexes(docs, benchmark, text, item, rank))
+    if len(found) > 1:
+        raise ValueError("the benchmark needs several indexes: build_indexes")
+    return found[0] if found else None
+
+
+def _index(docs: DataFrame, pieces: list[Piece], text: str, rank: int) -> Index:
+    spark = docs.sparkSession
+    items = [key for key, passages, _ in pieces for _ in passages]
+    words = [p for _, passages, _ in pieces for p in passages]
+    answers = [a for _, _, own in pieces for a in own]
     terms = {w: i for i, w in enumerate(sorted({w for p in words for w in p}))}
-    if len(words) > MAX_PASSAGES or len(terms) > MAX_TERMS:
-        raise ValueError(f"benchmarks of up to {MAX_PASSAGES} passages and {MAX_TERMS} terms")
     known = spark.sparkContext.broadcast(terms)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,9 +414,11 @@ HITS = ("doc_id long, item_id long, first_word int, end_word int, cosine double,
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and benchmark item that it holds."""
-    index = build_index(docs, benchmark, text)
-    if index is None:
-        return docs.sparkSession.createDataFrame([], HITS)
+    found = [_hits(docs, index, key, text) for index in build_indexes(docs, benchmark, text)]
+    return reduce(DataFrame.union, found) if found else docs.sparkSession.createDataFrame([], HITS)
+
+
+def _hits(docs: DataFrame, index: Index, key: str, text: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,9 +435,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that hold no benchmark item, columns unchanged."""
-    index = build_index(docs, benchmark, text)
-    if index is None:
-        return docs
+    kept = docs
+    for index in build_indexes(docs, benchmark, text):
+        kept = _without(kept, index, text)
+    return kept
+
+
+def _without(docs: DataFrame, index: Index, text: str) -> DataFrame:
     shared, at = docs.sparkSession.sparkContext.broadcast(index), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -121,6 +121,25 @@ def test_odd_rows(spark):
     assert {r.doc_id for r in leaks.find_leaks(docs, book).collect()} == {5, 6}
 
 
+def test_a_benchmark_of_several_indexes(spark, monkeypatch):
+    """Small bounds: empty rows use up nothing, and every item is found in its own index."""
+    r = random.Random(12)
+    bench = [(i, None if i % 2 else " ") for i in range(5)]
+    bench += [(100 + i, " ".join(f"b{i}x{j}" for j in range(30))) for i in range(12)]
+    bench += [(103, " ".join(f"second{j}" for j in range(30)))]
+    docs = [{"doc_id": i, "text": f"{sentence(r, 40)} {t} {sentence(r, 40)}"} for i, t in bench[5:]]
+    docs += [{"doc_id": 1, "text": sentence(r, 80)}]
+    frame, table = make_docs(spark, docs), spark.createDataFrame(bench, "item_id long, text string")
+    want = sorted((i, i) for i, _ in bench[5:])
+    assert sorted((r.doc_id, r.item_id) for r in leaks.find_leaks(frame, table).collect()) == want
+    for name, bound in (("MAX_PASSAGES", 3), ("MAX_TERMS", 70), ("BLOCK_ITEMS", 4)):
+        monkeypatch.setattr(leaks, name, bound)
+        assert len(list(leaks.build_indexes(frame, table))) > 3
+        assert sorted((r.doc_id, r.item_id) for r in leaks.find_leaks(frame, table).collect()) == want
+        assert [r.doc_id for r in leaks.decontaminated(frame, table).collect()] == [1]
+        monkeypatch.undo()
+
+
 def test_isolated_passages_of_a_large_benchmark(spark):
     """300 topics of four passages each fill the latent space; ten passages share no word with any."""
     r = random.Random(8)
