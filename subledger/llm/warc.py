@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 from .common import saved, sort_key
 
+BLOCKS_A_TASK = 16      # index blocks read back by one task
 REVISIT_BYTES = 1000
 BLOCK = 512
 BROADCAST_DIGESTS = 100_000
@@ -284,7 +285,10 @@ def _read(archive_root: str, files, with_payload: bool, ranges):
 def read_archive(spark: SparkSession, archive: Archive, with_payload: bool = False) -> DataFrame:
     """All records, each found through the index: one search per block of keys."""
     files = spark.sparkContext.broadcast(archive.files)
-    work = archive.blocks.select("first", "last").repartition(F.xxhash64("first"))
+    # blocks are key ranges of a few bytes that stand for megabytes of pages: by their own size they would
+    # all be merged into one task, so the number of tasks follows the number of blocks
+    tasks = max(1, -(-archive.blocks.count() // BLOCKS_A_TASK))
+    work = archive.blocks.select("first", "last").repartition(tasks, F.xxhash64("first"))
     return work.mapInArrow(
         _read(archive.root, files, with_payload,
               lambda batch: zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())),

@@ -39,6 +39,18 @@ def test_query(spark):
     assert got(op8_warc(spark, SMALL)) == plain(rows)
 
 
+def test_read_back_in_as_many_tasks_as_blocks_fill(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK", 8)
+    monkeypatch.setattr(warc, "BLOCKS_A_TASK", 4)
+    pages = spark.range(2_000).selectExpr("id page_id", "concat('http://h', id % 7, '.org/', id) url", "'<p>x' html")
+    archive = warc.write_archive(pages)
+    blocks = archive.blocks.count()
+    rows = warc.read_archive(spark, archive)
+    assert rows.rdd.getNumPartitions() == -(-blocks // 4) > 1
+    assert rows.count() == 2_000
+    archive.delete()
+
+
 def test_sort_key():
     assert warc.sort_key("https://www.Example.com:8080/a b?q=1#top") == "com,example,www:8080)/a%20b?q=1"
     assert warc.sort_key(None) == ")/" == warc.sort_key("")
