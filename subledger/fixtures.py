@@ -19,6 +19,10 @@ from . import schemas as S
 EVENTS_AS_OF = dt.date(2024, 2, 20)
 BACKFILL_AS_OF = dt.date(2024, 2, 5)
 ORDERS_AS_OF = dt.date(2001, 8, 15)
+# The first day with orders, and a day between two runs over them.
+ORDERS_FIRST, ORDERS_SPLIT = dt.date(1995, 1, 1), dt.date(1999, 5, 17)
+# Rows from this day on come in later runs.
+INCREMENT_FROM = dt.date(2024, 1, 30)
 # The day of which some rows have unreadable times.
 BAD_DAY = dt.date(2024, 2, 3)
 

@@ -207,6 +207,19 @@ SELECT * FROM days"""
 DAILY_ACTIVE = f"""WITH {ORDER_INTERVALS_CTE}, {_days('order_intervals', ORD_AS_OF)}, {_roll(ORD_AS_OF)}
 SELECT * FROM daily"""
 
+_SPANS = "\nUNION ALL ".join(
+    f"SELECT '{u}' AS unit, CAST(date_trunc('{u}', active_date) AS DATE) AS span_start, count(DISTINCT shopid) AS merchants "
+    f"FROM due GROUP BY 2" for u in ("week", "month", "quarter", "year"))
+ACTIVE_BY_SPAN = f"""WITH {ORDER_INTERVALS_CTE}, {_days('order_intervals', ORD_AS_OF)}
+, due AS (SELECT * FROM days WHERE active_date <= {ORD_AS_OF})
+{_SPANS}"""
+
+ACTIVE_RETAINED = f"""WITH {ORDER_INTERVALS_CTE}, {_days('order_intervals', ORD_AS_OF)}
+, pairs AS (SELECT DISTINCT CAST(date_trunc('month', active_date) AS DATE) AS m, shopid FROM days
+            WHERE active_date <= {ORD_AS_OF} AND shopid IS NOT NULL)
+SELECT a.m AS span_start, count(*) AS merchants, count(b.shopid) AS kept
+FROM pairs a LEFT JOIN pairs b ON b.shopid = a.shopid AND b.m = CAST(a.m - INTERVAL 1 MONTH AS DATE) GROUP BY a.m"""
+
 MONTH_END = f"""WITH {ORDER_INTERVALS_CTE}, {_days('order_intervals', ORD_AS_OF)}, {_roll(ORD_AS_OF)}
 SELECT * FROM month_roll"""
 
@@ -360,6 +373,10 @@ ORACLES: dict[str, str] = {
     "interval_days": INTERVAL_DAYS,
     "daily_active": DAILY_ACTIVE,
     "daily_active_sweep": DAILY_ACTIVE,
+    "active_by_span": ACTIVE_BY_SPAN,
+    "active_retained": ACTIVE_RETAINED,
+    "timeline_incremental": TIMELINE_INTERVALS,
+    "tx_attributed_incremental": TX_ATTRIBUTED,
     "month_end": MONTH_END,
     "daily_active_timeline": DAILY_ACTIVE_TIMELINE,
     "store_status": STORE_STATUS,

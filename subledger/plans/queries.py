@@ -8,6 +8,7 @@ tables. Timestamp outputs are returned as ``TIMESTAMP_NTZ`` wall-clock values
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from .. import fixtures as fx
 from ..functions.lineage import cut
 from ..functions.scalar import subscription_event
 from ..functions.scan import hot_keys
-from ..operators import active, attribution, mrr, timeline
+from ..operators import active, attribution, incremental, mrr, spans, timeline
+from ..session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +96,51 @@ def q_daily_active_timeline(spark, sf_dir):
     return active.daily_active(timeline.timeline_intervals(ev, fx.EVENTS_AS_OF), fx.EVENTS_AS_OF, checks=(ev,))
 
 
+def q_active_by_span(spark, sf_dir):
+    """Distinct merchants per week, month, quarter and year, from daily bitmaps stored in two runs."""
+    spans_, base = fx.order_intervals(spark, sf_dir), work_path(spark, "active-bitmaps")
+    for first, last in ((fx.ORDERS_FIRST, fx.ORDERS_SPLIT), (fx.ORDERS_SPLIT, fx.ORDERS_AS_OF)):   # one day is done again
+        spans.refresh_bitmaps(spans_, base, first, last, fx.ORDERS_AS_OF)
+    days = spans.stored_bitmaps(spark, base)
+    parts = [spans.merchants_by_span(days, unit).select(F.lit(unit).alias("unit"), "span_start", "merchants")
+             for unit in ("week", "month", "quarter", "year")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_active_retained(spark, sf_dir):
+    """Merchants of each month, and how many of them were active in the month before."""
+    return spans.retained(spans.active_bitmaps(fx.order_intervals(spark, sf_dir), fx.ORDERS_AS_OF, last=fx.ORDERS_AS_OF))
+
+
+def _day_by_day(spark, job, histories, out, frames, split):
+    """History up to a day, then a run for the rows of each later day."""
+    times = {name: t for name, (_, t) in frames.items()}
+    early = {name: df.where(F.col(t) < F.lit(split).cast("timestamp")) for name, (df, t) in frames.items()}
+    incremental.refresh(job, histories, early, out, buckets=16)
+    later = {name: df.where(F.col(t) >= F.lit(split).cast("timestamp")) for name, (df, t) in frames.items()}
+    cut_at = F.lit(fx.BACKFILL_AS_OF).cast("timestamp")
+    for part in (lambda t: F.col(t) < cut_at, lambda t: F.col(t) >= cut_at):
+        fresh = {name: df.where(part(times[name])) for name, df in later.items()}
+        incremental.refresh(job, histories, fresh, out, buckets=16)
+
+
+def q_timeline_incremental(spark, sf_dir):
+    """The timeline kept in buckets of the shop through three runs, shown as of the last day."""
+    ev, out = fx.subscription_events(spark, sf_dir), work_path(spark, "silver-timeline")
+    _day_by_day(spark, lambda events: incremental.stored_intervals(events), {"events": work_path(spark, "history-events")},
+                out, {"events": (ev, "occurredat")}, fx.INCREMENT_FROM)
+    return incremental.with_open_end(spark.read.parquet(out).drop("bucket"), fx.EVENTS_AS_OF)
+
+
+def q_tx_attributed_incremental(spark, sf_dir):
+    """The attribution kept in buckets of the shop through three runs."""
+    pay, ev, out = fx.payments(spark, sf_dir), fx.subscription_events(spark, sf_dir), work_path(spark, "silver-tx")
+    paths = {"tx": work_path(spark, "history-tx"), "events": work_path(spark, "history-events")}
+    _day_by_day(spark, lambda tx, events: attribution.attribute_from_events(tx, events, fx.EVENTS_AS_OF), paths, out,
+                {"tx": (pay, "createdat"), "events": (ev, "occurredat")}, fx.INCREMENT_FROM)
+    return spark.read.parquet(out).drop("bucket")
+
+
 def q_store_status(spark, sf_dir):
     return active.store_intervals(fx.relationship_events(spark, sf_dir), fx.EVENTS_AS_OF)
 
@@ -174,6 +221,10 @@ QUERIES: dict[str, Query] = {
     "daily_active_sweep": q_daily_active_sweep,
     "month_end": q_month_end,
     "daily_active_timeline": q_daily_active_timeline,
+    "active_by_span": q_active_by_span,
+    "active_retained": q_active_retained,
+    "timeline_incremental": q_timeline_incremental,
+    "tx_attributed_incremental": q_tx_attributed_incremental,
     "store_status": q_store_status,
     "store_daily_active": q_store_daily_active,
     "tx_numeric_id": q_tx_numeric_id,

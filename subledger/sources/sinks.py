@@ -41,6 +41,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def day_folder(day) -> str:
+    return f"dt={day.isoformat() if day else '__HIVE_DEFAULT_PARTITION__'}"
+
+
+def move_folder(spark: SparkSession, src: str, dst: str) -> None:
+    """Put a folder in the place of another one (a rename, of the same file system)."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    fs.delete(b, True)
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {src} to {dst}")
+
+
 def stored_days(spark: SparkSession, base: str, days, schema: T.StructType | None = None) -> DataFrame | None:
     """Stored rows of the given days (partition pruning), or ``None`` when nothing is stored.
 
@@ -48,8 +63,7 @@ def stored_days(spark: SparkSession, base: str, days, schema: T.StructType | Non
     """
     if not path_exists(spark, base):
         return None
-    folders = [f for f in (f"{base}/dt={d.isoformat() if d else '__HIVE_DEFAULT_PARTITION__'}" for d in days)
-               if path_exists(spark, f)]
+    folders = [f for f in (f"{base}/{day_folder(d)}" for d in days) if path_exists(spark, f)]
     if not folders:
         return None
     rows = (spark.read.option("basePath", base).schema(schema).parquet(*folders) if schema
@@ -98,7 +112,7 @@ def replace_days(df: DataFrame, base: str, days, ts_col: str | None = None) -> N
         (df.repartitionByRange(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("dt").parquet(base))
     for day in set(days) - present:
-        remove_path(spark, f"{base}/dt={day.isoformat() if day else '__HIVE_DEFAULT_PARTITION__'}")
+        remove_path(spark, f"{base}/{day_folder(day)}")
 
 
 def merge_days(new: DataFrame, base: str, ts_col: str | None = None, key: str = "cursor",
