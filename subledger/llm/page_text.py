@@ -3,16 +3,18 @@
 A page is read into lines, one per block element, without the parts that are never
 text (scripts, styles, forms, navigation, headers, footers, sidebars, elements whose
 class, id or role names adverts, menus, notices, comments and the like; a page, its
-``main`` and what holds that are never left out by such a name, an ``article`` and what
-holds one only by the whole name: teaser, not has-teaser). Pages of a
+``main`` and what holds that are never left out by such a name, an ``article``, what
+holds one and what it holds only by the whole name: teaser or related-posts, not
+has-teaser or related-work; a form that holds an article or main is no form here). Pages of a
 host are ordered by URL path; a page is compared with its nearest neighbours before and
 after: their lines are aligned by longest common subsequence, and shared lines, the
 site's template, are deleted. A neighbour with the same lines is a copy and deletes
-nothing. One that shares ``MIRROR`` of the lines may be a copy with small changes or
-another page of few own lines, so up to ``REACH`` pages on each side are searched for a
-witness that differs more; only if there is none, the alike pages are the witnesses.
-Lines in an element of ``PROTECTED`` (article, main) need more evidence: they are deleted
-if they are shorter than ``LONG`` and shared with the witnesses on both sides.
+nothing; a run of copies, however long, is one page here. One that shares ``MIRROR`` of the
+lines may be a copy with small changes or another page of few own lines, so up to
+``REACH`` runs on each side are searched for a witness that differs more; only if there
+is none, the alike pages are the witnesses. Lines in an element of ``PROTECTED`` (article,
+main) need more evidence than two neighbours: they are deleted if they are shorter
+than ``LONG`` and all of the ``2 * REACH`` runs around hold them.
 
 On the cluster: the sort keys (reversed host, path, page_id) alone are range
 partitioned first, which gives the first and last keys of every partition. Then each
@@ -33,6 +35,9 @@ import re
 from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +50,6 @@ MIRROR = 0.8
 REACH = 4
 LONG = 100               # characters
 ROWS_PER_PARTITION = 50_000
-MAX_CELLS = 1 << 28      # bits of an alignment held at once
 
 # fixed values: element names by their part in a page
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
@@ -58,6 +62,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 PARTS = frozenset("""ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie
 cookies disqus footer menu nav navbar navigation newsletter notice notices pagination popup promo promotion related
 share sharing sidebar social sponsor sponsored subscribe teaser toolbar widget""".split())
+SHAPES = frozenset("""area bar block body box button buttons container content feed footer form header icons inner item
+items link links list menu post posts section slot title widget wrap wrapper""".split())
 PAGES = ("html", "body", "main")     # never left out for their names
 PAGE_PARTS = frozenset("header masthead topbar".split())   # dropped outside of protected elements
 
@@ -69,8 +75,16 @@ HOLDER = re.compile(f"<(?:{'|'.join(PROTECTED)})\\b", re.I)
 CLOSING = re.compile(r"</([a-zA-Z][a-zA-Z0-9:-]*)")
 
 
+def whole(name: str) -> bool:
+    """Whether a class, id or role is the name of a part, alone or with words that only say how it is built."""
+    first, *rest = re.split("[_-]+", name)
+    return first in PARTS and all(w in SHAPES for w in rest)
+
+
 def unwanted(name: str, attributes: str, inside: bool, holds=lambda: frozenset()) -> bool:
     """Whether the element is left out; ``holds`` tells which of the protected elements it has inside."""
+    if name == "form" and holds():    # the page, or its article, is wrapped in one
+        return False
     if name in DROPPED or name == "header" and not inside:
         return True
     if name in ("html", "body") or not attributes or "=" not in attributes and "hidden" not in attributes.lower():
@@ -80,7 +94,9 @@ def unwanted(name: str, attributes: str, inside: bool, holds=lambda: frozenset()
     if name in PAGES:
         return False
     names = [(m[1] or m[2] or m[3] or "").lower() for m in NAMED.finditer(attributes)]
-    parts = PARTS if inside else PARTS | PAGE_PARTS
+    if inside:      # in an article a word of a name is not enough: related-posts, not related-work
+        return any(whole(w) for x in names for w in x.split())
+    parts = PARTS | PAGE_PARTS
     if not parts & {w for x in names for w in re.split(r"[\s_-]+", x)}:
         return False
     inner = {name} & {*PROTECTED} or holds()
@@ -188,17 +204,6 @@ def page_lines(source: str | None) -> list[tuple[str, bool]]:
 
 
 # --- alignment ---------------------------------------------------------------------------
-def _prefix_lengths(a: list, b: list) -> np.ndarray:
-    """Common-subsequence length of a and b[:j] for every j."""
-    masks, full = _masks(b), (1 << len(b)) - 1
-    row = full
-    for x in a:
-        hit = row & masks.get(x, 0)
-        row = ((row + hit) | (row - hit)) & full
-    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")
-    return np.concatenate([[0], np.cumsum(1 - bits[:len(b)].astype(np.int64))])
-
-
 def _masks(b: list) -> dict:
     masks: dict = {}
     for j, y in enumerate(b):
@@ -206,6 +211,40 @@ def _masks(b: list) -> dict:
     return masks
 
 
+def _middle(x: list, y: list) -> list[tuple[int, int]]:
+    """The common subsequence that is found from the end, by bit rows of which every few are kept.
+
+    Rows between two kept ones are computed again on the way back, so the memory is some
+    2 sqrt(len(x)) rows of len(y) bits, and the pairs are the same whatever the lengths.
+    """
+    masks, full = _masks(y), (1 << len(y)) - 1
+
+    def after(row: int, v) -> int:
+        hit = row & masks.get(v, 0)
+        return ((row + hit) | (row - hit)) & full
+    step = isqrt(len(x)) + 1
+    kept, row = [], full
+    for i, v in enumerate(x):
+        if i % step == 0:
+            kept.append(row)
+        row = after(row, v)
+    found, i, j, rows, base = [], len(x), len(y), [], len(x) + 1
+    while i and j:
+        if i - 1 < base:
+            base = (i - 1) // step * step
+            rows = [kept[base // step]]
+            for v in x[base:i]:
+                rows.append(after(rows[-1], v))
+        if rows[i - base] >> j - 1 & 1:
+            j -= 1
+        elif not rows[i - 1 - base] >> j - 1 & 1:
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            found.append((i, j))
+    return found[::-1]
+
+
 def aligned(a: list, b: list) -> list[tuple[int, int]]:
     """Index pairs of a longest common subsequence."""
     low = 0
@@ -218,31 +257,7 @@ def aligned(a: list, b: list) -> list[tuple[int, int]]:
     pairs = [(i, i) for i in range(low)]
     x, y = a[low:low + n], b[low:low + m]
     if n and m:
-        if n * m > MAX_CELLS and n > 1:
-            # too large to hold: split where both halves' lengths add up best
-            half = n // 2
-            ahead = _prefix_lengths(x[:half], y)
-            behind = _prefix_lengths(x[half:][::-1], y[::-1])[::-1]
-            j = int((ahead + behind).argmax())
-            pairs += [(low + p, low + q) for p, q in aligned(x[:half], y[:j])]
-            pairs += [(low + half + p, low + j + q) for p, q in aligned(x[half:], y[j:])]
-        else:
-            masks, full = _masks(y), (1 << m) - 1
-            rows, row = [full], full
-            for v in x:
-                hit = row & masks.get(v, 0)
-                row = ((row + hit) | (row - hit)) & full
-                rows.append(row)
-            found, i, j = [], n, m
-            while i and j:
-                if rows[i] >> j - 1 & 1:
-                    j -= 1
-                elif not rows[i - 1] >> j - 1 & 1:
-                    i -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    found.append((low + i, low + j))
-            pairs += found[::-1]
+        pairs += [(low + i, low + j) for i, j in _middle(x, y)]
     return pairs + [(len(a) - k, len(b) - k) for k in range(cut, 0, -1)]
 
 
@@ -264,15 +279,24 @@ def witness(page: list[tuple[str, bool]], others: Iterable[list[tuple[str, bool]
     return second
 
 
-def main_text(page: list[tuple[str, bool]], neighbours: list[list[tuple[str, bool]]]) -> str:
+def main_text(page: list[tuple[str, bool]], neighbours: list[list[tuple[str, bool]]],
+              around: Iterable[list[tuple[str, bool]]] = ()) -> str:
+    """The page's lines without the template: what it shares with its witnesses.
+
+    A short protected line goes only if ``2 * REACH`` pages ``around`` differ from this one and all hold it.
+    """
     lines = [t for t, _ in page]
     others = [n for n in ([t for t, _ in n] for n in neighbours) if n != lines]
     others = [n for n in others if not alike(lines, n)] or others
-    shared = [{i for i, _ in aligned(lines, n)} for n in others]
-    template = set().union(*shared)
-    proven = set.intersection(*shared) if len(shared) > 1 else set()
-    return "\n".join(t for i, (t, own) in enumerate(page)
-                     if i not in (proven if own else template) or own and len(t) >= LONG)
+    template = {i for n in others for i, _ in aligned(lines, n)}
+    held = [{t for t, _ in n} for n in around]
+    held = held if len(held) >= 2 * REACH else []
+
+    def stays(i: int, text: str, own: bool) -> bool:
+        if not own:
+            return i not in template
+        return len(text) >= LONG or not held or i not in template or not all(text in h for h in held)
+    return "\n".join(t for i, (t, own) in enumerate(page) if stays(i, t, own))
 
 
 # --- on the cluster ----------------------------------------------------------------------
@@ -339,29 +363,48 @@ def _read_pages(ends):
     return run
 
 
-def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows():
-        for batch in batches:
-            for r in batch.to_pylist():
-                yield (r["part"], host_of(r["key"])), r, [(x["text"], x["own"]) for x in r["lines"]]
-        yield from [(None, None, None)] * REACH
+@dataclass
+class Run:
+    """Neighbouring pages of equal lines: they share a text, and are one neighbour to others."""
+    place: tuple
+    lines: list[tuple[str, bool]]
+    pages: list[tuple[int | None, str | None]]
 
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
+    run = None
+    for batch in batches:
+        for r in batch.to_pylist():
+            place, lines = (r["part"], host_of(r["key"])), [(x["text"], x["own"]) for x in r["lines"]]
+            if run is None or run.place != place or run.lines != lines:
+                if run:
+                    yield run
+                run = Run(place, lines, [])
+            if r["own"]:
+                run.pages.append((r["page_id"], r["url"]))
+    if run:
+        yield run
+
+
+def _difference(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     before: deque = deque(maxlen=REACH)
     ahead: deque = deque()
     out = []
-    for item in rows():
+    for item in chain(_runs(batches), [None] * REACH):
         ahead.append(item)
         if len(ahead) <= REACH:
             continue
-        place, r, lines = here = ahead.popleft()
-        if r and r["own"]:
-            sides = (witness(lines, (n[2] for n in side if n[0] == place)) for side in (reversed(before), ahead))
-            text = main_text(lines, [n for n in sides if n is not None])
-            out.append((r["page_id"], r["url"], text, len(text)))
+        here = ahead.popleft()
+        if here and here.pages:
+            left, right = ([n.lines for n in side if n and n.place == here.place] for side in (reversed(before), ahead))
+            near = [n for n in (witness(here.lines, left), witness(here.lines, right)) if n is not None]
+            text = main_text(here.lines, near, left + right)
+            for page_id, url in here.pages:
+                out.append((page_id, url, text, len(text)))
+                if len(out) >= 500:
+                    yield _texts(out)
+                    out = []
         before.append(here)
-        if len(out) >= 500:
-            yield _texts(out)
-            out = []
     if out:
         yield _texts(out)
 

@@ -57,16 +57,36 @@ def brute_length(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("cells", [1 << 28, 30])
-def test_alignment(monkeypatch, cells):
-    monkeypatch.setattr(page_text, "MAX_CELLS", cells)
-    r = random.Random(cells)
-    for _ in range(400):
-        a = [r.choice("abcdxyz"[:r.randint(1, 7)]) for _ in range(r.randint(0, 25))]
-        b = [r.choice("abcdxyz"[:r.randint(1, 7)]) for _ in range(r.randint(0, 25))]
+def table_pairs(a, b):
+    """The same choice by a full table: from the end, a step back in b if that loses nothing, else in a, else a pair."""
+    size = [[0] * (len(b) + 1)]
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(size[-1][j] + 1 if x == y else max(size[-1][j + 1], row[-1]))
+        size.append(row)
+    i, j, out = len(a), len(b), []
+    while i and j:
+        if size[i][j] == size[i][j - 1]:
+            j -= 1
+        elif size[i][j] == size[i - 1][j]:
+            i -= 1
+        else:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+    return out[::-1]
+
+
+def test_alignment():
+    r = random.Random(3)
+    for _ in range(600):
+        a = [r.choice("abcdxyz"[:r.randint(1, 7)]) for _ in range(r.randint(0, 40))]
+        b = [r.choice("abcdxyz"[:r.randint(1, 7)]) for _ in range(r.randint(0, 40))]
         pairs = page_text.aligned(a, b)
         assert all(a[i] == b[j] for i, j in pairs) and len(pairs) == brute_length(a, b)
         assert all(p < q and s < t for (p, s), (q, t) in zip(pairs, pairs[1:]))
+        if a and b:   # rows computed again are the rows of the whole table
+            assert page_text._middle(a, b) == table_pairs(a, b)
 
 
 def plain(rows):
@@ -115,15 +135,48 @@ def test_query(spark):
         assert "<nav>" in source and "track(" not in r.text and "©" not in r.text and len(r.text) > 3
 
 
-def test_protected_lines_are_judged_too():
+def test_protected_lines_need_many_witnesses():
     long = "a long passage " * 10
-    pages = [page_text.page_lines(f"<p>Welcome<div><p>own {i} a<p>own {i} b</div><article><p>card {i}<p>Share this<p>{long}</article>")
-             for i in range(3)]
-    assert page_text.main_text(pages[1], [pages[0], pages[2]]).split("\n") == [
-        "own 1 a", "own 1 b", "card 1", long.strip()]
-    # one witness proves no protected line
-    assert page_text.main_text(pages[1], [pages[0]]).split("\n") == [
-        "own 1 a", "own 1 b", "card 1", "Share this", long.strip()]
+    pages = [page_text.page_lines(f"<p>Welcome<div><p>own {i} a<p>own {i} b</div><article><h2>Summary</h2><p>card {i}"
+                                  f"<p>Share this<p>{long}</article>") for i in range(9)]
+    kept = ["own 4 a", "own 4 b", "Summary", "card 4", "Share this", long.strip()]
+    # what two neighbours share may be the articles' own words
+    assert page_text.main_text(pages[4], [pages[3], pages[5]]).split("\n") == kept
+    assert page_text.main_text(pages[4], [pages[3], pages[5]], pages[1:4] + pages[5:8]).split("\n") == kept
+    around = pages[:4] + pages[5:]
+    assert page_text.main_text(pages[4], [pages[3], pages[5]], around).split("\n") == [
+        "own 4 a", "own 4 b", "card 4", long.strip()]
+    around[2] = page_text.page_lines("<article><p>Share this<p>card x</article>")
+    assert "Summary" in page_text.main_text(pages[4], [pages[3], pages[5]], around)
+
+
+def test_article_text_is_not_lost():
+    def text(source):
+        return [t for t, _ in page_text.page_lines(source)]
+    assert text('<form id="aspnetForm"><div class="menu">m</div><main><article><p>body</article></main>'
+                '<input><button>Go</button></form>') == ["body"]
+    assert text('<article><p>body</p><form><label>Name</label><p>Leave a comment</p></form></article>') == ["body"]
+    for name in ("related-work", "comment-on-case", "note-sidebar-free", "social-history"):
+        assert text(f'<article><p>a</p><section class="{name}"><p>b</p></section></article>') == ["a", "b"], name
+    for name in ("related-posts", "comments", "share", "ad-slot", "x comment-list", "newsletter_form"):
+        assert text(f'<article><p>a</p><section class="{name}"><p>b</p></section></article>') == ["a"], name
+
+
+def test_runs_of_copies_lose_their_template(spark):
+    """Twelve copies beside three other pages, and a run that partitions cut."""
+    def page(own):
+        return "".join(f"<p>{x}" for x in ["Top", "Menu", "About", *own, "Imprint"])
+    rows = [(i, f"https://c.example.org/?i={i:02d}", page([f"own text {k}" for k in range(3)])) for i in range(12)]
+    rows += [(100 + i, f"https://c.example.org/x{i}", page([f"own page {i} {k}" for k in range(3)])) for i in range(3)]
+    rows += [(200 + i, f"https://d.example.org/{i}", page(["own first"] if i < 5 or i > 15 else ["own run"])) for i in range(20)]
+    for parts in (1, 4):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            out = {r.page_id: r.text.split("\n") for r in page_text.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        for i, _, source in rows if parts == 1 else rows[12:15]:
+            assert out[i] == [t for t, _ in page_text.page_lines(source) if t.startswith("own")], i
 
 
 def test_short_pages_lose_their_template(spark):
