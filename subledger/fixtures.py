@@ -194,10 +194,12 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100, corrected: bool = False) -> DataFrame:
+def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100, corrected: bool = False,
+                      newer: bool = False) -> DataFrame:
     """API pages (JSON text) of the purchases, ``page_size`` consecutive ids per page.
 
     ``corrected`` gives the pages of a later fetch: every fourth purchase, at half its amount.
+    ``newer`` pages hold fields that the page schema lacks: ``taxAmount`` and ``shop.plan`` in some rows.
     """
     p = _tx_parts()
     rows = _purchases(spark, sf_dir)
@@ -211,6 +213,12 @@ def transaction_pages(spark: SparkSession, sf_dir: str, page_size: int = 100, co
                                                   p["shopDomain"].alias("myshopifyDomain"))).alias("shop"),
         F.when(p["fee"].isNotNull(), F.struct(p["fee"].cast("string").alias("amount"))).alias("shopifyFee"),
     )
+    if newer:
+        tax = F.when(F.col("event_id") % 3 == 0, F.struct(F.col("event_id").alias("cents")))
+        plan = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("plan "), (F.col("event_id") % 4).cast("string")))
+        shop = F.when(p["shopID"].isNotNull(), F.struct(p["shopID"].alias("id"), p["shopDomain"].alias("myshopifyDomain"),
+                                                        plan.alias("plan")))
+        node = node.withField("taxAmount", tax).withField("shop", shop)
     edges = rows.select(
         (F.floor(F.col("event_id") / page_size) + (CORRECTED_PAGES if corrected else 0)).alias("page_id"),
         F.struct(p["cursor"].alias("cursor"), node.alias("node")).alias("edge"))

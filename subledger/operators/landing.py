@@ -48,24 +48,26 @@ def placed_rows(flat: DataFrame, ts: str, latest: dt.date | None, today: dt.date
 def ingest_pages(spark: SparkSession, docs: DataFrame, api_type: str, base: str, as_of=None,
                  table: str | None = None, json_col: str = "json", on_missing: str = "raise",
                  quarantine: str | None = None, late: str = "merge", at: Column | None = None,
-                 order: Column | None = None) -> DataFrame:
+                 order: Column | None = None, rescue: bool = False) -> DataFrame:
     """Land the rows carried by ``docs``; returns the days written in this run.
 
     Every row is afterwards in the table or in the quarantine (default ``<base>-quarantine``), which
     holds (reason, json). Of rows with one cursor the one that landed last stays; ``at`` and
-    ``order`` say when a page was fetched and its place in the fetch (``explode_pages``).
+    ``order`` say when a page was fetched and its place in the fetch (``explode_pages``). With
+    ``rescue`` fields that the feed's schema lacks are stored in ``_rescued`` (``pages.rescued_fields``).
     """
     base = base.rstrip("/")
     ts, schema = S.BRONZE_TIME_COLUMN[api_type], S.bronze_schema(api_type)
-    rows = pages.explode_pages(docs, api_type, json_col, at, order)
-    flat = sinks.conform(flatten(rows, api_type, keep=("_page", sinks.SEQ)), api_type, keep=("_page", sinks.SEQ))
+    rows = pages.explode_pages(docs, api_type, json_col, at, order, rescue)
+    keep = ("_page", sinks.SEQ, *(["_rescued"] if rescue else []))
+    flat = sinks.conform(flatten(rows, api_type, keep=keep), api_type, keep=keep)
     today = as_of or dt.date.today()
     days = [d for d in raw.landed_days(spark, base) if d != today]
     with staged(placed_rows(flat, ts, days[-1] if days else None, today, late)) as stage:
         held = stage.where(F.col("reason").isNotNull())
         if on_missing == "raise" and not held.where(F.col("_page").isNotNull()).isEmpty():
             raise pages.PageShapeError(f"a page of feed type {api_type!r} has no edge list")
-        held = held.select("reason", F.coalesce("_page", F.to_json(F.struct(*schema.names, sinks.SEQ), sinks.JSON_TIMES)).alias("json"))
+        held = held.select("reason", F.coalesce("_page", F.to_json(F.struct(*schema.names, *keep[1:]), sinks.JSON_TIMES)).alias("json"))
         if not held.isEmpty():
             held.write.mode("append").parquet(quarantine or f"{base}-quarantine")
         good = stage.where(F.col("reason").isNull()).drop("_page", "reason").withColumn("dt", F.to_date(F.col(ts)))

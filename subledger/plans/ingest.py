@@ -76,6 +76,23 @@ def q_ingest_late_rows(spark, sf_dir):
     return table.unionByName(rest.select("r.*", F.lit(None).cast("date").alias("dt"), "reason"))
 
 
+def q_ingest_rescued(spark, sf_dir):
+    """Fields that the page schema lacks, from a landing that keeps them beside it."""
+    base = work_path(spark, "landed-rescued")
+    landing.ingest_pages(spark, fx.transaction_pages(spark, sf_dir, newer=True), "transactions", base, LANDING_AS_OF,
+                         rescue=True)
+    return pages.rescued_fields(raw.read_raw(spark, base))
+
+
+def q_drop_seen_bounded(spark, sf_dir):
+    """The anti join against a stored history of which only the batch's range of keys is read."""
+    tx, base = fx.bronze_transactions(spark, sf_dir), work_path(spark, "history-cursors")
+    seen = tx.where(F.col("createdAt") < F.date_add(F.lit(SPLIT_DAY), 2).cast("timestamp"))
+    seen.repartitionByRange("cursor").write.parquet(base)
+    new = tx.where(F.col("createdAt") >= F.lit(SPLIT_DAY).cast("timestamp"))
+    return dedup.drop_seen(new, spark.read.parquet(base), "cursor", bounded=True)
+
+
 def q_ingest_released(spark, sf_dir):
     """A landing as of an early day, whose held rows land when their day has come."""
     base, held = work_path(spark, "landed-early"), work_path(spark, "held-early")
@@ -323,6 +340,8 @@ QUERIES = {
     "ingest_quarantine": q_ingest_quarantine,
     "ingest_late_rows": q_ingest_late_rows,
     "ingest_released": q_ingest_released,
+    "ingest_rescued": q_ingest_rescued,
+    "drop_seen_bounded": q_drop_seen_bounded,
     "sanitize_text": q_sanitize_text,
     "daily_overwrite": q_daily_overwrite,
     "list_partitions": q_list_partitions,

@@ -174,6 +174,10 @@ ORACLES = {
         WHERE dt > CASE WHEN early THEN {FIRST} ELSE {SECOND} END
         UNION ALL SELECT id, cursor, grossAmount / 2, NULL, 'future day' FROM e WHERE again AND dt > {SECOND}
         UNION ALL SELECT * FROM keyless UNION ALL SELECT * FROM keyless""",
+    "ingest_rescued": f"""WITH p AS (SELECT event_id, {_CURSOR} AS cursor FROM events WHERE event_type = 'purchase')
+        SELECT cursor, 'taxAmount' AS field, '{{"cents":' || CAST(event_id AS VARCHAR) || '}}' AS value FROM p WHERE event_id % 3 = 0
+        UNION ALL SELECT cursor, 'shop.plan', '"plan ' || CAST(event_id % 4 AS VARCHAR) || '"' FROM p
+        WHERE event_id % 5 = 0 AND event_id % 7 <> 0""",
     "ingest_released": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
     "files_by_day_counted": f"""WITH {TX_TYPED}, {TX_DAYS}
         SELECT dt, CAST(2 AS BIGINT) AS files, 2 * count(*) AS rows FROM txd GROUP BY dt""",
@@ -220,6 +224,9 @@ ORACLES = {
         SELECT database, collection, partition_value, count(*) AS objects,
                CAST(coalesce(sum(size), 0) AS BIGINT) AS bytes
         FROM arrivals WHERE status = 'Success' GROUP BY 1, 2, 3""",
+    "drop_seen_bounded": f"""WITH {TX_TYPED}
+        SELECT * FROM tx WHERE createdAt >= {SPLIT} AND cursor NOT IN (
+            SELECT cursor FROM tx WHERE createdAt < {SPLIT} + INTERVAL 2 DAY)""",
     "drop_seen": f"""WITH {TX_TYPED}
         SELECT * FROM tx WHERE createdAt >= {SPLIT} AND cursor NOT IN (
             SELECT cursor FROM tx WHERE createdAt < {SPLIT} + INTERVAL 2 DAY)""",

@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from subledger.operators import landing
-from subledger.sources import catalog, raw, sinks, widening
+from subledger.operators import dedup, landing
+from subledger.sources import catalog, pages, raw, sinks, widening
 from subledger.streaming import jobs
 
 
@@ -189,3 +189,26 @@ def test_register_days_adds_and_widens_columns(spark, tmp_path):
     assert write("2024-01-04", ["cast(id as int) n", "7 note"]) == {one: 1.0, two: 1.0, three: 2.0, four: 1.0}
     assert dict(spark.table(name).dtypes) == {"n": "double", "note": "string", "dt": "date"}
     assert {r["note"] for r in spark.table(name).collect()} == {"x", "7", None}
+
+
+# --- unknown fields, long histories ---------------------------------------------------------
+def test_unknown_fields_are_kept_and_survive_merges(spark, tmp_path):
+    base, day = str(tmp_path / "tx"), "2024-01-09"
+    more = {"tax": {"amount": "1.5", "lines": [1, None]}, "shop": {"id": "s", "tier": "gold"}, "grossAmount": {"amount": "2", "x": True}}
+    land(spark, base, "2024-01-11", [edge("a", day), {**edge("b", day), "node": {**edge("b", day)["node"], **more}}], rescue=True)
+    land(spark, base, "2024-01-11", [edge("c", day)])     # a landing without rescue leaves the column alone
+    got = {(r["cursor"], r["field"]): json.loads(r["value"]) for r in pages.rescued_fields(raw.read_raw(spark, base)).collect()}
+    assert got == {("b", "tax"): {"amount": "1.5", "lines": [1, None]}, ("b", "shop.tier"): "gold", ("b", "grossAmount.x"): True}
+    assert sorted(r["cursor"] for r in raw.read_raw(spark, base).collect()) == ["a", "b", "c"]
+
+
+def test_bounded_anti_join_reads_the_batch_range(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    spark.range(1_000).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("cursor")).write.parquet(path)
+    seen = spark.read.parquet(path)
+    new = spark.createDataFrame([("000010",), ("000012x",), (None,), ("000020",)], "cursor string")
+    kept = dedup.drop_seen(new, seen, bounded=True)
+    assert sorted(map(str, (r[0] for r in kept.collect()))) == ["000012x", "None"]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(cursor,000010)" in plan and "LessThanOrEqual(cursor,000020)" in plan
+    assert dedup.drop_seen(new.where("cursor is null"), seen, bounded=True).count() == 1
