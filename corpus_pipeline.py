@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from subledger.functions.lineage import remove_path
 from subledger.llm.common import table
 from subledger.llm.language import accepted
 from subledger.llm.leaks import decontaminated
@@ -51,9 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows; a stage's folder is deleted when the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = work_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
