@@ -76,8 +76,9 @@ def newest_by_key(new: DataFrame, stored: DataFrame | None, key: str = "cursor")
 
     ``_seq`` (a struct, see ``SEQ``) orders the rows; rows without one are older than all that have
     one, of those a new row replaces a stored one, and of new ones the largest in column order stays.
-    Rows without a key are told apart by all their named values; of equal ones as many stay as the
-    larger of the two sides holds, so a batch that lands twice adds nothing and none is lost.
+    Rows without a key are told apart by all their named values; of equal ones as many stay as one
+    landing (a file, a fetch; without ``_seq`` one of the two sides) held at most, so what lands twice
+    adds nothing, whatever came together in a batch.
     """
     def sided(df: DataFrame, fresh: bool) -> DataFrame:
         return df.withColumn("_new", F.lit(fresh))
@@ -94,13 +95,20 @@ def newest_by_key(new: DataFrame, stored: DataFrame | None, key: str = "cursor")
     name = F.col(key).cast("string") if known else F.lit(None).cast("string")
     order = [F.col(SEQ).isNotNull(), F.col(SEQ)] if SEQ in columns else []
     last = F.max(F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)], "_new", *columns)).alias("r")
-    picked = (rows.groupBy(name.alias("_key"), F.when(name.isNull(), whole).alias("_row"))
-              .agg(last, F.count_if("_new").alias("_n"), F.count_if(~F.col("_new")).alias("_m")))
-    copies = F.when(F.col("_key").isNull(), F.greatest("_n", "_m")).otherwise(F.lit(1))
+    keyed = rows.where(name.isNotNull()).groupBy(name.alias("_key")).agg(last).select("r.*").select(*columns)
+    # keyless rows: copies are counted within what landed together, a file or a fetch
+    landed = F.col("_new").cast("string")
+    if SEQ in columns:
+        fields = [f.name for f in rows.schema[SEQ].dataType.fields]
+        landed = F.coalesce(F.col(SEQ)["file" if "file" in fields else fields[0]].cast("string"), landed)
+    picked = (rows.where(name.isNull()).groupBy(whole.alias("_row"), landed.alias("_landed"))
+              .agg(last, F.count(F.lit(1)).alias("_n"))
+              .groupBy("_row").agg(F.max("r").alias("r"), F.max("_n").alias("_n")))
     # a row that repeats very often is written out in slots, so no array grows with its number
-    slots = picked.withColumn("_n", copies).withColumn("_slot", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES))))
+    slots = picked.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / COPIES))))
     many = F.least(F.lit(COPIES), F.col("_n") - F.col("_slot") * COPIES)
-    return slots.withColumn("_one", F.explode(F.sequence(F.lit(1), many))).select("r.*").select(*columns)
+    loose = slots.withColumn("_one", F.explode(F.sequence(F.lit(1), many))).select("r.*").select(*columns)
+    return keyed.unionByName(loose)
 
 
 def replace_days(df: DataFrame, base: str, days, ts_col: str | None = None) -> None:
