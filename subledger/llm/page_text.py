@@ -39,7 +39,6 @@ from dataclasses import dataclass
 from itertools import chain
 from math import isqrt
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 

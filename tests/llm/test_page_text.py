@@ -2,7 +2,6 @@
 
 import random
 
-import pytest
 
 from rows import SMALL
 from subledger.llm import page_text
