@@ -15,7 +15,7 @@ from .. import fixtures as fx
 from ..functions.scalar import sanitize
 from ..operators import curate, dedup, flatten, landing, quality
 from ..session import work_path
-from ..sources import arrivals, catalog, pages, raw, sinks
+from ..sources import arrivals, catalog, deltas, pages, raw, sinks
 from ..streaming import jobs
 
 # "Today" of the landing fixtures: the last landed day, whose folder may be partial.
@@ -330,6 +330,28 @@ def q_stream_corrections(spark, sf_dir):
     return spark.read.parquet(out).drop(sinks.SEQ)
 
 
+def q_ingest_deltas(spark, sf_dir):
+    """Corrections appended as deltas, of which some days are compacted in between: the merged read."""
+    base = work_path(spark, "bronze-deltas")
+    first, later = (part.withColumn("dt", F.to_date("createdAt")) for part in fx.corrected_transactions(spark, sf_dir))
+    number = F.crc32(F.col("id"))
+    batches = [first.where(number % 2 == 0), first.where(number % 2 == 1), later]
+    for n, batch in enumerate(batches):
+        deltas.append_deltas(batch, base, n, "createdAt")
+        if n == 1:
+            deltas.compact(spark, base, deltas.delta_days(spark, base)[::2], "createdAt")
+    return deltas.read_merged(spark, base).drop(sinks.SEQ)
+
+
+def q_stream_deltas(spark, sf_dir):
+    """The corrections of ``stream_corrections`` by a stream that appends deltas; a second run brings the later part."""
+    base, out, ck = work_path(spark, "bronze-late"), work_path(spark, "stream-deltas"), work_path(spark, "ck")
+    for part in fx.corrected_transactions(spark, sf_dir):
+        part.withColumn("dt", F.to_date("createdAt")).write.mode("append").partitionBy("dt").parquet(base)
+        jobs.stream_deltas(spark, base, out, ck, ts_col="createdAt", max_files=60, share=0.6)
+    return deltas.read_merged(spark, out).drop(sinks.SEQ)
+
+
 QUERIES = {
     "flatten_transactions": q_flatten_transactions,
     "flatten_events": q_flatten_events,
@@ -369,4 +391,6 @@ QUERIES = {
     "stream_curate_relanded": q_stream_curate_relanded,
     "stream_late_dedup": q_stream_late_dedup,
     "stream_corrections": q_stream_corrections,
+    "ingest_deltas": q_ingest_deltas,
+    "stream_deltas": q_stream_deltas,
 }

@@ -233,3 +233,5 @@ ORACLES = {
     "stream_curate": f"WITH {EV_TYPED} {CURATED}",
     "stream_late_dedup": f"WITH {TX_TYPED}, {TX_DAYS} SELECT * FROM txd",
 }
+# the same landed rows by other ways
+ORACLES["ingest_deltas"] = ORACLES["stream_deltas"] = ORACLES["stream_corrections"]

@@ -5,9 +5,10 @@
   quarantine folder instead of the curated one.
 * ``stream_dedup``    re-landed rows (the fetcher re-reads the day before the
   latest one) are kept once per cursor.
+* ``stream_deltas``   the same by appended deltas: a late row doesn't rewrite its day.
 
-Both run with ``trigger(availableNow=True)``: they process what is there and
-stop, so they can be scheduled like batch jobs. Each micro-batch is merged with
+All run with ``trigger(availableNow=True)``: they process what is there and
+stop, so they can be scheduled like batch jobs. Each micro-batch of the first two is merged with
 the stored rows of the days it touches and those days are replaced. Of the rows of a
 cursor the one that landed last stays: ``_seq`` (modification time and path of the
 row's file, and its place there) is stored with the row, so the result doesn't
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..functions.lineage import staged
 from ..operators.curate import DATETIME_PAIRS, convert_datetimes, datetime_columns, lower_names
-from ..sources import sinks
+from ..sources import deltas, sinks
 
 
 def _run(spark: SparkSession, path: str, checkpoint: str, each, max_files: int | None,
@@ -86,3 +87,17 @@ def stream_dedup(spark: SparkSession, bronze_path: str, out_path: str, checkpoin
             sinks.merge_days(new, out_path, ts_col, key)
 
     _run(spark, bronze_path, checkpoint, each, max_files, schema)
+
+
+def stream_deltas(spark: SparkSession, bronze_path: str, base: str, checkpoint: str, ts_col: str, key: str = "cursor",
+                  max_files: int | None = None, schema: T.StructType | None = None, share: float = 0.1) -> None:
+    """As ``stream_dedup``, but a batch is appended as deltas and rewrites no day (read by ``deltas.read_merged``).
+
+    Days whose deltas outgrow ``share`` of their stored bytes are compacted at the end of the run.
+    """
+    def each(batch: DataFrame, number: int) -> None:
+        with staged(batch if "dt" in batch.columns else batch.withColumn("dt", F.to_date(ts_col))) as new:
+            deltas.append_deltas(new, base, number, ts_col, compacted="skip")
+
+    _run(spark, bronze_path, checkpoint, each, max_files, schema)
+    deltas.compact(spark, base, deltas.compaction_due(spark, base, share), ts_col, key)
