@@ -81,3 +81,93 @@ def test_many_sentences_in_one_text(spark):
     assert time.time() - start < 60
     assert row.n_known == 10_000 and len(row.matches) == 10_000 and row.licences == ["MIT"]
     assert [m["first"] for m in row.matches] == list(range(0, 20_000, 2))
+
+
+MIT_TEXT = ("Copyright (c) 2020 A. Holder\n\n" + full("mit_grant") + "\n\n" + full("mit_notice_kept") + "\n\n"
+            + full("mit_as_is", "mit_liable"))
+BSD_START = """Copyright (c) 1999 The Regents. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED.  IN NO EVENT SHALL THE REGENTS BE LIABLE.
+"""
+UNIVERSITY = """Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+AUTHOR = """The name of the author may not be used to endorse or promote products
+   derived from this software without specific prior written permission.
+"""
+ADVERT = """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement:
+   This product includes software developed by the University of
+   California, Berkeley and its contributors.
+"""
+FREE = """This {what} is free software; you can redistribute it and/or
+modify it under the terms of the GNU {kind}General Public
+License as published by the Free Software Foundation; either
+version {version} of the License, or (at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+{kind}General Public License for more details.
+"""
+REAL = {
+    "MIT license text": ("MIT", MIT_TEXT),
+    "BSD-2": ("All-Rights-Reserved,BSD-2-Clause", BSD_START + BSD_END),
+    "BSD-3 by holder": ("All-Rights-Reserved,BSD-3-Clause", BSD_START + "3. " + UNIVERSITY + BSD_END),
+    "BSD-3 by author": ("All-Rights-Reserved,BSD-3-Clause", BSD_START + "3. " + AUTHOR + BSD_END),
+    "BSD-4": ("All-Rights-Reserved,BSD-4-Clause", BSD_START + ADVERT + "4. " + UNIVERSITY + BSD_END),
+    "LGPL-2.1": ("LGPL-2.1-or-later", FREE.format(what="library", kind="Lesser ", version="2.1")),
+    "LGPL-3": ("LGPL-3.0-or-later", FREE.format(what="library", kind="Lesser ", version="3")),
+    "GPL-2": ("GPL-2.0-or-later", FREE.format(what="program", kind="", version="2")),
+    "GPL-3": ("GPL-3.0-or-later", FREE.format(what="program", kind="", version="3")),
+    "AGPL-3": ("AGPL-3.0-or-later", FREE.format(what="program", kind="Affero ", version="3")),
+    "GPL-2 comma": ("GPL-2.0-or-later", FREE.format(what="program", kind="", version="2").replace("Foundation; ", "Foundation, ")),
+    "AGPL-3 comma": ("AGPL-3.0-or-later", FREE.format(what="program", kind="Affero ", version="3").replace("Foundation; ", "Foundation, ")),
+    "EPL-2": ("EPL-2.0", "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License"
+              " 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nx"),
+    "EPL-2 v.": ("EPL-2.0", "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public "
+                 "License v. 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/\n\nx"),
+    "zlib": ("Zlib", "This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be "
+             "held liable for any damages\narising from the use of this software.\n\nPermission is granted to anyone to use this "
+             "software for any purpose,\nincluding commercial applications, and to alter it and redistribute it\nfreely, subject to "
+             "the following restrictions:\n\n1. The origin must not be misrepresented."),
+    "Boost": ("BSL-1.0", "// Distributed under the Boost Software License, Version 1.0.\n// (See accompanying file LICENSE_1_0.txt)"),
+    "ISC and": ("ISC", licences.SENTENCES["isc_grant"].replace("and/or distribute", "and distribute")),
+    "0BSD": ("0BSD", full("bsd0_grant")),
+    "MIT-0": ("MIT-0", full("mit0_grant") + "\n\n" + full("mit_as_is", "mit_liable")),
+    "CC": ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons\nAttribution-NonCommercial-ShareAlike 4.0 "
+           "International License.\n"),
+    "SPDX": ("MIT", "// SPDX-License-Identifier: MIT\nint main() {}"),
+    "SPDX in a comment": ("GPL-2.0-or-later", "/* SPDX-License-Identifier: GPL-2.0-or-later */\n"),
+    "SPDX old": ("GPL-2.0-only,LGPL-2.1-or-later", "# SPDX-License-Identifier: GPL-2.0\n# SPDX-License-Identifier: LGPL-2.1+\n"),
+    "SPDX expression": ("", "# SPDX-License-Identifier: MIT OR Apache-2.0\n"),
+    "no licence": ("", "Neither the name of the rose nor its thorns. MIT was founded in 1861. The GPL is discussed."),
+}
+
+
+def test_real_texts_in_their_own_wrapping(spark):
+    rows = [{"doc_id": i, "text": text} for i, (_, text) in enumerate(REAL.values())]
+    got = {r[0]: r[3] for r in both(spark, make_docs(spark, rows), rows)}
+    assert {name: got[i] for i, name in enumerate(REAL)} == {name: want for name, (want, _) in REAL.items()}
+
+
+def test_forms_are_their_own(spark):
+    forms, ids = licences.known_forms(), {i for _, rule in licences.RULES for i in rule}
+    names = set(forms.values()) | {n for n, _ in licences.NAMED}
+    assert ids <= names and {n for n, _ in licences.WORDINGS} <= set(licences.SENTENCES)
+    assert all(licences.normal(f) == f for f in forms)
+    rows = [{"doc_id": i, "text": f"x. {f}\n\n"} for i, f in enumerate(forms)]
+    assert all(r[2] >= 1 for r in both(spark, make_docs(spark, rows), rows))
