@@ -52,6 +52,11 @@ def policy_audit(df: DataFrame, columns=None, distinct: str = "rules") -> DataFr
         per_col = _by_values(df, cols, distinct == "exact")
     else:
         raise ValueError(f"no way to count distinct values called {distinct!r}")
+    return verdicts(per_col)
+
+
+def verdicts(per_col: DataFrame) -> DataFrame:
+    """The audit's rows from (column, rows, null_count, distinct_values)."""
     c = F.col("column")
     dup = F.col("rows") - F.col("null_count") - F.col("distinct_values")
     return per_col.select(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions.scalar import sanitize
-from ..operators import curate, dedup, flatten, landing, quality
+from ..operators import curate, dedup, flatten, landing, profiles, quality
 from ..session import work_path
 from ..sources import arrivals, catalog, deltas, pages, raw, sinks
 from ..streaming import jobs
@@ -260,6 +260,19 @@ def q_policy_audit_curated(spark, sf_dir):
     return quality.policy_audit(raw.read_raw(spark, out))
 
 
+def q_policy_audit_daily(spark, sf_dir):
+    """The audit of ``policy_audit_curated`` from stored day profiles; the days from ``SPLIT_DAY`` on are profiled later."""
+    base, out, stored = (work_path(spark, n) for n in ("raw-profiled", "curated-profiled", "profiles"))
+    shops = fx.raw_events(spark, sf_dir).withColumn("shopId", F.when(F.col("shopId") != "", F.col("shopId")))
+    sinks.write_daily(shops, base, "occurredAt")
+    curate.curate(spark, base, out)
+    days = raw.landed_days(spark, out)
+    # a day that lands again is profiled anew
+    for some in ([d for d in days if d <= SPLIT_DAY], [d for d in days if d >= SPLIT_DAY]):
+        profiles.refresh_profiles(spark, out, stored, some)
+    return profiles.profile_audit(spark, stored, raw.read_raw(spark, out).schema)
+
+
 def q_curate_datetimes(spark, sf_dir):
     base = _landed_raw_events(spark, sf_dir)
     out = work_path(spark, "curated-events")
@@ -384,6 +397,7 @@ QUERIES = {
     "policy_audit": q_policy_audit,
     "policy_audit_exact": q_policy_audit_exact,
     "policy_audit_curated": q_policy_audit_curated,
+    "policy_audit_daily": q_policy_audit_daily,
     "parse_arrivals": q_parse_arrivals,
     "arrivals_summary": q_arrivals_summary,
     "drop_seen": q_drop_seen,

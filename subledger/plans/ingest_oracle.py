@@ -235,3 +235,4 @@ ORACLES = {
 }
 # the same landed rows by other ways
 ORACLES["ingest_deltas"] = ORACLES["stream_deltas"] = ORACLES["stream_corrections"]
+ORACLES["policy_audit_daily"] = ORACLES["policy_audit_curated"]
