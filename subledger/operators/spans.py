@@ -6,13 +6,15 @@ OR of its days' rows, and their number is exact: nothing is counted twice, and n
 is read again. A new day adds or replaces its own rows; its month's folder is all it touches.
 
 Any whole shop number works; numbers close together (a dense numbering) make few buckets. A
-bitmap has 4 KB, so a day of n shops has n / 8 bytes where the numbers are dense. Building
-them aggregates map-side: at most one bitmap per task, day and bucket is shuffled.
+bitmap has 4 KB, so a day of n shops has n / 8 bytes where the numbers are dense. They are
+built from one row per shop and month (31 bits, its active days), which are shuffled instead
+of bitmaps: all of a bucket's month, 32,768 rows at most, comes together, and no day is sorted.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ from .active import day_ranges
 BITMAP_SCHEMA = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("shops", T.BinaryType()),
                               T.StructField("active_date", T.DateType())])
 STORED_SCHEMA = T.StructType([*BITMAP_SCHEMA.fields, T.StructField("month", T.DateType())])
+#: bitmaps that a task sorts and writes (32 MB), however well they compress
+TASK_BITMAPS = 8192
 
 
 def active_bitmaps(intervals: DataFrame, as_of=None, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
@@ -32,12 +36,22 @@ def active_bitmaps(intervals: DataFrame, as_of=None, first: dt.date | None = Non
     r = day_ranges(intervals.where(F.col("shopid").isNotNull()), as_of)
     lo = F.col("first_day") if first is None else F.greatest("first_day", F.lit(first))
     hi = F.col("last_day") if last is None else F.least("last_day", F.lit(last))
-    days = (r.select("shopid", lo.alias("lo"), hi.alias("hi")).where(F.col("lo") <= F.col("hi"))
-            .repartition(int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-            .select(F.col("shopid").cast("long").alias("n"), F.explode(F.sequence("lo", "hi")).alias("active_date")))
-    return (days.groupBy("active_date", F.bitmap_bucket_number("n").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("shops"))
-            .select("bucket", "shops", "active_date"))
+    months = (r.select("shopid", lo.alias("lo"), hi.alias("hi")).where(F.col("lo") <= F.col("hi"))
+              .repartition(int(intervals.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+              .select(F.col("shopid").cast("long").alias("n"), "lo", "hi", F.explode(F.sequence(
+                  F.trunc("lo", "month"), F.trunc("hi", "month"), F.expr("INTERVAL 1 MONTH"))).alias("month")))
+    # bits from the span's first day in the month to its last
+    from_day = F.dayofmonth(F.greatest("lo", "month")) - 1
+    to_day = F.dayofmonth(F.least("hi", F.last_day("month")))
+    shops = (months.select("n", "month", F.expr("1L").alias("one"), from_day.alias("a"), to_day.alias("b"))
+             .groupBy("n", "month").agg(F.bit_or(F.expr("shiftleft(one, b) - shiftleft(one, a)")).alias("days")))
+    placed = (shops.select("month", "days", F.bitmap_bucket_number("n").alias("bucket"), F.bitmap_bit_position("n").alias("bit"))
+              .repartition("month", "bucket"))
+    active = [F.when(F.col("days").bitwiseAND(F.lit(1 << d)) != 0, F.col("bit")) for d in range(31)]
+    built = placed.groupBy("month", "bucket").agg(*[F.bitmap_construct_agg(c).alias(f"d{d}") for d, c in enumerate(active)])
+    return (built.select("month", "bucket", F.posexplode(F.array(*[f"d{d}" for d in range(31)])).alias("day", "shops"))
+            .where(F.bitmap_count("shops") > 0)
+            .select("bucket", "shops", F.date_add("month", F.col("day")).alias("active_date")))
 
 
 def stored_bitmaps(spark: SparkSession, base: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
@@ -67,11 +81,12 @@ def refresh_bitmaps(intervals: DataFrame, base: str, first: dt.date, last: dt.da
         old = spark.read.schema(BITMAP_SCHEMA).parquet(*kept)
         new = new.unionByName(old.where(~F.col("active_date").between(F.lit(first), F.lit(last))))
     with staged(new.withColumn("month", F.trunc("active_date", "month"))) as rows:
-        built = {r[0] for r in rows.select("month").distinct().collect()}   # at most one row a month
+        built = {r["month"]: r["count"] for r in rows.groupBy("month").count().collect()}   # at most one row a month
         for m in months:
             if m not in built:
                 remove_path(spark, f"{base}/month={m.isoformat()}")
-        (rows.repartitionByRange("month", "active_date", "bucket").write.mode("overwrite")
+        tasks = max(1, math.ceil(sum(built.values()) / TASK_BITMAPS))
+        (rows.repartitionByRange(tasks, "month", "active_date", "bucket").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(base))
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,24 @@ def test_a_new_day_leaves_other_months_alone(spark, tmp_path):
     assert not os.path.exists(f"{base}/month=2024-03-01")
 
 
+def test_bitmaps_are_built_in_one_place(spark, tmp_path, monkeypatch):
+    """Shop-months are shuffled, not days or bitmaps; a task writes so many bitmaps, however small they are as files."""
+    as_of, rnd = D(2024, 3, 10), random.Random(7)
+    rows = [(s, (a := D(2023, 1, 31) + dt.timedelta(days=rnd.randrange(390))), a + dt.timedelta(days=rnd.randrange(1, 150)))
+            for s in (5, 5, 5, 31, 32_767, 32_768) for _ in range(6)] + [(9, D(2024, 2, 29), None)]
+    bits = spans.active_bitmaps(intervals(spark, rows), as_of)
+    assert {r["span_start"]: r["merchants"] for r in spans.merchants_by_span(bits, F.col("active_date")).collect()} \
+        == plain_spans(rows, as_of, lambda d: d)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", bits._jdf.queryExecution().explainString(mode))
+    assert len(moved) == 3 and not any("buf" in m or "shops" in m or "active_date" in m for m in moved)
+    monkeypatch.setattr(spans, "TASK_BITMAPS", 50)
+    base = str(tmp_path / "bits")
+    spans.refresh_bitmaps(intervals(spark, rows), base, D(2023, 1, 1), D(2024, 7, 31), as_of)
+    sizes = [spark.read.parquet(f).count() for f in glob.glob(f"{base}/month=2023-10-01/*.parquet")]
+    assert sum(sizes) == bits.where("trunc(active_date, 'month') = '2023-10-01'").count() and max(sizes) < 62
+
+
 def test_retained_by_sets(spark):
     rows = [(1, D(2024, 1, 5), D(2024, 2, 9)), (2, D(2024, 1, 5), D(2024, 1, 6)), (3, D(2024, 2, 5), D(2024, 4, 6)),
             (2, D(2024, 3, 1), D(2024, 3, 2)), (40_000, D(2024, 3, 31), D(2024, 4, 2))]
