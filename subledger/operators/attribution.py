@@ -110,9 +110,10 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     Plan: one window over the intervals (running max of E in key order), one over
     those of a shop and end day (lowest key so far), one generator turning each
     interval into its marks, and one window over points + marks per shop. Marks
-    sort by (time, kind, key) so that every tier is a first/last-non-NULL fill:
+    sort by (time, kind, key) so that every tier is a last-non-NULL fill:
 
-    * kind -1, before all times: the shop's lowest key per column: ``first``;
+    * kind -1, before all times: the shop's lowest key per column, one mark each,
+      in the column of the end marks: it counts until one comes;
     * kind 0 end marks at E, key descending: ``last`` = latest E <= t, lowest key;
     * kind 2 segment marks: ``last`` = the distance-0 segment holding t, if it
       has not ended;
@@ -178,8 +179,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         "shopid", "m.t AS _t", "m.k AS _kind",
         "CASE WHEN m.k IN (0, 10) THEN _key END AS _dk",
         "CASE WHEN m.k NOT IN (0, 10) THEN _key END AS _ak",
-        *[f"CASE WHEN m.k = 0 THEN {c} END AS _end{i}" for i, c in enumerate(q)],
-        *[f"CASE WHEN m.k = -1 AND _first[{i}] THEN {c} END AS _low{i}" for i, c in enumerate(q)],
+        *[f"CASE WHEN m.k = 0 OR m.k = -1 AND _first[{i}] THEN {c} END AS _end{i}" for i, c in enumerate(q)],
         *[f"CASE WHEN m.k = 2 AND {c} IS NOT NULL AND _starts[{i}] = m.t AND m.t < _E "
           f"THEN named_struct('key', _key, 'v', {c}, 'end', _E) END AS _seg{i}" for i, c in enumerate(q)],
         *[f"CASE WHEN m.k = 10 AND _over[{i}] THEN named_struct('key', _key, 'v', {c}, 'end', _E) END AS _rst{i}"
@@ -197,7 +197,6 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
         fills[f"_fs{i}"] = ("ffill", f"_seg{i}")
         fills[f"_fr{i}"] = ("ffill", f"_rst{i}")
         fills[f"_fe{i}"] = ("ffill", f"_end{i}")
-        fills[f"_fo{i}"] = ("first_nonnull", f"_low{i}")
     if month_flags:
         fills["_ff1"] = ("ffill", "_mf1")
         fills["_ff2"] = ("ffill", "_mf2")
@@ -207,7 +206,7 @@ def nearest_interval(points: DataFrame, subs: DataFrame, cols=ATTR_COLS, at: str
     for i, c in enumerate(cols):
         seg, rest = F.col(f"_fs{i}"), F.col(f"_fr{i}")
         inside = F.least(F.when(F.col("_t") < seg["end"], seg), F.when(F.col("_t") < rest["end"], rest))["v"]
-        out.append(F.coalesce(inside, F.col(f"_fe{i}"), F.col(f"_fo{i}")).alias(c))
+        out.append(F.coalesce(inside, F.col(f"_fe{i}")).alias(c))
     if month_flags:
         this_month = month_start(at).cast("timestamp")
         out.append(F.coalesce(F.col("_ff1") == this_month, F.lit(False)).alias("ended_same_month"))
@@ -224,22 +223,25 @@ def matched_payments(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str
 
 def _matched(tx_numbered: DataFrame, subs_prev: DataFrame, tiebreak: str, bucketed: bool) -> DataFrame:
     pays = tx_numbered.select(*PAYMENT_KEYS).distinct()
-    near = cut(nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed,
-                                month_flags="prev_actual_end_date"), bucketed)
-    near = ordered_scan(near, ["shopid"], [asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")],
+    # neighbours first: they need the payments' few columns only, so narrow rows are sorted
+    pays = ordered_scan(pays, ["shopid"], [asc("createdat"), asc("id"), asc("netamount"), asc("prev_netamount")],
                         bucketed, prev_day_amount=("lag", "netamount"))
-    near = ordered_scan(near, ["shopid"],
+    pays = ordered_scan(pays, ["shopid"],
                         [asc(F.unix_timestamp("createdat")), asc("id"), asc("netamount"), asc("prev_netamount")],
                         bucketed, next_day_amount=("lead", "netamount"))
-    if not bucketed:
+    if bucketed:
+        # hot shop: a grouped count per shop-day joined back (partial counts, no per-key task);
+        # one struct key, whose equality matches NULL fields, keeps the join a plain equi-join
+        pays = pays.withColumn("_sd", F.struct("shopid", F.to_date("createdat").alias("d")))
+        counts = pays.groupBy(F.col("_sd").alias("_sd2")).agg(F.count("id").alias("transactions_per_day"))
+        pays = cut(pays.join(counts, pays["_sd"] == counts["_sd2"]).drop("_sd", "_sd2"))
+    else:
         # rows are already clustered by shop, so a (shop, day) window adds no shuffle
         per_day = Window.partitionBy("shopid", F.to_date("createdat"))
-        return near.withColumn("transactions_per_day", F.count("id").over(per_day))
-    # hot shop: a grouped count per shop-day joined back (partial counts, no per-key task);
-    # one struct key, whose equality matches NULL fields, keeps the join a plain equi-join
-    near = near.withColumn("_sd", F.struct("shopid", F.to_date("createdat").alias("d")))
-    counts = near.groupBy(F.col("_sd").alias("_sd2")).agg(F.count("id").alias("transactions_per_day"))
-    return near.join(counts, near["_sd"] == counts["_sd2"]).drop("_sd", "_sd2")
+        pays = pays.withColumn("transactions_per_day", F.count("id").over(per_day))
+    near = nearest_interval(pays, subs_prev, ATTR_COLS, "createdat", tiebreak, bucketed, month_flags="prev_actual_end_date")
+    return near.select(*PAYMENT_KEYS, *ATTR_COLS, "ended_same_month", "ended_month_before",
+                       "prev_day_amount", "next_day_amount", "transactions_per_day")
 
 
 def choose_attribution(matched: DataFrame) -> DataFrame:

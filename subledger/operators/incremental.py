@@ -36,9 +36,9 @@ def bucket_of(shop: Column | str, buckets: int = BUCKETS) -> Column:
 
 
 def _laid_out(df: DataFrame, shop: str, buckets: int) -> DataFrame:
-    # by range of (bucket, row hash): a bucket with a hot shop is written by several tasks
-    return (df.withColumn("bucket", bucket_of(shop, buckets))
-            .repartitionByRange("bucket", F.xxhash64(*[c for c in df.columns])))
+    # rebalanced: a bucket with a hot shop is written by several tasks, small ones share one, and the
+    # rows are computed once (bounds of ranges would take a pass of their own)
+    return df.withColumn("bucket", bucket_of(shop, buckets)).hint("rebalance", "bucket")
 
 
 def add_rows(df: DataFrame, base: str, shop: str = "shopid", buckets: int = BUCKETS) -> None:

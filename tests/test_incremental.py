@@ -9,6 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from subledger import fixtures as fx
 from subledger.operators import active, curate, incremental, spans
 from subledger.sources import raw
@@ -133,3 +134,32 @@ def test_curate_reads_its_source_once_and_takes_days(spark, tmp_path):
     assert not glob.glob(f"{out}-stage-*")
     with pytest.raises(curate.CurateError):
         curate.curate(spark, base, out, dt=[D(2025, 1, 1)])
+
+
+def test_added_rows_are_computed_once(spark, tmp_path):
+    """No pass for the bounds of ranges; a bucket beyond a task's bytes is still written by several."""
+    rows, seen = 20_000, spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    one_shop = spark.range(rows).selectExpr("7L AS shopid", "sha2(cast(id AS string), 256) AS note").repartition(16)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128k")
+    try:
+        incremental.add_rows(one_shop.mapInArrow(counted, one_shop.schema), str(tmp_path / "h"), buckets=8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert seen.value == rows
+    assert spark.read.parquet(str(tmp_path / "h")).distinct().count() == rows
+    assert len(glob.glob(f"{tmp_path}/h/bucket=*/*.parquet")) > 2
+
+
+def test_neighbours_are_found_before_the_wide_scan(spark):
+    """The scan over payments and marks sorts one payload per mark kind; neighbours are lagged on payments alone."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = E.queries()["tx_matched"](spark, SMALL)._jdf.queryExecution().explainString(mode)
+    wide = [a for a in re.findall(r"\) Window\nInput \[\d+\]: .*\nArguments: (.*)", plan) if "_fs0" in a]
+    assert len(wide) == 1 and wide[0].count(" AS ") == 24   # 8 columns in three fills
+    lagged = re.findall(r"\) Window\nInput \[(\d+)\]: .*\nArguments: \[(?:lag|lead)\(netamount.*_day_amount", plan)
+    assert lagged and max(map(int, lagged)) <= 9
